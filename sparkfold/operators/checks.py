@@ -124,6 +124,12 @@ MESSAGES = {
 def require(df: DataFrame, checks: dict[str, Column]) -> dict:
     """Run the checks and raise on the first violation; returns the counts."""
     row = check_counts(df, checks).first().asDict()
+    judge(row)
+    return row
+
+
+def judge(row: dict) -> None:
+    """Raise on the first violation among the counts."""
     if row.get("n_rows") == 0:
         raise ValueError("X must contain at least one sample.")
     for name, message in MESSAGES.items():
@@ -138,7 +144,6 @@ def require(df: DataFrame, checks: dict[str, Column]) -> dict:
         raise ValueError("classification needs at least two classes.")
     if "weight_total" in row and not row["weight_total"] > 0.0:
         raise ValueError("sample weights must add up to a positive value.")
-    return row
 
 
 def require_class_type(df: DataFrame, label: str) -> None:
@@ -160,12 +165,32 @@ def require_columns(df: DataFrame, features: Sequence[str] | str) -> None:
             raise ValueError(f"feature {name!r} is not numeric.")
 
 
-def count_classes(df: DataFrame, label: str, *by: str) -> list:
-    """(by..., label, n) rows; refuses a column with more labels than a class table may hold."""
+def _class_rows(df: DataFrame, label: str, by: Sequence[str], extra: Sequence[Column]) -> list:
+    """(by..., label, n, extra...) rows; refuses a column with more labels than a class table may
+    hold, so what reaches the driver is bounded."""
     counts = df.groupBy(*by, F.col(label).cast("long").alias("label")).agg(
-        F.count(F.lit(1)).alias("n")
+        F.count(F.lit(1)).alias("n"), *extra
     )
     rows = counts.limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"{label!r} has more than {MAX_CLASSES} labels; it is not a class label.")
-    return sorted(rows, key=lambda r: tuple(r[:-1]))
+    return rows
+
+
+def count_classes(df: DataFrame, label: str, *by: str) -> list:
+    """(by..., label, n) rows, sorted."""
+    return sorted(_class_rows(df, label, by, []), key=lambda r: tuple(r[:-1]))
+
+
+def require_by_class(
+    df: DataFrame, checks: dict[str, Column], label: str, *by: str
+) -> tuple[dict, list]:
+    """Checks and class counts from the same pass: the checks are counted per class and added up."""
+    rows = _class_rows(df, label, by, [c.alias(name) for name, c in checks.items()])
+    total: dict = {"n_rows": 0}
+    for name in checks:
+        values = [row[name] for row in rows if row[name] is not None]
+        add = {"min_width": min, "max_width": max}.get(name, sum)
+        total[name] = add(values) if values else 0
+    judge(total)
+    return total, rows

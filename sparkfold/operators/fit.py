@@ -97,15 +97,17 @@ class _Fitting:
             wanted |= checks.weight_checks(weight)
         if classify:
             checks.require_class_type(df, label)
-        found = checks.require(df, wanted)
-        self.n_rows = found["n_rows"]
-        self.width = found.get("min_width") or len(self.features)
         self.counts: dict[int, dict[int, int]] = {}
         if classify:
             by = [fold_col] if fold_col else []
-            for row in checks.count_classes(df, label, *by):
+            found, rows = checks.require_by_class(df, wanted, label, *by)
+            for row in rows:
                 fold = row[fold_col] if fold_col else -1
                 self.counts.setdefault(fold, {})[row["label"]] = row["n"]
+        else:
+            found = checks.require(df, wanted)
+        self.n_rows = found["n_rows"]
+        self.width = found.get("min_width") or len(self.features)
         self.classes = sorted({c for counts in self.counts.values() for c in counts})
 
     def training_counts(self, fold: int) -> dict[int, int]:

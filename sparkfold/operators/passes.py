@@ -106,7 +106,8 @@ def sum_arrays(df: DataFrame, task, length: int) -> np.ndarray:
     driver receives one vector whatever the number of tasks.
     """
     rows = (
-        df.mapInArrow(task, "pos int, value double")
+        few_tasks(df)
+        .mapInArrow(task, "pos int, value double")
         .groupBy("pos")
         .agg(F.sum("value").alias("value"))
         .collect()
@@ -117,6 +118,14 @@ def sum_arrays(df: DataFrame, task, length: int) -> np.ndarray:
     return total
 
 
+def few_tasks(df: DataFrame) -> DataFrame:
+    """Let a task take several partitions once there are far more of them than the session shuffles
+    into: every task sends one vector, so fewer tasks mean fewer vectors to add up."""
+    spark = df.sparkSession
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(10 * shuffled, 4 * spark.sparkContext.defaultParallelism))
+
+
 def vector_batch(total: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["pos", "value"]

@@ -36,18 +36,19 @@ class Descent:
     n_iter_no_change: int = 10
     tol: float = 1e-6
     gradient_tol: float | None = 1e-6
-    shards: int = 8
+    shards: int | None = None
     seed: int = 0
 
     def __post_init__(self) -> None:
-        for name in ("learning_rate", "max_iter", "n_iter_no_change", "shards"):
+        for name in ("learning_rate", "max_iter", "n_iter_no_change"):
             if not getattr(self, name) > 0:
                 raise ValueError(f"{name} must be positive.")
         for name in ("tol", "gradient_tol"):
             if getattr(self, name) is not None and getattr(self, name) < 0.0:
                 raise ValueError(f"{name} must not be negative.")
-        if self.batch_size is not None and self.batch_size <= 0:
-            raise ValueError("batch_size must be positive.")
+        for name in ("batch_size", "shards"):
+            if getattr(self, name) is not None and getattr(self, name) <= 0:
+                raise ValueError(f"{name} must be positive.")
         _one_of("batch_strategy", self.batch_strategy, STRATEGIES)
         _one_of("optimizer", self.optimizer, OPTIMIZERS)
         _one_of("learning_rate_schedule", self.learning_rate_schedule, SCHEDULES)

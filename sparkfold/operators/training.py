@@ -28,6 +28,10 @@ from sparkfold.operators.splits import mini_batches
 from sparkfold.operators.updates import History, StopRule, Update, scheduled_rate
 
 
+MIN_SHARDS = 8  # shards of row-by-row training; more for a table beyond ...
+SHARD_ROWS = 1_000_000  # ... this many rows per shard
+
+
 @dataclass
 class Run:
     """One model in training."""
@@ -219,15 +223,23 @@ def train_local(run: Run, table: TrainingTable, id_col: str) -> None:
     on the partitioning. Rows stream through a task; no shard is held in memory.
     """
     spec, net = run.spec, run.net
-    names = table.x_columns
-    size = spec.batch_size or 1
+    names, size = table.x_columns, spec.batch_size or 1
     usable = table.df
     if net.fold >= 0:
         usable = usable.filter(F.col("_fold") != net.fold)
     if net.bit >= 0:
         usable = usable.filter(F.shiftright("_vmask", net.bit).bitwiseAND(F.lit(1)) == 0)
-    sharded = usable.withColumn("_shard", F.pmod(F.col("_key"), F.lit(spec.shards)))
-    placed = sharded.repartition(spec.shards, "_shard")
+    shards = spec.shards or max(MIN_SHARDS, -(-table.n_rows // SHARD_ROWS))
+    sharded = usable.withColumn("_shard", F.pmod(F.col("_key"), F.lit(shards)))
+    placed = sharded.repartition(shards, "_shard").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _local_epochs(run, table, placed, names, size, id_col)
+    finally:
+        placed.unpersist()
+
+
+def _local_epochs(run, table, placed, names, size, id_col) -> None:
+    spec, net = run.spec, run.net
     while not run.done:
         epoch, rate = len(run.history.rows), run.rate()
         turn = F.xxhash64(F.lit(spec.seed), F.lit(epoch if spec.shuffle else 0), "_key")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.operators.fit import fit
-from sparkfold.operators.metrics import accuracy, classification_report, log_loss_column
+from sparkfold.operators.metrics import accuracy_column, classification_report, log_loss_column
 from sparkfold.operators.models import Model
 from sparkfold.operators.score import predict
 from sparkfold.operators.specs import LogisticRegression
@@ -25,21 +26,30 @@ class TrainOutcome:
     report: DataFrame
 
 
-def holdout_report(
-    test: DataFrame, model: Model, label: str, id_col: str, extra: Mapping[str, Column] | None = None
-) -> DataFrame:
-    """Report of a binary model on held-out rows, with log loss and the number of rows."""
-    scored = predict(test, model, "_prediction", proba="_proba").withColumn(
-        "_score", F.get("_proba", F.lit(1))
+def holdout_report(test: DataFrame, model: Model, label: str, id_col: str) -> DataFrame:
+    """Report of a binary model on held-out rows, with log loss and the number of rows.
+
+    The scored rows are read by every part of the report, so four narrow columns of them are kept
+    for its duration.
+    """
+    if model.classes is None or len(model.classes) != 2:
+        raise ValueError("train and evaluate jobs serve models of two classes.")
+    scored = predict(test, model, "_prediction", proba="_proba").select(
+        id_col, label, "_prediction", F.get("_proba", F.lit(1)).alias("_score")
     )
+    kept = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    pair = F.array(1.0 - F.col("_score"), F.col("_score"))
     columns = {
-        "log_loss": log_loss_column(label, "_proba", model.classes),
+        "log_loss": log_loss_column(label, pair, model.classes),
         "n_test_samples": F.count(F.lit(1)),
-        **(extra or {}),
     }
-    return classification_report(
-        scored, label, "_prediction", score="_score", id_col=id_col, extra=columns
-    )
+    try:
+        report = classification_report(
+            kept, label, "_prediction", score="_score", id_col=id_col, extra=columns
+        )
+        return test.sparkSession.createDataFrame(report.collect(), report.schema)
+    finally:
+        kept.unpersist()
 
 
 def train_job(
@@ -61,33 +71,24 @@ def train_job(
     )
     train, test = split.filter(~F.col(SPLIT)), split.filter(SPLIT)
     model = fit(spec, train, features, label, id_col=id_col)
-    report = holdout_report(test, model, label, id_col).withColumn(
-        "test_accuracy", F.col("accuracy")
+    on_test = holdout_report(test, model, label, id_col)
+    on_train = predict(train, model, "_prediction").agg(
+        accuracy_column(label, "_prediction").alias("train_accuracy"),
+        F.count(F.lit(1)).alias("n_train_samples"),
+    )
+    found = on_train.first()
+    report = on_test.select(
+        "*",
+        F.col("accuracy").alias("test_accuracy"),
+        F.lit(found["train_accuracy"]).alias("train_accuracy"),
+        F.lit(found["n_train_samples"]).cast("long").alias("n_train_samples"),
     )
-    values = report.collect()[0].asDict()
-    on_train = accuracy(predict(train, model, "_prediction"), label, "_prediction")
-    counted = on_train.collect()[0]["accuracy"]
-    values["train_accuracy"] = counted
-    n_train = train.count()
-    values["n_train_samples"] = n_train
     named = {
         "training": {"seed": seed, "test_size": test_size, "id": id_col, "label": label},
         **(meta or {}),
     }
-    stored = save_model(df.sparkSession, model, path, named, values)
-    full = df.sparkSession.createDataFrame([_plain(values)], _schema(report))
-    return TrainOutcome(stored, full)
-
-
-def _schema(report: DataFrame):
-    from pyspark.sql import types as T
-
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in report.schema.fields])
-    return schema.add("train_accuracy", T.DoubleType()).add("n_train_samples", T.LongType())
-
-
-def _plain(values: Mapping) -> tuple:
-    return tuple(values.values())
+    metrics = report.first().asDict()
+    return TrainOutcome(save_model(df.sparkSession, model, path, named, metrics), report)
 
 
 def evaluate_job(

@@ -293,6 +293,39 @@ def f06_wide(spark, d):
     return history(spark, model, "train_loss", "grad_norm", "param_norm")
 
 
+SOFT_GRADIENT = """g{n} AS (SELECT c, j, avg((p - own) * v) AS g FROM p{m} JOIN x USING (id)
+  GROUP BY c, j), gb{n} AS (SELECT c, avg(p - own) AS g FROM p{m} GROUP BY c),
+w{n} AS (SELECT c, j, w - 1.0 * g AS w FROM w{m} JOIN g{n} USING (c, j)),
+b{n} AS (SELECT c, b - 1.0 * g AS b FROM b{m} JOIN gb{n} USING (c)),
+z{n} AS (SELECT id, c, sum(v * w) + max(b) AS z FROM x JOIN w{n} USING (j) JOIN b{n} USING (c)
+  GROUP BY id, c),
+e{n} AS (SELECT id, c, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM z{n}),
+p{n} AS (SELECT e{n}.id, c, e / sum(e) OVER (PARTITION BY e{n}.id) AS p,
+  CAST(c = label AS INTEGER) AS own FROM e{n} JOIN rows_ USING (id))"""
+SOFT_SUMMARY = """SELECT {n} AS epoch,
+  round((SELECT avg(-ln(p)) FROM p{n} WHERE own = 1), 8) AS train_loss,
+  round(sqrt((SELECT sum(w * w) FROM w{n}) + (SELECT sum(b * b) FROM b{n})), 8) AS param_norm"""
+
+
+@query(
+    "f06_softmax_embeddings_zero_start",
+    """WITH rows_ AS (SELECT vec_id AS id, label, embedding FROM embeddings),
+    x AS (SELECT id, unnest(range(len(embedding))) AS j, unnest(embedding)::DOUBLE AS v FROM rows_),
+    classes AS (SELECT DISTINCT label AS c FROM rows_),
+    w0 AS (SELECT c, j, 0.0::DOUBLE AS w FROM classes, (SELECT DISTINCT j FROM x)),
+    b0 AS (SELECT c, 0.0::DOUBLE AS b FROM classes),
+    p0 AS (SELECT id, c, 1.0 / (SELECT count(*) FROM classes) AS p,
+      CAST(c = label AS INTEGER) AS own FROM rows_, classes), """
+    + ", ".join(SOFT_GRADIENT.format(n=n, m=n - 1) for n in (1, 2))
+    + " " + " UNION ALL ".join(SOFT_SUMMARY.format(n=n) for n in (1, 2)),
+)
+def f06_wide_zero(spark, d):
+    # 64 features and 10 classes: the matrix form of the pass
+    spec = LogisticRegression(learning_rate=1.0, max_iter=2, start="zeros")
+    model = fit(spec, embeddings(spark, d), "embedding", "label")
+    return history(spark, model, "train_loss", "param_norm", digits=8)
+
+
 @query(
     "f07_mini_batch_descent",
     f"""WITH RECURSIVE {OD}, nb AS (SELECT CAST(ceil(count(*) / 4000) AS BIGINT) AS nb FROM od),
@@ -358,6 +391,58 @@ def f08_unit(spark, d):
     return history(spark, model, "train_loss", digits=8)
 
 
+def _network_start(seed: int, *shapes):
+    rng = np.random.default_rng(seed)
+    return [start_weights("he", shape, rng) for shape in shapes]
+
+
+# Two inputs, two tanh units, three classes: a?? are the first weights, v?? the second.
+NET_A, NET_V = _network_start(5, (2, 2), (2, 3))
+NET_NAMES = (
+    [f"a{i}{k}" for i in range(2) for k in range(2)] + [f"c{k}" for k in range(2)]
+    + [f"v{k}{o}" for k in range(2) for o in range(3)] + [f"b{o}" for o in range(3)]
+)
+NET_START = [
+    *np.ravel(NET_A).tolist(), 0.0, 0.0, *np.ravel(NET_V).tolist(), 0.0, 0.0, 0.0
+]
+NET_UNITS = ", ".join(f"tanh(a0{k} * x1 + a1{k} * x2 + c{k}) AS h{k}" for k in range(2))
+NET_EXPS = ", ".join(f"exp(v0{o} * h0 + v1{o} * h1 + b{o}) AS e{o}" for o in range(3))
+NET_ERRORS = ", ".join(
+    f"e{o} / (e0 + e1 + e2) - CAST(y3 = {o} AS INTEGER) AS r{o}" for o in range(3)
+)
+NET_BACK = ", ".join(
+    f"({' + '.join(f'r{o} * v{k}{o}' for o in range(3))}) * (1 - h{k} * h{k}) AS s{k}"
+    for k in range(2)
+)
+NET_STEP = ", ".join(
+    [f"a{i}{k} - 0.4 * avg(s{k} * x{i + 1})" for i in range(2) for k in range(2)]
+    + [f"c{k} - 0.4 * avg(s{k})" for k in range(2)]
+    + [f"v{k}{o} - 0.4 * avg(r{o} * h{k})" for k in range(2) for o in range(3)]
+    + [f"b{o} - 0.4 * avg(r{o})" for o in range(3)]
+)
+
+
+@query(
+    "f08_mlp_classifier_two_units",
+    f"""WITH RECURSIVE {OD}, gd(e, {', '.join(NET_NAMES)}) AS (
+      SELECT 0, {', '.join(f'{v!r}::DOUBLE' for v in NET_START)}
+      UNION ALL
+      SELECT e + 1, {NET_STEP} FROM (SELECT *, {NET_BACK} FROM (SELECT *, {NET_ERRORS} FROM (
+        SELECT *, {NET_EXPS} FROM (SELECT *, {NET_UNITS} FROM gd, od WHERE e < 4))))
+      GROUP BY e, {', '.join(NET_NAMES)})
+    SELECT e AS epoch, round(avg(-ln(CASE y3 WHEN 0 THEN e0 WHEN 1 THEN e1 ELSE e2 END
+           / (e0 + e1 + e2))), 8) AS train_loss
+    FROM (SELECT *, {NET_EXPS} FROM (SELECT *, {NET_UNITS} FROM gd, od WHERE e > 0)) GROUP BY e""",
+)
+def f08_units(spark, d):
+    spec = MLPClassifier(
+        hidden_layer_sizes=(2,), activation="tanh", optimizer="sgd", learning_rate=0.4,
+        max_iter=4, initializer="he", seed=5,
+    )
+    model = fit(spec, orders(spark, d), ["x1", "x2"], "y3")
+    return history(spark, model, "train_loss", digits=8)
+
+
 @query("f08_mlp_classifier")
 def f08(spark, d):
     spec = MLPClassifier(
@@ -368,6 +453,31 @@ def f08(spark, d):
     return history(spark, model, "train_loss", "val_loss", "learning_rate")
 
 
+@query(
+    "f09_local_descent_one_step",
+    f"""WITH RECURSIVE {OD}, gd(e, w1, w2, b) AS (
+      SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+      UNION ALL
+      SELECT e + 1, w1 - 0.6 * avg((p - y) * x1), w2 - 0.6 * avg((p - y) * x2),
+             b - 0.6 * avg(p - y)
+      FROM (SELECT e, w1, w2, b, y, x1, x2, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + b))) AS p
+            FROM gd, od WHERE e < 4) GROUP BY e, w1, w2, b)
+    SELECT e AS epoch, round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 8) AS train_loss,
+           round(sqrt(w1 * w1 + w2 * w2 + b * b), 8) AS param_norm
+    FROM (SELECT *, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + b))) AS p FROM gd, od WHERE e > 0)
+    GROUP BY e, w1, w2, b""",
+)
+def f09_one_step(spark, d):
+    # one step per shard: the row-weighted average of the shards is a full-batch step
+    rows = orders(spark, d)
+    spec = LogisticRegression(
+        learning_rate=0.6, max_iter=4, batch_strategy="stochastic", batch_size=10**9, shards=16,
+        start="zeros", tol=0.0, gradient_tol=0.0,
+    )
+    model = fit(spec, rows, ["x1", "x2"], "y", id_col="id")
+    return history(spark, model, "train_loss", "param_norm", digits=8)
+
+
 @query("f09_local_descent")
 def f09(spark, d):
     spec = LogisticRegression(

@@ -157,6 +157,37 @@ def r05(spark, d):
     )
 
 
+def _rule(i, k, a, b):
+    """Weights from a rule, so that SQL can state the same network."""
+    return ((i * a + k * b) % 11 - 5) / 20.0
+
+
+@query(
+    "r05_mlp_predict_matrix",
+    """WITH x AS (SELECT vec_id AS id, unnest(range(len(embedding))) AS j,
+         unnest(embedding)::DOUBLE AS v FROM embeddings),
+    h AS (SELECT id, k, greatest(sum(v * ((j * 7 + k * 3) % 11 - 5) / 20.0) + 0.1, 0) AS h
+          FROM x, (SELECT unnest(range(24)) AS k) GROUP BY id, k),
+    z AS (SELECT id, c, sum(h * ((k * 5 + c * 2) % 11 - 5) / 20.0) - 0.05 * c AS z
+          FROM h, (SELECT unnest(range(10)) AS c) GROUP BY id, c),
+    p AS (SELECT id, c, exp(z) / sum(exp(z)) OVER (PARTITION BY id) AS p FROM z)
+    SELECT id, CAST(arg_max(c, p) AS BIGINT) AS prediction, round(max(p), 8) AS p FROM p
+    GROUP BY id""",
+)
+def r05_matrix(spark, d):
+    params = {
+        "0.weights": np.array([[_rule(j, k, 7, 3) for k in range(24)] for j in range(64)]),
+        "0.bias": np.full(24, 0.1),
+        "1.weights": np.array([[_rule(k, c, 5, 2) for c in range(10)] for k in range(24)]),
+        "1.bias": np.array([-0.05 * c for c in range(10)]),
+    }
+    model = Model(
+        "mlp_classifier", "embedding", 64, params, list(range(10)), {"activation": "relu"}
+    )
+    scored = predict(embeddings(spark, d), model, proba="proba")
+    return scored.select("id", "prediction", rounded(F.array_max("proba"), 8).alias("p"))
+
+
 @query("r05_mlp_predict_wide")
 def r05_wide(spark, d):
     rows = embeddings(spark, d)
@@ -443,8 +474,15 @@ def x03_folds(spark, d):
 
 @query(
     "x03_grid_search_ties",
-    f"""WITH {OD} SELECT 0 AS candidate, '1' AS seed, true AS is_best
-        UNION ALL SELECT 1, '2', false UNION ALL SELECT 2, '3', false""",
+    f"""WITH folds AS ({FOLD.format(OD, shuffled(0), 'od', 3)}), {OD},
+    rows_ AS (SELECT * FROM od JOIN folds USING (id)),
+    m AS (SELECT k.fold, regr_slope(t, x2) AS w, regr_intercept(t, x2) AS b
+          FROM (SELECT unnest(range(3)) AS fold) k JOIN rows_ r ON r.fold <> k.fold GROUP BY k.fold),
+    s AS (SELECT r.fold, 1 - sum((t - w * x2 - b) ^ 2) / (var_pop(t) * count(*)) AS score
+          FROM rows_ r JOIN m ON m.fold = r.fold GROUP BY r.fold)
+    SELECT CAST(c.c AS INTEGER) AS candidate, (c.c + 1)::VARCHAR AS seed,
+           round((SELECT avg(score) FROM s), 8) AS mean_score, c.c = 0 AS is_best
+    FROM (SELECT unnest(range(3)) AS c) c""",
 )
 def x03_ties(spark, d):
     # the seed does not matter to a closed form, so all candidates tie and the first one wins
@@ -452,8 +490,40 @@ def x03_ties(spark, d):
         LinearRegression(), {"seed": [1, 2, 3]}, orders(spark, d), ["x2"], "t", "id", cv=3
     )
     return result.summary.select(
-        "candidate", F.element_at("params", F.lit("seed")).alias("seed"), "is_best"
+        "candidate", F.element_at("params", F.lit("seed")).alias("seed"),
+        rounded("mean_score", 8).alias("mean_score"), "is_best",
+    )
+
+
+@query(
+    "x03_grid_search_logistic_zero_start",
+    f"""WITH RECURSIVE {OD}, base AS (SELECT id, y AS label, x1, x2 FROM od),
+    {CLASS_FOLD.format(shuffled(5), 4)},
+    cand AS (SELECT * FROM (VALUES (0, 0.2, 0.0), (1, 0.2, 900.0), (2, 1.2, 0.0), (3, 1.2, 900.0))
+             AS c(c, lr, l2)),
+    gd(c, lr, l2, k, e, w1, w2, b) AS (
+      SELECT c, lr::DOUBLE, l2::DOUBLE, unnest(range(4)), 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+      FROM cand
+      UNION ALL
+      SELECT c, lr, l2, k, e + 1, w1 - lr * (avg((p - label) * x1) + l2 * w1 / count(*)),
+             w2 - lr * (avg((p - label) * x2) + l2 * w2 / count(*)), b - lr * avg(p - label)
+      FROM (SELECT gd.*, label, x1, x2, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + b))) AS p
+            FROM gd JOIN folded ON folded.fold <> gd.k WHERE e < 4)
+      GROUP BY c, lr, l2, k, e, w1, w2, b),
+    s AS (SELECT c, k, avg(CAST(label = CAST(1 / (1 + exp(-(w1 * x1 + w2 * x2 + b))) >= 0.37
+            AS INTEGER) AS DOUBLE)) AS score
+          FROM folded JOIN gd ON gd.k = folded.fold AND gd.e = 4 GROUP BY c, k),
+    means AS (SELECT c, avg(score) AS mean FROM s GROUP BY c)
+    SELECT c AS candidate, round(mean, 8) AS mean_score,
+           c = (SELECT c FROM means ORDER BY mean DESC, c LIMIT 1) AS is_best FROM means""",
+)
+def x03_logistic_zero(spark, d):
+    grid = {"learning_rate": [0.2, 1.2], "regularization_strength": [0.0, 900.0]}
+    result = grid_search(
+        cv_logistic_spec(), grid, orders(spark, d), ["x1", "x2"], "y", "id",
+        cv=4, stratified=True, seed=5,
     )
+    return round_columns(result.summary.drop("params"), ["mean_score"], 8)
 
 
 @query("x03_grid_search_logistic")
