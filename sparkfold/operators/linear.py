@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkfold.constants import GRAM_SQL_WIDTH
 from sparkfold.operators.network import unpack
-from sparkfold.operators.passes import Sums, TrainingTable, block_of, number
+from sparkfold.operators.passes import Sums, TrainingTable, block_of, few_tasks, number
 from sparkfold.operators.training import Run
 
 
@@ -116,7 +116,7 @@ def _gram_arrow(table, centre, keys) -> dict[tuple, Gram]:
             )
 
     sums = (
-        table.df.select(*names, *keep)
+        few_tasks(table.df.select(*names, *keep), table.n_rows)
         .mapInArrow(run, "fold int, mask long, pos int, value double")
         .groupBy("fold", "mask", "pos")
         .agg(F.sum("value").alias("value"))

@@ -270,7 +270,7 @@ def _curve_columns(kind: str, tp: Column, k: Column, p: Column, n: Column) -> di
     both = (p > 0) & (p < n)
     recall_ = _or_error(tp / p, both, BOTH_CLASSES)
     if kind == "roc":
-        return {"fpr": (k - tp) / (n - p), "tpr": recall_}
+        return {"fpr": _or_error((k - tp) / (n - p), both, BOTH_CLASSES), "tpr": recall_}
     return {"precision": tp / k, "recall": recall_}
 
 

@@ -245,6 +245,17 @@ def running_sums(
     For every entry of ``sums`` the result has ``<name>`` and ``<name>_total``.
     """
     keys = [*group, *buckets]
+    if n_buckets == 1 and not group:
+        # at most one bucket's worth of rows: a plain window needs no totals of other buckets
+        so_far = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = Window.orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing
+        )
+        return df.select(
+            "*",
+            *[F.sum(v).over(so_far).alias(k) for k, v in sums.items()],
+            *[F.sum(v).over(whole).alias(f"{k}_total") for k, v in sums.items()],
+        )
     totals = df.groupBy(*keys).agg(*[F.sum(v).alias(f"_t_{k}") for k, v in sums.items()])
     everything = Window.partitionBy(*group)
     earlier = everything.orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)

@@ -106,8 +106,7 @@ def sum_arrays(df: DataFrame, task, length: int) -> np.ndarray:
     driver receives one vector whatever the number of tasks.
     """
     rows = (
-        few_tasks(df)
-        .mapInArrow(task, "pos int, value double")
+        df.mapInArrow(task, "pos int, value double")
         .groupBy("pos")
         .agg(F.sum("value").alias("value"))
         .collect()
@@ -118,9 +117,11 @@ def sum_arrays(df: DataFrame, task, length: int) -> np.ndarray:
     return total
 
 
-def few_tasks(df: DataFrame) -> DataFrame:
+def few_tasks(df: DataFrame, n_rows: int) -> DataFrame:
     """Let a task take several partitions once there are far more of them than the session shuffles
     into: every task sends one vector, so fewer tasks mean fewer vectors to add up."""
+    if n_rows <= SMALL_TABLE:
+        return df
     spark = df.sparkSession
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.coalesce(max(10 * shuffled, 4 * spark.sparkContext.defaultParallelism))
@@ -153,7 +154,8 @@ def arrow_pass(
     keep = [c for c in BLOCK_COLUMNS if table.has(c) and (c != "_key" or _drops(nets))]
     length = sum(4 + net.size for net in nets)
     task = gradient_task(nets, thetas, names, table.width, epoch)
-    total = sum_arrays(rows.select(*names, *keep), task, length)
+    source = few_tasks(rows.select(*names, *keep), table.n_rows)
+    total = sum_arrays(source, task, length)
     result, at = [], 0
     for net in nets:
         head, body = total[at : at + 4], total[at + 4 : at + 4 + net.size]

@@ -11,7 +11,7 @@ def rows_cls(spark, points, labels):
 
 
 def rows_reg(spark, points, targets, weights=None):
-    weights = weights or [1.0] * len(points)
+    weights = [1.0] * len(points) if weights is None else weights
     rows = [
         (i, [float(v) for v in p], float(y), float(w))
         for i, (p, y, w) in enumerate(zip(points, targets, weights))
