@@ -11,7 +11,13 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.constants import LOGIT_CLIP, PROBABILITY_EPS, SQL_PARAMETERS, SQL_WIDTH
+from sparkfold.constants import (
+    LOGIT_CLIP,
+    PROBABILITY_EPS,
+    SQL_PARAMETERS,
+    SQL_UNITS,
+    SQL_WIDTH,
+)
 from sparkfold.operators.network import Net, batch_sums, unpack
 
 ROWS_PER_TASK = 25_000  # a small table is spread over the cores down to this many rows per task
@@ -169,12 +175,15 @@ def _drops(nets) -> bool:
 
 
 def fits_sql(table: TrainingTable, nets: list[Net]) -> bool:
-    """One small model without hidden layers over separate columns."""
-    if len(nets) != 1 or table.wide:
+    """A few small models without hidden layers over separate columns."""
+    plain = all(
+        len(net.shapes) == 1 and net.class_map is None and net.family != "softmax_net"
+        for net in nets
+    )
+    if table.wide or not plain:
         return False
-    net = nets[0]
-    plain = len(net.shapes) == 1 and net.class_map is None
-    return plain and net.family != "softmax_net" and net.size <= SQL_PARAMETERS
+    units = sum(net.shapes[0][1] for net in nets)
+    return units <= SQL_UNITS and sum(net.size for net in nets) <= SQL_PARAMETERS
 
 
 def number(value: float) -> str:
@@ -187,59 +196,77 @@ def _case(column: str, values: Sequence[str], default: str) -> str:
     return f"CASE {column} {branches} ELSE {default} END"
 
 
-def sql_pass(table: TrainingTable, rows: DataFrame, net: Net, theta: np.ndarray) -> Sums:
-    """One model as plain aggregates: scan, score and sum in one compiled stage.
+def sql_pass(table: TrainingTable, rows: DataFrame, nets: list[Net], thetas) -> list[Sums]:
+    """All models as plain aggregates: scan, score and sum in one compiled stage.
 
     The expressions are written as SQL text, which reaches the optimizer in a few calls; building
     them column by column would cost more than a pass over a small table.
     """
+    stages: list[list[str]] = [[], [], [], [], []]
+    sums: list[str] = []
+    for m, (net, theta) in enumerate(zip(nets, thetas, strict=True)):
+        for stage, texts in zip(stages, _model_text(table, net, theta, m), strict=True):
+            stage += texts
+        units = range(net.shapes[0][1])
+        train, loss, watch = f"_train{m}", f"_loss{m}", f"_watch{m}"
+        sums += [f"{loss} * {train}", train, f"{loss} * {watch}", watch]
+        sums += [f"{name} * _r{m}_{k} * {train}" for name in table.x_columns for k in units]
+        sums += [f"_r{m}_{k} * {train}" for k in units]
+    scored = rows
+    for stage in stages:
+        if stage:
+            scored = scored.selectExpr("*", *stage)
+    row, = scored.selectExpr(*[f"sum({s}) AS s{i}" for i, s in enumerate(sums)]).collect()
+    values = np.array([0.0 if v is None else v for v in row], dtype=float)
+    result, at = [], 0
+    for net in nets:
+        result.append(Sums(*values[at : at + 4], gradient=values[at + 4 : at + 4 + net.size]))
+        at += 4 + net.size
+    return result
+
+
+def _model_text(table: TrainingTable, net: Net, theta: np.ndarray, m: int) -> list[list[str]]:
+    """Columns of model ``m``: logits, shift, exponentials, total, then loss, errors and weights."""
     (weights, bias), = unpack(theta, net.shapes)
-    names, outputs = table.x_columns, len(bias)
+    names, units = table.x_columns, range(len(bias))
     logits = [
         " + ".join([f"{n} * {number(w)}" for n, w in zip(names, weights[:, k], strict=True)])
-        + f" + {number(bias[k])}"
-        for k in range(outputs)
+        + f" + {number(bias[k])} AS _z{m}_{k}"
+        for k in units
     ]
-    scored = rows.selectExpr("*", *[f"{z} AS _z{k}" for k, z in enumerate(logits)])
     low, high = number(PROBABILITY_EPS), number(1.0 - PROBABILITY_EPS)
+    shift, exps, total = [], [], []
     if net.family == "softmax":
-        top = "greatest(" + ", ".join(f"_z{k}" for k in range(outputs)) + ")"
-        scored = scored.selectExpr("*", f"{top} AS _top")
-        scored = scored.selectExpr("*", *[f"exp(_z{k} - _top) AS _e{k}" for k in range(outputs)])
-        total = " + ".join(f"_e{k}" for k in range(outputs))
-        scored = scored.selectExpr("*", f"{total} AS _sum")
-        own = _case("_y", [f"_e{k} / _sum" for k in range(outputs)], "0.0D")
+        top = ", ".join(f"_z{m}_{k}" for k in units)
+        shift = [f"greatest({top}) AS _top{m}"]
+        exps = [f"exp(_z{m}_{k} - _top{m}) AS _e{m}_{k}" for k in units]
+        total = [" + ".join(f"_e{m}_{k}" for k in units) + f" AS _sum{m}"]
+        own = _case("_y", [f"_e{m}_{k} / _sum{m}" for k in units], "0.0D")
         loss = f"-ln(greatest(least({own}, {high}), {low}))"
-        errors = [f"_e{k} / _sum - double(_y = {k})" for k in range(outputs)]
+        errors = [f"_e{m}_{k} / _sum{m} - double(_y = {k})" for k in units]
     elif net.family == "logistic":
-        clipped = f"greatest(least(_z0, {number(LOGIT_CLIP)}), {number(-LOGIT_CLIP)})"
-        scored = scored.selectExpr("*", f"1.0D / (1.0D + exp(-{clipped})) AS _p")
-        safe = f"greatest(least(_p, {high}), {low})"
+        clipped = f"greatest(least(_z{m}_0, {number(LOGIT_CLIP)}), {number(-LOGIT_CLIP)})"
+        exps = [f"1.0D / (1.0D + exp(-{clipped})) AS _p{m}"]
+        safe = f"greatest(least(_p{m}, {high}), {low})"
         loss = f"-ln(CASE WHEN _y = 1 THEN {safe} ELSE 1.0D - {safe} END)"
-        errors = ["_p - _y"]
+        errors = [f"_p{m} - _y"]
     else:
         half = 0.5 if net.family == "linear" else 1.0
-        loss = f"(_z0 - _y) * (_z0 - _y) * {number(half)}"
-        errors = [f"(_z0 - _y) * {number(2.0 * half)}"]
+        loss = f"(_z{m}_0 - _y) * (_z{m}_0 - _y) * {number(half)}"
+        errors = [f"(_z{m}_0 - _y) * {number(2.0 * half)}"]
     weight = "_w" if table.has("_w") else "1.0D"
     if net.class_weight is not None:
         by_class = _case("_y", [number(v) for v in net.class_weight], "0.0D")
         weight = f"{weight} * {by_class}"
     usable = "true" if net.fold < 0 else f"_fold <> {net.fold}"
     held = "false" if net.bit < 0 else f"shiftright(_vmask, {net.bit}) & 1 = 1"
-    scored = scored.selectExpr(
-        "*",
-        f"{loss} AS _loss",
-        f"CASE WHEN {usable} AND NOT ({held}) THEN {weight} ELSE 0.0D END AS _train",
-        f"CASE WHEN {usable} AND ({held}) THEN {weight} ELSE 0.0D END AS _watch",
-        *[f"{error} AS _r{k}" for k, error in enumerate(errors)],
-    )
-    sums = ["_loss * _train", "_train", "_loss * _watch", "_watch"]
-    sums += [f"{name} * _r{k} * _train" for name in names for k in range(outputs)]
-    sums += [f"_r{k} * _train" for k in range(outputs)]
-    row, = scored.selectExpr(*[f"sum({s}) AS s{i}" for i, s in enumerate(sums)]).collect()
-    values = np.array([0.0 if v is None else v for v in row], dtype=float)
-    return Sums(*values[:4], gradient=values[4:])
+    last = [
+        f"{loss} AS _loss{m}",
+        f"CASE WHEN {usable} AND NOT ({held}) THEN {weight} ELSE 0.0D END AS _train{m}",
+        f"CASE WHEN {usable} AND ({held}) THEN {weight} ELSE 0.0D END AS _watch{m}",
+        *[f"{error} AS _r{m}_{k}" for k, error in enumerate(errors)],
+    ]
+    return [logits, shift, exps, total, last]
 
 
 def evaluate(
@@ -248,5 +275,5 @@ def evaluate(
     """Losses and gradients of all models at their parameters, in one job."""
     source = table.df if rows is None else rows
     if fits_sql(table, nets):
-        return [sql_pass(table, source, nets[0], thetas[0])]
+        return sql_pass(table, source, nets, thetas)
     return arrow_pass(table, source, nets, thetas, epoch)

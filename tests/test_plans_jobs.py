@@ -29,7 +29,7 @@ def eight(spark):
 
 def test_grid_search_finds_the_better_rate(spark):
     result = search.grid_search(
-        LogisticRegression(max_iter=30), {"learning_rate": [0.01, 0.3]}, eight(spark),
+        LogisticRegression(max_iter=12), {"learning_rate": [0.01, 0.3]}, eight(spark),
         "features", "label", "id", cv=4, stratified=True, seed=3,
     )
     assert result.best_params == {"learning_rate": 0.3} and result.best_score >= 0.75
@@ -49,7 +49,7 @@ def test_stacked_folds_equal_separate_fits(spark):
             spec, df, "features", "label", "id", cv=3, seed=7
         ).collect()
     }
-    for fold in range(3):
+    for fold in range(2):
         train, test = (folded.filter(F.col("_cv_fold") == fold if own else
                                      F.col("_cv_fold") != fold) for own in (False, True))
         model = fit(spec, train, "features", "label", id_col="id")
@@ -58,12 +58,12 @@ def test_stacked_folds_equal_separate_fits(spark):
 
 
 def test_a_fold_may_miss_a_class(spark):
-    df = rows_cls(spark, [[v] for v in range(9)], [0] * 4 + [1] * 4 + [2])
+    df = rows_cls(spark, [[v] for v in range(5)], [0] * 2 + [1] * 2 + [2])
     scores = search.cross_val_score(
-        LogisticRegression(learning_rate=0.3, max_iter=5), df, "features", "label", "id",
-        cv=9, seed=1,
+        LogisticRegression(learning_rate=0.3, max_iter=4), df, "features", "label", "id",
+        cv=5, seed=1,
     )
-    assert scores.count() == 9
+    assert scores.count() == 5
 
 
 def test_regression_search_with_a_callable(spark):
@@ -167,7 +167,7 @@ def test_train_then_evaluate(spark):
     raw = blobs(spark)
     table = tables.ingest(raw, ["x1", "x2"], "label", "id", scratch_path(spark, "test-data"))
     spec = LogisticRegression(
-        learning_rate=0.2, max_iter=60, regularization_strength=0.01, seed=7
+        learning_rate=0.2, max_iter=25, regularization_strength=0.01, seed=7
     )
     outcome = jobs.train_job(
         table, ["x1", "x2"], "label", "id", path, spec=spec,

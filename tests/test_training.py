@@ -170,16 +170,15 @@ def test_sql_pass_equals_arrow_pass(spark, family, shapes):
     )
     table = passes.TrainingTable(df, 2, False, 80)
     weight = None if family == "linear" else np.linspace(0.5, 1.5, classes)
-    net = Net(family, shapes, fold=1, bit=1, class_weight=weight)
-    theta = rng.normal(size=net.size)
-    by_sql = passes.sql_pass(table, df, net, theta)
-    by_arrow, = passes.arrow_pass(table, df, [net], [theta], 0)
-    assert passes.fits_sql(table, [net])
-    assert np.allclose(
-        [by_sql.train_loss, by_sql.train_weight, by_sql.watch_loss, by_sql.watch_weight],
-        [by_arrow.train_loss, by_arrow.train_weight, by_arrow.watch_loss, by_arrow.watch_weight],
+    nets = [Net(family, shapes, fold=1, bit=1, class_weight=weight), Net(family, shapes, fold=2)]
+    thetas = [rng.normal(size=net.size) for net in nets]
+    assert passes.fits_sql(table, nets)
+    pairs = zip(
+        passes.sql_pass(table, df, nets, thetas), passes.arrow_pass(table, df, nets, thetas, 0)
     )
-    assert np.allclose(by_sql.gradient, by_arrow.gradient)
+    for by_sql, by_arrow in pairs:
+        for name in ("train_loss", "train_weight", "watch_loss", "watch_weight", "gradient"):
+            assert np.allclose(getattr(by_sql, name), getattr(by_arrow, name))
 
 
 def test_pack_and_unpack():
@@ -299,7 +298,7 @@ def test_logistic_iterates(spark):
 
 def test_and_gate(spark):
     df = rows_cls(spark, [(0, 0), (0, 1), (1, 0), (1, 1)], [0, 0, 0, 1])
-    model = fit(LogisticRegression(learning_rate=1.0, max_iter=60), df, FEATURES, "label")
+    model = fit(LogisticRegression(learning_rate=1.0, max_iter=12), df, FEATURES, "label")
     proba = [r["probability"] for r in predict_proba(df, model).collect()]
     assert all(len(p) == 2 and sum(p) == pytest.approx(1.0) for p in proba)
     assert model.n_iter == len(model.history_rows) and model.history(spark).count() == model.n_iter
@@ -308,7 +307,7 @@ def test_and_gate(spark):
 def test_three_clusters(spark):
     points = [(-2, -2), (-1.5, -2), (2, -2), (2.5, -1.5), (0, 2), (0.5, 2.5)]
     df = rows_cls(spark, points, [0, 0, 1, 1, 2, 2])
-    model = fit(LogisticRegression(learning_rate=0.5, max_iter=40), df, FEATURES, "label")
+    model = fit(LogisticRegression(learning_rate=0.5, max_iter=20), df, FEATURES, "label")
     assert model.kind == "softmax" and predicted(df, model) == [0, 0, 1, 1, 2, 2]
 
 
@@ -325,7 +324,7 @@ def test_class_weight_raises_the_rare_class(spark):
     p = [
         predict_proba(
             at_two,
-            fit(LogisticRegression(learning_rate=0.2, max_iter=25, class_weight=w),
+            fit(LogisticRegression(learning_rate=0.5, max_iter=8, class_weight=w),
                 df, FEATURES, "label"),
         ).first()["probability"][1]
         for w in (None, {0: 1.0, 1: 20.0})
@@ -428,7 +427,7 @@ def test_local_descent_walks_through_the_shards(spark):
 def test_xor(spark):
     df = rows_cls(spark, [(0, 0), (0, 1), (1, 0), (1, 1)], [0, 1, 1, 0])
     spec = MLPClassifier(
-        hidden_layer_sizes=(8,), activation="tanh", learning_rate=0.1, max_iter=120, seed=0
+        hidden_layer_sizes=(8,), activation="tanh", learning_rate=0.2, max_iter=50, seed=0
     )
     assert predicted(df, fit(spec, df, FEATURES, "label")) == [0, 1, 1, 0]
 
@@ -437,7 +436,7 @@ def test_parabola(spark):
     x = np.linspace(-1, 1, 30)
     df = rows_reg(spark, [[v] for v in x], x**2)
     spec = MLPRegressor(
-        hidden_layer_sizes=(12,), activation="tanh", learning_rate=0.05, max_iter=120, seed=1
+        hidden_layer_sizes=(12,), activation="tanh", learning_rate=0.1, max_iter=50, seed=1
     )
     model = fit(spec, df, FEATURES, "label")
     assert np.mean((np.array(predicted(df, model)) - x**2) ** 2) < 0.4 * np.var(x**2)
