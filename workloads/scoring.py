@@ -526,14 +526,50 @@ def x03_logistic_zero(spark, d):
     return round_columns(result.summary.drop("params"), ["mean_score"], 8)
 
 
-@query("x03_grid_search_logistic")
+SOFT_NAMES = [f"w{i}{k}" for i in range(2) for k in range(3)] + [f"b{k}" for k in range(3)]
+SOFT_START = [*np.random.default_rng(0).normal(0.0, 0.01, (2, 3)).ravel().tolist(), 0.0, 0.0, 0.0]
+SOFT_EXPS = ", ".join(f"exp(w0{k} * x1 + w1{k} * x2 + b{k}) AS e{k}" for k in range(3))
+SOFT_ERRORS = ", ".join(
+    f"e{k} / (e0 + e1 + e2) - CAST(label = {k} AS INTEGER) AS r{k}" for k in range(3)
+)
+SOFT_MOVE = ", ".join(
+    [f"w{i}{k} - lr * (avg(r{k} * x{i + 1}) + l2 * w{i}{k} / count(*))"
+     for i in range(2) for k in range(3)]
+    + [f"b{k} - lr * avg(r{k})" for k in range(3)]
+)
+
+
+@query(
+    "x03_grid_search_logistic",
+    f"""WITH RECURSIVE {OD}, base AS (SELECT id, y3 AS label, x1, x2 FROM od),
+    {CLASS_FOLD.format(shuffled(2), 3)},
+    cand AS (SELECT * FROM (VALUES (0, 0.05, 0.0), (1, 0.05, 50.0), (2, 0.5, 0.0), (3, 0.5, 50.0))
+             AS c(c, lr, l2)),
+    gd(c, lr, l2, k, e, {', '.join(SOFT_NAMES)}) AS (
+      SELECT c, lr::DOUBLE, l2::DOUBLE, unnest(range(3)), 0,
+             {', '.join(f'{v!r}::DOUBLE' for v in SOFT_START)} FROM cand
+      UNION ALL
+      SELECT c, lr, l2, k, e + 1, {SOFT_MOVE} FROM (SELECT *, {SOFT_ERRORS} FROM (
+        SELECT gd.*, label, x1, x2, {SOFT_EXPS} FROM gd JOIN folded ON folded.fold <> gd.k
+        WHERE e < 8)) GROUP BY c, lr, l2, k, e, {', '.join(SOFT_NAMES)})
+    SELECT c AS candidate, CAST(fold AS INTEGER) AS fold,
+           lr::VARCHAR AS learning_rate, l2::VARCHAR AS strength,
+           round(avg(CAST(label = CASE WHEN e0 >= e1 AND e0 >= e2 THEN 0 WHEN e1 >= e2 THEN 1
+                 ELSE 2 END AS DOUBLE)), 6) AS score
+    FROM (SELECT c, lr, l2, fold, label, {SOFT_EXPS} FROM folded JOIN gd
+          ON gd.k = folded.fold AND gd.e = 8) GROUP BY c, lr, l2, fold""",
+)
 def x03_logistic(spark, d):
     grid = {"learning_rate": [0.05, 0.5], "regularization_strength": [0.0, 50.0]}
     result = grid_search(
         LogisticRegression(max_iter=8), grid, orders(spark, d), ["x1", "x2"], "y3", "id",
         cv=3, stratified=True, seed=2,
     )
-    return result.scores.select("candidate", "params", "fold", rounded("score").alias("score"))
+    return result.scores.select(
+        "candidate", "fold", F.element_at("params", F.lit("learning_rate")).alias("learning_rate"),
+        F.element_at("params", F.lit("regularization_strength")).alias("strength"),
+        rounded("score").alias("score"),
+    )
 
 
 DRAWN = " UNION ALL ".join(
@@ -577,8 +613,8 @@ c AS (SELECT count(*) FILTER (y = 1 AND yhat = 1) AS tp, count(*) FILTER (y = 0
   count(*) FILTER (y = 1 AND yhat = 0) AS fn, count(*) FILTER (y = 0 AND yhat = 0) AS tn,
   avg(-ln(CASE y WHEN 1 THEN p ELSE 1 - p END)) AS log_loss, count(*) AS n FROM scored)
 SELECT round((tp + tn) / n, 9) AS accuracy,
-  round((CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END + tn / (tn + fn)) / 2, 9)
-    AS precision_macro,
+  round((CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END
+    + CASE WHEN tn + fn = 0 THEN 0 ELSE tn / (tn + fn) END) / 2, 9) AS precision_macro,
   round((tp / (tp + fn) + tn / (tn + fp)) / 2, 9) AS recall_macro,
   round((2 * tp / (2 * tp + fp + fn) + 2 * tn / (2 * tn + fn + fp)) / 2, 9) AS f1_macro,
   round((SELECT sum((1 - y) * tp) / (max(pos) * max(neg)) FROM ranked, t), 9) AS roc_auc,
@@ -594,7 +630,40 @@ def report_rows(report):
     return round_columns(report.drop("confusion_matrix", "labels"), REPORT_COLUMNS, 9)
 
 
-@query("j01_train_job")
+# Split, descent on the training rows that are not held out, and the report on the test rows.
+JOB = f"""WITH RECURSIVE {OD}, split AS ({SPLIT_SQL}),
+ranked_parts AS (SELECT split.*, x1, x2, row_number() OVER (PARTITION BY is_test
+    ORDER BY {shuffled('{seed}:holdout')}) AS place, count(*) OVER (PARTITION BY is_test) AS size
+  FROM split JOIN od USING (id)),
+parts AS (SELECT *, place <= least(greatest(1, ceil(size * {{held}})), size - 1)
+  AND {{held}} > 0 AS held FROM ranked_parts),
+gd(e, w1, w2, b) AS (
+  SELECT 0, {{w1}}::DOUBLE, {{w2}}::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT e + 1, w1 - 0.5 * (avg((p - label) * x1) + {{l2}} * w1 / count(*)),
+         w2 - 0.5 * (avg((p - label) * x2) + {{l2}} * w2 / count(*)), b - 0.5 * avg(p - label)
+  FROM (SELECT e, w1, w2, b, label, x1, x2, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + b))) AS p
+        FROM gd, parts WHERE NOT is_test AND NOT held AND e < {{epochs}})
+  GROUP BY e, w1, w2, b),
+final AS (SELECT w1, w2, b FROM gd WHERE e = {{epochs}}),
+test AS (SELECT id, label, w1 * x1 + w2 * x2 + b AS z FROM parts, final WHERE is_test),
+train AS (SELECT count(*) AS n_train, avg(CAST(label = CAST(1 / (1 + exp(-(w1 * x1 + w2 * x2
+  + b))) >= {{cut}} AS INTEGER) AS DOUBLE)) AS acc FROM parts, final WHERE NOT is_test),
+{REPORT.format(p='(1 / (1 + exp(-z)))', cut='{cut}')}"""
+TRAINED = """, round((tp + tn) / n, 9) AS test_accuracy, round(acc, 9) AS train_accuracy,
+n_train AS n_train_samples FROM c, train"""
+
+
+def job_sql(tail: str, *, epochs: int, cut: float, seed: int | None, held=0.0, l2=0.0) -> str:
+    """``seed`` draws the starting weights; without one they are zero."""
+    start = np.zeros(2) if seed is None else np.random.default_rng(seed).normal(0.0, 0.01, 2)
+    return JOB.format(
+        epochs=epochs, cut=cut, held=held, l2=l2, seed=seed or 0, w1=float(start[0]),
+        w2=float(start[1]),
+    ) + tail
+
+
+@query("j01_train_job", job_sql(TRAINED, epochs=12, cut=0.4, seed=42, held=0.2, l2=0.01))
 def j01(spark, d):
     spec = LogisticRegression(
         learning_rate=0.5, max_iter=12, regularization_strength=0.01, early_stopping=True,
@@ -604,16 +673,8 @@ def j01(spark, d):
         orders(spark, d), ["x1", "x2"], "y", "id", scratch_path(spark, "registry"), spec=spec,
         meta={"model_name": "orders-status", "version": "1"},
     )
-    return report_rows(outcome.report)
-
-
-JOB_DESCENT = f"""gd(e, w1, w2, b) AS (
-  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
-  UNION ALL
-  SELECT e + 1, w1 - 0.5 * avg((p - label) * x1), w2 - 0.5 * avg((p - label) * x2),
-         b - 0.5 * avg(p - label)
-  FROM (SELECT e, w1, w2, b, label, x1, x2, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + b))) AS p
-        FROM gd, parts WHERE NOT is_test AND e < 20) GROUP BY e, w1, w2, b)"""
+    report = report_rows(outcome.report)
+    return round_columns(report, ["train_accuracy", "test_accuracy"], 9)
 
 
 def flagship(spark, d):
@@ -631,18 +692,7 @@ def flagship(spark, d):
     )
 
 
-query(
-    "j01_train_job_zero_start",
-    f"""WITH RECURSIVE {OD}, split AS ({SPLIT_SQL}),
-    parts AS (SELECT split.*, x1, x2 FROM split JOIN od USING (id)), {JOB_DESCENT},
-    final AS (SELECT w1, w2, b FROM gd WHERE e = 20),
-    test AS (SELECT id, label, w1 * x1 + w2 * x2 + b AS z FROM parts, final WHERE is_test),
-    train AS (SELECT count(*) AS n_train, avg(CAST(label = CAST(1 / (1 + exp(-(w1 * x1 + w2 * x2
-      + b))) >= 0.33 AS INTEGER) AS DOUBLE)) AS acc FROM parts, final WHERE NOT is_test),
-    {REPORT.format(p='(1 / (1 + exp(-z)))', cut=0.33)},
-    round((tp + tn) / n, 9) AS test_accuracy, round(acc, 9) AS train_accuracy,
-    n_train AS n_train_samples FROM c, train""",
-)(flagship)
+query("j01_train_job_zero_start", job_sql(TRAINED, epochs=20, cut=0.33, seed=None))(flagship)
 
 
 @query(
@@ -660,13 +710,16 @@ def j02(spark, d):
     return report_rows(report)
 
 
-@query("j02_evaluate_after_training")
+@query(
+    "j02_evaluate_after_training",
+    job_sql(", '2' AS model_version FROM c", epochs=5, cut=0.33, seed=0),
+)
 def j02_round_trip(spark, d):
     path = scratch_path(spark, "registry")
     rows = orders(spark, d)
     train_job(
         rows, ["x1", "x2"], "y", "id", path,
-        spec=LogisticRegression(learning_rate=0.5, max_iter=5, threshold=0.33),
+        spec=LogisticRegression(learning_rate=0.5, max_iter=5, threshold=0.33, seed=0),
         meta={"model_name": "orders-status", "version": "2"},
     )
     return report_rows(evaluate_job(rows, "y", "id", path, "orders-status", "2"))
