@@ -30,7 +30,8 @@ from sparkfold.constants import (
 )
 from sparkfold.operators.checks import is_number
 
-HASH_BITS = 60
+PREFIX = 3  # hex digits by which a search pass over md5 keys narrows the range
+LONGEST_PREFIX = 30
 
 
 def shuffle_key(seed: int | str, id_col: str) -> Column:
@@ -38,24 +39,53 @@ def shuffle_key(seed: int | str, id_col: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")).cast("binary"))
 
 
-def hash_number(key: Column) -> Column:
-    """The first 60 bits of an md5 key; uniform and in the order of the key."""
-    return F.conv(F.substring(key, 1, HASH_BITS // 4), 16, 10).cast("long")
+class HashBins:
+    """Intervals of uniform md5 keys: their leading hex digits."""
+
+    kind = "string"
+
+    def column(self, key: Column, depth: int) -> Column:
+        return F.substring(key, 1, PREFIX * (depth + 1))
+
+    def coarser(self, bin_: str, depth: int) -> str:
+        return bin_[: PREFIX * depth]
+
+    def finest(self, depth: int) -> bool:
+        return PREFIX * (depth + 1) >= LONGEST_PREFIX
 
 
 @dataclass(frozen=True)
-class RowOrder:
-    """A total order of rows: ``number`` is a coarse long image of the leading column."""
+class NumberBins:
+    """Intervals of numbers between ``low`` and ``low + 2**bits``: their leading bits."""
 
-    columns: tuple[Column, ...]
-    number: Column
     low: int
     bits: int
+    kind = "long"
+
+    def _shift(self, depth: int) -> int:
+        return max(self.bits - HISTOGRAM_BITS * (depth + 1), 0)
+
+    def column(self, key: Column, depth: int) -> Column:
+        offset = F.floor(key).cast("long") - F.lit(self.low)
+        return F.shiftright(offset, self._shift(depth))
+
+    def coarser(self, bin_: int, depth: int) -> int:
+        return bin_ >> (self._shift(depth - 1) - self._shift(depth))
+
+    def finest(self, depth: int) -> bool:
+        return self._shift(depth) == 0
+
+
+@dataclass(frozen=True)
+class RowOrder:
+    """A total order of rows, and ever finer ordered intervals of its first column."""
+
+    columns: tuple[Column, ...]
+    bins: HashBins | NumberBins
 
 
 def shuffled_order(seed: int | str, id_col: str) -> RowOrder:
-    key = shuffle_key(seed, id_col)
-    return RowOrder((key, F.col(id_col)), hash_number(key), 0, HASH_BITS)
+    return RowOrder((shuffle_key(seed, id_col), F.col(id_col)), HashBins())
 
 
 def id_order(df: DataFrame, id_col: str) -> RowOrder:
@@ -66,7 +96,7 @@ def id_order(df: DataFrame, id_col: str) -> RowOrder:
     low, high = df.agg(F.min(number), F.max(number)).first()
     if low is None:
         raise ValueError("X must contain at least one sample.")
-    return RowOrder((F.col(id_col),), number, low, max(int(high - low).bit_length(), 1))
+    return RowOrder((F.col(id_col),), NumberBins(low, max(int(high - low).bit_length(), 1)))
 
 
 def row_order(df: DataFrame, id_col: str, shuffle: bool, seed: int | str) -> RowOrder:
@@ -98,66 +128,57 @@ def order_statistics(
     the counts and ``{(group, rank): key}``. Each pass counts rows per key interval and keeps the
     intervals that hold a target; once those are small, they alone are sorted.
     """
-    spark = df.sparkSession
+    spark, bins = df.sparkSession, order.bins
     keys = [f"_k{i}" for i in range(len(order.columns))]
     rows = df.select(
         (F.lit(0) if group is None else group).alias("_g"),
-        (order.number - F.lit(order.low)).alias("_n"),
         *[c.alias(name) for c, name in zip(order.columns, keys, strict=True)],
     )
-    group_type = rows.schema["_g"].dataType.simpleString()
-    shift = max(order.bits - HISTOGRAM_BITS, 0)
-    scope = rows.select("_g", "_n")
+    places = f"_g {rows.schema['_g'].dataType.simpleString()}, _b {bins.kind}"
+
+    def narrowed(depth: int, kept) -> DataFrame:
+        """Rows inside the kept (group, interval) pairs; there is one pair per target at most."""
+        table = spark.createDataFrame(list(kept), places)
+        inside = rows.withColumn("_b", bins.column(F.col("_k0"), depth))
+        return inside.join(F.broadcast(table), ["_g", "_b"], "left_semi")
+
+    depth, scope, kept = 0, rows, {}
     counts: dict = {}
-    wanted: list[tuple] = []  # (group, rank, rank left inside the interval)
-    active: dict = {}
+    wanted: list[tuple] = []  # (group, rank, rank left inside the interval, interval)
     while True:
-        bins = scope.groupBy("_g", F.shiftright("_n", shift).alias("_b")).count().collect()
+        interval = bins.column(F.col("_k0"), depth).alias("_b")
         table: dict = {}
-        for g, b, n in bins:
+        for g, b, n in scope.groupBy("_g", interval).count().collect():
             table.setdefault(g, []).append((b, n))
-        if not counts:
-            counts = {g: sum(n for _, n in rows_) for g, rows_ in table.items()}
+        if depth == 0:
+            counts = {g: sum(n for _, n in found) for g, found in table.items()}
             ranks = targets(dict(sorted(counts.items())))
-            wanted = [(g, r, r, None) for g, rs in ranks.items() for r in rs]
+            wanted = [(g, r, r, None) for g, some in ranks.items() for r in some]
             if any(not 0 <= r < counts.get(g, 0) for g, r, _, _ in wanted):
                 raise ValueError("a wanted rank lies outside its group.")
-        located = []
-        sizes = {}
+        located, kept = [], {}
         for g, rank, left, parent in wanted:
-            inside = sorted(table[g])
-            if parent is not None:
-                old_bin, old_shift = parent
-                inside = [(b, n) for b, n in inside if b >> (old_shift - shift) == old_bin]
-            for b, n in inside:
+            for b, n in sorted(table[g]):
+                if parent is not None and bins.coarser(b, depth) != parent:
+                    continue
                 if left < n:
                     break
                 left -= n
-            located.append((g, rank, left, (b, shift)))
-            sizes[(g, b)] = n
+            located.append((g, rank, left, b))
+            kept[(g, b)] = n
         wanted = located
-        active = sizes
-        if not wanted or shift == 0 or max(active.values()) <= leaf_rows:
+        if not wanted:
+            return counts, {}
+        if bins.finest(depth) or max(kept.values()) <= leaf_rows:
             break
-        narrowed = spark.createDataFrame(list(active), f"_g {group_type}, _b long")
-        scope = (
-            rows.select("_g", "_n")
-            .withColumn("_b", F.shiftright("_n", shift))
-            .join(F.broadcast(narrowed), ["_g", "_b"], "left_semi")
-            .select("_g", "_n")
-        )
-        shift = max(shift - HISTOGRAM_BITS, 0)
-    if not wanted:
-        return counts, {}
+        scope = narrowed(depth, kept)
+        depth += 1
     goal = spark.createDataFrame(
-        [(g, b, left + 1, rank) for g, rank, left, (b, _) in wanted],
-        f"_g {group_type}, _b long, _rn int, _rank long",
+        [(g, b, left + 1, rank) for g, rank, left, b in wanted],
+        f"{places}, _rn int, _rank long",
     )
-    places = spark.createDataFrame(list(active), f"_g {group_type}, _b long")
-    numbered = (
-        rows.withColumn("_b", F.shiftright("_n", shift))
-        .join(F.broadcast(places), ["_g", "_b"], "left_semi")
-        .withColumn("_rn", F.row_number().over(Window.partitionBy("_g", "_b").orderBy(*keys)))
+    numbered = narrowed(depth, kept).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("_g", "_b").orderBy(*keys))
     )
     found = numbered.join(F.broadcast(goal), ["_g", "_b", "_rn"]).select("_g", "_rank", *keys)
     return counts, {(r[0], r[1]): tuple(r[2:]) for r in found.collect()}
@@ -167,10 +188,15 @@ def bucket_count(n_rows: int, bucket_rows: int) -> int:
     return max(1, min(MAX_BUCKETS, -(-n_rows // bucket_rows)))
 
 
-def hash_buckets(number: Column, n_rows: int, bucket_rows: int = BUCKET_ROWS) -> Column:
-    """Ordered buckets of a hash number; uniform by construction, so no sampling is needed."""
-    bits = (bucket_count(n_rows, bucket_rows) - 1).bit_length()
-    return F.shiftright(number, HASH_BITS - bits)
+def hash_buckets(
+    key: Column, n_rows: int, bucket_rows: int = BUCKET_ROWS
+) -> tuple[Column, int]:
+    """Ordered buckets of md5 keys and their number; uniform by construction, so nothing has to be
+    sampled."""
+    digits = 0
+    while 16**digits < bucket_count(n_rows, bucket_rows):
+        digits += 1
+    return F.substring(key, 1, digits), 16**digits
 
 
 def _sampled(df: DataFrame, values: list[Column], id_col: str, n_rows: int, want: int):
@@ -290,13 +316,10 @@ def add_rank(
     """Exact 0-based rank of every row by shuffled position or by id, per group."""
     n = df.count() if n_rows is None else n_rows
     if shuffle:
-        key = shuffle_key(seed, id_col)
-        bucketed = df.withColumn("_shuffle_key", key)
-        bucketed = bucketed.withColumn(
-            "_b1", hash_buckets(hash_number(F.col("_shuffle_key")), n, bucket_rows)
-        )
+        bucketed = df.withColumn("_shuffle_key", shuffle_key(seed, id_col))
+        bucket, n_buckets = hash_buckets(F.col("_shuffle_key"), n, bucket_rows)
+        bucketed = bucketed.withColumn("_b1", bucket)
         buckets, order = ["_b1"], [F.col("_shuffle_key"), F.col(id_col)]
-        n_buckets = 2 * bucket_count(n, bucket_rows)
     else:
         bucketed, n_buckets = value_buckets(df, None, id_col, n, bucket_rows)
         buckets, order = ["_b1"], [F.col(id_col)]
