@@ -27,6 +27,7 @@ MODEL_SCHEMA_VERSION = 1
 # Sizes of this implementation (they steer plans, never results).
 MAX_CLASSES = 100_000  # class tables are collected and broadcast up to this many labels
 SQL_WIDTH = 32  # features kept as separate columns up to this width
+COMPILED_WIDTH = 128  # array features scored as one compiled sum up to this width
 SQL_PARAMETERS = 64  # gradients are compiled SQL sums up to this many parameters and ...
 SQL_UNITS = 8  # ... outputs; longer generated code is no longer optimised by the JVM
 GRAM_SQL_WIDTH = 10  # Gram sums written as SQL expressions up to this many features

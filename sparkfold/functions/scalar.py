@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkfold.constants import LEAKY_SLOPE, LOGIT_CLIP, PROBABILITY_EPS
+from sparkfold.constants import COMPILED_WIDTH, LEAKY_SLOPE, LOGIT_CLIP, PROBABILITY_EPS
 
 
 def col(value: Column | str) -> Column:
@@ -139,16 +139,35 @@ def activate(name: str, arr: Column | str) -> Column:
     return F.transform(col(arr), lambda z: activation(name, z))
 
 
+def sql_number(value: float) -> str:
+    """A double literal in SQL."""
+    return f"({float(value)!r}D)"
+
+
+def sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def linear_score(
     features: Sequence[str] | str, weights: Sequence[float], bias: float = 0.0
 ) -> Column:
-    """w·x + b over separate feature columns or over one array column."""
-    if isinstance(features, str):
-        w = F.array(*[F.lit(float(v)) for v in weights])
-        products = F.zip_with(F.col(features), w, lambda x, v: x * v)
+    """w·x + b over separate feature columns or over one array column.
+
+    A plain sum of products is compiled with the rest of the stage; it is handed over as SQL text,
+    since a long sum built operator by operator costs a call for each. Only a wide array is folded.
+    """
+    w = [float(v) for v in weights]
+    if isinstance(features, str) and len(w) > COMPILED_WIDTH:
+        products = F.zip_with(
+            F.col(features), F.array(*[F.lit(v) for v in w]), lambda x, v: x * v
+        )
         return F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v) + F.lit(float(bias))
-    terms = [F.col(name) * F.lit(float(v)) for name, v in zip(features, weights, strict=True)]
-    return reduce(lambda a, b: a + b, terms) + F.lit(float(bias))
+    if isinstance(features, str):
+        inputs = [f"double(get({sql_name(features)}, {i}))" for i in range(len(w))]
+    else:
+        inputs = [sql_name(name) for name in features]
+    terms = [f"{x} * {sql_number(v)}" for x, v in zip(inputs, w, strict=True)]
+    return F.expr(" + ".join([*terms, sql_number(bias)]))
 
 
 def dense(inputs: Sequence[Column], weights, bias) -> list[Column]:

@@ -85,6 +85,11 @@ def fit_all(
     return _Fitting(df, features, label, id_col, weight, fold_col, kinds.pop()).run(jobs)
 
 
+def needs_rows(spec) -> bool:
+    """Whether training looks at single rows: batches, shards or dropout."""
+    return spec.batch_strategy != "batch" or getattr(spec, "dropout_rate", 0.0) > 0.0
+
+
 class _Fitting:
     def __init__(self, df, features, label, id_col, weight, fold_col, classify) -> None:
         self.features = feature_names(features)
@@ -121,7 +126,8 @@ class _Fitting:
 
     # --- the training table ---------------------------------------------------------------
 
-    def table(self, conditions) -> TrainingTable:
+    def table(self, conditions, with_rows: bool = False) -> TrainingTable:
+        """The narrow training table; ``with_rows`` adds the id and its hash."""
         columns, wide = feature_columns(self.features, self.width)
         if self.classify:
             target = class_index(self.label, self.classes)
@@ -137,7 +143,7 @@ class _Fitting:
             for bit, condition in enumerate(conditions):
                 mask = mask + F.when(condition, F.lit(1 << bit)).otherwise(F.lit(0)).cast("long")
             columns.append(mask.alias("_vmask"))
-        if self.id_col is not None:
+        if with_rows and self.id_col is not None:
             columns += [F.col(self.id_col).alias("_id"), F.xxhash64(self.id_col).alias("_key")]
         return TrainingTable(self.df.select(*columns), self.width, wide, self.n_rows)
 
@@ -205,7 +211,7 @@ class _Fitting:
 
     def train(self, jobs: list[Job]) -> list[Model]:
         bits, conditions = self.holdouts(jobs)
-        table = self.table(conditions).cached()
+        table = self.table(conditions, any(needs_rows(job.spec) for job in jobs)).cached()
         try:
             return self._train(jobs, bits, table)
         finally:

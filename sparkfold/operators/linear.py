@@ -13,8 +13,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sparkfold.constants import GRAM_SQL_WIDTH
+from sparkfold.functions.scalar import sql_number
 from sparkfold.operators.network import unpack
-from sparkfold.operators.passes import Sums, TrainingTable, block_of, few_tasks, number
+from sparkfold.operators.passes import Sums, TrainingTable, block_of, few_tasks
 from sparkfold.operators.training import Run
 
 
@@ -60,7 +61,7 @@ def _gram_sql(table, centre, keys) -> dict[tuple, Gram]:
     names = [*table.x_columns, "_y"]
     moved = table.df.selectExpr(
         *keys,
-        *[f"{name} - {number(centre[i])} AS _v{i}" for i, name in enumerate(names)],
+        *[f"{name} - {sql_number(centre[i])} AS _v{i}" for i, name in enumerate(names)],
         ("_w" if table.has("_w") else "1.0D") + " AS _g",
     )
     pairs = [(i, j) for i in range(size) for j in range(i, size)]

@@ -18,6 +18,7 @@ from sparkfold.constants import (
     SQL_UNITS,
     SQL_WIDTH,
 )
+from sparkfold.functions.scalar import sql_number
 from sparkfold.operators.network import Net, batch_sums, unpack
 
 ROWS_PER_TASK = 25_000  # a small table is spread over the cores down to this many rows per task
@@ -186,11 +187,6 @@ def fits_sql(table: TrainingTable, nets: list[Net]) -> bool:
     return units <= SQL_UNITS and sum(net.size for net in nets) <= SQL_PARAMETERS
 
 
-def number(value: float) -> str:
-    """A double literal in SQL."""
-    return f"({float(value)!r}D)"
-
-
 def _case(column: str, values: Sequence[str], default: str) -> str:
     branches = " ".join(f"WHEN {k} THEN {value}" for k, value in enumerate(values))
     return f"CASE {column} {branches} ELSE {default} END"
@@ -230,11 +226,11 @@ def _model_text(table: TrainingTable, net: Net, theta: np.ndarray, m: int) -> li
     (weights, bias), = unpack(theta, net.shapes)
     names, units = table.x_columns, range(len(bias))
     logits = [
-        " + ".join([f"{n} * {number(w)}" for n, w in zip(names, weights[:, k], strict=True)])
-        + f" + {number(bias[k])} AS _z{m}_{k}"
+        " + ".join([f"{n} * {sql_number(w)}" for n, w in zip(names, weights[:, k], strict=True)])
+        + f" + {sql_number(bias[k])} AS _z{m}_{k}"
         for k in units
     ]
-    low, high = number(PROBABILITY_EPS), number(1.0 - PROBABILITY_EPS)
+    low, high = sql_number(PROBABILITY_EPS), sql_number(1.0 - PROBABILITY_EPS)
     shift, exps, total = [], [], []
     if net.family == "softmax":
         top = ", ".join(f"_z{m}_{k}" for k in units)
@@ -245,18 +241,18 @@ def _model_text(table: TrainingTable, net: Net, theta: np.ndarray, m: int) -> li
         loss = f"-ln(greatest(least({own}, {high}), {low}))"
         errors = [f"_e{m}_{k} / _sum{m} - double(_y = {k})" for k in units]
     elif net.family == "logistic":
-        clipped = f"greatest(least(_z{m}_0, {number(LOGIT_CLIP)}), {number(-LOGIT_CLIP)})"
+        clipped = f"greatest(least(_z{m}_0, {sql_number(LOGIT_CLIP)}), {sql_number(-LOGIT_CLIP)})"
         exps = [f"1.0D / (1.0D + exp(-{clipped})) AS _p{m}"]
         safe = f"greatest(least(_p{m}, {high}), {low})"
         loss = f"-ln(CASE WHEN _y = 1 THEN {safe} ELSE 1.0D - {safe} END)"
         errors = [f"_p{m} - _y"]
     else:
         half = 0.5 if net.family == "linear" else 1.0
-        loss = f"(_z{m}_0 - _y) * (_z{m}_0 - _y) * {number(half)}"
-        errors = [f"(_z{m}_0 - _y) * {number(2.0 * half)}"]
+        loss = f"(_z{m}_0 - _y) * (_z{m}_0 - _y) * {sql_number(half)}"
+        errors = [f"(_z{m}_0 - _y) * {sql_number(2.0 * half)}"]
     weight = "_w" if table.has("_w") else "1.0D"
     if net.class_weight is not None:
-        by_class = _case("_y", [number(v) for v in net.class_weight], "0.0D")
+        by_class = _case("_y", [sql_number(v) for v in net.class_weight], "0.0D")
         weight = f"{weight} * {by_class}"
     usable = "true" if net.fold < 0 else f"_fold <> {net.fold}"
     held = "false" if net.bit < 0 else f"shiftright(_vmask, {net.bit}) & 1 = 1"

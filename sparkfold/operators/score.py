@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,3 +186,12 @@ def monitor_columns(n_features: int, probability: str = "probability") -> list[C
 def score_monitor(scored: DataFrame, n_features: int) -> DataFrame:
     """One row of monitoring values over scored rows."""
     return scored.agg(*monitor_columns(n_features))
+
+
+def write_scored(df: DataFrame, model: Model, version: str, path: str) -> dict:
+    """Batch scoring job: store the scored rows and return the monitoring values, which are
+    observed while the rows are written."""
+    watched = Observation()
+    scored = score_batch(df, model, version).observe(watched, *monitor_columns(model.n_features))
+    scored.write.mode("overwrite").parquet(path)
+    return watched.get

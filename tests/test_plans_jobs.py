@@ -8,8 +8,19 @@ from tests.helpers import rows_cls, rows_reg
 
 from sparkfold.operators import metrics, splits
 from sparkfold.operators.fit import fit
-from sparkfold.operators.score import predict, predict_proba, score_batch, score_monitor
-from sparkfold.operators.specs import LinearRegression, LogisticRegression, MLPRegressor
+from sparkfold.operators.score import (
+    predict,
+    predict_proba,
+    score_batch,
+    score_monitor,
+    write_scored,
+)
+from sparkfold.operators.specs import (
+    LinearRegression,
+    LogisticRegression,
+    MLPClassifier,
+    MLPRegressor,
+)
 from sparkfold.plans import jobs, search
 from sparkfold.runtime import scratch_path, scratch_root
 from sparkfold.sources import models as model_table
@@ -77,6 +88,29 @@ def test_regression_search_with_a_callable(spark):
     assert result.best_score == pytest.approx(0.0, abs=1e-9)
 
 
+def test_networks_of_different_shapes_are_searched_together(spark):
+    rng = np.random.default_rng(3)
+    df = rows_cls(spark, rng.normal(size=(24, 2)), [0, 1, 2] * 8)
+    grid = {"hidden_layer_sizes": [(), (3,), (4, 2)], "activation": ["tanh"]}
+    spec = MLPClassifier(learning_rate=0.05, max_iter=3, seed=1)
+    scores = {
+        (r["candidate"], r["fold"]): r["score"] for r in search.grid_search(
+            spec, grid, df, "features", "label", "id", cv=2, stratified=True, seed=1
+        ).scores.collect()
+    }
+    folded = search.with_folds(df, "id", "label", 2, True, 1)
+    alone = fit(
+        MLPClassifier(hidden_layer_sizes=(4, 2), activation="tanh", learning_rate=0.05,
+                      max_iter=3, seed=1),
+        folded.filter("_cv_fold <> 1"), "features", "label", id_col="id",
+    )
+    held = predict(folded.filter("_cv_fold = 1"), alone)
+    assert len(scores) == 6
+    assert scores[(2, 1)] == pytest.approx(
+        metrics.accuracy(held, "label", "prediction").first()[0]
+    )
+
+
 def test_random_search_is_repeatable():
     candidates = search.parameter_grid({"a": [1, 2], "b": [3, 4, 5]})
     assert candidates[:4] == [{"a": 1, "b": 3}, {"a": 1, "b": 4}, {"a": 1, "b": 5},
@@ -203,6 +237,8 @@ def test_scoring_service_rows(spark):
     model = fit(LogisticRegression(learning_rate=1.0, max_iter=20), df, "features", "label")
     scored = score_batch(df, model, "v3")
     row = score_monitor(scored, model.n_features).first()
+    seen = write_scored(df, model, "v3", scratch_path(spark, "test-scored"))
+    assert seen == pytest.approx(row.asDict())
     assert row["n_predictions"] == 8 and row["n_features"] == 1
     assert 0 < row["probability_min"] < row["probability_mean"] < row["probability_max"] < 1
     assert scored.select("model_version").distinct().first()[0] == "v3"

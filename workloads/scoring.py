@@ -13,6 +13,7 @@ from sparkfold.operators.score import (
     score,
     score_batch,
     score_monitor,
+    write_scored,
 )
 from sparkfold.operators.specs import (
     LinearRegression,
@@ -219,6 +220,23 @@ def r06_monitor(spark, d):
     return round_columns(score_monitor(scored, 2), names, 9)
 
 
+@query(
+    "r06_score_job",
+    f"""WITH {OD}, p AS (SELECT {P} AS p FROM od)
+        SELECT count(*) AS n_predictions, 2 AS n_features, round(min(p), 9) AS probability_min,
+               round(avg(p), 9) AS probability_mean, round(max(p), 9) AS probability_max,
+               count(*) AS n_stored FROM p""",
+)
+def r06_job(spark, d):
+    path = scratch_path(spark, "scored")
+    seen = write_scored(orders(spark, d), binary_model(), "v1", path)
+    stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_stored"))
+    row = stored.select("*", *[F.lit(value).alias(name) for name, value in seen.items()])
+    names = ["probability_min", "probability_mean", "probability_max"]
+    row = row.withColumn("n_predictions", F.col("n_predictions").cast("long"))
+    return round_columns(row, names, 9)
+
+
 def event_model() -> Model:
     params = {"weights": np.array([0.02, -0.001]), "bias": np.array([-1.0])}
     return Model("logistic", ["value", "user_id"], 2, params, [0, 1], {"threshold": 0.5})
