@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkfold.llm import chat, quality
+from sparkfold.llm import chat, pieces, quality, toxicity, warc
 from sparkfold.llm.common import load
+from sparkfold.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +27,38 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(load(spark, folder, "documents"), trusted)
 
 
+@query
+def op3_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(load(spark, folder, "pages"), path)
+    found = warc.read_archives(spark, path, payloads=False).where("kind = 'record'")
+    return found.select(
+        F.expr("CAST(nullif(record_id, 'none') AS BIGINT)").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+def held_out(doc_id: str = "doc_id"):
+    """Documents whose labels nothing may be learnt from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    labels = load(spark, folder, "labels").where(~held_out())
+    model = toxicity.fit(docs.where(~held_out()), labels)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
@@ -35,6 +70,18 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(rows.union(extra))
 
 
+@query
+def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode_texts(load(spark, folder, "documents"), model)
+    return pieces.decode_ids(coded, model).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 ORACLE["op8_chat_format"] = r"""
 WITH r AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
