@@ -28,11 +28,20 @@ class Model(NamedTuple):
 
 
 def features(text: Column) -> Column:
-    """Distinct hash buckets of the lower-case words of a text."""
+    """Distinct hash buckets of the lower-case words of a text and of their first 4 and 5 letters."""
     found = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), OTHER), lambda w: w != "")
-    return F.array_distinct(
-        F.transform(found, lambda w: F.pmod(F.xxhash64(w), F.lit(SIZE)).cast("int"))
-    )
+    found = F.array_distinct(found)
+    parts = [F.transform(found, lambda w: _bucket(w))]
+    for k in (4, 5):
+        long_enough = F.filter(found, lambda w, k=k: F.length(w) >= k)
+        parts.append(
+            F.transform(long_enough, lambda w, k=k: _bucket(F.lit(k), F.substring(w, 1, k)))
+        )
+    return F.array_distinct(F.concat(*parts))
+
+
+def _bucket(*values: Column) -> Column:
+    return F.pmod(F.xxhash64(*values), F.lit(SIZE)).cast("int")
 
 
 def _first_by_hash(ids: DataFrame, limit: int) -> DataFrame:
@@ -81,16 +90,18 @@ def train(
     unlabelled: list[np.ndarray],
     prior: float,
     *,
-    epochs: int = 40,
-    batches: int = 8,
+    epochs: int = 120,
+    batches: int = 3,
     rate: float = 0.02,
-    decay: float = 1e-5,
+    decay: float = 1e-3,
+    sparse: float = 0.1,
     least: int = 5,
     seed: int = 7,
 ) -> Model:
     """Fit the weights by Adam on the non-negative risk with logistic loss.
 
-    Only buckets of at least ``least`` positive examples get a weight. Where the clean part of the
+    ``sparse`` and ``decay`` are the L1 and L2 penalties: with few positive examples most words are
+    noise. Only buckets of at least ``least`` positive examples get a weight. Where the clean part of the
     risk is negative, the step goes against its gradient instead, which undoes the over-fit.
     """
     weights, bias = np.zeros(SIZE), float(np.log(prior / (1 - prior)))
@@ -129,6 +140,7 @@ def train(
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+            w[:-1] = np.sign(w[:-1]) * np.maximum(np.abs(w[:-1]) - rate * sparse, 0)
     weights[keep] = w[:-1]
     return Model(weights.astype(np.float32), float(w[-1]))
 
