@@ -165,7 +165,9 @@ def quality_rules(
     docs = docs.select("doc_id", "text")
     held = F.crc32(F.col("doc_id").cast("string")) % calibration == 0
     ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    marked = docs.join(ids.where(~held).withColumn("is_trusted", F.lit(True)), "doc_id", "left")
+    # labels grow with the corpus: the same plan at every size, texts are shuffled once
+    flags = ids.where(~held).withColumn("is_trusted", F.lit(True)).hint("merge")
+    marked = docs.join(flags, "doc_id", "left")
     raw, counted = bucket_counts(marked, size)
     ratios = ",".join(map(str, log_ratios(counted, raw, smoothing)))
     table = F.split(F.lit(ratios), ",").cast("array<bigint>")
