@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfold.llm import chat, pieces, quality, toxicity, warc
+from sparkfold.llm import chat, jaccard_join, pieces, quality, toxicity, warc
 from sparkfold.llm.common import load
 from sparkfold.runtime import scratch_path
 
@@ -82,6 +82,11 @@ def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(load(spark, folder, "documents"))
+
+
 ORACLE["op8_chat_format"] = r"""
 WITH r AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -103,3 +108,25 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(CAST(o <> role OR t <> text AS INTEGER)) AS BIGINT) AS n_escaped
 FROM e GROUP BY conv_id
 """
+
+ORACLE["op10_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM w, LATERAL (SELECT unnest(range(1, greatest(2, len(w) - 3))) AS i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+    SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9),
+r AS (
+    SELECT doc_id, doc_id AS class_id FROM documents
+    UNION SELECT l.b, r.class_id FROM r JOIN l ON l.a = r.doc_id),
+m AS (SELECT doc_id, min(class_id) AS class_id FROM r GROUP BY doc_id),
+k AS (SELECT a AS doc_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM m LEFT JOIN k USING (doc_id)
+"""
