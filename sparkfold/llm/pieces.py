@@ -23,21 +23,23 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb2
 #: Fixed value: the mark that stands for a space.
 SPACE = "▁"
 #: Entries of a worker's tables before they are emptied; longer chunks are not remembered.
-MEMO = 200_000
+MEMO, PAIR_MEMO = 400_000, 800_000
 MEMO_CHARS = 48
+#: Tokens of characters that are no piece are WIDE + code point; two tokens make one key.
+WIDE, SHIFT = 1 << 20, 22
 
 
 class _Memo(dict):
     """A bounded table filled on demand."""
 
-    def __init__(self, make):
+    def __init__(self, make, limit):
         super().__init__()
-        self.make = make
+        self.make, self.limit = make, limit
 
     def __missing__(self, key):
         value = self.make(key)
-        if len(key) <= MEMO_CHARS:
-            if len(self) >= MEMO:
+        if isinstance(key, int) or len(key) <= MEMO_CHARS:
+            if len(self) >= self.limit:
                 self.clear()
             self[key] = value
         return value
@@ -69,7 +71,7 @@ class Pieces:
             if p.type == 1:
                 self.ids[p.piece] = i
                 self.score[p.piece] = p.score
-                automaton.add_word(p.piece, p.piece)
+                automaton.add_word(p.piece, (i, len(p.piece)))
                 parts.append(p.piece.replace(SPACE, " ").encode())
             elif p.type == 6:
                 value = int(p.piece[1:-1], 16)
@@ -83,10 +85,16 @@ class Pieces:
         self.lengths = np.array([len(p) for p in parts], dtype=np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.blob = np.frombuffer(b"".join(parts), dtype=np.uint8)
-        self.pairs = _Memo(lambda key: self.merged(key[0] + key[1]) == [key[0], key[1]])
-        self.singles = _Memo(lambda piece: self.merged(piece) == [piece])
-        self.chunks = _Memo(self._chunk_bytes)
-        self.plain = _Memo(lambda word: self.chunks.make(SPACE + word))
+        self.names = [p.piece for p in spec.pieces]
+        self.alphabet = {p for p in self.ids if len(p) == 1}
+        self.pairs = _Memo(self._fits, PAIR_MEMO)
+        self.singles = _Memo(lambda t: self.merged(self._text(t)) == [self._text(t)], MEMO)
+        self.chunks = _Memo(self._chunk_bytes, MEMO)
+        self.plain = _Memo(self._word_bytes, MEMO)
+        # a line end that is in no piece is a cut like a space, and its own bytes
+        self.line_end = None
+        if not any("\n" in p for p in self.ids):
+            self.line_end = np.array([self.bytes_of[10]], dtype=np.int32).tobytes()
 
     def merged(self, text: str) -> list[str]:
         """What a short string merges to: always the best pair, the leftmost of equal ones."""
@@ -102,41 +110,62 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def tokens(self, chunk: str) -> list[str]:
-        """Tokens of a chunk: fill the prefix table, then walk it backwards."""
+    def tokens(self, chunk: str) -> list[int]:
+        """Tokens of a chunk, those of unknown characters as WIDE + code point.
+
+        Fills the prefix table from left to right, then walks it backwards.
+        """
         n = len(chunk)
-        ends: list[list[str]] = [[] for _ in range(n)]
-        for at, piece in self.automaton.iter(chunk):
-            ends[at].append(piece)
-        last: list[str | None] = [None] * (n + 1)
-        for i in range(1, n + 1):
-            found = ends[i - 1]
-            if chunk[i - 1] not in self.ids:
-                found = [*found, chunk[i - 1]]
-            for piece in found:
-                start = i - len(piece)
-                if self.singles[piece] if start == 0 else self.pairs[last[start], piece]:
-                    last[i] = piece
-                    break
-            else:
+        last, size = [0] * (n + 1), [0] * (n + 1)
+        found = self.automaton.iter(chunk)
+        if not self.alphabet.issuperset(chunk):
+            alone = ((i, (WIDE + ord(c), 1)) for i, c in enumerate(chunk) if c not in self.alphabet)
+            found = sorted([*found, *alone], key=lambda x: x[0])
+        singles, pairs = self.singles, self.pairs
+        for at, (token, length) in found:
+            end = at + 1
+            if last[end]:
+                continue
+            start = end - length
+            if singles[token] if start == 0 else pairs[last[start] << SHIFT | token]:
+                last[end], size[end] = token, length
+        out = []
+        while n > 0:
+            out.append(last[n])
+            if not size[n]:
                 raise ValueError("A prefix has no last token.")
-        out, i = [], n
-        while i > 0:
-            out.append(last[i])
-            i -= len(last[i])
+            n -= size[n]
         out.reverse()
         return out
 
+    def _text(self, token: int) -> str:
+        return chr(token - WIDE) if token >= WIDE else self.names[token]
+
+    def _fits(self, key: int) -> bool:
+        a, b = self._text(key >> SHIFT), self._text(key & ((1 << SHIFT) - 1))
+        return self.merged(a + b) == [a, b]
+
     def _chunk_bytes(self, chunk: str) -> bytes:
         ids: list[int] = []
         for token in self.tokens(chunk):
-            known = self.ids.get(token)
-            if known is None:
-                ids.extend(self.bytes_of[b] for b in token.encode())
+            if token >= WIDE:
+                ids.extend(self.bytes_of[b] for b in chr(token - WIDE).encode())
             else:
-                ids.append(known)
+                ids.append(token)
         return np.array(ids, dtype=np.int32).tobytes()
 
+    def _word_bytes(self, word: str) -> bytes:
+        """A word that follows a space, cut at line ends where no piece has one."""
+        if self.line_end is None or "\n" not in word:
+            return self._chunk_bytes(SPACE + word)
+        first, *rest = word.split("\n")
+        parts = [self.plain[first]]
+        for line in rest:
+            parts.append(self.line_end)
+            if line:
+                parts.append(self.chunks[line])
+        return b"".join(parts)
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers, without the end id."""
         if not text:
