@@ -9,6 +9,8 @@ from sparkfold.runtime import scratch_path
 
 #: What separates words: ASCII white space.
 GAP = r"[\x20\x09-\x0D]+"
+#: Rows up to which a table of ids is broadcast.
+FEW_ROWS = 100_000
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,6 +60,16 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_few(df: DataFrame, few: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a kept table that is usually small: broadcast if its rows are counted to be few.
+
+    Beyond the bound both sides are shuffled and merged; the result is the same.
+    """
+    if few.count() <= FEW_ROWS:
+        return df.join(F.broadcast(few), on, how)
+    return df.join(few.hint("merge"), on, how)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of the links (a, b): one row (id, component) per linked id.
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfold.llm.common import join_few, kept_table
+
 #: Fixed values of the format.
 VERSION, RECORD_END, MEMBER = b"WARC/1.1\r\n", b"\r\n\r\n", b"\x1f\x8b\x08"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n"
@@ -82,7 +84,8 @@ def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         .distinct()
     )
     left = rows.withColumn("key", F.sha2(payload, 256))
-    joined = left.join(again, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("k")), "left")
+    same = F.col("page_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("k"))
+    joined = join_few(left, kept_table(again, "revisits"), same, "left")
     return joined.select("page_id", "url", "html", F.col("original").alias("refers_to"))
 
 
