@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfold.llm import chat, jaccard_join, pieces, quality, toxicity, warc
+from sparkfold.llm import chat, decontaminate, jaccard_join, pieces, quality, toxicity, warc
 from sparkfold.llm.common import load
 from sparkfold.runtime import scratch_path
 
@@ -41,6 +41,13 @@ def op3_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(
+        load(spark, folder, "documents"), load(spark, folder, "benchmark")
+    )
+
+
 def held_out(doc_id: str = "doc_id"):
     """Documents whose labels nothing may be learnt from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
@@ -130,3 +137,37 @@ m AS (SELECT doc_id, min(class_id) AS class_id FROM r GROUP BY doc_id),
 k AS (SELECT a AS doc_id, count(*) AS n_links FROM l GROUP BY a)
 SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM m LEFT JOIN k USING (doc_id)
 """
+
+# every window that shares a shingle with an item, compared with it by counted shingles
+ORACLE["op4_decontamination"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (
+    SELECT item_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+ds AS (
+    SELECT doc_id, p, array_to_string(w[p + 1:p + 5], ' ') AS s, len(w) AS n
+    FROM d, LATERAL (SELECT unnest(range(0, len(w) - 4)) AS p)),
+it AS (
+    SELECT item_id, len(w) AS n, array_to_string(w[p + 1:p + 5], ' ') AS s
+    FROM i, LATERAL (SELECT unnest(range(0, len(w) - 4)) AS p)),
+ic AS (SELECT item_id, n, s, count(*) AS c FROM it GROUP BY ALL),
+hit AS (
+    SELECT ds.doc_id, ds.p, ds.n, ic.item_id, ic.n AS len FROM ds JOIN ic ON ds.s = ic.s),
+win AS (
+    SELECT DISTINCT doc_id, item_id, least(len, n) - 4 AS width, len - 4 AS size, a
+    FROM hit, LATERAL (SELECT unnest(range(greatest(0, p - least(len, n) + 5),
+                                           least(p, n - least(len, n)) + 1)) AS a)),
+inside AS (
+    SELECT win.doc_id, win.item_id, width, size, a, ds.s, count(*) AS c
+    FROM win JOIN ds ON ds.doc_id = win.doc_id AND ds.p BETWEEN a AND a + width - 1
+    GROUP BY ALL),
+common AS (
+    SELECT doc_id, x.item_id, width, size, a, sum(least(x.c, ic.c)) AS m
+    FROM inside x JOIN ic ON ic.item_id = x.item_id AND ic.s = x.s GROUP BY ALL),
+sim AS (
+    SELECT doc_id, item_id, a, CAST(m AS DOUBLE) / (width + size - m) AS v FROM common)
+SELECT doc_id, item_id, round(max(v), 6) AS similarity,
+       CAST(min(a) FILTER (v = best) AS BIGINT) AS start_word
+FROM (SELECT *, max(v) OVER (PARTITION BY doc_id, item_id) AS best FROM sim)
+WHERE best >= 0.8 - 1e-9 GROUP BY doc_id, item_id
+"""
