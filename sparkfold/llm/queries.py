@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfold.llm import chat, decontaminate, jaccard_join, pieces, quality, toxicity, warc
+from sparkfold.llm import chat, decontaminate, jaccard_join, line_dedup, pieces, quality, toxicity, warc
 from sparkfold.llm.common import load
 from sparkfold.runtime import scratch_path
 
@@ -48,6 +48,11 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_report(load(spark, folder, "documents"))
+
+
 def held_out(doc_id: str = "doc_id"):
     """Documents whose labels nothing may be learnt from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
