@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfold.llm import chat, decontaminate, jaccard_join, line_dedup, pieces, quality, toxicity, warc
+from sparkfold.llm import chat, decontaminate, jaccard_join, line_dedup, pieces, pii, quality, toxicity, warc
 from sparkfold.llm.common import load
 from sparkfold.runtime import scratch_path
 
@@ -27,6 +27,12 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(load(spark, folder, "documents"), trusted)
 
 
+@query
+def op2_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, key="surrogates of the registered query")
+
+
 @query
 def op3_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "warc")
