@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfold.llm import chat, decontaminate, jaccard_join, line_dedup, pieces, pii, quality, toxicity, warc
+from sparkfold.llm import chat, decontaminate, jaccard_join, line_dedup, pieces, pii, quality, suffix_repeats, toxicity, warc
 from sparkfold.llm.common import load
 from sparkfold.runtime import scratch_path
 
@@ -77,6 +77,19 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = suffix_repeats.without_repeats(load(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return left.select(
+        "doc_id",
+        (F.octet_length("data") + removed).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("data", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
