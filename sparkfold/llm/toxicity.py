@@ -168,15 +168,11 @@ def fit(
     return train(*sample(texts, said.where("toxic = 1"), max_positive, max_unlabelled), prior)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score): probability of toxicity of every whole text, one row per row of docs.
-
-    NULL and empty texts get the score of no words. Other columns, labels among them, are not read.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # SIZE floats
+def _scored(rows: DataFrame, name: str, model) -> DataFrame:
+    """(name, score) of rows (name, f); the model is a broadcast value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value
+        weights, bias = model.value
         for batch in batches:
             lists = batch.column(1)
             flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
@@ -185,8 +181,26 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 owner, weights[flat[offsets[0] : offsets[-1]]], minlength=batch.num_rows
             )
             done = pa.array(1 / (1 + np.exp(-z)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), done], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), done], [name, "score"])
+
+    kind = rows.schema[name].dataType.simpleString()
+    return rows.mapInArrow(run, f"{name} {kind}, score double")
+
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def with_score(docs: DataFrame, model: Model) -> DataFrame:
+    """docs with a column `score`: the probability of toxicity of every whole text.
+
+    One row per row of docs, all columns kept (a column named score is replaced). NULL and empty
+    texts get the score of no words; nothing but the text is read.
+    """
+    names = [c for c in docs.columns if c != "score"]
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    rows = whole.select("row", features(F.col("row.text")).alias("f"))
+    scored = _scored(rows, "row", docs.sparkSession.sparkContext.broadcast(model))
+    return scored.select(*[F.col(f"row.`{c}`").alias(c) for c in names], "score")
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, score) per row of docs (doc_id, text); see with_score."""
     rows = docs.select("doc_id", features(F.col("text")).alias("f"))
-    return rows.mapInArrow(run, f"doc_id {kind}, score double")
+    return _scored(rows, "doc_id", docs.sparkSession.sparkContext.broadcast(model))
