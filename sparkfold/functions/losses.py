@@ -8,8 +8,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.functions.scalar import clip_probability, col
+from sparkfold.functions.scalar import clip_probability, col, finite
 
+BAD_TARGET = "a target is missing or not finite."
+BAD_PREDICTION = "a prediction is missing or not finite."
+BAD_PROBABILITY = "a probability is missing or not finite."
+BAD_INDEX = "a class index has no probability."
 PENALTIES = ("l1", "l2", None)
 
 
@@ -27,20 +31,30 @@ def weighted_mean(value: Column | str, weight: Column | str | None = None) -> Co
 
 
 def squared_error(y: Column | str, prediction: Column | str) -> Column:
-    gap = col(y) - col(prediction)
+    gap = finite(y, BAD_TARGET) - finite(prediction, BAD_PREDICTION)
     return gap * gap
 
 
 def binary_entropy(y: Column | str, p: Column | str) -> Column:
     """Per-row cross-entropy of a 0/1 target against a probability."""
-    q = clip_probability(p)
-    t = col(y)
+    q = clip_probability(finite(p, BAD_PROBABILITY))
+    t = finite(y, BAD_TARGET)
     return -(t * F.log(q) + (1.0 - t) * F.log(1.0 - q))
 
 
 def class_entropy(index: Column | str, proba: Column | str) -> Column:
-    """Per-row cross-entropy of a class index against an array of probabilities."""
-    return -F.log(clip_probability(F.get(col(proba), col(index).cast("int"))))
+    """Per-row cross-entropy of a class index against an array of probabilities.
+
+    A missing index, one without an entry, and an entry that is no finite number are errors.
+    """
+    i, arr = col(index).cast("int"), col(proba)
+    known = F.coalesce((i >= 0) & (i < F.size(arr)), F.lit(False))
+    entry = finite(F.get(arr, i), BAD_PROBABILITY)
+    return -F.log(
+        clip_probability(
+            F.when(known, entry).otherwise(F.raise_error(F.lit(BAD_INDEX)).cast("double"))
+        )
+    )
 
 
 def mse_loss(y, prediction, weight=None) -> Column:

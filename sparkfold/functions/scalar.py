@@ -22,7 +22,9 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def clip(value: Column, low: float, high: float) -> Column:
-    return F.greatest(F.least(value, F.lit(high)), F.lit(low))
+    """Value within bounds; NULL and NaN stay what they are (greatest and least would hide them)."""
+    inside = F.greatest(F.least(value, F.lit(high)), F.lit(low))
+    return F.when(value.isNull() | F.isnan(value.cast("double")), value).otherwise(inside)
 
 
 def sigmoid(z: Column | str) -> Column:
@@ -101,7 +103,7 @@ def one_hot(index: Column | str, n_classes: int) -> Column:
         F.sequence(F.lit(0), F.lit(n_classes - 1)), lambda k: (k == i).cast("double")
     )
     return F.when(
-        i < 0, F.raise_error(F.lit("labels must be non-negative integers.")).cast("array<double>")
+        i.isNull() | (i < 0), F.raise_error(F.lit("a label index has to be a non-negative number.")).cast("array<double>")
     ).when(
         i >= n_classes,
         F.raise_error(F.lit("n_classes must exceed the largest label.")).cast("array<double>"),
@@ -124,14 +126,14 @@ def column_l2_norm(value: Column | str) -> Column:
 def activation(name: str, z: Column) -> Column:
     """One hidden-layer activation applied to a scalar column."""
     if name == "relu":
-        return F.greatest(z, F.lit(0.0))
+        return F.when(z.isNull() | (z > 0.0), z).otherwise(F.lit(0.0))  # NULL and NaN stay
     if name == "leaky_relu":
         return F.when(z > 0.0, z).otherwise(z * LEAKY_SLOPE)
     if name == "sigmoid":
         return sigmoid(z)
     if name == "tanh":
         return F.tanh(z)
-    raise ValueError("activation must be 'relu', 'leaky_relu', 'sigmoid', or 'tanh'.")
+    raise ValueError(f"unknown activation {name!r}; known: relu, leaky_relu, sigmoid, tanh.")
 
 
 def activate(name: str, arr: Column | str) -> Column:
@@ -203,7 +205,22 @@ def first_argmax(arr: Column | str) -> Column:
     )
 
 
+def finite(value: Column | str, message: str) -> Column:
+    """The value as a double; NULL, NaN and infinities are errors."""
+    v = col(value)
+    return F.when(is_violation(v), F.raise_error(F.lit(message)).cast("double")).otherwise(
+        v.cast("double")
+    )
+
+
 def is_violation(value: Column) -> Column:
     """NULL, NaN and infinities are all violations for numbers."""
     v = value.cast("double")
     return v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(math.inf))
+
+
+def as_class(value: Column | str) -> Column:
+    """Labels are compared as integers, truncated toward zero; a missing label is an error."""
+    label = col(value)
+    bad = F.raise_error(F.lit("a label or prediction is missing or not finite.")).cast("long")
+    return F.when(is_violation(label), bad).otherwise(label.cast("long"))

@@ -36,7 +36,7 @@ def bad_features(features: Sequence[str] | str) -> Column:
 def feature_checks(features: Sequence[str] | str) -> dict[str, Column]:
     """V1 as aggregates."""
     if not isinstance(features, str) and not features:
-        raise ValueError("at least one feature is required.")
+        raise ValueError("name at least one feature.")
     checks = {"n_rows": F.count(F.lit(1)), "bad_features": F.count_if(bad_features(features))}
     if isinstance(features, str):
         checks["min_width"] = F.min(F.size(features))
@@ -108,13 +108,13 @@ def check_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
 
 # What to say when a count is not zero.
 MESSAGES = {
-    "bad_features": "X must contain only finite values.",
-    "bad_targets": "y must contain only finite values.",
+    "bad_features": "a feature is missing, NaN or infinite.",
+    "bad_targets": "a target is missing, NaN or infinite.",
     "not_binary": "binary targets must be 0 or 1.",
-    "bad_weights": "sample_weight must contain only finite values.",
+    "bad_weights": "a sample weight is missing, NaN or infinite.",
     "negative_weights": "sample_weight must not be negative.",
     "wrong_width": "X has a different number of features than the fitted model.",
-    "bad_probabilities": "y_proba must contain only finite values.",
+    "bad_probabilities": "a probability is missing, NaN or infinite.",
     "outside_unit": "y_proba must lie between 0 and 1.",
     "too_few_columns": "y_proba needs a column for each class label.",
     "unknown_labels": "y_true has labels that are not in the label list.",
@@ -131,7 +131,7 @@ def require(df: DataFrame, checks: dict[str, Column]) -> dict:
 def judge(row: dict) -> None:
     """Raise on the first violation among the counts."""
     if row.get("n_rows") == 0:
-        raise ValueError("X must contain at least one sample.")
+        raise ValueError("at least one sample is needed.")
     for name, message in MESSAGES.items():
         if row.get(name):
             raise ValueError(f"{message} ({row[name]} rows)")
@@ -139,7 +139,7 @@ def judge(row: dict) -> None:
         if row["min_width"] != row["max_width"]:
             raise ValueError("X must have the same number of features in every row.")
         if row["min_width"] == 0:
-            raise ValueError("X must contain at least one feature.")
+            raise ValueError("arrays hold at least one feature.")
     if "min_label" in row and row["min_label"] == row["max_label"]:
         raise ValueError("classification needs at least two classes.")
     if "weight_total" in row and not row["weight_total"] > 0.0:

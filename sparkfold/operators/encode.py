@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.constants import MAX_CLASSES
+from sparkfold.functions.scalar import as_class, one_hot
 from sparkfold.operators.checks import count_classes
+from sparkfold.operators.order import add_rank
 
 
 def small_join(df: DataFrame, table: DataFrame, rows: int, on: Sequence[str] | str) -> DataFrame:
@@ -18,10 +20,14 @@ def small_join(df: DataFrame, table: DataFrame, rows: int, on: Sequence[str] | s
 
 
 def label_table(df: DataFrame, label: str) -> DataFrame:
-    """(label, index): sorted distinct labels numbered from 0."""
-    labels = df.select(F.col(label).cast("long").alias("label")).distinct()
-    index = (F.row_number().over(Window.orderBy("label")) - 1).cast("int")
-    return labels.withColumn("index", index)
+    """(label, index): sorted distinct labels numbered from 0, whatever their number.
+
+    Labels are ranked inside ordered buckets and the sizes of the earlier ones are added, so no
+    task sees them all.
+    """
+    labels = df.select(as_class(label).alias("label")).distinct()
+    ranked = add_rank(labels, "label", "_rank", shuffle=False)
+    return ranked.select("label", F.col("_rank").cast("int").alias("index"))
 
 
 def class_labels(df: DataFrame, label: str) -> list[int]:
@@ -37,14 +43,25 @@ def class_index(label: Column | str, classes: Sequence[int]) -> Column:
 
 
 def add_label_index(df: DataFrame, label: str, out: str = "label_index") -> DataFrame:
-    """Every row with the index of its label."""
-    spark = df.sparkSession
-    classes = class_labels(df, label)
-    table = spark.createDataFrame(
-        [(c, i) for i, c in enumerate(classes)], f"_label long, `{out}` int"
+    """Every row with the index of its label; any number of labels, a missing one is an error."""
+    left = df.withColumn("_label", as_class(label))
+    table = label_table(left, "_label").select(
+        F.col("label").alias("_label"), F.col("index").alias(out)
     )
-    left = df.withColumn("_label", F.col(label).cast("long"))
-    return small_join(left, table, len(classes), "_label").drop("_label")
+    return left.join(table, "_label").drop("_label")
+
+
+def add_one_hot(
+    df: DataFrame, index: str, out: str = "one_hot", n_classes: int | None = None
+) -> DataFrame:
+    """Every row with the one-hot array of a class index; by default as wide as the largest
+    index asks for."""
+    if n_classes is None:
+        largest = df.agg(F.max(index)).first()[0]
+        if largest is None:
+            return df.withColumn(out, F.array().cast("array<double>"))
+        n_classes = int(largest) + 1
+    return df.withColumn(out, one_hot(index, n_classes))
 
 
 def resolve_class_weight(
@@ -67,11 +84,22 @@ def resolve_class_weight(
 def class_weight_table(
     df: DataFrame, label: str, class_weight: Mapping[int, float] | str | None = None
 ) -> DataFrame:
-    """(label, n, class_weight), one row per class."""
-    counts = {row["label"]: row["n"] for row in count_classes(df, label)}
-    weights = resolve_class_weight(class_weight, counts)
-    rows = [(label_, n, weights[label_]) for label_, n in counts.items()]
-    return df.sparkSession.createDataFrame(rows, "label long, n long, class_weight double")
+    """(label, n, class_weight), one row per class; any number of classes."""
+    counts = df.groupBy(as_class(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    if class_weight is None:
+        return counts.withColumn("class_weight", F.lit(1.0))
+    if class_weight == "balanced":
+        total, k = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+        return counts.withColumn(
+            "class_weight", F.lit(float(total or 0)) / (F.lit(float(k)) * F.col("n"))
+        )
+    # only the classes that the mapping names reach the driver
+    named = counts.where(F.col("label").isin([int(c) for c in class_weight])).collect()
+    resolve_class_weight(class_weight, {row["label"]: row["n"] for row in named})
+    weight = F.lit(1.0)
+    for name, value in class_weight.items():
+        weight = F.when(F.col("label") == int(name), float(value)).otherwise(weight)
+    return counts.withColumn("class_weight", weight)
 
 
 def add_effective_weight(
@@ -83,13 +111,10 @@ def add_effective_weight(
     out: str = "effective_weight",
 ) -> DataFrame:
     """Sample weight times class weight; the frame is returned unchanged when both are trivial."""
-    counts = {row["label"]: row["n"] for row in count_classes(df, label)}
-    weights = resolve_class_weight(class_weight, counts)
-    if all(w == 1.0 for w in weights.values()):
-        return df if weight is None else df.withColumn(out, F.col(weight).cast("double"))
-    table = df.sparkSession.createDataFrame(list(weights.items()), "_label long, _cw double")
-    joined = small_join(
-        df.withColumn("_label", F.col(label).cast("long")), table, len(weights), "_label"
-    )
-    value = F.col("_cw") if weight is None else F.col(weight).cast("double") * F.col("_cw")
-    return joined.withColumn(out, value).drop("_label", "_cw")
+    own = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    table = class_weight_table(df, label, class_weight)
+    if class_weight is None or table.where("class_weight <> 1.0").isEmpty():
+        return df if weight is None else df.withColumn(out, own)
+    table = table.select(F.col("label").alias("_label"), F.col("class_weight").alias("_cw"))
+    joined = small_join(df.withColumn("_label", as_class(label)), table, table.count(), "_label")
+    return joined.withColumn(out, own * F.col("_cw")).drop("_label", "_cw")

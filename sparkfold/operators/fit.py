@@ -196,7 +196,7 @@ class _Fitting:
     def majority(self, job: Job) -> Model:
         counts = self.training_counts(job.fold)
         if not counts:
-            raise ValueError("y must contain at least one target.")
+            raise ValueError("the table has no target.")
         top = min(counts, key=lambda label: (-counts[label], label))
         return Model(
             "majority", self.features, self.width, {"label": np.array([top])}, sorted(counts)

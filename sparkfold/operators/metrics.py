@@ -14,17 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.constants import BUCKET_ROWS, DOUBLE_EPS
-from sparkfold.functions.scalar import clip_probability, col
+from sparkfold.functions.scalar import as_class, clip_probability, col, finite
+from sparkfold.operators.checks import count_classes
 from sparkfold.operators.order import running_sums, value_buckets
 
 AVERAGES = ("binary", "macro", "micro", "weighted")
 
 
-def as_class(value: Column | str) -> Column:
-    """Labels are compared as integers, truncated toward zero."""
-    return col(value).cast("long")
-
-
 # --- class metrics -----------------------------------------------------------------------------
 
 
@@ -197,7 +193,7 @@ def log_loss_column(y_true: str, proba: Column | str, labels: Sequence[int]) ->
     known = F.array(*[F.lit(int(v)).cast("long") for v in labels])
     position = F.array_position(known, as_class(y_true)).cast("int")
     arr = col(proba)
-    bad = F.exists(
+    bad = arr.isNull() | F.exists(
         arr, lambda p: p.isNull() | F.isnan(p) | (p < 0.0) | (p > 1.0)
     )
 
@@ -205,7 +201,7 @@ def log_loss_column(y_true: str, proba: Column | str, labels: Sequence[int]) ->
         return F.raise_error(F.lit(message)).cast("double")
 
     value = (
-        F.when(F.size(arr) < len(labels), error("y_proba needs a column for each class label."))
+        F.when(arr.isNull() | (F.size(arr) < len(labels)), error("y_proba needs a column for each class label."))
         .when(bad, error("y_proba must be finite and lie between 0 and 1."))
         .when(position == 0, error("y_true has labels that are not in the label list."))
         .otherwise(-F.log(clip_probability(F.get(arr, position - 1))))
@@ -217,16 +213,23 @@ def log_loss(
     df: DataFrame,
     y_true: str,
     proba: str,
-    labels: Sequence[int],
+    labels: Sequence[int] | None = None,
     *,
     single: bool = False,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Log loss of a probability array, or (``single``) of the second label's probability.
 
-    The label list is required: a column belongs to a position of that list, not to whatever
-    labels happen to occur.
+    A column belongs to a position of the label list. For an array the list may be left out: then
+    it is the sorted distinct labels of all rows, of which there must be as many as columns.
     """
+    if labels is None:
+        if single:
+            raise ValueError("a single probability needs the label list.")
+        labels = [row["label"] for row in count_classes(df, y_true)]
+        wide = df.agg(F.max(F.size(proba))).first()[0]
+        if wide != len(labels):
+            raise ValueError(f"{len(labels)} labels occur, but there are {wide} probabilities.")
     arr = F.array(1.0 - F.col(proba), F.col(proba)) if single else F.col(proba)
     return df.groupBy(*by).agg(log_loss_column(y_true, arr, labels).alias("log_loss"))
 
@@ -245,7 +248,7 @@ def _positions(
     """Rows by descending score, then id, with running counts ``tp`` and ``k``."""
     rows = df.select(
         F.col(id_col).alias("_id"),
-        F.col(score).cast("double").alias("score"),
+        finite(score, "a score is missing or not finite.").alias("score"),
         (as_class(y_true) == int(positive_label)).cast("long").alias("hit"),
     )
     n_rows = rows.count()
@@ -256,6 +259,7 @@ def _positions(
         n_buckets,
         [F.col("score").desc(), F.col("_id")],
         {"tp": F.col("hit"), "k": F.lit(1).cast("long")},
+        place=["score", "_id"],
     )
 
 
@@ -368,7 +372,8 @@ def regression_columns(
     y_true: str = "y_true", y_pred: str = "y_pred", n_features: int | None = None
 ) -> dict[str, Column]:
     """All regression metrics as aggregates, for one fused pass."""
-    y, p = F.col(y_true).cast("double"), F.col(y_pred).cast("double")
+    y = finite(y_true, "a target is missing or not finite.")
+    p = finite(y_pred, "a prediction is missing or not finite.")
     gap = y - p
     n = F.count(F.lit(1)).cast("double")
     residual = F.sum(gap * gap)

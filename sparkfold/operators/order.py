@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
@@ -28,6 +29,7 @@ from sparkfold.constants import (
     MAX_BUCKETS,
     SAMPLES_PER_BUCKET,
 )
+from sparkfold.functions.scalar import is_violation
 from sparkfold.operators.checks import is_number
 
 PREFIX = 3  # hex digits by which a search pass over md5 keys narrows the range
@@ -95,7 +97,7 @@ def id_order(df: DataFrame, id_col: str) -> RowOrder:
     number = F.floor(F.col(id_col)).cast("long")
     low, high = df.agg(F.min(number), F.max(number)).first()
     if low is None:
-        raise ValueError("X must contain at least one sample.")
+        raise ValueError("at least one sample is needed.")
     return RowOrder((F.col(id_col),), NumberBins(low, max(int(high - low).bit_length(), 1)))
 
 
@@ -177,11 +179,20 @@ def order_statistics(
         [(g, b, left + 1, rank) for g, rank, left, b in wanted],
         f"{places}, _rn int, _rank long",
     )
-    numbered = narrowed(depth, kept).withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_g", "_b").orderBy(*keys))
+    place = Window.partitionBy("_g", "_b").orderBy(*keys)
+    numbered = narrowed(depth, kept).select(
+        "*",
+        F.row_number().over(place).alias("_rn"),
+        # a cutoff between equal keys would take or leave them together
+        F.struct(*keys).eqNullSafe(F.lag(F.struct(*keys)).over(place)).alias("_again"),
     )
-    found = numbered.join(F.broadcast(goal), ["_g", "_b", "_rn"]).select("_g", "_rank", *keys)
-    return counts, {(r[0], r[1]): tuple(r[2:]) for r in found.collect()}
+    found = numbered.join(F.broadcast(goal), ["_g", "_b", "_rn"]).select(
+        "_g", "_rank", "_again", *keys
+    )
+    rows = found.collect()
+    if any(r["_again"] or None in tuple(r[3:]) for r in rows):
+        raise ValueError("ids must be unique and not missing.")
+    return counts, {(r[0], r[1]): tuple(r[3:]) for r in rows}
 
 
 def bucket_count(n_rows: int, bucket_rows: int) -> int:
@@ -235,11 +246,18 @@ def value_buckets(
     """Ordered buckets ``(_b1, _b2)`` for the order (leading, id); also a bound on their number.
 
     ``_b1`` cuts the leading value. A value that fills whole buckets by itself gets its own
-    ``_b1`` and is cut further by id (``_b2``): since every id interval holds a bounded share of
-    all rows, so does every bucket, however the ties are spread.
+    ``_b1`` and is cut further by id (``_b2``), in as many parts as its share of the sample asks
+    for, so that there are O(rows / bucket_rows) buckets however many values are tied.
     """
     if not is_number(df, id_col):
         raise ValueError(f"order by {id_col!r} needs a numeric id.")
+    # the same refusal whatever the number of buckets, before any row could fall between them
+    missing = F.raise_error(F.lit("ids must be unique and not missing."))
+    kind = df.schema[id_col].dataType
+    df = df.withColumn(
+        id_col,
+        F.when(is_violation(F.col(id_col)), missing.cast(kind)).otherwise(F.col(id_col)),
+    )
     buckets = bucket_count(n_rows, bucket_rows)
     if buckets == 1:
         return df.withColumn("_b1", F.lit(0.0)).withColumn("_b2", F.lit(0.0)), 1
@@ -251,11 +269,22 @@ def value_buckets(
     cut = _cut(df.withColumn("_v", value), "_v", "_b1", splits).drop("_v")
     if leading is None or not alone:
         return cut.withColumn("_b2", F.lit(0.0)), buckets + 1
-    id_splits, _ = _bounds(sample["_s1"].to_numpy(dtype=float), buckets)
-    cut = _cut(cut.withColumn("_v", id_value), "_v", "_b2", id_splits).drop("_v")
-    tied = F.col("_b1").isin(*[float(b) for b in alone])
-    cut = cut.withColumn("_b2", F.when(tied, F.col("_b2")).otherwise(F.lit(0.0)))
-    return cut, buckets + 1 + 2 * len(alone) * buckets
+    places = np.searchsorted(splits, sample["_s0"].to_numpy(dtype=float), side="right")
+    ids = sample["_s1"].to_numpy(dtype=float)
+    rows, more = [], 0
+    for b in alone:
+        inside = ids[places == b]
+        parts = -(-buckets * inside.size // ids.size) + 1
+        cuts, _ = _bounds(inside, int(parts))
+        more += len(cuts)
+        rows.append((float(b), cuts))
+    # one row per heavy value, at most as many as buckets; its cuts are counted for every row of it
+    table = df.sparkSession.createDataFrame(rows, "_b1 double, _cuts array<double>")
+    joined = cut.withColumn("_v", id_value).join(F.broadcast(table), "_b1", "left")
+    part = F.size(F.filter("_cuts", lambda c: c <= F.col("_v"))).cast("double")
+    second = F.when(F.col("_cuts").isNull(), F.lit(0.0)).otherwise(part)
+    cut = joined.withColumn("_b2", second).select(*df.columns, "_b1", "_b2")
+    return cut, len(splits) + 1 + more
 
 
 def running_sums(
@@ -265,12 +294,23 @@ def running_sums(
     order: Sequence[Column],
     sums: Mapping[str, Column],
     group: Sequence[str] = (),
+    *,
+    place: Sequence[str],
 ) -> DataFrame:
     """Inclusive running sums in the given order (per group), with the grand totals.
 
+    ``place`` names the ordering columns: two rows that agree in all of them are an error.
+
     For every entry of ``sums`` the result has ``<name>`` and ``<name>_total``.
     """
     keys = [*group, *buckets]
+    twice = F.raise_error(F.lit("ids must be unique and not missing.")).cast("long")
+
+    def once(value: Column, window) -> Column:
+        """The value, or an error if the row has the same place as the one before it."""
+        row = F.struct(*place)
+        return F.when(row.eqNullSafe(F.lag(row).over(window)), twice).otherwise(value)
+
     if n_buckets == 1 and not group:
         # at most one bucket's worth of rows: a plain window needs no totals of other buckets
         so_far = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -279,7 +319,10 @@ def running_sums(
         )
         return df.select(
             "*",
-            *[F.sum(v).over(so_far).alias(k) for k, v in sums.items()],
+            *[
+                once(F.sum(v).over(so_far), Window.orderBy(*order)).alias(k)
+                for k, v in sums.items()
+            ],
             *[F.sum(v).over(whole).alias(f"{k}_total") for k, v in sums.items()],
         )
     totals = df.groupBy(*keys).agg(*[F.sum(v).alias(f"_t_{k}") for k, v in sums.items()])
@@ -295,9 +338,18 @@ def running_sums(
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return df.join(offsets, keys).select(
+    # null-safe: a missing group is a group like any other here, no row is lost
+    renamed = offsets.withColumnsRenamed({k: f"_j_{k}" for k in keys})
+    same = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys]
+    )
+    nearby = Window.partitionBy(*keys).orderBy(*order)
+    return df.join(renamed, same).select(
         *df.columns,
-        *[(F.sum(v).over(inside) + F.col(f"_o_{k}")).alias(k) for k, v in sums.items()],
+        *[
+            once(F.sum(v).over(inside) + F.col(f"_o_{k}"), nearby).alias(k)
+            for k, v in sums.items()
+        ],
         *[f"{k}_total" for k in sums],
     )
 
@@ -324,6 +376,7 @@ def add_rank(
         bucketed, n_buckets = value_buckets(df, None, id_col, n, bucket_rows)
         buckets, order = ["_b1"], [F.col(id_col)]
     ranked = running_sums(
-        bucketed, buckets, n_buckets, order, {"_seen": F.lit(1).cast("long")}, group
-    )
+        bucketed, buckets, n_buckets, order, {"_seen": F.lit(1).cast("long")}, group,
+        place=["_shuffle_key", id_col] if shuffle else [id_col],
+    )
     return ranked.withColumn(out, F.col("_seen") - 1).select(*df.columns, out)

@@ -10,13 +10,16 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkfold.constants import COMPILED_WIDTH
 from sparkfold.functions.scalar import (
     activation,
     dense,
     first_argmax,
+    is_violation,
     linear_score,
     sigmoid,
     softmax_of,
+    sql_name,
 )
 from sparkfold.operators import checks
 from sparkfold.operators.metrics import accuracy, regression_metric
@@ -56,19 +59,56 @@ def n_parameters(model: Model) -> int:
     return sum(int(np.size(value)) for value in model.params.values())
 
 
+def invalid_rows(model: Model) -> Column:
+    """True for a row that must not be scored: a feature is missing, NaN or infinite, or an array
+    has another width. For narrow arrays the test is one compiled sum, since zero times any such
+    value is not zero."""
+    names = model.features
+    if not isinstance(names, str):
+        return checks.bad_features(names)
+    arr = F.col(names)
+    wrong = arr.isNull() | (F.size(arr) != model.n_features)
+    if model.n_features > COMPILED_WIDTH:
+        return wrong | F.exists(arr, is_violation)
+    column = sql_name(names)
+    zero = F.expr(
+        " + ".join(f"double(get({column}, {i})) * 0D" for i in range(model.n_features))
+    )
+    return wrong | F.coalesce(zero != 0.0, F.lit(True)) | F.isnan(zero)
+
+
 def _checked(df: DataFrame, model: Model) -> DataFrame:
-    """Reject a table without the model's features; array widths are checked row by row."""
+    """Reject a table without the model's features, and every row that must not be scored.
+
+    The test stands in a feature that every output reads, so both forms of scoring make it.
+    """
     if model.kind in ("mean", "majority"):
         return df
     checks.require_columns(df, model.features)
-    if not isinstance(model.features, str):
-        return df
-    wrong = F.size(model.features) != model.n_features
-    message = F.lit(checks.MESSAGES["wrong_width"])
-    arr = F.when(wrong, F.raise_error(message).cast("array<double>")).otherwise(
-        F.col(model.features).cast("array<double>")
+    one = model.features if isinstance(model.features, str) else model.features[0]
+    kind = (
+        T.ArrayType(T.DoubleType()) if isinstance(model.features, str) else df.schema[one].dataType
+    )
+    message = "a feature is missing or not finite, or the number of features is not the model's."
+    error = F.raise_error(F.lit(message)).cast(kind)
+    return df.withColumn(
+        one, F.when(invalid_rows(model), error).otherwise(F.col(one).cast(kind))
     )
-    return df.withColumn(model.features, arr)
+
+
+INVALID = ("raise", "null")
+
+
+def _split_invalid(df: DataFrame, model: Model, scored) -> DataFrame:
+    """Score the valid rows; the others stay, with NULL in the columns that scoring adds."""
+    checks.require_columns(df, model.features)
+    bad = invalid_rows(model)
+    good = scored(df.filter(~bad))
+    added = [f for f in good.schema.fields if f.name not in df.columns]
+    rest = df.filter(bad).select(
+        *df.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in added]
+    )
+    return good.unionByName(rest)
 
 
 def predict_proba(df: DataFrame, model: Model, out: str = "probability") -> DataFrame:
@@ -134,9 +174,22 @@ def decide(
 
 
 def predict(
-    df: DataFrame, model: Model, out: str = "prediction", proba: str | None = None
+    df: DataFrame,
+    model: Model,
+    out: str = "prediction",
+    proba: str | None = None,
+    *,
+    invalid: str = "raise",
 ) -> DataFrame:
-    """Predicted label or value; with ``proba`` also the probabilities, computed once."""
+    """Predicted label or value; with ``proba`` also the probabilities, computed once.
+
+    A missing or non-finite feature is an error; with ``invalid="null"`` such rows are kept with
+    NULL outputs instead.
+    """
+    if invalid not in INVALID:
+        raise ValueError(f"invalid must be one of {INVALID}.")
+    if invalid == "null" and model.kind not in ("mean", "majority"):
+        return _split_invalid(df, model, lambda rows: predict(rows, model, out, proba))
     if model.kind == "majority":
         return df.withColumn(out, F.lit(int(model.params["label"][0])).cast("long"))
     if model.kind == "mean":
@@ -161,18 +214,32 @@ def score(df: DataFrame, model: Model, label: str, by: Sequence[str] = ()) -> Da
     )
 
 
-def score_batch(df: DataFrame, model: Model, version: str) -> DataFrame:
-    """Scored rows of a batch job: label, probability of the second class, model version."""
-    if model.kind != "logistic":
-        raise ValueError("batch scoring serves binary logistic models.")
-    scored = predict(df, model, "prediction", proba="_proba")
+def score_batch(
+    df: DataFrame,
+    model: Model,
+    version: str,
+    *,
+    per_class: bool = False,
+    invalid: str = "raise",
+) -> DataFrame:
+    """Scored rows of a batch job: prediction, probability and model version.
+
+    The probability is that of the second class, of two or of more; with ``per_class`` the array
+    of all of them is added. Regressors and baselines have a prediction only.
+    """
+    if not model.is_classifier or model.kind == "majority":
+        scored = predict(df, model, "prediction", invalid=invalid)
+        return scored.withColumn("model_version", F.lit(version))
+    scored = predict(df, model, "prediction", proba="_proba", invalid=invalid)
+    if per_class:
+        scored = scored.withColumn("probabilities", F.col("_proba"))
     return scored.withColumn("probability", F.get("_proba", F.lit(1))).drop("_proba").withColumn(
         "model_version", F.lit(version)
     )
 
 
 def monitor_columns(n_features: int, probability: str = "probability") -> list[Column]:
-    """What a scoring job logs about itself."""
+    """What a scoring job logs about itself; rows without an output are in no range."""
     p = F.col(probability)
     return [
         F.count(F.lit(1)).alias("n_predictions"),
@@ -183,15 +250,21 @@ def monitor_columns(n_features: int, probability: str = "probability") -> list[C
     ]
 
 
-def score_monitor(scored: DataFrame, n_features: int) -> DataFrame:
+def score_monitor(
+    scored: DataFrame, n_features: int, probability: str = "probability"
+) -> DataFrame:
     """One row of monitoring values over scored rows."""
-    return scored.agg(*monitor_columns(n_features))
+    return scored.agg(*monitor_columns(n_features, probability))
 
 
-def write_scored(df: DataFrame, model: Model, version: str, path: str) -> dict:
+def write_scored(
+    df: DataFrame, model: Model, version: str, path: str, *, invalid: str = "raise"
+) -> dict:
     """Batch scoring job: store the scored rows and return the monitoring values, which are
-    observed while the rows are written."""
+    observed while the rows are written. Regressors are watched by their prediction."""
     watched = Observation()
-    scored = score_batch(df, model, version).observe(watched, *monitor_columns(model.n_features))
+    scored = score_batch(df, model, version, invalid=invalid)
+    output = "probability" if "probability" in scored.columns else "prediction"
+    scored = scored.observe(watched, *monitor_columns(model.n_features, output))
     scored.write.mode("overwrite").parquet(path)
     return watched.get

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.constants import BUCKET_ROWS, MAX_CLASSES, SMALL_BATCH
+from sparkfold.functions.scalar import as_class
 from sparkfold.operators.encode import small_join
 from sparkfold.operators.order import (
     RowOrder,
@@ -45,7 +46,7 @@ def n_test_rows(n_rows: int, test_size: float | int) -> int:
 def _total(counts: Mapping) -> int:
     total = sum(counts.values())
     if total == 0:
-        raise ValueError("X must contain at least one sample.")
+        raise ValueError("at least one sample is needed.")
     return total
 
 
@@ -104,7 +105,7 @@ def class_quotas(counts: Mapping[int, int], n_test: int) -> dict[int, int]:
 
 
 def _stratified_split(df, id_col, test_size, stratify, seed, out) -> DataFrame:
-    label = F.col(stratify).cast("long")
+    label = as_class(stratify)
     order = shuffled_order(seed, id_col)
     plan: dict = {}
 
@@ -151,9 +152,9 @@ def fold_starts(n_rows: int, n_splits: int) -> list[int]:
 
 def _check_splits(n_splits: int, n_rows: int) -> None:
     if n_splits < 2:
-        raise ValueError("n_splits must be at least 2.")
+        raise ValueError("n_splits below 2 makes no folds.")
     if n_splits > n_rows:
-        raise ValueError("n_splits must not exceed the number of samples.")
+        raise ValueError("n_splits is larger than the table.")
 
 
 def _passed(order: RowOrder, keys: Sequence[tuple]) -> Column:
@@ -202,7 +203,7 @@ def stratified_k_fold(
     if not shuffle:
         n_rows = df.count()
         _check_splits(n_splits, n_rows)
-        with_class = df.withColumn("_c", F.col(label).cast("long"))
+        with_class = df.withColumn("_c", as_class(label))
         ranked = add_rank(
             with_class, id_col, "_rank", shuffle=False, group=["_c"],
             n_rows=n_rows, bucket_rows=bucket_rows,
@@ -219,7 +220,7 @@ def stratified_k_fold(
             c: [s for s in fold_starts(n, n_splits)[1:] if s < n] for c, n in counts.items()
         }
 
-    value = F.col(label).cast("long")
+    value = as_class(label)
     counts, keys = order_statistics(df, order, targets, value)
     per_class = {
         c: [keys[(c, s)] for s in fold_starts(n, n_splits)[1:] if s < n]
@@ -286,9 +287,9 @@ def batch_rows(batch_size: int | None, n_rows: int) -> int:
     if batch_size is None:
         return min(SMALL_BATCH, n_rows)
     if batch_size <= 0:
-        raise ValueError("batch_size must be positive.")
+        raise ValueError("batch_size is below one row.")
     if batch_size > n_rows:
-        raise ValueError("batch_size must not exceed the number of samples.")
+        raise ValueError("batch_size is larger than the table.")
     return batch_size
 
 

@@ -28,8 +28,7 @@ from sparkfold.operators.splits import mini_batches
 from sparkfold.operators.updates import History, StopRule, Update, scheduled_rate
 
 
-MIN_SHARDS = 8  # shards of row-by-row training; more for a table beyond ...
-SHARD_ROWS = 1_000_000  # ... this many rows per shard
+SHARDS = 8  # shards of row-by-row training unless the estimator names a number
 
 
 @dataclass
@@ -229,7 +228,8 @@ def train_local(run: Run, table: TrainingTable, id_col: str) -> None:
         usable = usable.filter(F.col("_fold") != net.fold)
     if net.bit >= 0:
         usable = usable.filter(F.shiftright("_vmask", net.bit).bitwiseAND(F.lit(1)) == 0)
-    shards = spec.shards or max(MIN_SHARDS, -(-table.n_rows // SHARD_ROWS))
+    # the model depends on the number of shards, so it never follows the table's size
+    shards = spec.shards or SHARDS
     sharded = usable.withColumn("_shard", F.pmod(F.col("_key"), F.lit(shards)))
     placed = sharded.repartition(shards, "_shard").persist(StorageLevel.MEMORY_AND_DISK)
     try:

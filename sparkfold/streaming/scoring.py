@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,9 +10,12 @@ from sparkfold.operators.models import Model
 from sparkfold.operators.score import monitor_columns, score_batch
 
 
-def score_stream(stream: DataFrame, model: Model, version: str) -> DataFrame:
-    """The batch scoring projection on a stream; it keeps no state."""
-    return score_batch(stream, model, version)
+def score_stream(
+    stream: DataFrame, model: Model, version: str, *, per_class: bool = False, invalid: str = "raise"
+) -> DataFrame:
+    """The batch scoring projection on a stream; it keeps no state. With ``invalid="null"`` a row
+    that cannot be scored does not stop the stream but gets NULL outputs."""
+    return score_batch(stream, model, version, per_class=per_class, invalid=invalid)
 
 
 def write_scores(scored: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -45,20 +48,32 @@ def monitor_stream(
 
 
 def write_monitor(monitor: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep the current value of every window, including the open ones, in a Parquet table."""
+    """Store every window that changes in a trigger, the open ones included.
+
+    Update mode: the watermark drops closed windows from the state. Each trigger writes a folder
+    of its own, which a repeated one replaces; ``read_monitor`` takes the latest value per window.
+    """
 
-    def replace_table(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def store(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
     return (
-        monitor.writeStream.outputMode("complete")
+        monitor.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(replace_table)
+        .foreachBatch(store)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+def read_monitor(spark: SparkSession, path: str) -> DataFrame:
+    """The current value of every window that ``write_monitor`` stored."""
+    stored = spark.read.parquet(path)
+    values = [c for c in stored.columns if c not in ("window", "epoch")]
+    latest = F.max_by(F.struct(*values), "epoch").alias("v")
+    return stored.groupBy("window").agg(latest).select("window", "v.*")
+
+
 def append_monitor(monitor: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append every window once it is closed by the watermark."""
     return (

@@ -27,7 +27,7 @@ def test_features(spark):
 
 def test_targets_and_weights(spark):
     df = rows_reg(spark, [[1], [2]], [1.0, float("inf")], [1.0, -1.0])
-    with pytest.raises(ValueError, match="y must contain only finite"):
+    with pytest.raises(ValueError, match="target is missing, NaN or infinite"):
         checks.require(df, checks.target_checks("label"))
     with pytest.raises(ValueError, match="negative"):
         checks.require(df, checks.weight_checks("weight"))

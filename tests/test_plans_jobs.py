@@ -264,7 +264,7 @@ def test_stream_scores_equal_batch_scores(spark, tmp_path):
     monitor = streaming.monitor_stream(scored, "at", 1, window="2 hours", delay="10 minutes")
     out = str(tmp_path / "monitor")
     streaming.write_monitor(monitor, out, str(tmp_path / "c2")).awaitTermination()
-    assert spark.read.parquet(out).agg(F.sum("n_predictions")).first()[0] == 8
+    assert streaming.read_monitor(spark, out).agg(F.sum("n_predictions")).first()[0] == 8
 
 
 class Session:

@@ -29,6 +29,7 @@ from sparkfold.sources.models import save_model
 from sparkfold.streaming.scoring import (
     append_monitor,
     monitor_stream,
+    read_monitor,
     score_stream,
     utc_instant,
     write_monitor,
@@ -295,7 +296,7 @@ def r08(spark, d):
     write_monitor(
         _monitored(spark, d), path, scratch_path(spark, "monitor-checkpoint")
     ).awaitTermination()
-    return _monitor_rows(spark.read.parquet(path))
+    return _monitor_rows(read_monitor(spark, path))
 
 
 @query(
