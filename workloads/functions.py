@@ -547,3 +547,37 @@ def a05_l1(spark, d):
         rows, losses.binary_entropy("y", "p"), weights, penalty="l1", strength=25.0
     )
     return result.withColumn("objective", rounded("objective"))
+
+
+@query(
+    "e01_label_index_customers",
+    """SELECT o_orderkey, o_custkey, CAST(dense_rank() OVER (ORDER BY o_custkey) - 1 AS INTEGER)
+       AS label_index FROM orders""",
+)
+def e01_customers(spark, d):
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return encode.add_label_index(rows, "o_custkey")
+
+
+@query(
+    "e02_one_hot_default_width",
+    f"""WITH {OD} SELECT id, CAST(pr = 0 AS DOUBLE) AS h0, CAST(pr = 1 AS DOUBLE) AS h1,
+        CAST(pr = 5 AS DOUBLE) AS h5, (SELECT CAST(max(pr) + 1 AS INTEGER) FROM od) AS width
+        FROM od""",
+)
+def e02_default(spark, d):
+    rows = encode.add_one_hot(orders(spark, d).select("id", "pr"), "pr", "h")
+    return rows.select(
+        "id", *[F.get("h", F.lit(i)).alias(f"h{i}") for i in (0, 1, 5)], F.size("h").alias("width")
+    )
+
+
+@query(
+    "e03_class_weight_customers",
+    """SELECT o_custkey AS label, count(*) AS n, round((SELECT count(*) FROM orders)
+         / ((SELECT count(DISTINCT o_custkey) FROM orders) * CAST(count(*) AS DOUBLE)), 9)
+         AS class_weight FROM orders GROUP BY o_custkey""",
+)
+def e03_customers(spark, d):
+    weights = encode.class_weight_table(table(spark, d, "orders"), "o_custkey", "balanced")
+    return weights.withColumn("class_weight", rounded("class_weight", 9))

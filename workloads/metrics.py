@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkfold.functions import scalar
 from sparkfold.operators import metrics
 from workloads.base import (
+    ORACLE,
     EV,
     LI,
     OD,
@@ -354,3 +355,51 @@ def m16(spark, d):
 def m17(spark, d):
     report = metrics.regression_report(guessed(spark, d), "t", "f", n_features=2)
     return report.select(*[rounded(c).alias(c) for c in report.columns])
+
+
+# --- the same answers from many buckets -------------------------------------------------------
+
+
+@query("m07_roc_curve_bucketed", ORACLE["m07_roc_curve"])
+def m07_bucketed(spark, d):
+    curve = metrics.roc_curve(events(spark, d), "y", "p", "id", bucket_rows=300)
+    return round_columns(curve, ["fpr", "tpr"], 9)
+
+
+@query("m10_pr_auc_bucketed", ORACLE["m10_pr_auc"])
+def m10_bucketed(spark, d):
+    result = metrics.pr_auc(events(spark, d), "y", "p", "id", bucket_rows=300)
+    return round_columns(result, ["pr_auc"], 9)
+
+
+@query("m16_classification_report_bucketed", ORACLE["m16_classification_report"])
+def m16_bucketed(spark, d):
+    report = metrics.classification_report(
+        events(spark, d), "y", "yhat", score="p", id_col="id", bucket_rows=300
+    )
+    cells = {
+        f"c{i}{j}": F.get(F.get("confusion_matrix", F.lit(i)), F.lit(j))
+        for i in range(2) for j in range(2)
+    }
+    report = report.withColumns(cells).drop("confusion_matrix", "labels")
+    return round_columns(
+        report,
+        ["accuracy", "precision_macro", "recall_macro", "f1_macro", "roc_auc", "pr_auc"], 9,
+    )
+
+
+@query(
+    "m06_log_loss_default_labels",
+    """WITH p AS (SELECT label, [CAST((c * 7 + vec_id) % 11 + 1 AS DOUBLE)
+         FOR c IN range(10)] AS e FROM embeddings)
+       SELECT round(avg(-ln(e[label + 1] / list_sum(e))), 9) AS log_loss FROM p""",
+)
+def m06_default_labels(spark, d):
+    weights = F.transform(
+        F.sequence(F.lit(0), F.lit(9)),
+        lambda c: ((c * 7 + F.col("vec_id")) % 11 + 1).cast("double"),
+    )
+    rows = table(spark, d, "embeddings").select("label", weights.alias("e"))
+    total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
+    rows = rows.select("label", F.transform("e", lambda x: x / total).alias("proba"))
+    return round_columns(metrics.log_loss(rows, "label", "proba"), ["log_loss"], 9)

@@ -742,3 +742,67 @@ def j02_round_trip(spark, d):
         meta={"model_name": "orders-status", "version": "2"},
     )
     return report_rows(evaluate_job(rows, "y", "id", path, "orders-status", "2"))
+
+
+# --- models of every kind in the scoring jobs ---------------------------------------------------
+
+SOFT_CTE = f"""WITH {OD}, e AS (SELECT id, exp({LOGITS[0]}) AS e0, exp({LOGITS[1]}) AS e1,
+  exp({LOGITS[2]}) AS e2 FROM od)
+SELECT id, CAST(CASE WHEN e0 >= e1 AND e0 >= e2 THEN 10 WHEN e1 >= e2 THEN 20 ELSE 30 END
+         AS BIGINT) AS prediction, round(e1 / (e0 + e1 + e2), 9) AS probability,
+       'soft' AS model_version"""
+
+
+def soft_model() -> Model:
+    params = {"weights": np.array(SOFT_W), "bias": np.array(SOFT_B)}
+    return Model("softmax", ["x1", "x2"], 2, params, [10, 20, 30])
+
+
+@query(
+    "r06_score_batch_softmax",
+    SOFT_CTE + ", round(e2 / (e0 + e1 + e2), 9) AS p_third FROM e",
+)
+def r06_softmax(spark, d):
+    rows = orders(spark, d).select("id", "x1", "x2")
+    scored = score_batch(rows, soft_model(), "soft", per_class=True)
+    third = F.get("probabilities", F.lit(2))
+    scored = scored.withColumn("p_third", third).drop("x1", "x2", "probabilities")
+    return round_columns(scored, ["probability", "p_third"], 9)
+
+
+@query("r07_score_stream_softmax", SOFT_CTE + " FROM e")
+def r07_softmax(spark, d):
+    batch = table(spark, d, "orders")
+    stream = (
+        spark.readStream.schema(batch.schema).option("pathGlobFilter", "orders.parquet").parquet(d)
+    )
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1998-04-01").cast("date"))
+    rows = stream.select(
+        F.col("o_orderkey").alias("id"),
+        ((F.col("o_totalprice") - 250000) / 150000).alias("x1"),
+        (days / 1000.0).alias("x2"),
+    )
+    path = scratch_path(spark, "scored")
+    scored = score_stream(rows, soft_model(), "soft").drop("x1", "x2")
+    write_scores(scored, path, scratch_path(spark, "scored-checkpoint")).awaitTermination()
+    return round_columns(spark.read.parquet(path), ["probability"], 9)
+
+
+@query(
+    "r06_score_batch_invalid_rows",
+    f"""WITH {OD}, p AS (SELECT id, CASE id % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL
+          ELSE {P} END AS p FROM od)
+        SELECT id, CAST(CASE WHEN p IS NULL THEN NULL WHEN p >= 0.5 THEN 1 ELSE 0 END AS BIGINT)
+          AS prediction, round(p, 9) AS probability, 'v1' AS model_version FROM p""",
+)
+def r06_invalid(spark, d):
+    # NULL, NaN and infinite features: the rows stay and have no output
+    dirty = (
+        F.when(F.col("id") % 7 == 0, F.lit(None).cast("double"))
+        .when(F.col("id") % 7 == 1, F.lit(float("nan")))
+        .when(F.col("id") % 7 == 2, F.lit(float("inf")))
+        .otherwise(F.col("x1"))
+    )
+    rows = orders(spark, d).select("id", dirty.alias("x1"), "x2")
+    scored = score_batch(rows, binary_model(), "v1", invalid="null")
+    return round_columns(scored.drop("x1", "x2"), ["probability"], 9)

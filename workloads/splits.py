@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkfold.operators import splits
-from workloads.base import EV, OD, events, orders, query, table
+from workloads.base import EV, OD, ORACLE, events, orders, query, table
 
 
 def shuffled(seed, key="id"):
@@ -179,3 +179,20 @@ def p06(spark, d):
 )
 def p06_plain(spark, d):
     return splits.mini_batches(events(spark, d).select("id"), "id", epoch=0, shuffle=False).df
+
+
+@query("p04_stratified_k_fold_bucketed", ORACLE["p04_stratified_k_fold"])
+def p04_bucketed(spark, d):
+    rows = orders(spark, d).select("id", "y3")
+    return splits.stratified_k_fold(rows, "id", "y3", n_splits=4, bucket_rows=500)
+
+
+@query(
+    "p04_stratified_k_fold_customers",
+    f"""WITH {OD} SELECT id, cust, CAST((row_number() OVER (PARTITION BY cust ORDER BY id) - 1) % 3
+        AS INTEGER) AS fold FROM od""",
+)
+def p04_customers(spark, d):
+    # a label with as many values as there are customers
+    rows = orders(spark, d).select("id", "cust")
+    return splits.stratified_k_fold(rows, "id", "cust", n_splits=3, bucket_rows=2000)
