@@ -87,16 +87,16 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     labels = kept_table(labels, "labels")
     for _ in range(rounds):
         near = (
-            both.join(labels.select(F.col("id").alias("b"), "component"), "b")
+            join_few(both, labels.select(F.col("id").alias("b"), "component"), "b")
             .groupBy(F.col("a").alias("id"))
             .agg(F.min("component").alias("near"))
         )
-        better = labels.join(near, "id").select(
+        better = near.join(labels, "id").select(
             "id", F.least("component", "near").alias("target"), F.col("component").alias("was")
         )
         jump = labels.select(F.col("id").alias("target"), F.col("component").alias("jump"))
         step = kept_table(
-            better.join(jump, "target", "left").select(
+            join_few(better, jump, "target", "left").select(
                 "id", F.least("target", F.coalesce("jump", "target")).alias("component"), "was"
             ),
             "labels",

@@ -17,16 +17,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.llm.common import components, kept_table
+from sparkfold.llm.common import components, join_few, kept_table
 from sparkfold.llm.shingles import mix, runs_of, shingle_set
 
 #: Bins of a sketch; each holds the low byte of its least hash, or zero if it is empty.
-BINS = 64
+BINS = 128
 #: Nodes up to this size are compared by brute force.
-SMALL = 96
+SMALL = 256
 #: Levels after which what is still together is taken for one candidate cluster.
 DEPTH = 10
 #: Records per block of the exact comparison.
@@ -116,6 +116,29 @@ def _near(sketches: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float)
     return same >= threshold * used - SLACK * deviation
 
 
+def _near_columns(threshold: float) -> Column:
+    """The same for the columns sketch and first_sketch."""
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.lit(BINS)),
+        lambda b: F.struct(
+            F.substring("sketch", b, F.lit(1)).alias("a"),
+            F.substring("first_sketch", b, F.lit(1)).alias("b"),
+        ),
+    )
+    empty = F.lit(b"\x00")
+    counts = F.aggregate(
+        pairs,
+        F.struct(F.lit(0).alias("used"), F.lit(0).alias("same")),
+        lambda t, p: F.struct(
+            (t["used"] + ((p["a"] != empty) | (p["b"] != empty)).cast("int")).alias("used"),
+            (t["same"] + ((p["a"] == p["b"]) & (p["a"] != empty)).cast("int")).alias("same"),
+        ),
+        lambda t: t["same"]
+        >= threshold * t["used"] - SLACK * F.sqrt(threshold * (1 - threshold) * t["used"]),
+    )
+    return counts
+
+
 def _stars(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Least index of the component of each of n items linked by the pairs (i, j)."""
     label = np.arange(n)
@@ -194,14 +217,24 @@ def candidate_links(records: DataFrame, threshold: float) -> DataFrame:
         shared = kept_table(level.join(count.where("size > 1"), "node"), "nodes")
         small = shared.where(F.col("size") <= SMALL).join(sketches, "record")
         found = _compare_small(small, threshold)
-        large = shared.where(F.col("size") > SMALL)
-        done = large.isEmpty()
-        if not done and depth == DEPTH - 1:
-            star = large.where("record <> first").select(F.col("record").alias("a"), F.col("first").alias("b"))
-            found = found.union(star)
         links = found if links is None else links.union(found)
-        if done:
+        if shared.where(F.col("size") > SMALL).isEmpty():
             break
+        # what is near the first record of its node is linked to it; a node in which all are is done
+        first = sketches.select(F.col("record").alias("first"), F.col("sketch").alias("first_sketch"))
+        large = shared.where(F.col("size") > SMALL).join(sketches, "record").join(first, "first")
+        large = kept_table(
+            large.select(
+                "node", "record", "first", "n", "sketch", _near_columns(threshold).alias("near")
+            ),
+            "large",
+        )
+        star = large if depth == DEPTH - 1 else large.where("near")
+        links = links.union(
+            star.where("record <> first").select(F.col("record").alias("a"), F.col("first").alias("b"))
+        )
+        mixed = large.groupBy("node").agg(F.bool_and("near").alias("done")).where("NOT done")
+        large = large.join(mixed.select("node"), "node", "left_semi")
         # the chance to draw a bin is the same for all sets of at least BINS shingles
         scale = 1 << 30
         chance = F.lit(scale / threshold) / F.least(F.lit(BINS), F.col("n"))
@@ -211,7 +244,7 @@ def candidate_links(records: DataFrame, threshold: float) -> DataFrame:
             & (F.substring("sketch", b, F.lit(1)) != F.lit(b"\x00")),
         )
         level = kept_table(
-            large.join(sketches, "record").select("node", "record", "sketch", F.explode(bins).alias("bin"))
+            large.select("node", "record", "sketch", F.explode(bins).alias("bin"))
             .select(F.xxhash64("node", "bin", F.substring("sketch", F.col("bin"), F.lit(1))).alias("node"), "record"),
             "level",
         )
@@ -248,14 +281,13 @@ def _exact(group: pa.Table, threshold: float) -> list[tuple]:
 
 
 def exact_links(clustered: DataFrame, threshold: float) -> DataFrame:
-    """(record, links, root) per comparison of clustered (component, record, copies, text).
+    """(record, links, root) per comparison of clustered (component, members, record, copies, text).
 
     A cluster of more than BLOCK records is cut into blocks by hash, and every two blocks meet in
     a task of their own; links are counted there and come back as one row per record.
     """
-    size = clustered.groupBy("component").agg(F.count("*").alias("members"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = clustered.join(size, "component").select(
+    rows = clustered.select(
         "component", "record", "copies", "text", blocks.alias("blocks"),
         F.pmod(F.xxhash64("record"), blocks).cast("int").alias("own"),
     )
@@ -309,9 +341,11 @@ def jaccard_join(docs: DataFrame, *, threshold: float = 0.8, recall: float = 0.9
     sets = distinct.select("record", "copies", "least")
     clusters = components(candidate_links(distinct, threshold)).withColumnRenamed("id", "record")
     # one text per record of a cluster: that of a row with its least id
-    wanted = kept_table(
+    named = kept_table(
         clusters.join(sets, "record").select("component", "record", "copies", "least"), "clusters"
     )
+    size = kept_table(named.groupBy("component").agg(F.count("*").alias("members")), "sizes")
+    wanted = kept_table(join_few(named, size, "component"), "wanted")
     found = kept_table(exact_links(_texts_of(docs, wanted), threshold), "exact")
     classes = components(found.selectExpr("record AS a", "root AS b")).withColumnRenamed("id", "record")
     linked = found.groupBy("record").agg(F.sum("links").alias("links"))
@@ -329,7 +363,7 @@ def jaccard_join(docs: DataFrame, *, threshold: float = 0.8, recall: float = 0.9
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(component, record, copies, text): the text of each wanted record.
+    """(component, members, record, copies, text): the text of each wanted record.
 
     Rows are found by the record's least doc_id and kept if their text has the record's shingles,
     for ids may repeat. Rows that repeat both id and text stay repeated.
@@ -346,6 +380,8 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield part.filter(pa.array(fits, pa.bool_()))
 
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    return texts.join(wanted, F.col("id").eqNullSafe(F.col("least"))).select(
-        "component", "record", "copies", "text"
-    ).mapInArrow(run, "component binary, record binary, copies long, text string")
+    return join_few(texts, wanted, F.col("id").eqNullSafe(F.col("least"))).select(
+        "component", "members", "record", "copies", "text"
+    ).mapInArrow(
+        run, "component binary, members long, record binary, copies long, text string"
+    )
