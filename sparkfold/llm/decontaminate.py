@@ -140,7 +140,11 @@ def contamination(
     )
     codes = kept_table(marked.select(F.explode("h").alias("code"), "size").distinct(), "codes")
 
-    found = shingled(rows, "key").select("key", F.size("h").alias("n"), F.posexplode("h").alias("at", "code"))
+    # the outer form, since the optimizer would put a filter on the codes below their computation,
+    # which would then run many times; the join drops the empty rows
+    found = shingled(rows, "key").select(
+        "key", F.size("h").alias("n"), F.posexplode_outer("h").alias("at", "code")
+    )
     hits = join_few(found, codes, "code").groupBy("key", "n", "size").agg(
         F.sort_array(F.collect_set("at")).alias("at")
     )
