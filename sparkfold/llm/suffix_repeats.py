@@ -23,6 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sparkfold.llm.common import join_few, kept_table
 from sparkfold.llm.shingles import mix, runs_of
@@ -33,7 +34,7 @@ GRAMS = LEAST - GRAM + 1
 #: Bytes of text that a task looks at together, and positions hashed at a time.
 BATCH, STEP = 8 << 20, 1 << 20
 #: Bytes of text per part of the anchors and of the contexts.
-ANCHOR_PART, CONTEXT_PART = 32 << 20, 16 << 20
+ANCHOR_PART, CONTEXT_PART = 32 << 20, 8 << 20
 #: Bytes of contexts that a part sorts at a time, whole anchors at least.
 SLICE = 1 << 20
 #: Stands for the id of rows without one: smaller than all others.
@@ -93,17 +94,21 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """Rows in lists of about BATCH bytes of text."""
-    held, size = [], 0
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for start in range(0, batch.num_rows, 64):
-            for row in batch.slice(start, 64).to_pylist():
-                held.append(row)
-                size += len(row["data"])
-                if size >= BATCH:
-                    yield held
-                    held, size = [], 0
+            yield from batch.slice(start, 64).to_pylist()
+
+
+def _batches_of(rows: Iterator[dict]) -> Iterator[list[dict]]:
+    """Rows in lists of about BATCH bytes of text."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row["data"])
+        if size >= BATCH:
+            yield held
+            held, size = [], 0
     if held:
         yield held
 
@@ -117,7 +122,8 @@ def _joined(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 PARTED = "part long, kind int, id long, blob binary"
 _PARTED = pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("id", pa.int64()), ("blob", pa.binary())])
-_RANGED = pa.schema([("id", pa.int64()), ("blob", pa.binary())])
+BUCKETED = "bucket long, kind int, id long, blob binary"
+_BUCKETED = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("id", pa.int64()), ("blob", pa.binary())])
 
 
 def _by_id(ids: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
@@ -131,7 +137,7 @@ def _by_id(ids: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, tuple[np
 
 def _send_anchors(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _batches_of(batches):
+        for rows in _batches_of(_rows_of(batches)):
             data, ends, ids = _joined(rows)
             h, at, _, _ = anchors(data, ends)
             doc = np.searchsorted(ends, at, side="right")
@@ -166,33 +172,76 @@ def _send_anchors(parts: int):
     return run
 
 
-def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, places) of the anchors that occur in several documents, part by part."""
-    for group in runs_of(batches, ["part"]):
-        out, codes, owners, places = [], [], [], []
-        for row in group.to_pylist():
-            if row["kind"] == 1:
-                out.append({"id": row["id"], "blob": row["blob"]})
-                continue
-            n, raw = row["id"], _unpack(row["blob"])
-            wide = np.zeros((n, 8), dtype=np.uint8)
-            wide[:, :7] = np.frombuffer(raw, np.uint8, n * 7).reshape(n, 7)
-            codes.append(wide.view(np.uint64).ravel())
-            owners.append(np.frombuffer(raw, np.int64, n, n * 7))
-            places.append(np.frombuffer(raw, np.uint32, n, n * 15))
-        if codes:
-            code, owner, place = map(np.concatenate, (codes, owners, places))
-            order = np.argsort(code, kind="stable")
-            code, owner, place = code[order], owner[order], place[order]
-            known, code = code & np.uint64(1) == 1, code >> np.uint64(1)
-            start = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-            size = np.diff(np.append(start, len(code)))
-            several = np.minimum.reduceat(owner, start) != np.maximum.reduceat(owner, start)
-            several |= np.logical_or.reduceat(known, start)
-            tell = np.repeat(several, size) & ~known
-            out += [{"id": k, "blob": _pack(p)} for k, (p,) in _by_id(owner[tell], place[tell])]
-        if out:
-            yield pa.RecordBatch.from_pylist(out, _RANGED)
+def _bucket_of(ids: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _bundled(buckets: int, ids: list[np.ndarray], *columns: list[np.ndarray]) -> pa.RecordBatch:
+    """What belongs to documents, packed by bucket of their id: a row per bucket, not per document."""
+    all_ids = np.concatenate(ids)
+    values = [np.concatenate(c) for c in columns]
+    out = [
+        {"bucket": k, "kind": 0, "id": len(part[0]), "blob": _pack(*part)}
+        for k, part in _by_id(_bucket_of(all_ids, buckets), all_ids, *values)
+    ]
+    return pa.RecordBatch.from_pylist(out, _BUCKETED)
+
+
+def _shared_anchors(buckets: int):
+    """Bundles (id, place) of the anchors that occur in several documents, part by part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs_of(batches, ["part"]):
+            ids, at, codes, owners, places = [], [], [], [], []
+            for row in group.to_pylist():
+                raw = _unpack(row["blob"])
+                if row["kind"] == 1:
+                    at.append(np.frombuffer(raw, np.uint32))
+                    ids.append(np.full(len(at[-1]), row["id"], dtype=np.int64))
+                    continue
+                n = row["id"]
+                wide = np.zeros((n, 8), dtype=np.uint8)
+                wide[:, :7] = np.frombuffer(raw, np.uint8, n * 7).reshape(n, 7)
+                codes.append(wide.view(np.uint64).ravel())
+                owners.append(np.frombuffer(raw, np.int64, n, n * 7))
+                places.append(np.frombuffer(raw, np.uint32, n, n * 15))
+            if codes:
+                code, owner, place = map(np.concatenate, (codes, owners, places))
+                order = np.argsort(code, kind="stable")
+                code, owner, place = code[order], owner[order], place[order]
+                known, code = code & np.uint64(1) == 1, code >> np.uint64(1)
+                start = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+                size = np.diff(np.append(start, len(code)))
+                several = np.minimum.reduceat(owner, start) != np.maximum.reduceat(owner, start)
+                several |= np.logical_or.reduceat(known, start)
+                tell = np.repeat(several, size) & ~known
+                ids.append(owner[tell])
+                at.append(place[tell])
+            if ids:
+                yield _bundled(buckets, ids, at)
+
+    return run
+
+
+def _beside(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[dict, list]]:
+    """Rows of documents with what the bundles of their bucket hold for them.
+
+    Rows come sorted by bucket and kind, bundles (kind 0) before documents: the arrays of one
+    bucket are in memory at a time. A bundle has ids and `width` arrays of 32-bit numbers.
+    """
+    bucket, held = None, {}
+    for batch in batches:
+        for start in range(0, batch.num_rows, 64):
+            for row in batch.slice(start, 64).to_pylist():
+                if row["bucket"] != bucket:
+                    bucket, held = row["bucket"], {}
+                if row["kind"] == 1:
+                    yield row, held.get(row["id"], [])
+                    continue
+                n, raw = row["id"], _unpack(row["blob"])
+                columns = [np.frombuffer(raw, np.uint32, n, n * (8 + 4 * c)) for c in range(width)]
+                for k, part in _by_id(np.frombuffer(raw, np.int64, n), *columns):
+                    held.setdefault(k, []).append(part)
 
 
 def _send_contexts(parts: int):
@@ -202,7 +251,7 @@ def _send_contexts(parts: int):
             h, at, first, last = anchors(data, ends)
             begin = np.concatenate([[0], ends[:-1]])
             shared = np.concatenate(
-                [np.frombuffer(_unpack(b), np.uint32).astype(np.int64) + s for r, s in zip(rows, begin) for b in r["places"]]
+                [p.astype(np.int64) + s for r, s in zip(rows, begin) for (p,) in r["places"]]
             )
             take = np.isin(at, shared)
             h, first, last = h[take], first[take], last[take]
@@ -254,14 +303,11 @@ def _send_contexts(parts: int):
     return run
 
 
-def _inflated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, 64):
-            part = batch.slice(start, 64)
-            data = pa.array([_unpack(z) for z in part.column("z").to_pylist()], pa.large_binary())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), data, part.column("places")], ["id", "data", "places"]
-            )
+def _inflated(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Documents that hold shared anchors, with their places."""
+    for row, places in _beside(batches, 1):
+        if places:
+            yield {"id": row["id"], "data": _unpack(row["blob"]), "places": places}
 
 
 def maximal_repeats(
@@ -325,15 +371,20 @@ def maximal_repeats(
                 stack.append([depth, low, mark])
 
 
-def _repeated_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, ranges) of the bytes to remove, part by part."""
-    for group in runs_of(batches, ["part"]):
-        out, parts = [], []
-        for row in group.to_pylist():
-            if row["kind"] == 1:
-                out.append({"id": row["id"], "blob": row["blob"]})
-            else:
+def _repeated_ranges(buckets: int):
+    """Bundles (id, from, to) of the bytes to remove, part by part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs_of(batches, ["part"]):
+            parts, ids, low, high = [], [], [], []
+            for row in group.to_pylist():
                 n, raw = row["id"], _unpack(row["blob"])
+                if row["kind"] == 1:
+                    flat = np.frombuffer(raw, np.uint32)
+                    low.append(flat[: len(flat) // 2])
+                    high.append(flat[len(flat) // 2 :])
+                    ids.append(np.full(len(low[-1]), n, dtype=np.int64))
+                    continue
                 lengths = np.frombuffer(raw, np.uint32, n, n * 20)
                 ends = n * 24 + np.cumsum(lengths, dtype=np.int64)
                 parts += zip(
@@ -342,26 +393,23 @@ def _repeated_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                     np.frombuffer(raw, np.uint32, n, n * 16).tolist(),
                     (raw[e - s : e] for s, e in zip(lengths.tolist(), ends.tolist())),
                 )
-        parts.sort(key=lambda e: e[0])
-        ids, low, high = [], [], []
-        i = 0
-        while i < len(parts):
-            # whole anchors, up to SLICE bytes
-            j, size = i, 0
-            while j < len(parts) and (size < SLICE or parts[j][0] == parts[j - 1][0]):
-                size += len(parts[j][3])
-                j += 1
-            for o, a, b in _resolve(parts[i:j]):
-                ids.append(o)
-                low.append(a)
-                high.append(b)
-            i = j
-        out += [
-            {"id": k, "blob": _pack(f, t)}
-            for k, (f, t) in _by_id(np.array(ids, np.int64), np.array(low, np.uint32), np.array(high, np.uint32))
-        ]
-        if out:
-            yield pa.RecordBatch.from_pylist(out, _RANGED)
+            parts.sort(key=lambda e: e[0])
+            i = 0
+            while i < len(parts):
+                # whole anchors, up to SLICE bytes
+                j, size = i, 0
+                while j < len(parts) and (size < SLICE or parts[j][0] == parts[j - 1][0]):
+                    size += len(parts[j][3])
+                    j += 1
+                found = list(_resolve(parts[i:j]))
+                ids.append(np.array([x[0] for x in found], dtype=np.int64))
+                low.append(np.array([x[1] for x in found], dtype=np.uint32))
+                high.append(np.array([x[2] for x in found], dtype=np.uint32))
+                i = j
+            if ids:
+                yield _bundled(buckets, ids, low, high)
+
+    return run
 
 
 def _resolve(entries: list[tuple]) -> Iterator[tuple[int, int, int]]:
@@ -391,51 +439,55 @@ def _resolve(entries: list[tuple]) -> Iterator[tuple[int, int, int]]:
                         yield o, s + inside, s + inside + length
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """(id, z): the bytes of each text, compressed, to be shuffled."""
+def _packed(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows (id, ..., data) as (bucket, kind 1, id, ..., blob): the compressed bytes of each text."""
+    names = rows.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 pack = zstandard.ZstdCompressor(level=1)
-                done = [pack.compress(x) for x in part.column(part.num_columns - 1).to_pylist()]
+                done = [pack.compress(x) for x in part.column("data").to_pylist()]
+                ids = part.column("id").fill_null(0).to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(done, pa.binary())], [*part.schema.names[:-1], "z"]
+                    [
+                        pa.array(_bucket_of(ids, buckets)),
+                        pa.array(np.ones(len(done), dtype=np.int32)),
+                        *[part.column(c) for c in names],
+                        pa.array(done, pa.binary()),
+                    ],
+                    ["bucket", "kind", *names, "blob"],
                 )
 
     kinds = ", ".join(f"{c} {t}" for c, t in rows.dtypes[:-1])
-    return rows.mapInArrow(run, f"{kinds}, z binary")
+    return rows.mapInArrow(run, f"bucket long, kind int, {kinds}, blob binary")
+
+
+def _gathered(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a part next to each other, in as many tasks as the session shuffles to."""
+    return rows.repartition(keys[0]).sortWithinPartitions(*keys)
 
 
-def repeated_bytes(docs: DataFrame) -> DataFrame:
-    """(id, blob): ranges of bytes to remove from distinct texts (id, data), as packed uint32 pairs.
+def repeated_bytes(docs: DataFrame, total: int) -> tuple[DataFrame, int]:
+    """Bundles of the ranges to remove from distinct texts (id, data), and the number of buckets.
 
     A byte is in a range if some 50 bytes that cover it also start in a text with a smaller id.
+    ``total`` is the size of all texts in bytes; it sets the number of parts.
     """
-    spark = docs.sparkSession
-    total = docs.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     few = -(-total // ANCHOR_PART) or 1
     many = -(-total // CONTEXT_PART) or 1
-
-    def gathered(sent: DataFrame, parts: int) -> DataFrame:
-        spread = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        return sent.repartition(spread, "part").sortWithinPartitions("part")
-
-    sent = docs.select("id", "data").mapInArrow(_send_anchors(few), PARTED)
-    shared = gathered(sent, few).mapInArrow(_shared_anchors, "id long, blob binary")
-    places = shared.groupBy("id").agg(F.collect_list("blob").alias("places"))
-    texts = _packed(docs.select("id", "data")).join(places.hint("merge"), "id")
-    contexts = texts.select("id", "z", "places").mapInArrow(_send_contexts(many), PARTED)
-    return gathered(contexts, many).mapInArrow(_repeated_ranges, "id long, blob binary")
+    docs = docs.select("id", "data")
+    sent = docs.mapInArrow(_send_anchors(few), PARTED)
+    shared = _gathered(sent, "part").mapInArrow(_shared_anchors(few), BUCKETED)
+    beside = _gathered(shared.unionByName(_packed(docs, few)), "bucket", "kind")
+    contexts = beside.mapInArrow(_send_contexts(many), PARTED)
+    return _gathered(contexts, "part").mapInArrow(_repeated_ranges(few), BUCKETED), few
 
 
-def _spans(blobs: list[bytes]) -> list[tuple[int, int]]:
+def _spans(ranges: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
     """Union of ranges as sorted runs that do not touch."""
-    pairs = []
-    for blob in blobs:
-        flat = np.frombuffer(_unpack(blob), np.uint32)
-        pairs += zip(flat[: len(flat) // 2].tolist(), flat[len(flat) // 2 :].tolist())
+    pairs = [p for low, high in ranges for p in zip(low.tolist(), high.tolist())]
     runs: list[tuple[int, int]] = []
     for a, b in sorted(pairs):
         if runs and a <= runs[-1][1]:
@@ -471,36 +523,43 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     original = (F.col("least").isNull()) | (F.col("least") == F.col("order_"))
     chosen = F.col("chosen").isNull() | (F.col("chosen") == F.col("digest"))
     first = marked.where(original & chosen & (F.octet_length("data") >= LEAST))
-    ranges = repeated_bytes(first.select(F.col("order_").alias("id"), "data"))
-    found = ranges.groupBy("id").agg(F.collect_list("blob").alias("blobs"))
+    total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    ranges, buckets = repeated_bytes(first.select(F.col("order_").alias("id"), "data"), total)
     named = F.when(chosen, F.col("order_"))
-    packed = _packed(marked.select("doc_id", named.alias("name"), (~original).alias("copy"), "data"))
-    joined = packed.join(found.hint("merge"), F.col("name") == F.col("id"), "left")
+    packed = _packed(
+        marked.select(named.alias("id"), "doc_id", (~original).alias("copy"), "data"), buckets
+    )
+    beside = _gathered(ranges.unionByName(packed, allowMissingColumns=True), "bucket", "kind")
+    schema = pa.schema([("data", pa.binary()), ("spans", pa.list_(pa.list_(pa.int64())))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                left, spans = [], []
-                for row in part.to_pylist():
-                    data = _unpack(row["z"])
-                    if row["copy"]:
-                        runs = [(0, len(data))] if len(data) >= LEAST else []
-                    else:
-                        runs = _spans(row["blobs"] or [])
-                    kept, at = [], 0
-                    for a, b in runs:
-                        kept.append(data[at:a])
-                        at = b
-                    left.append(b"".join([*kept, data[at:]]))
-                    spans.append([list(r) for r in runs])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(left, pa.binary()),
-                     pa.array(spans, pa.list_(pa.list_(pa.int64())))],
-                    ["doc_id", "data", "spans"],
-                )
+        ids, left, spans, size = [], [], [], 0
+        for row, ranges in _beside(batches, 2):
+            data = _unpack(row["blob"])
+            if row["copy"]:
+                runs = [(0, len(data))] if len(data) >= LEAST else []
+            else:
+                runs = _spans(ranges)
+            kept, at = [], 0
+            for a, b in runs:
+                kept.append(data[at:a])
+                at = b
+            ids.append(row["doc_id"])
+            left.append(b"".join([*kept, data[at:]]))
+            spans.append([list(r) for r in runs])
+            size += len(data)
+            if size >= BATCH:
+                yield out(ids, left, spans)
+                ids, left, spans, size = [], [], [], 0
+        if ids:
+            yield out(ids, left, spans)
+
+    def out(ids, left, spans) -> pa.RecordBatch:
+        columns = [pa.array(left, schema[0].type), pa.array(spans, schema[1].type)]
+        return pa.RecordBatch.from_arrays([pa.array(ids, arrow_kind), *columns], ["doc_id", "data", "spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.select("doc_id", "copy", "z", "blobs").mapInArrow(
+    arrow_kind = to_arrow_type(docs.schema["doc_id"].dataType)
+    return beside.select("bucket", "kind", "id", "doc_id", "copy", "blob").mapInArrow(
         run, f"doc_id {kind}, data binary, spans array<array<long>>"
     )
