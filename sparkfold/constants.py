@@ -24,8 +24,8 @@ SMALL_BATCH = 32
 # Stored models.
 MODEL_SCHEMA_VERSION = 1
 
-# Sizes of this implementation (they steer plans, never results).
-MAX_CLASSES = 100_000  # class tables are collected and broadcast up to this many labels
+# Sizes of this implementation. They steer plans, not results; only MAX_CLASSES also refuses fits.
+MAX_CLASSES = 100_000  # labels that a fit takes, and up to which class tables are broadcast
 SQL_WIDTH = 32  # features kept as separate columns up to this width
 COMPILED_WIDTH = 128  # array features scored as one compiled sum up to this width
 SQL_PARAMETERS = 64  # gradients are compiled SQL sums up to this many parameters and ...
