@@ -15,39 +15,48 @@ from pyspark.sql import functions as F
 from sparkfold.llm.common import join_few, kept_table
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 1) and size of segment i (from 0) of a line cut into even parts."""
-    base = (length / parts).cast("int")
-    plain = parts - length % parts  # so many segments have the base size, the rest one more
-    start = base * i + F.greatest(F.lit(0), F.lit(i) - plain) + 1
-    return start, base + (F.lit(i) >= plain).cast("int")
+def with_cuts(lines: DataFrame, edits: int) -> DataFrame:
+    """Add the numbers that the cuts of a line need, so that its length is taken once.
+
+    n is the length; for a line shorter by s, base_s is the size of its plain segments and plain_s
+    how many it has: the others have one character more.
+    """
+    parts = edits + 1
+    lines = lines.withColumn("n", F.length("line"))
+    found = {}
+    for s in range(parts):
+        found[f"base_{s}"] = F.expr(f"CAST((n - {s}) div {parts} AS INT)")
+        found[f"plain_{s}"] = F.expr(f"CAST({parts} - (n - {s}) % {parts} AS INT)")
+    return lines.withColumns(found)
 
 
-def _signature(line: Column, length: Column, i: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), F.substring(line, start, size))
+def _signature(shorter: int, i: int, move: int) -> Column:
+    """Hash of the length n - shorter, the segment number i and its text, `move` places further."""
+    base, plain = F.col(f"base_{shorter}"), F.col(f"plain_{shorter}")
+    start = base * i + F.greatest(F.lit(0), F.lit(i) - plain) + (1 + move)
+    size = base + (F.lit(i) >= plain).cast("int")
+    return F.xxhash64(F.col("n") - shorter, F.lit(i), F.substring("line", start, size))
 
 
-def segments(line: Column, edits: int) -> Column:
-    """Signatures of the segments of a line."""
-    n = F.length(line)
-    cuts = [_segment(n, i, edits + 1) for i in range(edits + 1)]
-    return F.array(*[_signature(line, n, i, *cut) for i, cut in enumerate(cuts)])
+def segments(edits: int) -> Column:
+    """Signatures of the segments of a line (see with_cuts)."""
+    return F.array(*[_signature(0, i, 0) for i in range(edits + 1)])
 
 
-def probes(line: Column, edits: int, least: int) -> Column:
-    """Signatures of the substrings of a line that may be a segment of one not longer than it."""
-    n = F.length(line)
+def probes(edits: int, least: int) -> Column:
+    """Signatures of the substrings of a line that may be a segment of one not longer than it.
+
+    A place outside the line gives a shorter substring, which is no segment of that length: it
+    finds nothing that the verification would keep.
+    """
     found = []
     for shorter in range(edits + 1):
-        length = n - shorter
         for i in range(edits + 1):
-            start, size = _segment(length, i, edits + 1)
             low = max(-i, shorter - (edits - i))
             high = min(i, shorter + (edits - i))
             for move in range(low, high + 1):
-                at = start + move
-                fits = (length >= least) & (at >= 1) & (at + size - 1 <= n)
-                found.append(F.when(fits, _signature(line, length, i, at, size)))
+                fits = F.col("n") - shorter >= least
+                found.append(F.when(fits, _signature(shorter, i, move)))
     return F.array_distinct(F.array_compact(F.array(*found)))
 
 
@@ -181,9 +190,9 @@ def duplicate_lines(docs: DataFrame, *, edits: int = 2, least: int = 20) -> Data
         "lines",
     )
     distinct = _text_of(docs, firsts.select("k", "k2", "at"), few=False).select("k", "line")
-    line = F.col("line")
-    index = distinct.select("k", F.explode(segments(line, edits)).alias("sig"))
-    probe = distinct.select(F.col("k").alias("other"), F.explode(probes(line, edits, least)).alias("sig"))
+    cut = with_cuts(distinct, edits)
+    index = cut.select("k", F.explode(segments(edits)).alias("sig"))
+    probe = cut.select(F.col("k").alias("other"), F.explode(probes(edits, least)).alias("sig"))
     met = index.join(probe.hint("merge"), "sig").where("k <> other")
     pairs = kept_table(
         met.select(F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b")).distinct(), "pairs"
