@@ -35,9 +35,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat earlier ones; every document stays.
 
-    Copies as a whole keep their lines, for the next stage decides about them. n_chars follows.
+    Copies as a whole lose what the first of them loses: they stay equal, and the next stage decides
+    about them. Whatever else repeats goes, however much of a document it is. n_chars follows.
     """
-    short = line_dedup.remove_lines(docs)
+    short = line_dedup.remove_lines(docs, most=1.0)
     if "n_chars" in docs.columns:
         short = short.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return short

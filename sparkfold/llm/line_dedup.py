@@ -252,20 +252,40 @@ def line_report(docs: DataFrame, *, edits: int = 2, least: int = 20) -> DataFram
     )
 
 
+def _origins(docs: DataFrame) -> DataFrame:
+    """(t, t2, origin) of every text that several doc_ids have: the least of them, NULL first."""
+    texts = docs.select(
+        F.xxhash64("text").alias("t"), F.xxhash64("text", F.lit(1)).alias("t2"), F.struct("doc_id").alias("id")
+    ).where("text IS NOT NULL")
+    return (
+        texts.groupBy("t", "t2").agg(F.min("id").alias("origin"), F.max("id").alias("last"))
+        .where("origin <> last").select("t", "t2", "origin")
+    )
+
+
 def remove_lines(
     docs: DataFrame, *, edits: int = 2, least: int = 20, most: float = 0.5
 ) -> DataFrame:
     """docs without the lines that repeat earlier ones; all columns and rows stay.
 
-    A document of which more than the share ``most`` of its characters would go is a copy as a
-    whole: it is left for a join of documents. Texts without such a line keep their very bytes.
+    A document whose text is that of an earlier one loses just the lines that the earlier one loses:
+    both stay equal, so that a join of documents finds them. Of any other document every line goes
+    that repeats an earlier one, unless more than the share ``most`` of its characters would go;
+    with 1 every line decision takes effect. Texts without such a line keep their very bytes.
     """
     found = duplicate_lines(docs, edits=edits, least=least).groupBy(F.col("doc_id").alias("id")).agg(
         F.collect_set("line_no").alias("gone")
     )
     found = kept_table(found, "gone")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = join_few(whole, found, F.col("row.doc_id").eqNullSafe(F.col("id")), "left")
+    origins = kept_table(_origins(docs), "origins")
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.xxhash64("text").alias("t"), F.xxhash64("text", F.lit(1)).alias("t2"),
+    )
+    whole = join_few(whole, origins, ["t", "t2"], "left").select(
+        "row", F.coalesce("origin", F.struct("row.doc_id")).alias("origin")
+    )
+    joined = join_few(whole, found, F.col("origin.doc_id").eqNullSafe(F.col("id")), "left")
     lines = F.split(F.col("row.text"), "\n")
     marked = joined.select("row", "gone", lines.alias("lines"))
     left = F.filter("lines", lambda x, i: ~F.array_contains("gone", i))

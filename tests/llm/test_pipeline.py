@@ -65,3 +65,18 @@ def test_empty_and_registered(spark, data):
     entry = sys.modules.get("__spark_entry__") or __import__("__spark_entry__")
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert "pipeline" not in entry.oracle_sql()
+
+
+def test_line_decisions_take_effect(spark, data):
+    line, own = "a line that repeats itself often", "what only this document has"
+    early = "the opening line that stood before"
+    docs = [
+        (1, early), (2, f"{early}\n{own}"), (3, "\n".join([line] * 5)), (4, f"{early}\n{own}"),
+        (5, f"{own}\n{line}\nrest"), (6, None), (None, f"{line} anew"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, df, data).collect()}
+    # 4 is a copy of 2: it keeps what 2 keeps, for the next stage to remove it
+    assert out == {1: early, 2: own, 3: line, 4: own, 5: "rest", 6: None, None: f"{line} anew"}
+    kept = corpus_pipeline.drop_copies(spark, spark.createDataFrame(list(out.items()), df.schema), data)
+    assert {r.doc_id for r in kept.collect()} == {1, 2, 3, 5, 6, None}
