@@ -4,7 +4,9 @@ Every distinct line of length l is cut into `edits + 1` even segments: a line wi
 must contain one of them unchanged, at nearly the same place. Each line therefore probes, for its
 own length and the `edits` lengths below it, only the substrings at places that the multi-match
 rule allows. Pairs that share a segment are verified with a banded bit-parallel edit distance.
-Everything is DataFrame and SQL expressions.
+Longer lines may also differ in whole words, in more of them the longer they are: the same join is
+made on words, with segments for the threshold of the shorter line, so that a line probes into the
+band below its own. Everything is DataFrame and SQL expressions.
 """
 
 from __future__ import annotations
@@ -12,7 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.llm.common import join_few, kept_table
+from sparkfold.llm.common import join_few, kept_table, words as words_of
+
+#: Words from which a line may differ in 1, 2 and 3 of them from a near one.
+WORDS = (8, 40, 80)
 
 
 def with_cuts(lines: DataFrame, edits: int) -> DataFrame:
@@ -60,6 +65,36 @@ def probes(edits: int, least: int) -> Column:
     return F.array_distinct(F.array_compact(F.array(*found)))
 
 
+def _allowed(n: str, words: tuple[int, ...]) -> str:
+    """SQL: how many words lines may differ in of which the shorter one has n."""
+    return " + ".join(f"CAST({n} >= {least} AS INT)" for least in words)
+
+
+def word_signatures(words: tuple[int, ...], probe: bool) -> Column:
+    """Signatures of a line's words w, whose number is m: of its segments, or of what it probes.
+
+    t is the threshold of a line with s words less, i the segment and d its move.
+    """
+    plan = []
+    for t in range(1, len(words) + 1):
+        for s in range(t + 1 if probe else 1):
+            for i in range(t + 1):
+                low, high = max(-i, s - (t - i)), min(i, s + (t - i))
+                moves = range(low, high + 1) if probe else [0]
+                plan += [f"named_struct('t', {t}, 's', {s}, 'i', {i}, 'd', {d})" for d in moves]
+    base, plain = "((m - p.s) div (p.t + 1))", "(p.t + 1 - (m - p.s) % (p.t + 1))"
+    start = f"CAST({base} * p.i + greatest(0, p.i - {plain}) + 1 + p.d AS INT)"
+    size = f"CAST({base} + CAST(p.i >= {plain} AS INT) AS INT)"
+    return F.expr(
+        f"transform(filter(array({', '.join(plan)}), p -> p.t = {_allowed('(m - p.s)', words)}), "
+        f"p -> xxhash64('words', m - p.s, p.i, slice(w, {start}, {size})))"
+    )
+
+
+def _word_hashes(line: str) -> Column:
+    return F.transform(words_of(F.col(line)), lambda x: F.xxhash64(x))
+
+
 def _shared(a: str, b: str) -> str:
     """SQL: length of the common prefix of two columns, by bisection."""
     return (
@@ -171,28 +206,65 @@ def _text_of(docs: DataFrame, wanted: DataFrame, few: bool) -> DataFrame:
     return split.select(F.inline(got)).where("xxhash64(line) = k AND xxhash64(line, 1) = k2")
 
 
-def duplicate_lines(docs: DataFrame, *, edits: int = 2, least: int = 20) -> DataFrame:
+def near_lines(pairs: DataFrame, edits: int, words: tuple[int, ...]) -> DataFrame:
+    """Add `alike` to pairs (line_a, line_b, ...): within `edits` edits, or in words as allowed."""
+    keep = [c for c in pairs.columns if c not in ("line_a", "line_b")]
+    told = edit_distance(pairs, "line_a", "line_b", edits)
+    if not words:
+        return told.select(*keep, (F.col("distance") <= edits).alias("alike"))
+    most = len(words)
+    told = told.select(*keep, "distance", _word_hashes("line_a").alias("u"), _word_hashes("line_b").alias("v"))
+    told = told.select(
+        *keep, "distance",
+        F.expr("if(size(u) >= size(v), u, v)").alias("x"), F.expr("if(size(u) >= size(v), v, u)").alias("y"),
+    )
+    return told.select(
+        *keep,
+        F.expr(
+            f"CASE WHEN distance <= {edits} THEN true "
+            f"WHEN size(y) < {words[0]} OR size(x) - size(y) > {most} THEN false "
+            f"WHEN {_banded(most, 32)} > {2 * most} THEN false "
+            f"ELSE {_banded(most)} <= {_allowed('size(y)', words)} END"
+        ).alias("alike"),
+    )
+
+
+def duplicate_lines(
+    docs: DataFrame, *, edits: int = 2, least: int = 20, words: tuple[int, ...] = (), short: bool = False
+) -> DataFrame:
     """(doc_id, line_no, kind) of every line of docs (doc_id, text) that repeats an earlier one.
 
-    Lines are what stands between \\n; those of fewer than ``least`` characters are never touched.
+    Lines are what stands between \\n; of those of fewer than ``least`` characters only exact repeats
+    count, and only with ``short``; empty lines never do.
     Lines are ordered by doc_id (NULL first) and line number. kind is 'exact' if an equal line comes
     earlier, and 'near' for the first occurrence of a line whose text is within ``edits`` edits of
-    another one that occurs earlier. All other occurrences of such a line are 'exact'. NULL and
+    another one that occurs earlier, or within t word edits (a word more, less or another; white
+    space does not count) where the shorter of both has at least words[t - 1] words, t at most the
+    length of ``words``. All other occurrences of such a line are 'exact'. NULL and
     empty texts have no lines that count. Rows with the same doc_id and line number are treated
     alike. An empty table gives an empty result; other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    places = _lines(docs, least).select(*_keys(), "doc_id", "line_no")
+    places = _lines(docs, 1 if short else least).select(
+        *_keys(), "doc_id", "line_no", (F.length("line") >= least).alias("long")
+    )
     firsts = kept_table(
         places.groupBy("k", "k2").agg(
-            F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("copies")
+            F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("copies"),
+            F.max("long").alias("long"),
         ),
         "lines",
-    )
-    distinct = _text_of(docs, firsts.select("k", "k2", "at"), few=False).select("k", "line")
+    )
+    places = places.drop("long")
+    distinct = _text_of(docs, firsts.where("long").select("k", "k2", "at"), few=False).select("k", "line")
     cut = with_cuts(distinct, edits)
-    index = cut.select("k", F.explode(segments(edits)).alias("sig"))
-    probe = cut.select(F.col("k").alias("other"), F.explode(probes(edits, least)).alias("sig"))
+    parts, tried = segments(edits), probes(edits, least)
+    if words:
+        cut = cut.withColumn("w", _word_hashes("line")).withColumn("m", F.size("w"))
+        parts = F.concat(parts, word_signatures(words, probe=False))
+        tried = F.concat(tried, F.array_distinct(word_signatures(words, probe=True)))
+    index = cut.select("k", F.explode(parts).alias("sig"))
+    probe = cut.select(F.col("k").alias("other"), F.explode(tried).alias("sig"))
     met = index.join(probe.hint("merge"), "sig").where("k <> other")
     pairs = kept_table(
         met.select(F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b")).distinct(), "pairs"
@@ -209,13 +281,13 @@ def duplicate_lines(docs: DataFrame, *, edits: int = 2, least: int = 20) -> Data
     both = pairs.join(one, "a").join(two, "b")
     # written before it is filtered: a filter would be pushed into the distance and repeat it
     near = kept_table(
-        edit_distance(both, "line_a", "line_b", edits).select(
+        near_lines(both, edits, words).select(
             F.expr("if(at_a < at_b, b, a)").alias("k"),
             F.expr("if(at_a < at_b, b2, a2)").alias("k2"),
-            "distance",
+            "alike",
         ),
         "near",
-    ).where(F.col("distance") <= edits).select("k", "k2").distinct()
+    ).where("alike").select("k", "k2").distinct()
     special = firsts.join(near.withColumn("near", F.lit(True)), ["k", "k2"], "left").where(
         "copies > 1 OR near"
     )
@@ -228,15 +300,19 @@ def duplicate_lines(docs: DataFrame, *, edits: int = 2, least: int = 20) -> Data
     ).where("kind IS NOT NULL")
 
 
-def line_report(docs: DataFrame, *, edits: int = 2, least: int = 20) -> DataFrame:
+def line_report(
+    docs: DataFrame, *, edits: int = 2, least: int = 20, words: tuple[int, ...] = WORDS
+) -> DataFrame:
     """(doc_id, n_lines, n_exact, n_near, removed) per doc_id: counts and the numbers of its lines.
 
+    Exact repeats of lines of fewer than ``least`` characters are counted and listed too.
     Rows that share a doc_id are one document here, n_lines is that of the longest.
     """
     lines = docs.groupBy("doc_id").agg(
         F.max(F.size(F.split(F.coalesce("text", F.lit("")), "\n"))).cast("long").alias("n_lines")
     )
-    found = duplicate_lines(docs, edits=edits, least=least).groupBy(F.col("doc_id").alias("id")).agg(
+    found = duplicate_lines(docs, edits=edits, least=least, words=words, short=True)
+    found = found.groupBy(F.col("doc_id").alias("id")).agg(
         F.count_if(F.col("kind") == "exact").alias("n_exact"),
         F.count_if(F.col("kind") == "near").alias("n_near"),
         F.sort_array(F.collect_set("line_no")).alias("removed"),
@@ -264,7 +340,7 @@ def _origins(docs: DataFrame) -> DataFrame:
 
 
 def remove_lines(
-    docs: DataFrame, *, edits: int = 2, least: int = 20, most: float = 0.5
+    docs: DataFrame, *, edits: int = 2, least: int = 20, words: tuple[int, ...] = WORDS, most: float = 0.5
 ) -> DataFrame:
     """docs without the lines that repeat earlier ones; all columns and rows stay.
 
@@ -273,7 +349,8 @@ def remove_lines(
     that repeats an earlier one, unless more than the share ``most`` of its characters would go;
     with 1 every line decision takes effect. Texts without such a line keep their very bytes.
     """
-    found = duplicate_lines(docs, edits=edits, least=least).groupBy(F.col("doc_id").alias("id")).agg(
+    found = duplicate_lines(docs, edits=edits, least=least, words=words)
+    found = found.groupBy(F.col("doc_id").alias("id")).agg(
         F.collect_set("line_no").alias("gone")
     )
     found = kept_table(found, "gone")

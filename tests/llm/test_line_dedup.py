@@ -88,3 +88,46 @@ def test_removal(spark):
     assert out.columns == df.columns
     rows = {r.doc_id: r.text for r in out.collect()}
     assert rows == {1: docs[0][1], 2: other * 2, 3: line, 4: None, 5: ""}
+
+
+def words_apart(a, b):
+    return distance(a.split(), b.split())
+
+
+def test_threshold_grows_with_the_words(spark):
+    draw = random.Random(6)
+    bands, lines = (4, 9, 15), []
+    for _ in range(12):
+        base = [f"word{draw.randrange(400)}" for _ in range(draw.randrange(3, 20))]
+        for _ in range(5):
+            words = list(base)
+            for _ in range(draw.randrange(4)):
+                at, kind = draw.randrange(len(words)), draw.randrange(3)
+                words[at : at + (kind != 0)] = [f"another{draw.randrange(10**6)}"][: kind != 1]
+            lines.append(" ".join(words))
+    lines += [lines[0].replace(" ", "  "), "x " * 40 + "first", "x " * 40 + "second", "no", "no", "", ""]
+    docs = list(enumerate(lines))
+    first = {}
+    for d, x in docs:
+        first.setdefault(x, d)
+    want = [(d, 0, "exact") for d, x in docs if x and first[x] != d]
+    for x in first:
+        for y in first:
+            allowed = sum(min(len(x.split()), len(y.split())) >= n for n in bands)
+            near = distance(x, y) <= 2 or allowed and words_apart(x, y) <= allowed
+            if first[y] < first[x] and min(len(x), len(y)) >= 20 and near:
+                want.append((first[x], 0, "near"))
+                break
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = ld.duplicate_lines(df, words=bands, short=True)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert sum(k == "near" for *_, k in want) > 15
+
+
+def test_report_of_a_changed_word_and_short_lines(spark):
+    line = "one line that differs in a single word from another line"
+    docs = [(1, f"{line}\nend"), (2, line.replace("differs", "departs greatly")[:-5]), (3, line.replace("single", "different") + "\nend")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    report = {r.doc_id: (r.n_exact, r.n_near, r.removed) for r in ld.line_report(df).collect()}
+    assert report == {1: (0, 0, []), 2: (0, 0, []), 3: (1, 1, [0, 1])}
+    assert {r.doc_id: r.text for r in ld.remove_lines(df, most=1.0).collect()}[3] == "end"
