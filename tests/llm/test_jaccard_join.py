@@ -76,6 +76,39 @@ def test_sketch_and_draw():
     assert list(zip(i, j)) == [(0, 1), (0, 2), (1, 2), (3, 4)]
 
 
+def test_recall_below_the_second_level(spark, monkeypatch):
+    # every token is in half of all sets: nodes of 400, 200, 100 and so on, seven levels
+    monkeypatch.setattr(jj, "SMALL", 8)
+    draw = np.random.default_rng(8)
+    pool = np.unique(draw.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2))
+    rows, pairs = [], []
+    for _ in range(400):
+        has = draw.random(len(pool)) < 0.5
+        other = has.copy()
+        moved = int(has.sum()) // 9
+        other[draw.choice(np.flatnonzero(has), moved, replace=False)] = False
+        other[draw.choice(np.flatnonzero(~has), moved, replace=False)] = True
+        sets = [pool[has], pool[other]]
+        assert (has & other).sum() >= 0.8 * (has | other).sum()
+        pairs.append([jj.name_of(s) for s in sets])
+        rows += [
+            (jj.name_of(s), len(s), jj.sketch(s), jj.drawn(s, jj.runs_for(0.9999), 0.8).view(np.int64).tolist())
+            for s in sets
+        ]
+    df = spark.createDataFrame(rows, "record binary, n long, sketch binary, nodes array<long>")
+    label = {r[0]: r[0] for r in rows}
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for r in jj.candidate_links(df, 0.8).collect():
+        label[root(bytes(r.a))] = root(bytes(r.b))
+    assert len({root(x) for x in label}) > 300
+    assert not [a for a, b in pairs if root(a) != root(b)]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_stars(seed):
     draw = np.random.default_rng(seed)
