@@ -7,6 +7,8 @@ syllables with an ending of the same gender and script for names; cards keep the
 same entity gets the same surrogate everywhere without any lookup. Two entities that would share
 one, or a surrogate that is some other entity of the corpus, are found by grouping the candidates;
 the losers draw again until all are distinct. Only these exceptions are joined to their documents.
+A name found after a form of address is looked up in the rest of its document: its bare mentions
+and those of its parts get the matching parts of the same surrogate.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)",
-    "card": r"(?<!\d)\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?!\d)",
+    "phone": r"(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
+    r"|\(\d{2,5}\) ?\d{3,4}[ .-]?\d{3,4}(?!\d)"
+    r"|(?<!\d)(?<!\d[ .-])(?:\d{3}[ .-]\d{3}[ .-]\d{4}|0\d{2,4}[ /-]\d{3,4}[ -]?\d{3,4})(?![ .-]?\d))",
+    "card": r"(?<!\d)(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?!\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36})(?![A-Za-z0-9])",
@@ -90,7 +94,8 @@ def _stream(key: str, kind: Column, value: Column, attempt: Column, size: Column
 
 
 def _luhn(digits: Column) -> Column:
-    """Check sum of a string of 16 digits, modulo 10."""
+    """Check sum of a string of up to 16 digits, modulo 10."""
+    digits = F.lpad(digits, 16, "0")
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(16)),
         F.lit(0),
@@ -121,6 +126,7 @@ def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
     # class by class; what must stay (a prefix, the top domain) is left alone
     fixed = (
         F.when(kind == "phone", F.greatest(F.length(value) - 10, F.lit(0)))
+        .when((kind == "card") & (F.length(value) == 15), F.lit(2))
         .when((kind == "key") | (kind == "iban"), F.when(kind == "key", 4).otherwise(2))
         .otherwise(0)
     )
@@ -172,9 +178,9 @@ def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
     )
     rows = rows.withColumn("drawn_", drawn)
     summed = (
-        F.substring("drawn_", 16, 1).try_cast("int") + _luhn(value) - _luhn(F.col("drawn_")) + 10
+        F.substring("drawn_", -1, 1).try_cast("int") + _luhn(value) - _luhn(F.col("drawn_")) + 10
     ) % 10
-    card = F.concat(F.substring("drawn_", 1, 15), summed.cast("string"))
+    card = F.concat(F.expr("left(drawn_, length(drawn_) - 1)"), summed.cast("string"))
     return rows.select(*keep, F.when(kind == "card", card).otherwise(F.col("drawn_")).alias("surrogate"))
 
 
@@ -252,12 +258,65 @@ def _entities(docs: DataFrame) -> DataFrame:
     return rows.withColumn("value", value_of(F.col("entity"), F.col("kind")))
 
 
+def _mentions(maps: DataFrame) -> DataFrame:
+    """maps (id, v, found, entity_kinds) with `told` and `pattern` in place of found.
+
+    told leads from what the pattern finds in the text to its surrogate. A single name after a form
+    of address belongs to the full name of that gender that has it as a part, a bare mention to the
+    name itself, else to a full name, else to a single one; of several the least is taken.
+    """
+    names = F.array_sort(
+        F.array_distinct(
+            F.transform(
+                F.filter("found", lambda x: x["kind"].isin("male", "female")),
+                lambda x: F.struct(x["value"].alias("value"), x["kind"].alias("kind"), x["surrogate"].alias("surrogate")),
+            )
+        )
+    )
+    maps = maps.withColumn("names", names)
+    parts = F.expr(
+        "flatten(transform(filter(names, x -> contains(x.value, ' ')), x -> transform(split(x.value, ' '), (p, i) -> "
+        "named_struct('value', p, 'kind', x.kind, 'surrogate', split(x.surrogate, ' ')[i]))))"
+    )
+    maps = maps.withColumn("parts", parts)
+    # the first of a spelling counts
+    maps = maps.withColumn(
+        "bare", F.expr("concat(filter(names, x -> contains(x.value, ' ')), parts, names)")
+    ).withColumn("spelt", F.expr("array_distinct(transform(bare, x -> x.value))"))
+    address = rf"^(?:{MALE}|{FEMALE})\.? "
+
+    def written(x: Column) -> Column:
+        whole = F.filter("parts", lambda p: (p["kind"] == x["kind"]) & (p["value"] == x["value"]))
+        same = F.get(whole, F.lit(0))["surrogate"]
+        return F.coalesce(F.concat(F.regexp_extract(x["entity"], address, 0), same), x["written"])
+
+    entities = F.transform("found", lambda x: F.struct(x["entity"].alias("entity"), written(x).alias("new")))
+    bare = F.transform(
+        "spelt",
+        lambda v: F.struct(
+            v.alias("entity"),
+            F.get(F.filter("bare", lambda x: x["value"] == v), F.lit(0))["surrogate"].alias("new"),
+        ),
+    )
+    # longer spellings are tried first; they are letters and spaces only
+    ordered = F.expr("array_join(transform(array_sort(transform(spelt, x -> named_struct('n', -length(x), 'x', x))), y -> y.x), '|')")
+    pattern = F.when(
+        F.size("spelt") > 0,
+        F.concat(F.lit(PATTERN + r"|(?<!\p{L})(?:"), ordered, F.lit(r")(?!\p{L})")),
+    ).otherwise(PATTERN)
+    return maps.select(
+        "id", "v", "entity_kinds", F.map_from_entries(F.concat(entities, bare)).alias("told"), pattern.alias("pattern")
+    )
+
+
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """docs with surrogates in `text` and two columns more: n_entities and entity_kinds.
 
     Every occurrence of an entity is replaced; the rest of the text stays as it is. Distinct
     entities of a kind get distinct surrogates, none of which is an entity of the corpus, and the
-    same entity gets the same one in every row. NULL texts stay NULL with no entity, empty texts and
+    same entity gets the same one in every row. Inside a document this also holds for bare mentions of
+    a name, for its parts and for a single name that is part of a full one of the same gender (see
+    _mentions); such a mention counts as an entity. NULL texts stay NULL with no entity, empty texts and
     tables stay empty, repeated rows and NULL ids are treated like any other; other columns of docs
     (but for these two names, which are replaced) are kept.
     """
@@ -270,22 +329,20 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     told = with_surrogate(told, key).withColumn(
         "written", _written(F.col("entity"), F.col("kind"), F.col("surrogate"))
     )
-    maps = kept_table(
-        told.groupBy(F.col("doc_id").alias("id"), F.col("version").alias("v")).agg(
-            F.map_from_entries(F.collect_set(F.struct("entity", "written"))).alias("told"),
-            F.sort_array(F.collect_set("kind")).alias("entity_kinds"),
-        ),
-        "surrogates",
+    grouped = told.groupBy(F.col("doc_id").alias("id"), F.col("version").alias("v")).agg(
+        F.collect_set(F.struct("entity", "kind", "value", "surrogate", "written")).alias("found"),
+        F.sort_array(F.collect_set("kind")).alias("entity_kinds"),
     )
+    maps = kept_table(_mentions(grouped), "surrogates")
     names = [c for c in docs.columns if c not in ("n_entities", "entity_kinds")]
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("v"))
     rows = join_few(whole, maps, same, "left")
     # the same pattern gives the entities and, as a separator, what stands between them
-    found = F.when(F.col("told").isNotNull(), found_in(F.col("row.text")))
-    rows = rows.select("row", "told", "entity_kinds", found.alias("e"))
+    found = F.expr("regexp_extract_all(row.text, concat('(', pattern, ')'), 1)")
+    rows = rows.select("row", "told", "pattern", "entity_kinds", F.when(F.col("told").isNotNull(), found).alias("e"))
     pieces = F.zip_with(
-        F.split("row.text", PATTERN, -1),
+        F.split("row.text", F.col("pattern"), -1),
         F.transform("e", lambda x: F.element_at("told", x)),
         lambda between, new: F.concat(between, F.coalesce(new, F.lit(""))),
     )

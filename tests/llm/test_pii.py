@@ -82,3 +82,33 @@ def test_no_planted_value_survives(spark, data):
     text = "\n".join(r.text or "" for r in out.collect())
     assert before and not [e for e in before if e in text]
     assert out.where("n_entities = 0").select("doc_id", "text").exceptAll(docs.select("doc_id", "text")).count() == 0
+
+
+def test_mentions_of_a_name(spark):
+    rows = [
+        (1, "Mr John Smith came. Smith said: John Smith, not Smithson, is Mr Smith. Mrs Smith left John."),
+        (2, "Smith and John are no names here"), (3, "Herr Levin; Levin spoke, Levina did not"),
+        (4, "господин Иван Петров и Петров"),
+    ]
+    got = {r.doc_id: r for r in pii.replace_entities(frame(spark, rows), KEY).collect()}
+    form = r"Mr (\w+) (\w+) came\. (\w+) said: (\w+) (\w+), not Smithson, is Mr (\w+)\. Mrs (\w+) left (\w+)\."
+    john, smith, *rest = re.fullmatch(form, got[1].text).groups()
+    assert rest[:4] == [smith, john, smith, smith] and rest[5] == john
+    assert len({john, smith, rest[4], "John", "Smith"}) == 5 and got[1].n_entities == 6
+    assert got[2].text == rows[1][1]
+    levin = re.fullmatch(r"Herr (\w+); (\w+) spoke, Levina did not", got[3].text).groups()
+    assert levin[0] == levin[1] != "Levin"
+    ivan = re.fullmatch(r"господин (\w+) (\w+) и (\w+)", got[4].text).groups()
+    assert ivan[1] == ivan[2] and not {"Иван", "Петров"} & set(ivan)
+
+
+def test_national_phones_and_short_cards(spark):
+    found = ["(212) 555-0147", "212-555-0147", "030 1234 5678", "3782 822463 10005", "378282246310005"]
+    rows = [(i, f"call or charge {x}.") for i, x in enumerate(found)] + [(9, "0111 1111 1111 1111"), (10, "on 2024-01-02")]
+    got = {r.doc_id: r for r in pii.replace_entities(frame(spark, rows), KEY).collect()}
+    kinds = [got[i].entity_kinds for i in range(5)]
+    assert kinds == [["phone"]] * 3 + [["card"]] * 2 and got[9].entity_kinds == ["card"]
+    assert not any(x in got[i].text for i, x in enumerate(found)) and got[10].text == "on 2024-01-02"
+    cards = [re.sub(r"\D", "", got[i].text) for i in (3, 4)]
+    assert cards[0] == cards[1] and len(cards[0]) == 15 and cards[0][:2] == "37"
+    assert luhn(cards[0]) == luhn("378282246310005")
