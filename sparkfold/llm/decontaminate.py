@@ -5,7 +5,8 @@ five-word shingles occur in some item of that size; with fewer, the similarity c
 threshold. Each window and item gets a 64-bit SimHash. A radius of r is searched by r + 1 blocks of
 bits: two fingerprints within the radius agree in at least one block. Pairs within the radius are
 verified by the weighted Jaccard similarity of their shingles, a shingle's weight being how often
-it occurs.
+it occurs; the fingerprints take every occurrence for a shingle of its own, so that they follow the
+same similarity.
 """
 
 from __future__ import annotations
@@ -46,6 +47,15 @@ def fingerprint(codes: str) -> Column:
     return F.expr(f"aggregate({bits}, 0L, (a, b) -> a | b)".format(codes))
 
 
+def numbered(codes: str) -> Column:
+    """The codes as a set: of the occurrences of one code all but the first get a code of their own."""
+    return F.expr(
+        "if(size(array_distinct({0})) = size({0}), {0}, transform(array(sort_array({0})), r -> "
+        "transform(r, (x, i) -> if(i < array_position(r, x), x, "
+        "xxhash64(x, i + 1 - array_position(r, x)))))[0])".format(codes)
+    )
+
+
 def blocks(mark: Column | str, radius: int) -> Column:
     """The radius + 1 disjoint blocks of a fingerprint, as (block, value)."""
     count = radius + 1
@@ -133,8 +143,8 @@ def contamination(
     rows = rows.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("version")))
     marked = shingled(items.select("item_id", "text"), "item_id").where(F.size("w") >= WIDTH)
     marked = kept_table(
-        marked.select(
-            "item_id", "w", "h", F.size("h").alias("size"), fingerprint("h").alias("mark")
+        marked.withColumn("set", numbered("h")).select(
+            "item_id", "w", "h", F.size("h").alias("size"), fingerprint("set").alias("mark")
         ),
         "items",
     )
@@ -159,7 +169,8 @@ def contamination(
         F.expr("slice(h, x.start + 1, x.width)").alias("h"),
         F.expr(f"slice(w, x.start + 1, x.width + {WIDTH - 1})").alias("w"),
     )
-    cut = kept_table(cut.select("key", "size", "start", "w", fingerprint("h").alias("mark")), "cut")
+    cut = cut.withColumn("set", numbered("h"))
+    cut = kept_table(cut.select("key", "size", "start", "w", fingerprint("set").alias("mark")), "cut")
 
     # the words wait in the table of windows while fingerprints meet
     probe = cut.select("key", "size", "start", "mark", F.explode(blocks("mark", radius)).alias("b"))

@@ -80,3 +80,24 @@ def test_fingerprint_is_the_majority(spark):
     for row, c in zip(df.select(dc.fingerprint("h").alias("f")).collect(), codes):
         bits = [sum(x >> k & 1 for x in c) * 2 > len(c) for k in range(64)]
         assert row.f % (1 << 64) == sum(1 << k for k, b in enumerate(bits) if b)
+
+
+def test_repeated_shingles_at_the_threshold(spark):
+    draw = random.Random(7)
+    word = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    items, docs = [], []
+    for k in range(16):
+        # 80 shingles in common; the item has ten times the same one, the document ten others
+        part = word(80)
+        items.append((k, " ".join(part + ["z"] * 14)))
+        docs.append((k, " ".join(part + ["z"] * 4 + word(10))))
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    assert [(d, i, s) for d, i, s, _ in want] == [(k, k, 0.8) for k in range(16)]
+    got = found(dc.contamination(left, right))
+    # the first of these pairs differs in 21 bits, beyond the radius, as few pairs do
+    assert set(got) <= set(want) and len(got) >= 15
+    codes = spark.createDataFrame([([5, 3, 5, 5, 3],), ([1, 2],)], "h array<long>")
+    one, two = [r.s for r in codes.select(dc.numbered("h").alias("s")).collect()]
+    assert len(one) == len(set(one)) == 5 and {3, 5} < set(one) and two == [1, 2]
