@@ -13,10 +13,24 @@ from sparkfold.llm.common import join_few, kept_table, load
 TOXIC = 0.3
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the rows of the given ids; rows without an id stay."""
-    gone = kept_table(ids.where("doc_id IS NOT NULL").distinct(), "gone")
-    return join_few(docs, gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text) of every row, kept: row is whole, doc_id a key that no two rows share.
+
+    Keys are ordered by id (NULL last), then by text hash; the number that ends them is drawn once.
+    """
+    key = F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("version"),
+        F.monotonically_increasing_id().alias("number"),
+    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept_table(docs.select(row.alias("row"), key.alias("doc_id"), "text"), "keyed")
+
+
+def _without(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of keyed without those of the given keys."""
+    gone = kept_table(keys.select("doc_id.number").distinct(), "gone")
+    left = join_few(keyed.select("row", "doc_id.number"), gone, "number", "left_anti")
+    return left.select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,15 +59,20 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the smallest id."""
-    classes = jaccard_join.jaccard_join(docs)
-    return _without(docs, classes.where("doc_id <> class_id").select("doc_id"))
+    """Of each class of near-duplicates one row: that with the smallest id, NULL last.
+
+    Rows are told apart where they share an id or have none.
+    """
+    keyed = _keyed(docs)
+    classes = jaccard_join.jaccard_join(keyed.select("doc_id", "text"))
+    return _without(keyed, classes.where("doc_id <> class_id"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    leaks = decontaminate.contamination(docs, load(spark, sf_dir, "benchmark"))
-    return _without(docs, leaks.select("doc_id"))
+    """Documents without a passage of the benchmark, each row judged by its own text."""
+    keyed = _keyed(docs)
+    leaks = decontaminate.contamination(keyed.select("doc_id", "text"), load(spark, sf_dir, "benchmark"))
+    return _without(keyed, leaks)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,3 +80,18 @@ def test_line_decisions_take_effect(spark, data):
     assert out == {1: early, 2: own, 3: line, 4: own, 5: "rest", 6: None, None: f"{line} anew"}
     kept = corpus_pipeline.drop_copies(spark, spark.createDataFrame(list(out.items()), df.schema), data)
     assert {r.doc_id for r in kept.collect()} == {1, 2, 3, 5, 6, None}
+
+
+def test_rows_of_one_id_or_none(spark, data):
+    item = spark.read.parquet(f"{data}/benchmark.parquet").where("length(text) > 80").first().text
+    one, two = (" ".join(f"{x}{i}" for i in range(40)) for x in "pq")
+    docs = [(7, one), (7, one), (3, two), (None, two), (None, two), (7, "clean and alone under its id"), (7, two),
+            (None, item), (9, item), (9, "as clean as can be"), (4, None), (None, "")]
+    df = spark.createDataFrame([(*r, "x") for r in docs], "doc_id long, text string, source string")
+    out = corpus_pipeline.drop_copies(spark, df, data)
+    assert out.columns == df.columns
+    left = [(7, one), (3, two), docs[5], (9, item), docs[9], docs[10], docs[11]]
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(left)
+    out = corpus_pipeline.drop_leaks(spark, df, data)
+    assert out.columns == df.columns
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(r for r in docs if r[1] != item)
