@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -82,16 +83,21 @@ def fit_all(
     kinds = {is_classifier(job.spec) for job in jobs}
     if len(kinds) != 1:
         raise ValueError("classifiers and regressors cannot be fitted together.")
-    return _Fitting(df, features, label, id_col, weight, fold_col, kinds.pop()).run(jobs)
+    return Fitting(df, features, label, id_col, weight, fold_col, kinds.pop()).run(jobs)
 
 
 def needs_rows(spec) -> bool:
     """Whether training looks at single rows: batches, shards or dropout."""
-    return spec.batch_strategy != "batch" or getattr(spec, "dropout_rate", 0.0) > 0.0
+    return getattr(spec, "batch_strategy", "batch") != "batch" or getattr(spec, "dropout_rate", 0.0) > 0.0
 
 
-class _Fitting:
+class Fitting:
+    """Checked rows that models are trained on, in one go or, inside ``shared``, in several."""
+
     def __init__(self, df, features, label, id_col, weight, fold_col, classify) -> None:
+        self.kept: TrainingTable | None = None  # the table of ``shared``, while it is open
+        self.grams: tuple | None = None  # its sums, once a linear model has needed them
+        self.known: dict[tuple, int] = {}  # its holdout bits
         self.features = feature_names(features)
         self.label, self.id_col, self.weight = label, id_col, weight
         self.fold_col, self.classify = fold_col, classify
@@ -147,12 +153,13 @@ class _Fitting:
             columns += [F.col(self.id_col).alias("_id"), F.xxhash64(self.id_col).alias("_key")]
         return TrainingTable(self.df.select(*columns), self.width, wide, self.n_rows)
 
-    def holdouts(self, jobs) -> tuple[list[int], list]:
-        """Holdout bit of every job (-1 for none) and the condition of every bit."""
-        bits, known, conditions = [], {}, []
+    def holdouts(self, jobs, known: dict[tuple, int] | None = None) -> tuple[list[int], list]:
+        """Holdout bit of every job (-1 for none) and the condition of every bit not known yet."""
+        bits, conditions = [], []
+        known = {} if known is None else known
         for job in jobs:
             spec = job.spec
-            if not spec.early_stopping or spec.validation_fraction == 0.0:
+            if not getattr(spec, "early_stopping", False) or spec.validation_fraction == 0.0:
                 bits.append(-1)
                 continue
             key = (job.fold, spec.validation_fraction, spec.seed)
@@ -164,7 +171,7 @@ class _Fitting:
                     rows, self._id("early stopping"), fraction=spec.validation_fraction,
                     seed=spec.seed,
                 )
-                known[key] = len(conditions)
+                known[key] = len(known)
                 conditions.append(condition)
             bits.append(known[key])
         return bits, conditions
@@ -203,13 +210,36 @@ class _Fitting:
         )
 
     def mean(self, job: Job) -> Model:
-        rows = self.df
+        rows, target = self.df, F.col(self.label).cast("double")
+        if self.kept is not None:
+            rows, target = self.kept.df, F.col("_y")
         if job.fold >= 0:
-            rows = rows.filter(F.col(self.fold_col) != job.fold)
-        value = rows.agg(F.avg(F.col(self.label).cast("double"))).first()[0]
+            rows = rows.filter(F.col(self.fold_col if self.kept is None else "_fold") != job.fold)
+        value = rows.agg(F.avg(target)).first()[0]
         return Model("mean", self.features, self.width, {"mean": np.array([value])})
 
+    @contextmanager
+    def shared(self, jobs: Sequence[Job]) -> Iterator[TrainingTable]:
+        """One kept table for all of these jobs, to be trained in any number of runs.
+
+        With more holdouts than a mask has bits the table has none, and every run makes its own.
+        """
+        _, conditions = self.holdouts(jobs, self.known)
+        fits = len(conditions) <= MASK_BITS
+        rows = any(needs_rows(job.spec) for job in jobs)
+        table = self.table(conditions if fits else [], rows).cached()
+        if fits:
+            self.kept = table
+        try:
+            yield table
+        finally:
+            table.release()
+            self.kept, self.grams, self.known = None, None, {}
+
     def train(self, jobs: list[Job]) -> list[Model]:
+        if self.kept is not None:
+            bits, _ = self.holdouts(jobs, self.known)
+            return self._train(jobs, bits, self.kept)
         bits, conditions = self.holdouts(jobs)
         table = self.table(conditions, any(needs_rows(job.spec) for job in jobs)).cached()
         try:
@@ -239,9 +269,18 @@ class _Fitting:
                 train_local(run, table, "_id")
         return [self.model(job, run) for job, run in zip(jobs, runs, strict=True)]
 
-    def train_on_sums(self, runs, table) -> None:
+    def sums(self, table: TrainingTable) -> tuple[np.ndarray, dict]:
+        """Centre and Gram sums of the table; taken once of a shared one."""
+        if self.grams is not None:
+            return self.grams
         centre = centre_of(table)
-        grams = gram_by_group(table, centre)
+        found = centre, gram_by_group(table, centre)
+        if table is self.kept:
+            self.grams = found
+        return found
+
+    def train_on_sums(self, runs, table) -> None:
+        centre, grams = self.sums(table)
         exact = [r for r in runs if r.spec.solver == "normal_equation"]
         for run in exact:
             # the closed form has no epochs, so it keeps no rows aside

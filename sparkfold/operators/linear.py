@@ -10,31 +10,45 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.constants import GRAM_SQL_WIDTH
 from sparkfold.functions.scalar import sql_number
 from sparkfold.operators.network import unpack
-from sparkfold.operators.passes import Sums, TrainingTable, block_of, few_tasks
+from sparkfold.operators.passes import SMALL_TABLE, Sums, TrainingTable, block_of, few_tasks
 from sparkfold.operators.training import Run
 
 
 @dataclass
 class Gram:
-    """Weighted sums of v = (x, y), shifted by a common centre."""
+    """Weighted sums of v = (x, y), shifted by a common centre, and the range of y."""
 
     n: float
     first: np.ndarray  # sum of v - centre
     second: np.ndarray  # sum of (v - centre)(v - centre)'
+    low: float
+    high: float
 
     def __add__(self, other: Gram) -> Gram:
-        return Gram(self.n + other.n, self.first + other.first, self.second + other.second)
+        return Gram(
+            self.n + other.n, self.first + other.first, self.second + other.second,
+            min(self.low, other.low), max(self.high, other.high),
+        )
 
 
 def _group_columns(table: TrainingTable) -> list[str]:
     return [c for c in ("_fold", "_vmask") if table.has(c)]
 
 
+CENTRE_ROWS = 256  # rows whose mean is the point that Gram sums are shifted by
+GRAM_BLOCK = 256  # columns per block of a Gram matrix
+BLOCK_GROUPS = 32  # groups of tasks whose blocks are summed before the groups are
+GRAM_ROWS = "fold int, mask long, i int, j int, part int, low double, high double, data binary"
+
+
 def gram_by_group(table: TrainingTable, centre: np.ndarray) -> dict[tuple, Gram]:
     """Gram sums per (fold, holdout mask): a handful of groups in one shuffle of sums."""
     keys = _group_columns(table)
@@ -44,16 +58,12 @@ def gram_by_group(table: TrainingTable, centre: np.ndarray) -> dict[tuple, Gram]
 
 
 def centre_of(table: TrainingTable) -> np.ndarray:
-    """Column means; shifting by them keeps the later subtractions accurate."""
-    if not table.wide:
-        names = [*table.x_columns, "_y"]
-        row = table.df.agg(*[F.avg(name).alias(name) for name in names]).first()
-        return np.array(list(row), dtype=float)
-    spread = table.df.select(F.posexplode(F.concat("_x", F.array(F.col("_y").cast("double")))))
-    means = np.zeros(table.width + 1)
-    for pos, value in spread.groupBy("pos").agg(F.avg("col")).collect():
-        means[pos] = value
-    return means
+    """Column means of the first rows. Shifting by a point among the data keeps the later
+    subtractions accurate; which point does not matter, so the table is not read for it."""
+    columns = [F.col("_x") if table.wide else F.array(*table.x_columns)]
+    scanned = table.df if table.head is None else table.head
+    rows = scanned.select(*columns, F.col("_y").cast("double")).limit(CENTRE_ROWS).collect()
+    return np.mean([[*x, y] for x, y in rows], axis=0, dtype=float)
 
 
 def _gram_sql(table, centre, keys) -> dict[tuple, Gram]:
@@ -61,11 +71,12 @@ def _gram_sql(table, centre, keys) -> dict[tuple, Gram]:
     names = [*table.x_columns, "_y"]
     moved = table.df.selectExpr(
         *keys,
+        "double(_y) AS _y",
         *[f"{name} - {sql_number(centre[i])} AS _v{i}" for i, name in enumerate(names)],
         ("_w" if table.has("_w") else "1.0D") + " AS _g",
     )
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    sums = [F.expr("sum(_g) AS n")]
+    sums = [F.expr("sum(_g) AS n"), F.expr("min(_y) AS low"), F.expr("max(_y) AS high")]
     sums += [F.expr(f"sum(_g * _v{i}) AS f{i}") for i in range(size)]
     sums += [F.expr(f"sum(_g * _v{i} * _v{j}) AS s{i}_{j}") for i, j in pairs]
     result = {}
@@ -74,20 +85,29 @@ def _gram_sql(table, centre, keys) -> dict[tuple, Gram]:
         for i, j in pairs:
             second[i, j] = second[j, i] = row[f"s{i}_{j}"]
         first = np.array([row[f"f{i}"] for i in range(size)])
-        result[tuple(row[k] for k in keys)] = Gram(row["n"], first, second)
+        result[tuple(row[k] for k in keys)] = Gram(
+            row["n"], first, second, row["low"], row["high"]
+        )
     return result
 
 
+def column_blocks(size: int) -> list[tuple[int, int]]:
+    """Bounds of the column blocks of a Gram matrix."""
+    return [(a, min(a + GRAM_BLOCK, size)) for a in range(0, size, GRAM_BLOCK)]
+
+
 def _gram_arrow(table, centre, keys) -> dict[tuple, Gram]:
-    import pyarrow as pa
+    """Gram sums by matrix products on Arrow batches.
 
+    Every task sends its upper block products, one row each; they are summed block by block, first
+    in groups of tasks and then over the groups, so no reducer holds more than one block.
+    """
     names, width, size = table.x_columns, table.width, table.width + 1
     keep = ["_y", *(c for c in ("_w",) if table.has(c)), *keys]
-    upper = np.triu_indices(size)
-    length = 1 + size + len(upper[0])
+    bounds = column_blocks(size)
 
     def run(batches):
-        totals: dict[tuple, np.ndarray] = {}
+        totals: dict[tuple, list] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -98,44 +118,86 @@ def _gram_arrow(table, centre, keys) -> dict[tuple, Gram]:
             mask = block.get("vmask", np.zeros(len(v), int))
             for key in set(zip(fold.tolist(), mask.tolist(), strict=True)):
                 own = (fold == key[0]) & (mask == key[1])
-                part, weight = v[own], w[own]
+                part, weight, y = v[own], w[own], block["y"][own]
                 weighted = part * weight[:, None]
-                vector = np.concatenate(
-                    [[weight.sum()], weighted.sum(axis=0), (weighted.T @ part)[upper]]
+                sums = totals.setdefault(
+                    key, [np.zeros(1 + size), np.zeros((size, size)), np.inf, -np.inf]
                 )
-                totals[key] = totals[key] + vector if key in totals else vector
-        for (fold, mask), vector in totals.items():
-            count = len(vector)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(count, fold, np.int32)),
-                    pa.array(np.full(count, mask, np.int64)),
-                    pa.array(np.arange(count, dtype=np.int32)),
-                    pa.array(vector),
-                ],
-                names=["fold", "mask", "pos", "value"],
-            )
-
-    sums = (
-        few_tasks(table.df.select(*names, *keep), table.n_rows)
-        .mapInArrow(run, "fold int, mask long, pos int, value double")
-        .groupBy("fold", "mask", "pos")
-        .agg(F.sum("value").alias("value"))
-        .collect()
-    )
-    vectors: dict[tuple, np.ndarray] = {}
-    for fold, mask, pos, value in sums:
-        vectors.setdefault((fold, mask), np.zeros(length))[pos] = value
+                sums[0] += np.append(weight.sum(), weighted.sum(axis=0))
+                for a, b in bounds:
+                    sums[1][a:b, a:] += weighted[:, a:b].T @ part[:, a:]
+                sums[2], sums[3] = min(sums[2], y.min()), max(sums[3], y.max())
+        task = TaskContext.get().partitionId()
+        for (fold, mask), (first, second, low, high) in totals.items():
+            for i, j, data in _blocks(first, second, bounds):
+                yield _block_batch(fold, mask, i, j, task, low, high, data)
+
+    rows = few_tasks(table.df.select(*names, *keep), table.n_rows).mapInArrow(run, GRAM_ROWS)
+    # a small table has a task per core at most: their single blocks are added here
+    small = len(bounds) == 1 and table.n_rows <= SMALL_TABLE
+    found: dict[tuple, list] = {}
+    for r in (rows if small else sum_blocks(rows)).collect():
+        parts = found.setdefault(
+            (r["fold"], r["mask"]), [np.zeros(1 + size), np.zeros((size, size)), np.inf, -np.inf]
+        )
+        data = np.frombuffer(r["data"])
+        if r["i"] < 0:
+            parts[0] += data
+        else:
+            (a, b), (c, d) = bounds[r["i"]], bounds[r["j"]]
+            parts[1][a:b, c:d] += data.reshape(b - a, d - c)
+        parts[2], parts[3] = min(parts[2], r["low"]), max(parts[3], r["high"])
     result = {}
-    for (fold, mask), vector in vectors.items():
-        second = np.zeros((size, size))
-        second[upper] = vector[1 + size :]
-        second = second + np.triu(second, 1).T
+    for (fold, mask), (first, second, low, high) in found.items():
+        second = np.triu(second) + np.triu(second, 1).T
         labelled = {"_fold": fold, "_vmask": mask}
-        result[tuple(labelled[k] for k in keys)] = Gram(vector[0], vector[1 : 1 + size], second)
+        result[tuple(labelled[k] for k in keys)] = Gram(first[0], first[1:], second, low, high)
     return result
 
 
+def _blocks(first, second, bounds):
+    """(row block, column block, values) of the sums; the first moments are block (-1, -1)."""
+    yield -1, -1, first
+    for i, (a, b) in enumerate(bounds):
+        for j in range(i, len(bounds)):
+            c, d = bounds[j]
+            yield i, j, second[a:b, c:d]
+
+
+def _block_batch(fold, mask, i, j, part, low, high, data) -> pa.RecordBatch:
+    row = {"fold": fold, "mask": mask, "i": i, "j": j, "part": part, "low": low, "high": high}
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64()]
+    columns = [pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)]
+    values = pa.array([np.ascontiguousarray(data, dtype=float).tobytes()], pa.binary())
+    return pa.RecordBatch.from_arrays([*columns, values], names=[*row, "data"])
+
+
+def sum_blocks(rows: DataFrame) -> DataFrame:
+    """Sum of the blocks (fold, mask, i, j, part, ..., data) over their parts, in two rounds."""
+    keys = ["fold", "mask", "i", "j", "part"]
+
+    def run(batches):
+        held, total, low, high = None, None, None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                key, data = tuple(row[k] for k in keys), np.frombuffer(row["data"])
+                if key == held:
+                    total = total + data
+                    low, high = min(low, row["low"]), max(high, row["high"])
+                else:
+                    if held is not None:
+                        yield _block_batch(*held, low, high, total)
+                    held, total, low, high = key, data, row["low"], row["high"]
+        if held is not None:
+            yield _block_batch(*held, low, high, total)
+
+    for groups in (BLOCK_GROUPS, 1):
+        rows = rows.withColumn("part", F.col("part") % groups)
+        dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
+        rows = dealt.mapInArrow(run, GRAM_ROWS)
+    return rows
+
+
 def select_gram(
     table: TrainingTable, grams: dict[tuple, Gram], fold: int, bit: int, watched: bool
 ) -> Gram | None:

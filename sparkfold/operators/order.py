@@ -34,6 +34,8 @@ from sparkfold.operators.checks import is_number
 
 PREFIX = 3  # hex digits by which a search pass over md5 keys narrows the range
 LONGEST_PREFIX = 30
+LITERAL_PAIRS = 64  # intervals that are literals of the plan; more are a joined table
+DRIVER_ROWS = 20_000  # rows of the last intervals that are sorted on the driver at most
 
 
 def shuffle_key(seed: int | str, id_col: str) -> Column:
@@ -140,8 +142,14 @@ def order_statistics(
 
     def narrowed(depth: int, kept) -> DataFrame:
         """Rows inside the kept (group, interval) pairs; there is one pair per target at most."""
-        table = spark.createDataFrame(list(kept), places)
         inside = rows.withColumn("_b", bins.column(F.col("_k0"), depth))
+        if len(kept) <= LITERAL_PAIRS:
+            by_group: dict = {}
+            for g, b in kept:
+                by_group.setdefault(g, []).append(b)
+            tests = [F.col("_g").eqNullSafe(F.lit(g)) & F.col("_b").isin(b) for g, b in by_group.items()]
+            return inside.filter(reduce(lambda a, b: a | b, tests))
+        table = spark.createDataFrame(list(kept), places)
         return inside.join(F.broadcast(table), ["_g", "_b"], "left_semi")
 
     depth, scope, kept = 0, rows, {}
@@ -175,6 +183,8 @@ def order_statistics(
             break
         scope = narrowed(depth, kept)
         depth += 1
+    if sum(kept.values()) <= DRIVER_ROWS:
+        return counts, _sorted_keys(narrowed(depth, kept).select("_g", "_b", *keys).collect(), wanted)
     goal = spark.createDataFrame(
         [(g, b, left + 1, rank) for g, rank, left, b in wanted],
         f"{places}, _rn int, _rank long",
@@ -195,6 +205,26 @@ def order_statistics(
     return counts, {(r[0], r[1]): tuple(r[3:]) for r in rows}
 
 
+def _sorted_keys(rows: list, wanted: list[tuple]) -> dict:
+    """Keys at the wanted ranks of a few rows (group, interval, key...)."""
+    inside: dict = {}
+    for g, b, *key in rows:
+        inside.setdefault((g, b), []).append(tuple(key))
+    found = {}
+    for found_in in inside.values():
+        if any(None in key for key in found_in):
+            raise ValueError("ids must be unique and not missing.")
+        found_in.sort()
+    for g, rank, left, b in wanted:
+        place = inside[(g, b)]
+        key = place[left]
+        # a cutoff between equal keys would take or leave them together
+        if left and place[left - 1] == key:
+            raise ValueError("ids must be unique and not missing.")
+        found[(g, rank)] = key
+    return found
+
+
 def bucket_count(n_rows: int, bucket_rows: int) -> int:
     return max(1, min(MAX_BUCKETS, -(-n_rows // bucket_rows)))
 

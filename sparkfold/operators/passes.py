@@ -37,6 +37,7 @@ class TrainingTable:
     width: int
     wide: bool
     n_rows: int
+    head: DataFrame | None = None  # the same rows as they are scanned, before they are spread
 
     @property
     def x_columns(self) -> list[str]:
@@ -48,7 +49,7 @@ class TrainingTable:
     def cached(self) -> TrainingTable:
         """Kept in memory (spilling to disk) for the passes; lost blocks are recomputed."""
         spread = spread_rows(self.df, self.n_rows)
-        return replace(self, df=spread.persist(StorageLevel.MEMORY_AND_DISK))
+        return replace(self, df=spread.persist(StorageLevel.MEMORY_AND_DISK), head=self.df)
 
     def release(self) -> None:
         self.df.unpersist()

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tests.helpers import rows_cls, rows_reg, spark_error
 
 from sparkfold.operators import passes
-from sparkfold.operators.fit import Job, _Fitting, fit, fit_all
+from sparkfold.operators.fit import Fitting, Job, fit, fit_all
 from sparkfold.operators.network import Net, batch_sums, kept, pack, unpack
 from sparkfold.operators.score import predict, predict_proba, score
 from sparkfold.operators.specs import (
@@ -484,7 +484,7 @@ def test_wide_features_use_the_array_form(spark):
     x = rng.normal(size=(50, 40))
     y = x @ rng.normal(size=40) + 3
     df = rows_reg(spark, x.tolist(), y)
-    table = _Fitting(df, FEATURES, "label", None, None, None, False).table([])
+    table = Fitting(df, FEATURES, "label", None, None, None, False).table([])
     assert table.wide and table.x_columns == ["_x"]
     model = fit(LinearRegression(), df, FEATURES, "label")
     assert np.allclose(predicted(df, model), y, atol=1e-8)
