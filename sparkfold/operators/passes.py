@@ -22,6 +22,7 @@ from sparkfold.functions.scalar import sql_number
 from sparkfold.operators.network import Net, batch_sums, unpack
 
 ROWS_PER_TASK = 25_000  # a small table is spread over the cores down to this many rows per task
+FEW_VALUES = 200_000  # values of all tasks that the driver adds up at most
 SMALL_TABLE = 20_000_000  # a table beyond this many rows keeps the partitions of its scan
 
 
@@ -57,10 +58,9 @@ class TrainingTable:
 
 def spread_rows(df: DataFrame, n_rows: int, by: str | None = None) -> DataFrame:
     """A small table may sit in one file and thus one task; spread it over the cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if n_rows > SMALL_TABLE:
+    tasks = spread_tasks(df, n_rows)
+    if tasks is None:
         return df
-    tasks = max(1, min(cores, -(-n_rows // ROWS_PER_TASK)))
     return df.repartition(tasks, by) if by else df.repartition(tasks)
 
 
@@ -107,24 +107,30 @@ class Sums:
     gradient: np.ndarray
 
 
-def sum_arrays(df: DataFrame, task, length: int) -> np.ndarray:
+def sum_arrays(df: DataFrame, task, length: int, tasks: int | None = None) -> np.ndarray:
     """Element-wise sum over tasks of a fixed-length vector.
 
     Each task sends its vector as (pos, value) rows; the sum is a shuffled aggregate, so the
-    driver receives one vector whatever the number of tasks.
+    driver receives one vector whatever the number of tasks. Where ``tasks`` bounds their number and
+    all of their values are few, the driver adds them up.
     """
-    rows = (
-        df.mapInArrow(task, "pos int, value double")
-        .groupBy("pos")
-        .agg(F.sum("value").alias("value"))
-        .collect()
-    )
+    rows = df.mapInArrow(task, "pos int, value double")
+    if tasks is None or tasks * length > FEW_VALUES:
+        rows = rows.groupBy("pos").agg(F.sum("value").alias("value"))
     total = np.zeros(length)
-    for pos, value in rows:
-        total[pos] = value
+    for pos, value in rows.collect():
+        total[pos] += value
     return total
 
 
+def spread_tasks(df: DataFrame, n_rows: int) -> int | None:
+    """Number of tasks that a table is spread over; None for one that keeps those of its scan."""
+    if n_rows > SMALL_TABLE:
+        return None
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(cores, -(-n_rows // ROWS_PER_TASK)))
+
+
 def few_tasks(df: DataFrame, n_rows: int) -> DataFrame:
     """Let a task take several partitions once there are far more of them than the session shuffles
     into: every task sends one vector, so fewer tasks mean fewer vectors to add up."""
@@ -163,7 +169,8 @@ def arrow_pass(
     length = sum(4 + net.size for net in nets)
     task = gradient_task(nets, thetas, names, table.width, epoch)
     source = few_tasks(rows.select(*names, *keep), table.n_rows)
-    total = sum_arrays(source, task, length)
+    tasks = spread_tasks(table.df, table.n_rows) if rows is table.df else None
+    total = sum_arrays(source, task, length, tasks)
     result, at = [], 0
     for net in nets:
         head, body = total[at : at + 4], total[at + 4 : at + 4 + net.size]

@@ -6,16 +6,19 @@ whole search costs one job per epoch however many models are in it.
 
 from __future__ import annotations
 
+from base64 import b64decode, b64encode
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
+from pyspark import BarrierTaskContext, StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.functions.losses import penalty_sum
 from sparkfold.operators.network import Net, batch_sums, unpack, weight_positions
 from sparkfold.operators.passes import (
+    BLOCK_COLUMNS,
     Sums,
     TrainingTable,
     block_of,
@@ -28,6 +31,7 @@ from sparkfold.operators.splits import mini_batches
 from sparkfold.operators.updates import History, StopRule, Update, scheduled_rate
 
 
+BARRIER_ROWS = 2048  # rows of a batch per task of a barrier stage at least
 SHARDS = 8  # shards of row-by-row training unless the estimator names a number
 
 
@@ -126,35 +130,133 @@ def train_full_batch(runs: Sequence[Run], table: TrainingTable) -> None:
     descend(runs, evaluation)
 
 
-def train_mini_batches(run: Run, table: TrainingTable, id_col: str) -> None:
-    """One job per batch. Batches are cut from the shuffled order of the training rows and kept
-    sorted by batch in the cache, so a batch reads its own column chunks only."""
-    spec, net = run.spec, run.net
+def usable_rows(table: TrainingTable, net: Net) -> DataFrame:
+    """The rows that a model trains on."""
     usable = table.df
     if net.fold >= 0:
         usable = usable.filter(F.col("_fold") != net.fold)
     if net.bit >= 0:
         usable = usable.filter(F.shiftright("_vmask", net.bit).bitwiseAND(F.lit(1)) == 0)
+    return usable
+
+
+def train_mini_batches(run: Run, table: TrainingTable, id_col: str) -> None:
+    """Mini-batch descent with one job per epoch (and one for the epoch's losses).
+
+    Batches are cut from the shuffled order of the training rows. The rows of every batch are dealt
+    over the tasks of one barrier stage, sorted by batch; the tasks exchange their parts of the
+    gradient and all make the same step. A lost task restarts the epoch from its parameters.
+    """
+    usable = usable_rows(table, run.net)
     n_rows = usable.count()
-    epoch = 0
+    step = _epoch_by_barrier if barriers_run(usable.sparkSession) else _epoch_by_jobs
+    spec = run.spec
     while not run.done:
+        epoch, rate = len(run.history.rows), run.rate()
         batches = mini_batches(
             usable, id_col, epoch=epoch, batch_size=spec.batch_size, shuffle=spec.shuffle,
             seed=spec.seed, out="_batch", n_rows=n_rows,
         )
-        kept = batches.df.sortWithinPartitions("_batch").persist(StorageLevel.MEMORY_AND_DISK)
-        rate = run.rate()
-        try:
-            for batch in range(batches.count):
-                rows = kept.filter(F.col("_batch") == batch)
-                sums, = evaluate(table, [net], [run.theta], epoch, rows)
-                gradient = run.gradient(sums)
-                run.theta = run.update.move(run.theta, gradient, rate)
-        finally:
-            kept.unpersist()
-        after, = evaluate(table, [net], [run.theta], epoch)
-        run.close_epoch(after, float(np.linalg.norm(gradient)), rate)
-        epoch += 1
+        norm = step(run, table, batches, id_col, epoch, rate, -(-n_rows // batches.count))
+        after, = evaluate(table, [run.net], [run.theta], epoch)
+        run.close_epoch(after, norm, rate)
+
+
+def barriers_run(spark) -> bool:
+    """Whether barrier stages can run: they need a fixed number of slots."""
+    return spark.conf.get("spark.dynamicAllocation.enabled", "false") != "true"
+
+
+def barrier_tasks(spark, batch_rows: int) -> int:
+    """Tasks of a barrier stage: enough rows of a batch for each, and no more than there are slots."""
+    return max(1, min(spark.sparkContext.defaultParallelism, batch_rows // BARRIER_ROWS))
+
+
+def _epoch_by_barrier(run, table, batches, id_col, epoch, rate, batch_rows) -> float:
+    spark = table.df.sparkSession
+    keep = [c for c in (*BLOCK_COLUMNS, "_batch") if c in batches.df.columns]
+    dealt = (
+        batches.df.select(*table.x_columns, *keep, id_col)
+        .repartition(barrier_tasks(spark, batch_rows), id_col)
+        .sortWithinPartitions("_batch", id_col).drop(id_col)
+    )
+    work = barrier_task(run, table.x_columns, table.width, batches.count, rate, epoch)
+    size = len(run.theta)
+    state = np.zeros(3 * size + 2)
+    for pos, value in dealt.mapInArrow(work, "pos int, value double", barrier=True).collect():
+        state[pos] = value
+    run.theta, run.update.first, run.update.second = np.split(state[:-2], 3)
+    run.update.steps = int(state[-2])
+    return float(state[-1])
+
+
+def batch_blocks(batches, names, width: int, count: int):
+    """Rows of batch 0, 1, ... of Arrow batches sorted by batch; None for one without rows here."""
+    held: list[dict] = []
+    at = 0
+
+    def joined():
+        if not held:
+            return None
+        return {k: np.concatenate([part[k] for part in held]) for k in held[0]}
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block = block_of(batch, names, width)
+        number = batch.column("_batch").to_numpy(zero_copy_only=False)
+        bounds = [0, *(np.flatnonzero(np.diff(number)) + 1), len(number)]
+        for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+            while at < number[begin]:
+                yield joined()
+                held, at = [], at + 1
+            held.append({k: v[begin:end] for k, v in block.items()})
+    while at < count:
+        yield joined()
+        held, at = [], at + 1
+
+
+def barrier_task(run: Run, names, width: int, count: int, rate: float, epoch: int):
+    """All steps of an epoch; the first task answers with parameters, the rule's memory and the
+    norm of the last gradient."""
+    net, length = run.net, 4 + run.net.size
+
+    def work(batches):
+        context = BarrierTaskContext.get()
+        alone = len(context.getTaskInfos()) == 1
+        norm = 0.0
+        for block in batch_blocks(batches, names, width, count):
+            part = np.zeros(length)
+            if block is not None:
+                part = batch_sums([net], [run.theta], block, epoch)
+            total = part
+            if not alone:
+                # added in the order of the tasks: every task gets the same bits
+                parts = context.allGather(b64encode(part.tobytes()).decode())
+                total = sum(np.frombuffer(b64decode(p)) for p in parts)
+            gradient = run.gradient(Sums(*total[:4], gradient=total[4:]))
+            run.theta = run.update.move(run.theta, gradient, rate)
+            norm = float(np.linalg.norm(gradient))
+        if context.partitionId() == 0:
+            memory = [run.update.first, run.update.second]
+            memory = [np.broadcast_to(m, run.theta.shape) for m in memory]
+            yield vector_batch(np.concatenate([run.theta, *memory, [run.update.steps, norm]]))
+
+    return work
+
+
+def _epoch_by_jobs(run, table, batches, id_col, epoch, rate, batch_rows) -> float:
+    """The same with a job per batch, where barrier stages cannot run."""
+    kept = batches.df.sortWithinPartitions("_batch").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for batch in range(batches.count):
+            rows = kept.filter(F.col("_batch") == batch)
+            sums, = evaluate(table, [run.net], [run.theta], epoch, rows)
+            gradient = run.gradient(sums)
+            run.theta = run.update.move(run.theta, gradient, rate)
+    finally:
+        kept.unpersist()
+    return float(np.linalg.norm(gradient))
 
 
 def local_task(run: Run, theta, rate: float, names, width: int, size: int, epoch: int):
@@ -223,11 +325,7 @@ def train_local(run: Run, table: TrainingTable, id_col: str) -> None:
     """
     spec, net = run.spec, run.net
     names, size = table.x_columns, spec.batch_size or 1
-    usable = table.df
-    if net.fold >= 0:
-        usable = usable.filter(F.col("_fold") != net.fold)
-    if net.bit >= 0:
-        usable = usable.filter(F.shiftright("_vmask", net.bit).bitwiseAND(F.lit(1)) == 0)
+    usable = usable_rows(table, net)
     # the model depends on the number of shards, so it never follows the table's size
     shards = spec.shards or SHARDS
     sharded = usable.withColumn("_shard", F.pmod(F.col("_key"), F.lit(shards)))

@@ -17,7 +17,10 @@ def ids_of(df, column):
 
 
 @pytest.mark.parametrize("leaf_rows", [10_000, 3])
-def test_order_statistics_refine_to_the_row(spark, leaf_rows):
+@pytest.mark.parametrize("driver_rows", [0, 20_000])
+def test_order_statistics_refine_to_the_row(spark, monkeypatch, leaf_rows, driver_rows):
+    monkeypatch.setattr(order, "DRIVER_ROWS", driver_rows)
+    monkeypatch.setattr(order, "LITERAL_PAIRS", driver_rows)
     df = spark.range(0, 3000).repartition(5)
     ids = hashed(4, range(3000))
     got = order.order_statistics(

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.helpers import rows_cls, rows_reg
 
+from sparkfold.operators import fit as fitting
 from sparkfold.operators import metrics, splits
 from sparkfold.operators.fit import fit
 from sparkfold.operators.score import (
@@ -18,6 +19,7 @@ from sparkfold.operators.score import (
 from sparkfold.operators.specs import (
     LinearRegression,
     LogisticRegression,
+    MeanTarget,
     MLPClassifier,
     MLPRegressor,
 )
@@ -111,6 +113,93 @@ def test_networks_of_different_shapes_are_searched_together(spark):
     )
 
 
+@pytest.mark.parametrize("kind", ["classify", "regress"])
+def test_sums_give_the_scores_of_rows(spark, monkeypatch, kind):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(90, 2))
+    if kind == "classify":
+        df = rows_cls(spark, x, (x[:, 0] + rng.normal(size=90) > 0).astype(int) + 1)
+        spec, names = LogisticRegression(max_iter=3, learning_rate=0.4, seed=2), ["accuracy", "f1"]
+        grid = {"regularization_strength": [0.0, 5.0]}
+    else:
+        df = rows_reg(spark, x, 3 + x @ [1.0, -2.0] + rng.normal(size=90))
+        spec, names = LinearRegression(penalty="l2"), list(search.REGRESSION_SCORERS)
+        grid = {"regularization_strength": [0.0, 50.0]}
+
+    def scores(name):
+        found = search.grid_search(
+            spec, grid, df, "features", "label", "id", cv=3, seed=4, scoring=name
+        ).scores.collect()
+        return [r["score"] for r in sorted(found, key=lambda r: (r["candidate"], r["fold"]))]
+
+    def by_rows(name):
+        def from_rows(fitting, table, folded, features, label, models, scoring, classify, weight):
+            rows = search.scored_folds(folded, features, label, models)
+            found = search.fold_scores(rows, scoring, classify).collect()
+            return {(r["candidate"], r["fold"]): r["score"] for r in found}
+
+        with monkeypatch.context() as patch:
+            patch.setattr(search, "fold_scores_of", from_rows)
+            return scores(name)
+
+    for name in names:
+        wanted = by_rows(name)
+        assert scores(name) == pytest.approx(wanted, abs=1e-10)
+        with monkeypatch.context() as patch:
+            patch.setattr(search, "sums_only", lambda *_: None)
+            assert scores(name) == pytest.approx(wanted, abs=1e-10)
+            patch.setattr(search, "COMPILED_SCORES", 0)
+            assert scores(name) == pytest.approx(wanted, abs=1e-10)
+
+
+def test_exact_and_constant_targets(spark):
+    df = rows_reg(spark, [[v] for v in range(12)], [2.0 * v for v in range(12)])
+    scores = search.cross_val_score(LinearRegression(), df, "features", "label", "id", cv=3)
+    assert [r["score"] for r in scores.collect()] == pytest.approx([1.0] * 3)
+    flat = rows_reg(spark, [[v] for v in range(12)], [7.0] * 12)
+    mean = search.cross_val_score(MeanTarget(), flat, "features", "label", "id", cv=3)
+    assert [r["score"] for r in mean.collect()] == [1.0] * 3
+    with pytest.raises(ValueError, match="positive_label"):
+        search.cross_val_score(
+            LogisticRegression(max_iter=2), rows_cls(spark, POINTS, [2, 3] * 4), "features", "label",
+            "id", cv=2, scoring="f1",
+        )
+
+
+@pytest.mark.parametrize("early", [False, True])
+def test_a_search_scans_its_source_once(spark, early):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rng = np.random.default_rng(2)
+    df = rows_cls(spark, rng.normal(size=(40, 2)), [0, 1] * 20)
+    source = df.mapInArrow(counted, df.schema)
+    result = search.grid_search(
+        LogisticRegression(max_iter=2, early_stopping=early), {"learning_rate": [0.1, 0.2]}, source,
+        "features", "label", "id", cv=4, stratified=True,
+    )
+    assert seen.value == 40 and result.best_model.n_iter == 2
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+
+def test_more_holdouts_than_mask_bits(spark, monkeypatch):
+    monkeypatch.setattr(fitting, "MASK_BITS", 3)
+    spec = LogisticRegression(max_iter=2, early_stopping=True, validation_fraction=0.3)
+    result = search.grid_search(
+        spec, {"learning_rate": [0.1, 0.2]}, eight(spark), "features", "label", "id", cv=2, stratified=True
+    )
+    monkeypatch.undo()
+    again = search.grid_search(
+        spec, {"learning_rate": [0.1, 0.2]}, eight(spark), "features", "label", "id", cv=2, stratified=True
+    )
+    assert [tuple(r) for r in result.scores.collect()] == [tuple(r) for r in again.scores.collect()]
+    assert np.array_equal(result.best_model.params["weights"], again.best_model.params["weights"])
+
+
 def test_random_search_is_repeatable():
     candidates = search.parameter_grid({"a": [1, 2], "b": [3, 4, 5]})
     assert candidates[:4] == [{"a": 1, "b": 3}, {"a": 1, "b": 4}, {"a": 1, "b": 5},

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.helpers import rows_cls, rows_reg, spark_error
 
-from sparkfold.operators import passes
+from sparkfold.operators import linear, passes, training
 from sparkfold.operators.fit import Fitting, Job, fit, fit_all
 from sparkfold.operators.network import Net, batch_sums, kept, pack, unpack
 from sparkfold.operators.score import predict, predict_proba, score
@@ -388,6 +388,56 @@ def test_mini_batches_match_a_plain_loop(spark):
     assert model.params["bias"] == pytest.approx([b], abs=1e-12)
 
 
+@pytest.mark.parametrize("optimizer", ["sgd", "adam"])
+def test_batches_in_one_barrier_stage(spark, monkeypatch, optimizer):
+    rng = np.random.default_rng(11)
+    x, y = rng.normal(size=(61, 3)), rng.integers(0, 3, 61)
+    df = rows_cls(spark, x.tolist(), y.tolist()).repartition(3)
+    spec = LogisticRegression(
+        learning_rate=0.1, max_iter=3, batch_strategy="mini_batch", batch_size=16, optimizer=optimizer,
+        regularization_strength=2.0, early_stopping=True, validation_fraction=0.2, seed=5,
+    )
+    found = []
+    for rows in (10**9, 4):
+        monkeypatch.setattr(training, "BARRIER_ROWS", rows)
+        found.append(fit(spec, df, FEATURES, "label", id_col="id"))
+    assert training.barrier_tasks(spark, 16) == 4
+    monkeypatch.setattr(training, "barriers_run", lambda spark: False)
+    found.append(fit(spec, df, FEATURES, "label", id_col="id"))
+    for model in found[1:]:
+        assert np.allclose(model.params["weights"], found[0].params["weights"], rtol=0, atol=1e-9)
+        assert np.allclose(np.array(model.history_rows, float), np.array(found[0].history_rows, float), atol=1e-9)
+
+
+def test_batches_that_a_task_has_no_rows_of():
+    import pyarrow as pa
+
+    rows = [pa.RecordBatch.from_pydict({"_x0": [1.0, 2.0], "_y": [0, 1], "_batch": b}) for b in ([1, 1], [1, 4])]
+    blocks = list(training.batch_blocks(iter(rows), ["_x0"], 1, 7))
+    assert [None if b is None else b["x"][:, 0].tolist() for b in blocks] == [
+        None, [1.0, 2.0, 1.0], None, None, [2.0], None, None
+    ]
+
+
+@pytest.mark.parametrize("width, small", [(40, True), (40, False), (2000, False)])
+def test_gram_in_blocks(spark, monkeypatch, width, small):
+    monkeypatch.setattr(linear, "GRAM_BLOCK", 16 if width < 100 else 256)
+    if not small:
+        monkeypatch.setattr(linear, "SMALL_TABLE", 0)
+    rng = np.random.default_rng(width)
+    x, y, w = rng.normal(5, 1, (60, width)), rng.normal(size=60), rng.random(60)
+    rows = [(v.tolist(), float(t), float(u), i % 3, 0) for i, (v, t, u) in enumerate(zip(x, y, w))]
+    df = spark.createDataFrame(rows, "_x array<double>, _y double, _w double, _fold int, _vmask long")
+    table = passes.TrainingTable(df.repartition(5), width, True, 60)
+    centre = linear.centre_of(table)
+    for (fold, _), gram in linear.gram_by_group(table, centre).items():
+        own = np.arange(60) % 3 == fold
+        v = np.column_stack([x, y])[own] - centre
+        assert np.allclose(gram.n, w[own].sum()) and np.allclose(gram.first, w[own] @ v)
+        assert np.allclose(gram.second, (v * w[own][:, None]).T @ v)
+        assert (gram.low, gram.high) == (y[own].min(), y[own].max())
+
+
 def test_local_descent_walks_through_the_shards(spark):
     rng = np.random.default_rng(7)
     x, y = rng.normal(size=(40, 2)), rng.integers(0, 2, 40)

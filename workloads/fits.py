@@ -359,6 +359,78 @@ def f07(spark, d):
     return history(spark, model, "train_loss", "param_norm", digits=8)
 
 
+# Batches of 1,500 rows over two epochs; gd holds the parameters before each step.
+BATCHES = f"""{OD}, nb AS (SELECT CAST(ceil(count(*) / 1500) AS BIGINT) AS nb FROM od),
+    steps AS (
+      SELECT x1, x2, t, y3, (row_number() OVER (ORDER BY {shuffled('6:0')}) - 1) // 1500 AS step FROM od
+      UNION ALL
+      SELECT x1, x2, t, y3, nb + (row_number() OVER (ORDER BY {shuffled('6:1')}) - 1) // 1500
+      FROM od, nb)"""
+BATCH_NAMES = [f"w{i}{k}" for i in range(2) for k in range(3)] + [f"b{k}" for k in range(3)]
+BATCH_EXPS = ", ".join(f"exp(w0{k} * x1 + w1{k} * x2 + b{k}) AS e{k}" for k in range(3))
+BATCH_ERRORS = ", ".join(f"e{k} / (e0 + e1 + e2) - CAST(y3 = {k} AS INTEGER) AS r{k}" for k in range(3))
+BATCH_MOVE = ", ".join(
+    [f"w{i}{k} - 0.4 * (avg(r{k} * x{i + 1}) + 5.0 * w{i}{k} / count(*))" for i in range(2) for k in range(3)]
+    + [f"b{k} - 0.4 * avg(r{k})" for k in range(3)]
+)
+
+
+@query(
+    "f07_mini_batch_softmax",
+    f"""WITH RECURSIVE {BATCHES}, gd(step, {', '.join(BATCH_NAMES)}) AS (
+      SELECT 0::BIGINT, {', '.join(['0.0::DOUBLE'] * 9)}
+      UNION ALL
+      SELECT step + 1, {BATCH_MOVE} FROM (SELECT *, {BATCH_ERRORS} FROM (
+        SELECT *, {BATCH_EXPS} FROM gd JOIN steps USING (step)))
+      GROUP BY step, {', '.join(BATCH_NAMES)}),
+    ends AS (SELECT CAST(step / nb AS INTEGER) AS epoch, gd.* FROM gd, nb WHERE step IN (nb, 2 * nb)),
+    norms AS (SELECT *, {' + '.join(f'w{i}{k} * w{i}{k}' for i in range(2) for k in range(3))} AS ww,
+      b0 * b0 + b1 * b1 + b2 * b2 AS bb FROM ends)
+    SELECT epoch, round(avg(-ln(CASE y3 WHEN 0 THEN e0 WHEN 1 THEN e1 ELSE e2 END / (e0 + e1 + e2)))
+             + 5.0 * ww / (2 * count(*)), 8) AS train_loss, round(sqrt(ww + bb), 8) AS param_norm
+    FROM (SELECT *, {BATCH_EXPS} FROM norms, od) GROUP BY epoch, ww, bb""",
+)
+def f07_softmax(spark, d):
+    spec = LogisticRegression(
+        learning_rate=0.4, max_iter=2, regularization_strength=5.0, start="zeros",
+        batch_strategy="mini_batch", batch_size=1500, seed=6,
+    )
+    model = fit(spec, orders(spark, d), ["x1", "x2"], "y3", id_col="id")
+    return history(spark, model, "train_loss", "param_norm", digits=8)
+
+
+# adam on one feature: first and second moments of both parameters, corrected by the step
+ADAM = {
+    p: f"{p} - 0.1 * (m{p} / (1 - 0.9 ** step)) / (sqrt(v{p} / (1 - 0.999 ** step)) + 1e-8)"
+    for p in ("w", "b")
+}
+
+
+@query(
+    "f07_mini_batch_linear_adam",
+    f"""WITH RECURSIVE {BATCHES}, gd(step, w, b, mw, mb, vw, vb) AS (
+      SELECT 0::BIGINT, {', '.join(['0.0::DOUBLE'] * 6)}
+      UNION ALL
+      SELECT step, {ADAM['w']}, {ADAM['b']}, mw, mb, vw, vb FROM (
+        SELECT step + 1 AS step, w, b, 0.9 * mw + 0.1 * gw AS mw, 0.9 * mb + 0.1 * gb AS mb,
+               0.999 * vw + 0.001 * gw * gw AS vw, 0.999 * vb + 0.001 * gb * gb AS vb
+        FROM (SELECT step, w, b, mw, mb, vw, vb, avg((w * x2 + b - x1) * x2) AS gw,
+                     avg(w * x2 + b - x1) AS gb
+              FROM gd JOIN steps USING (step) GROUP BY step, w, b, mw, mb, vw, vb))),
+    ends AS (SELECT CAST(step / nb AS INTEGER) AS epoch, w, b FROM gd, nb WHERE step IN (nb, 2 * nb))
+    SELECT epoch, round(0.5 * avg((w * x2 + b - x1) ^ 2), 8) AS train_loss,
+           round(sqrt(w * w + b * b), 8) AS param_norm
+    FROM ends, od GROUP BY epoch, w, b""",
+)
+def f07_adam(spark, d):
+    spec = LinearRegression(
+        solver="gradient_descent", optimizer="adam", learning_rate=0.1, max_iter=2,
+        batch_strategy="mini_batch", batch_size=1500, seed=6,
+    )
+    model = fit(spec, orders(spark, d), ["x2"], "x1", id_col="id")
+    return history(spark, model, "train_loss", "param_norm", digits=8)
+
+
 def _start(seed: int, *shapes):
     rng = np.random.default_rng(seed)
     return [float(start_weights("xavier", s, rng)[0, 0]) for s in shapes]
