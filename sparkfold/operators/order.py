@@ -35,6 +35,9 @@ from sparkfold.operators.checks import is_number
 PREFIX = 3  # hex digits by which a search pass over md5 keys narrows the range
 LONGEST_PREFIX = 30
 LITERAL_PAIRS = 64  # intervals that are literals of the plan; more are a joined table
+DRIVER_BINS = 65_536  # counts of groups by interval that reach the driver at most, and ...
+DRIVER_GROUPS = 256  # ... groups; beyond, their ranks are searched by tables
+HEAVY_PARTS = 1000  # a key with more than one part in so many of the rows is never shuffled
 DRIVER_ROWS = 20_000  # rows of the last intervals that are sorted on the driver at most
 
 
@@ -158,8 +161,14 @@ def order_statistics(
     while True:
         interval = bins.column(F.col("_k0"), depth).alias("_b")
         table: dict = {}
-        for g, b, n in scope.groupBy("_g", interval).count().collect():
+        counted = scope.groupBy("_g", interval).count()
+        if group is not None and depth == 0:
+            counted = counted.limit(DRIVER_BINS + 1)
+        found = counted.collect()
+        for g, b, n in found:
             table.setdefault(g, []).append((b, n))
+        if group is not None and depth == 0 and max(len(found) - DRIVER_BINS, len(table) - DRIVER_GROUPS) > 0:
+            raise ManyGroups
         if depth == 0:
             counts = {g: sum(n for _, n in found) for g, found in table.items()}
             ranks = targets(dict(sorted(counts.items())))
@@ -225,6 +234,120 @@ def _sorted_keys(rows: list, wanted: list[tuple]) -> dict:
     return found
 
 
+class ManyGroups(Exception):
+    """There are too many groups for the driver to hold their counts."""
+
+
+def heavy_join(
+    df: DataFrame, table: DataFrame, on: Sequence[str], weight: str, total: int, rows: int, how: str = "inner"
+) -> DataFrame:
+    """Join with a table that has each key once and ``weight``, the number of rows with that key.
+
+    A table of up to BROADCAST_ROWS / 10 rows is broadcast. Else the keys with more than a
+    HEAVY_PARTS-th of all rows, of which there are HEAVY_PARTS at most, are broadcast and their rows
+    stay where they are; the rest is shuffled, and no key of it is large.
+    """
+    plain = table.drop(weight)
+    if rows <= BROADCAST_ROWS // 10:
+        return df.join(F.broadcast(plain), on, how)
+    heavy = table.filter(F.col(weight) > total // HEAVY_PARTS).drop(weight)
+    light = table.filter(F.col(weight) <= total // HEAVY_PARTS).drop(weight)
+    here = df.join(F.broadcast(heavy), on, "left_semi" if how == "left_semi" else "inner")
+    rest = df.join(F.broadcast(heavy.select(*on)), on, "left_anti").join(light.hint("merge"), on, how)
+    return here.unionByName(rest)
+
+
+def group_counts(df: DataFrame, group: Column) -> tuple[DataFrame, int, int]:
+    """(_g, _n) per group, kept; the number of rows, and of groups."""
+    counts = df.groupBy(group.alias("_g")).agg(F.count(F.lit(1)).alias("_n")).persist()
+    total, groups = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count(F.lit(1))).first()
+    return counts, total, groups
+
+
+def group_keys(
+    df: DataFrame,
+    order: RowOrder,
+    group: Column,
+    wanted: DataFrame,
+    total: int,
+    groups: int,
+    *,
+    leaf_rows: int = LEAF_ROWS,
+) -> DataFrame:
+    """Keys of the rows at wanted 0-based ranks (_g, _rank) of md5 orders, for any number of groups.
+
+    A distributed radix search: ranks, histograms and found keys are tables throughout. Rows are
+    counted by the leading digits of their key, as many as leave about 16 rows per count; every rank
+    moves to the interval that holds it, and intervals above ``leaf_rows`` are counted by more
+    digits. Only the rows of the last intervals are sorted. A large group is in many intervals by
+    then, so none of its rows meet in one task unless they are few.
+
+    The result (_g, _rank, _k0, _k1) is kept.
+    """
+    keys = [f"_k{i}" for i in range(len(order.columns))]
+    rows = df.select(
+        group.alias("_g"), *[c.alias(name) for c, name in zip(order.columns, keys, strict=True)]
+    )
+    digits = 0
+    while digits < PREFIX and 16 ** (digits + 2) * groups <= total:
+        digits += 1
+
+    def cut(scope: DataFrame, length: int) -> DataFrame:
+        return scope.withColumn("_b", F.substring("_k0", 1, length) if length else F.lit(""))
+
+    scope, places, parent, held, found = rows, wanted.withColumn("_left", F.col("_rank")), 0, [], []
+    places = places.withColumn("_p", F.lit(""))
+    while True:
+        counted = cut(scope, digits).groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n"))
+        counted = counted.withColumn("_p", F.substring("_b", 1, parent) if parent else F.lit(""))
+        inside = Window.partitionBy("_g", "_p").orderBy("_b")
+        counted = counted.withColumn("_before", F.sum("_n").over(inside) - F.col("_n"))
+        here = (F.col("_before") <= F.col("_left")) & (F.col("_left") < F.col("_before") + F.col("_n"))
+        located = counted.join(places, ["_g", "_p"]).filter(here).select(
+            "_g", "_rank", (F.col("_left") - F.col("_before")).alias("_left"), "_b", "_n"
+        ).persist()
+        held.append(located)
+        large = located.filter(F.col("_n") > leaf_rows) if digits < LONGEST_PREFIX else located.limit(0)
+        # an interval is large only if it holds more than leaf_rows rows, so these are few
+        open_ = large.select("_g", "_b", "_n").distinct()
+        n_open, ends = open_.count(), located.filter(F.col("_n") <= leaf_rows)
+        if digits >= LONGEST_PREFIX:
+            ends = located
+        scoped = cut(scope, digits)
+        small = scoped
+        if n_open:
+            small = scoped.join(F.broadcast(open_.select("_g", "_b")), ["_g", "_b"], "left_anti")
+        found.append(_leaf_keys(small, ends, keys, total))
+        if not n_open:
+            break
+        scope = scoped.join(F.broadcast(open_.select("_g", "_b")), ["_g", "_b"], "left_semi").drop("_b")
+        places = large.select("_g", "_rank", "_left", F.col("_b").alias("_p"))
+        parent, digits = digits, min(digits + PREFIX, LONGEST_PREFIX)
+    result = reduce(DataFrame.unionByName, found).persist()
+    missing = wanted.count() - result.count()
+    for table in held:
+        table.unpersist()
+    if missing:
+        raise ValueError("a wanted rank lies outside its group.")
+    return result
+
+
+def _leaf_keys(rows: DataFrame, ends: DataFrame, keys: Sequence[str], total: int) -> DataFrame:
+    """(_g, _rank, keys) of ranks whose intervals (_g, _rank, _left, _b, _n) are small."""
+    intervals = ends.groupBy("_g", "_b").agg(F.max("_n").alias("_n"))
+    chosen = heavy_join(rows, intervals, ["_g", "_b"], "_n", total, intervals.count(), "left_semi")
+    place = Window.partitionBy("_g", "_b").orderBy(*keys)
+    twice = F.raise_error(F.lit("ids must be unique and not missing.")).cast("int")
+    same = F.struct(*keys).eqNullSafe(F.lag(F.struct(*keys)).over(place))
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    numbered = chosen.select("*", F.row_number().over(place).alias("_rn"), (same | missing).alias("_bad"))
+    goal = ends.select("_g", "_rank", "_b", (F.col("_left") + 1).cast("int").alias("_rn"))
+    return (
+        numbered.withColumn("_rn", F.when(F.col("_bad"), twice).otherwise(F.col("_rn")))
+        .join(goal, ["_g", "_b", "_rn"]).select("_g", "_rank", *keys)
+    )
+
+
 def bucket_count(n_rows: int, bucket_rows: int) -> int:
     return max(1, min(MAX_BUCKETS, -(-n_rows // bucket_rows)))
 

@@ -19,12 +19,18 @@ from sparkfold.constants import BUCKET_ROWS, MAX_CLASSES, SMALL_BATCH
 from sparkfold.functions.scalar import as_class
 from sparkfold.operators.encode import small_join
 from sparkfold.operators.order import (
+    ManyGroups,
     RowOrder,
     add_rank,
+    group_counts,
+    group_keys,
+    heavy_join,
     order_statistics,
     precedes,
     row_order,
+    running_sums,
     shuffled_order,
+    value_buckets,
 )
 
 LITERAL_CLASSES = 16  # cutoffs are literals up to this many classes, a joined table beyond
@@ -114,7 +120,10 @@ def _stratified_split(df, id_col, test_size, stratify, seed, out) -> DataFrame:
         plan["quotas"] = class_quotas(counts, plan["n_test"])
         return {c: [q] for c, q in plan["quotas"].items() if q > 0}
 
-    _, keys = order_statistics(df, order, targets, label)
+    try:
+        _, keys = order_statistics(df, order, targets, label)
+    except ManyGroups:
+        return _split_by_tables(df, id_col, test_size, label, seed, out)
     if not plan:
         _total({})
     cutoffs = {c: keys[(c, q)] for c, q in plan["quotas"].items() if q > 0}
@@ -128,6 +137,78 @@ def _stratified_split(df, id_col, test_size, stratify, seed, out) -> DataFrame:
     return marked.withColumn(out, taken).select(*df.columns, out)
 
 
+def quota_table(counts: DataFrame, total: int, n_test: int) -> DataFrame:
+    """(_g, _n, _q): class_quotas of a table (_g, _n) with any number of classes."""
+    share = F.bround(F.lit(float(n_test)) * F.col("_n") / F.lit(float(total))).cast("long")
+    wish = F.least(F.greatest(F.lit(1).cast("long"), share), F.col("_n") - 1)
+    wishes = counts.select("_g", "_n", wish.alias("_q")).persist()
+    try:
+        n_classes, wished = wishes.agg(F.count(F.lit(1)), F.sum("_q")).first()
+        surplus = max(wished - n_test, 0)
+        if not surplus:
+            return wishes.select("*")
+        bucketed, n_buckets = value_buckets(wishes, None, "_g", n_classes)
+        # what the classes up to one have asked for; the rest was asked for by higher ones
+        summed = running_sums(
+            bucketed, ["_b1"], n_buckets, [F.col("_g")], {"_so_far": F.col("_q")}, place=["_g"]
+        )
+        left = F.lit(surplus) - (F.lit(wished) - F.col("_so_far"))
+        taken = F.least(F.greatest(left, F.lit(0).cast("long")), F.col("_q"))
+        return summed.select("_g", "_n", (F.col("_q") - taken).alias("_q")).persist()
+    finally:
+        if n_classes and wished > n_test:
+            wishes.unpersist()
+
+
+def _split_by_tables(df, id_col, test_size, label, seed, out) -> DataFrame:
+    """A stratified split whose class counts, quotas and cutoffs are tables throughout."""
+    order = shuffled_order(seed, id_col)
+    counts, total, n_classes = group_counts(df, label)
+    n_test = n_test_rows(total, test_size)
+    quotas = quota_table(counts, total, n_test)
+    wanted = quotas.filter("_q > 0").select("_g", F.col("_q").alias("_rank"))
+    keys = group_keys(df, order, label, wanted, total, n_classes)
+    cutoffs = keys.select("_g", F.struct(*keys.columns[2:]).alias("_cut"))
+    cutoffs = counts.join(cutoffs, "_g", "left").select(F.col("_g").alias("_c"), "_n", "_cut")
+    joined = heavy_join(_whole_rows(df, order, label), cutoffs, ["_c"], "_n", total, n_classes)
+    marked = _unpacked(df, joined, F.coalesce(F.col("_me") < F.col("_cut"), F.lit(False)), out)
+    short = n_test - quotas.agg(F.sum("_q")).first()[0]
+    if short > 0:
+        second = shuffled_order(f"{seed}:fill", id_col)
+        rest = marked.filter(~F.col(out))
+        marked = marked.withColumn(out, F.col(out) | first_rows(rest, second, lambda n: short))
+    return marked
+
+
+def _whole_rows(df: DataFrame, order: RowOrder, label: Column) -> DataFrame:
+    """(_row, _c, _me): the row as it is, whatever its columns are called, its class and its key."""
+    key = F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order.columns)])
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(row.alias("_row"), label.alias("_c"), key.alias("_me"))
+
+
+def _unpacked(df: DataFrame, rows: DataFrame, value: Column, out: str) -> DataFrame:
+    """The columns of df again, with one more."""
+    own = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c != out]
+    return rows.select(*own, value.alias(out))
+
+
+def _folds_by_tables(df, id_col, label, n_splits, seed, out) -> DataFrame:
+    """Shuffled stratified folds whose class counts and cutoffs are tables throughout."""
+    order = shuffled_order(seed, id_col)
+    counts, total, n_classes = group_counts(df, label)
+    _check_splits(n_splits, total)
+    start = F.expr(f"_f * (_n div {n_splits}) + least(_f, _n % {n_splits})")
+    wanted = counts.select("_g", "_n", F.explode(F.sequence(F.lit(1), F.lit(n_splits - 1))).alias("_f"))
+    wanted = wanted.select("_g", "_n", start.cast("long").alias("_rank")).filter("_rank < _n")
+    keys = group_keys(df, order, label, wanted.select("_g", "_rank"), total, n_classes)
+    cuts = keys.groupBy("_g").agg(F.collect_list(F.struct(*keys.columns[2:])).alias("_cuts"))
+    cuts = counts.join(cuts, "_g", "left").select(F.col("_g").alias("_c"), "_n", "_cuts")
+    joined = heavy_join(_whole_rows(df, order, label), cuts, ["_c"], "_n", total, n_classes)
+    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.col("_me")))
+    return _unpacked(df, joined, F.when(F.col("_cuts").isNull(), 0).otherwise(passed), out)
+
+
 def _before_class_cutoff(df, label, order, cutoffs, id_col) -> tuple[DataFrame, Column]:
     """A condition that is true before the cutoff key of the row's own class."""
     if len(cutoffs) <= LITERAL_CLASSES:
@@ -221,7 +302,10 @@ def stratified_k_fold(
         }
 
     value = as_class(label)
-    counts, keys = order_statistics(df, order, targets, value)
+    try:
+        counts, keys = order_statistics(df, order, targets, value)
+    except ManyGroups:
+        return _folds_by_tables(df, id_col, value, n_splits, seed, out)
     per_class = {
         c: [keys[(c, s)] for s in fold_starts(n, n_splits)[1:] if s < n]
         for c, n in counts.items()

@@ -20,7 +20,7 @@ def ids_of(df, column):
 @pytest.mark.parametrize("driver_rows", [0, 20_000])
 def test_order_statistics_refine_to_the_row(spark, monkeypatch, leaf_rows, driver_rows):
     monkeypatch.setattr(order, "DRIVER_ROWS", driver_rows)
-    monkeypatch.setattr(order, "LITERAL_PAIRS", driver_rows)
+    monkeypatch.setattr(order, "LITERAL_PAIRS", min(driver_rows, 64))
     df = spark.range(0, 3000).repartition(5)
     ids = hashed(4, range(3000))
     got = order.order_statistics(
@@ -191,3 +191,50 @@ def test_mini_batches(spark):
     for bad in (0, 71):
         with pytest.raises(ValueError, match="batch_size"):
             splits.mini_batches(df, "id", epoch=0, batch_size=bad)
+
+
+def by_tables(monkeypatch, leaf_rows, broadcast):
+    """Stratified splits search their ranks by tables, with small intervals."""
+    monkeypatch.setattr(order, "DRIVER_GROUPS", 0)
+    if not broadcast:
+        monkeypatch.setattr(order, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(order, "HEAVY_PARTS", 4)
+    keys = order.group_keys
+    monkeypatch.setattr(splits, "group_keys", lambda *a: keys(*a, leaf_rows=leaf_rows))
+
+
+@pytest.mark.parametrize("leaf_rows, broadcast", [(10**6, True), (3, True), (2, False)])
+def test_splits_by_tables_equal_those_by_the_driver(spark, monkeypatch, leaf_rows, broadcast):
+    label = F.when(F.col("id") % 2 == 0, -4).otherwise(F.pmod(F.xxhash64("id"), F.lit(60)))
+    df = spark.range(900).withColumn("label", label.cast("int")).withColumn("_cut", F.lit(1)).persist()
+
+    def splitted():
+        found = [
+            splits.train_test_split(df, "id", test_size=n, stratify="label", seed=3) for n in (30, 200, 0.9)
+        ]
+        found.append(splits.stratified_k_fold(df, "id", "label", n_splits=4, shuffle=True, seed=3, out="is_test"))
+        return [sorted((r["id"], r["label"], r["is_test"]) for r in f.collect()) for f in found]
+
+    wanted = splitted()
+    by_tables(monkeypatch, leaf_rows, broadcast)
+    assert splitted() == wanted
+    with pytest.raises(Exception, match="unique"):
+        twice = df.union(df.filter("id < 300"))
+        splits.train_test_split(twice, "id", test_size=0.5, stratify="label", seed=3).count()
+
+
+def test_a_million_classes(spark, monkeypatch):
+    n = 2_000_000
+    label = F.when(F.col("id") < n // 2, F.col("id")).otherwise(-1)
+    df = spark.range(0, n, 1, 8).withColumn("label", label)
+    collected = []
+    collect = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: collected.append(collect(self)) or collected[-1])
+    folded = splits.stratified_k_fold(df, "id", "label", n_splits=4, shuffle=True, seed=1)
+    sizes = folded.groupBy(F.col("label") == -1, "fold").count()
+    found = sorted(tuple(r) for r in sizes.collect())
+    # a class of one row is in the first fold, the large one in all alike
+    assert found == [(False, 0, n // 2)] + [(True, f, n // 8) for f in range(4)]
+    split = splits.train_test_split(df, "id", test_size=0.25, stratify="label", seed=1)
+    assert split.filter("is_test").count() == n // 4
+    assert max(map(len, collected)) <= order.DRIVER_BINS + 1

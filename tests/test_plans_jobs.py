@@ -169,6 +169,7 @@ def test_exact_and_constant_targets(spark):
 @pytest.mark.parametrize("early", [False, True])
 def test_a_search_scans_its_source_once(spark, early):
     seen = spark.sparkContext.accumulator(0)
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
 
     def counted(batches):
         for batch in batches:
@@ -183,7 +184,7 @@ def test_a_search_scans_its_source_once(spark, early):
         "features", "label", "id", cv=4, stratified=True,
     )
     assert seen.value == 40 and result.best_model.n_iter == 2
-    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
 
 
 def test_more_holdouts_than_mask_bits(spark, monkeypatch):

@@ -97,6 +97,27 @@ def p02_many(spark, d):
     return _stratified(rows, 0.21, 9)
 
 
+# as many classes as customers, and one that holds half of the rows
+HOT_CUSTOMERS = f"WITH {OD} SELECT id, CASE WHEN id % 2 = 0 THEN -1 ELSE cust END AS label FROM od"
+
+
+def _hot_customers(spark, d):
+    label = F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("cust"))
+    return orders(spark, d).select("id", label.alias("label"))
+
+
+@query("p02_stratified_split_customers", stratified_sql(HOT_CUSTOMERS, "ceil(count(*) * 0.02)", 3))
+def p02_customers(spark, d):
+    # every class asks for a row, more than the split takes: the highest classes give them back
+    return _stratified(_hot_customers(spark, d), 0.02, 3)
+
+
+@query("p02_stratified_split_customers_fill", stratified_sql(HOT_CUSTOMERS, "ceil(count(*) * 0.9)", 4))
+def p02_customers_fill(spark, d):
+    # no class is taken whole, so the rest is filled in a second order
+    return _stratified(_hot_customers(spark, d), 0.9, 4)
+
+
 FOLD = """WITH {0}, r AS (SELECT id, row_number() OVER (ORDER BY {1}) - 1 AS r FROM {2}),
 k AS (SELECT count(*) // {3} AS size, count(*) % {3} AS longer FROM {2})
 SELECT id, CAST(CASE WHEN r < longer * (size + 1) THEN r // (size + 1)
@@ -152,6 +173,17 @@ def p04_many(spark, d):
     return splits.stratified_k_fold(rows, "id", "label", n_splits=3, shuffle=True, seed=2)
 
 
+@query(
+    "p04_stratified_k_fold_shuffled_customers",
+    f"WITH base AS ({HOT_CUSTOMERS}), {CLASS_FOLD.format(shuffled(7), 5)} "
+    "SELECT id, label, fold FROM folded",
+)
+def p04_shuffled_customers(spark, d):
+    return splits.stratified_k_fold(
+        _hot_customers(spark, d), "id", "label", n_splits=5, shuffle=True, seed=7
+    )
+
+
 @query(
     "p05_holdout",
     f"""WITH {EV}, r AS (SELECT id, row_number() OVER (ORDER BY {shuffled('13:holdout')}) AS r
