@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from sparkfold.llm import line_dedup as ld
 
@@ -39,17 +40,27 @@ def test_distance(spark):
             assert r.distance == min(distance(r.a, r.b), edits + 1), (r, edits)
 
 
-def brute(docs, edits, least):
+def brute(docs, edits, least, words=()):
+    """Every line that repeats an earlier one: exactly, within edits, or in as many words as allowed."""
     places, out = {}, []
     for d, text in docs:
         for i, line in enumerate((text or "").split("\n")):
             if len(line) >= least:
                 places.setdefault(line, []).append((d is not None, d, i))
     first = {x: min(at) for x, at in places.items()}
-    near = {
-        x for x in places for y in places
-        if first[y] < first[x] and abs(len(x) - len(y)) <= edits and distance(x, y) <= edits
-    }
+    cut = {x: x.split() for x in places}
+
+    def alike(x, y):
+        if abs(len(x) - len(y)) <= edits and distance(x, y) <= edits:
+            return True
+        n, m = sorted((len(cut[x]), len(cut[y])))
+        allowed = sum(n >= w for w in words)
+        # words in common, counted, are at least what so many edits leave
+        if not allowed or m - n > allowed or (Counter(cut[x]) & Counter(cut[y])).total() < m - allowed:
+            return False
+        return distance(cut[x], cut[y]) <= allowed
+
+    near = {x for x in places for y in places if first[y] < first[x] and alike(x, y)}
     for line, at in places.items():
         for p in set(at):
             if p != first[line]:
