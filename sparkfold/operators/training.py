@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sparkfold.functions.losses import penalty_sum
 from sparkfold.operators.network import Net, batch_sums, unpack, weight_positions
+from sparkfold.operators.order import shuffle_key
 from sparkfold.operators.passes import (
     BLOCK_COLUMNS,
     Sums,
@@ -32,7 +33,9 @@ from sparkfold.operators.updates import History, StopRule, Update, scheduled_rat
 
 
 BARRIER_ROWS = 2048  # rows of a batch per task of a barrier stage at least
-SHARDS = 8  # shards of row-by-row training unless the estimator names a number
+SHARDS = 8  # shards of row-by-row training at least, unless the estimator names a number, ...
+SHARD_ROWS = 1_000_000  # ... and rows of one at most
+WINDOW = 4096  # rows of a shard that are shuffled among themselves in an epoch
 
 
 @dataclass
@@ -259,56 +262,78 @@ def _epoch_by_jobs(run, table, batches, id_col, epoch, rate, batch_rows) -> floa
     return float(np.linalg.norm(gradient))
 
 
+def shard_windows(batches, names, width: int):
+    """(shard, block) of up to WINDOW rows of Arrow batches sorted by shard, ordered by their turn.
+
+    The windows are cut from the fixed order of the shard's rows, the turn changes every epoch.
+    """
+    held: list[dict] = []
+    shard, rows = None, 0
+
+    def window():
+        block = {k: np.concatenate([part[k] for part in held]) for k in held[0]}
+        order = np.argsort(block.pop("turn"), kind="stable")
+        return shard, {k: v[order] for k, v in block.items()}
+
+    for batch in batches:
+        block = block_of(batch, names, width)
+        block["turn"] = batch.column("_turn").to_numpy(zero_copy_only=False)
+        shards = batch.column("_shard").to_numpy(zero_copy_only=False)
+        at = 0
+        while at < len(shards):
+            if held and (shards[at] != shard or rows == WINDOW):
+                yield window()
+                held, rows = [], 0
+            if shards[at] != shard:
+                shard, rows = shards[at], 0
+            end = min(int(np.searchsorted(shards, shard, side="right")), at + WINDOW - rows)
+            held.append({k: v[at:end] for k, v in block.items()})
+            rows, at = rows + end - at, end
+    if held:
+        yield window()
+
+
 def local_task(run: Run, theta, rate: float, names, width: int, size: int, epoch: int):
     """Each shard walks through its own rows in order, ``size`` rows per step, from the shared
-    parameters; it answers with its parameters times its rows, and its rows. The memory of the
-    update rule starts anew in every shard and epoch.
+    parameters; a task answers with the sum of its shards' parameters times their rows, and the
+    rows. The memory of the update rule starts anew in every shard and epoch.
     """
     net = run.net
 
     def work(batches):
-        shard, current, rule, rows = None, None, None, 0
         total = np.zeros(len(theta) + 1)
-        waiting: dict | None = None
+        shard, rule, seen, waiting, count = None, None, 0, [], 0
 
         def step(block):
-            nonlocal current, rows
-            sums = batch_sums([net], [current], block, epoch)
-            weight = sums[1]
-            if weight > 0.0:
+            sums = batch_sums([net], [run.theta], block, epoch)
+            if sums[1] > 0.0:
                 gradient = run.gradient(Sums(*sums[:4], gradient=sums[4:]))
-                current = rule.move(current, gradient, rate)
-            rows += len(block["y"])
+                run.theta = rule.move(run.theta, gradient, rate)
+
+        def joined():
+            return {k: np.concatenate([part[k] for part in waiting]) for k in waiting[0]}
 
         def finish():
-            nonlocal waiting
-            if waiting is not None and len(waiting["y"]):
-                step(waiting)
-            waiting = None
-            if rows:
-                total[:-1] += current * rows
-                total[-1] += rows
-
-        for batch in batches:
-            block = block_of(batch, names, width)
-            shards = batch.column("_shard").to_numpy(zero_copy_only=False)
-            starts = [0, *(np.flatnonzero(np.diff(shards)) + 1), len(shards)]
-            for begin, end in zip(starts[:-1], starts[1:], strict=True):
-                if begin == end:
-                    continue
-                if shards[begin] != shard:
-                    if shard is not None:
-                        finish()
-                    shard, rows = shards[begin], 0
-                    current, rule = theta.copy(), Update(run.spec.optimizer)
-                part = {k: v[begin:end] for k, v in block.items()}
-                if waiting is not None:
-                    part = {k: np.concatenate([waiting[k], v]) for k, v in part.items()}
-                count = len(part["y"])
+            if count:
+                step(joined())
+            total[:-1] += run.theta * seen
+            total[-1] += seen
+
+        for own, block in shard_windows(batches, names, width):
+            if own != shard:
+                if shard is not None:
+                    finish()
+                shard, seen, waiting, count = own, 0, [], 0
+                run.theta, rule = theta.copy(), Update(run.spec.optimizer)
+            rows = len(block["y"])
+            seen, count = seen + rows, count + rows
+            waiting.append(block)
+            if count >= size:
+                block = joined()
                 full = count - count % size
                 for at in range(0, full, size):
-                    step({k: v[at : at + size] for k, v in part.items()})
-                waiting = {k: v[full:] for k, v in part.items()}
+                    step({k: v[at : at + size] for k, v in block.items()})
+                waiting, count = [{k: v[full:] for k, v in block.items()}], count - full
         if shard is not None:
             finish()
             yield vector_batch(total)
@@ -316,41 +341,60 @@ def local_task(run: Run, theta, rate: float, names, width: int, size: int, epoch
     return work
 
 
+def shard_number(seed: int, id_col: str, shards: int):
+    """Shard of a row: the leading digits of an md5 of its id."""
+    digits = F.substring(shuffle_key(f"{seed}:shard", id_col), 1, 13)
+    return F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(shards)).cast("int")
+
+
+def shard_count(spec: Descent, n_rows: int) -> int:
+    """The named number of shards, else as many as keep them below SHARD_ROWS rows."""
+    return spec.shards or max(SHARDS, -(-n_rows // SHARD_ROWS))
+
+
+def shard_tasks(spark, shards: int) -> int:
+    """Tasks that walk through the shards; they change no result."""
+    return min(shards, 4 * spark.sparkContext.defaultParallelism)
+
+
 def train_local(run: Run, table: TrainingTable, id_col: str) -> None:
     """Row-by-row descent inside shards, parameters averaged over the shards once per epoch
     (parallel stochastic descent; Zinkevich, Weimer, Smola and Li, 2010).
 
-    The shard and the place of a row in it depend on its id only, so the outcome does not depend
-    on the partitioning. Rows stream through a task; no shard is held in memory.
+    A row's shard and its place there depend on the seed and its id only, so the outcome does not
+    depend on partitions or tasks. Shards are averaged with their rows as weights, inside tasks
+    first and then over the tasks. Rows are sorted once; an epoch takes them in that order, window by
+    window, each window in an order of its own.
     """
-    spec, net = run.spec, run.net
+    spec = run.spec
     names, size = table.x_columns, spec.batch_size or 1
-    usable = usable_rows(table, net)
-    # the model depends on the number of shards, so it never follows the table's size
-    shards = spec.shards or SHARDS
-    sharded = usable.withColumn("_shard", F.pmod(F.col("_key"), F.lit(shards)))
-    placed = sharded.repartition(shards, "_shard").persist(StorageLevel.MEMORY_AND_DISK)
+    usable = usable_rows(table, run.net)
+    shards = shard_count(spec, table.n_rows)
+    tasks = shard_tasks(usable.sparkSession, shards)
+    placed = (
+        usable.withColumn("_shard", shard_number(spec.seed, id_col, shards))
+        .repartitionById(tasks, F.col("_shard") % tasks)
+        .withColumn("_walk", shuffle_key(f"{spec.seed}:walk", id_col))
+        .sortWithinPartitions("_shard", "_walk", id_col).drop("_walk")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     try:
-        _local_epochs(run, table, placed, names, size, id_col)
+        while not run.done:
+            epoch, rate = len(run.history.rows), run.rate()
+            digits = F.substring(shuffle_key(f"{spec.seed}:{epoch}", id_col), 1, 13)
+            turn = F.conv(digits, 16, 10).cast("long") if spec.shuffle else F.lit(0).cast("long")
+            task = local_task(run, run.theta, rate, names, table.width, size, epoch)
+            rows = placed.withColumn("_turn", turn).drop(id_col)
+            total = sum_arrays(rows, task, len(run.theta) + 1, tasks)
+            moved = total[:-1] / total[-1]
+            change = np.linalg.norm(moved - run.theta) / rate
+            run.theta = moved
+            after, = evaluate(table, [run.net], [run.theta], epoch)
+            run.close_epoch(after, float(change), rate)
     finally:
         placed.unpersist()
 
 
-def _local_epochs(run, table, placed, names, size, id_col) -> None:
-    spec, net = run.spec, run.net
-    while not run.done:
-        epoch, rate = len(run.history.rows), run.rate()
-        turn = F.xxhash64(F.lit(spec.seed), F.lit(epoch if spec.shuffle else 0), "_key")
-        ordered = placed.withColumn("_turn", turn).sortWithinPartitions("_shard", "_turn", id_col)
-        task = local_task(run, run.theta, rate, names, table.width, size, epoch)
-        total = sum_arrays(ordered.drop("_turn", id_col), task, len(run.theta) + 1)
-        moved = total[:-1] / total[-1]
-        change = np.linalg.norm(moved - run.theta) / rate
-        run.theta = moved
-        after, = evaluate(table, [net], [run.theta], epoch)
-        run.close_epoch(after, float(change), rate)
-
-
 def named_parameters(run: Run, binary: bool, network: bool) -> dict[str, np.ndarray]:
     """Flat parameters as named arrays."""
     layers = unpack(run.theta, run.net.shapes)

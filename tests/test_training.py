@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -375,8 +377,6 @@ def test_mini_batches_match_a_plain_loop(spark):
         seed=3,
     )
     model = fit(spec, df, FEATURES, "label", id_col="id")
-    import hashlib
-
     w, b = np.zeros(2), 0.0
     for epoch in range(2):
         ids = sorted(range(23), key=lambda i: hashlib.md5(f"3:{epoch}:{i}".encode()).hexdigest())
@@ -438,39 +438,55 @@ def test_gram_in_blocks(spark, monkeypatch, width, small):
         assert (gram.low, gram.high) == (y[own].min(), y[own].max())
 
 
-def test_local_descent_walks_through_the_shards(spark):
+@pytest.mark.parametrize("tasks", [3, 1])
+def test_local_descent_walks_through_the_shards(spark, monkeypatch, tasks):
+    monkeypatch.setattr(training, "WINDOW", 4)
+    monkeypatch.setattr(training, "shard_tasks", lambda *_: tasks)
     rng = np.random.default_rng(7)
     x, y = rng.normal(size=(40, 2)), rng.integers(0, 2, 40)
     df = rows_cls(spark, x, y).repartition(6)
     spec = LogisticRegression(
         learning_rate=0.2, max_iter=2, batch_strategy="stochastic", batch_size=3, shards=3,
-        start="zeros", seed=5,
+        start="zeros", seed=5, regularization_strength=0.7,
     )
     model = fit(spec, df, FEATURES, "label", id_col="id")
-    keys = {
-        r["id"]: (r["shard"], r["t0"], r["t1"]) for r in df.select(
-            "id", F.pmod(F.xxhash64("id"), F.lit(3)).alias("shard"),
-            *[F.xxhash64(F.lit(5), F.lit(e), F.xxhash64("id")).alias(f"t{e}") for e in (0, 1)],
-        ).collect()
+
+    def key(text):
+        return hashlib.md5(text.encode()).hexdigest()
+
+    walk = {
+        shard: sorted(
+            (i for i in range(40) if int(key(f"5:shard:{i}")[:13], 16) % 3 == shard),
+            key=lambda i: key(f"5:walk:{i}"),
+        )
+        for shard in range(3)
     }
     theta = np.zeros(3)
     for epoch in range(2):
         total = np.zeros(3)
         for shard in range(3):
-            ids = sorted(
-                (i for i in keys if keys[i][0] == shard), key=lambda i: keys[i][1 + epoch]
-            )
+            ids = [
+                i for at in range(0, 40, 4)
+                for i in sorted(walk[shard][at:at + 4], key=lambda i: key(f"5:{epoch}:{i}"))
+            ]
             own = theta.copy()
             for at in range(0, len(ids), 3):
                 rows = ids[at:at + 3]
                 e = 1 / (1 + np.exp(-(x[rows] @ own[:2] + own[2]))) - y[rows]
-                own = own - 0.2 * np.append(x[rows].T @ e, e.sum()) / len(rows)
+                slope = np.append(x[rows].T @ e + 0.7 * own[:2], e.sum())
+                own = own - 0.2 * slope / len(rows)
             total += own * len(ids)
         theta = total / 40
     assert model.params["weights"] == pytest.approx(theta[:2], abs=1e-12)
     assert model.params["bias"] == pytest.approx(theta[2:], abs=1e-12)
 
 
+def test_shards_grow_with_the_table():
+    spec = LogisticRegression(batch_strategy="stochastic")
+    assert [training.shard_count(spec, n) for n in (10, 8 * 10**6, 10**9)] == [8, 8, 1000]
+    assert training.shard_count(LogisticRegression(shards=5), 10**9) == 5
+
+
 # --- networks ----------------------------------------------------------------------------------
 
 

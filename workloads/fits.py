@@ -550,7 +550,51 @@ def f09_one_step(spark, d):
     return history(spark, model, "train_loss", "param_norm", digits=8)
 
 
-@query("f09_local_descent")
+def _epoch_of_shards(e: int, before: str, strength: float) -> str:
+    """Every shard's steps of 64 rows from the parameters of ``before``, and their average m{e}."""
+    return f"""s{e} AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY win, turn{e}) - 1) // 64
+      AS step FROM placed),
+    g{e}(shard, step, w1, w2, b) AS (
+      SELECT shard, 0::BIGINT, w1, w2, b FROM (SELECT DISTINCT shard FROM placed), {before}
+      UNION ALL
+      SELECT shard, step + 1, w1 - 0.05 * (avg((p - y) * x1) + {strength} * w1 / count(*)),
+             w2 - 0.05 * (avg((p - y) * x2) + {strength} * w2 / count(*)), b - 0.05 * avg(p - y)
+      FROM (SELECT shard, step, w1, w2, b, x1, x2, y, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + b))) AS p
+            FROM g{e} JOIN s{e} USING (shard, step)) GROUP BY shard, step, w1, w2, b),
+    m{e} AS (SELECT sum(n * w1) / sum(n) AS w1, sum(n * w2) / sum(n) AS w2, sum(n * b) / sum(n) AS b
+      FROM (SELECT * FROM g{e} QUALIFY row_number() OVER (PARTITION BY shard ORDER BY step DESC) = 1)
+      JOIN (SELECT shard, count(*) AS n FROM placed GROUP BY shard) USING (shard))"""
+
+
+def shard_sql(epochs: int, start: list[float], strength: float, digits: int) -> str:
+    """Epochs of eight shards that walk in windows of 4,096 rows."""
+    turns = ", ".join(f"md5(concat('4:{e}:', id)) AS turn{e}" for e in range(epochs))
+    walks = ", ".join(_epoch_of_shards(e, f"m{e - 1}" if e else "z", strength) for e in range(epochs))
+    ends = " UNION ALL ".join(f"SELECT {e + 1} AS epoch, * FROM m{e}" for e in range(epochs))
+    return f"""WITH RECURSIVE {OD}, cut AS (
+    SELECT y, x1, x2, CAST('0x' || substr(md5(concat('4:shard:', id)), 1, 13) AS BIGINT) % 8 AS shard,
+           md5(concat('4:walk:', id)) AS walk, {turns} FROM od),
+    placed AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY walk) - 1) // 4096 AS win
+      FROM cut),
+    z AS (SELECT {start[0]!r}::DOUBLE AS w1, {start[1]!r}::DOUBLE AS w2, 0.0::DOUBLE AS b), {walks}
+    SELECT epoch, round(avg(-(y * ln(p) + (1 - y) * ln(1 - p)))
+             + {strength} * (w1 * w1 + w2 * w2) / (2 * count(*)), {digits}) AS train_loss,
+           round(sqrt(w1 * w1 + w2 * w2 + b * b), {digits}) AS param_norm
+    FROM (SELECT *, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + b))) AS p FROM ({ends}), od)
+    GROUP BY epoch, w1, w2, b"""
+
+
+@query("f09_local_descent_windows", shard_sql(2, [0.0, 0.0], 3.0, 8))
+def f09_windows(spark, d):
+    spec = LogisticRegression(
+        learning_rate=0.05, max_iter=2, batch_strategy="stochastic", batch_size=64, seed=4,
+        regularization_strength=3.0, start="zeros", tol=0.0, gradient_tol=0.0,
+    )
+    model = fit(spec, orders(spark, d), ["x1", "x2"], "y", id_col="id")
+    return history(spark, model, "train_loss", "param_norm", digits=8)
+
+
+@query("f09_local_descent", shard_sql(3, np.random.default_rng(4).normal(0.0, 0.01, 2).tolist(), 0.0, 6))
 def f09(spark, d):
     spec = LogisticRegression(
         learning_rate=0.05, max_iter=3, batch_strategy="stochastic", batch_size=64, seed=4,
