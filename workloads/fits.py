@@ -286,13 +286,6 @@ def f06(spark, d):
     return history(spark, model, "train_loss", "param_norm", digits=8)
 
 
-@query("f06_softmax_embeddings")
-def f06_wide(spark, d):
-    spec = LogisticRegression(learning_rate=1.0, max_iter=15)
-    model = fit(spec, embeddings(spark, d), "embedding", "label")
-    return history(spark, model, "train_loss", "grad_norm", "param_norm")
-
-
 SOFT_GRADIENT = """g{n} AS (SELECT c, j, avg((p - own) * v) AS g FROM p{m} JOIN x USING (id)
   GROUP BY c, j), gb{n} AS (SELECT c, avg(p - own) AS g FROM p{m} GROUP BY c),
 w{n} AS (SELECT c, j, w - 1.0 * g AS w FROM w{m} JOIN g{n} USING (c, j)),
@@ -326,6 +319,35 @@ def f06_wide_zero(spark, d):
     return history(spark, model, "train_loss", "param_norm", digits=8)
 
 
+def random_softmax_sql(epochs: int) -> str:
+    """Epochs of 64 features and 10 classes from the estimator's random start."""
+    start = np.random.default_rng(0).normal(0.0, 0.01, (64, 10)).tolist()
+    cells = ", ".join(f"({c}, {j}, {start[j][c]!r}::DOUBLE)" for j in range(64) for c in range(10))
+    steps = [SOFT_GRADIENT.format(n=n, m=n - 1) for n in range(1, epochs + 1)]
+    forward = "z0 AS" + SOFT_GRADIENT.format(n=0, m=0).split("z0 AS", 1)[1]
+    parts = ",\n".join([forward, *steps])
+    for n in range(epochs + 1):
+        for name in ("g", "gb", "w", "b", "p"):
+            parts = parts.replace(f"\n{name}{n} AS (", f"\n{name}{n} AS MATERIALIZED (")
+    ends = " UNION ALL ".join(
+        f"""{SOFT_SUMMARY.format(n=n).replace(', 8)', ', 6)')}, round(sqrt((SELECT sum(g * g) FROM g{n})
+        + (SELECT sum(g * g) FROM gb{n})), 6) AS grad_norm""" for n in range(1, epochs + 1)
+    )
+    return f"""WITH rows_ AS (SELECT vec_id AS id, label, embedding FROM embeddings),
+    x AS MATERIALIZED (SELECT id, unnest(range(len(embedding))) AS j,
+      unnest(embedding)::DOUBLE AS v FROM rows_),
+    w0 AS (SELECT * FROM (VALUES {cells}) AS w(c, j, w)),
+    b0 AS (SELECT DISTINCT c, 0.0::DOUBLE AS b FROM w0),
+    {parts} {ends}"""
+
+
+@query("f06_softmax_embeddings", random_softmax_sql(15))
+def f06_wide(spark, d):
+    spec = LogisticRegression(learning_rate=1.0, max_iter=15)
+    model = fit(spec, embeddings(spark, d), "embedding", "label")
+    return history(spark, model, "train_loss", "grad_norm", "param_norm")
+
+
 @query(
     "f07_mini_batch_descent",
     f"""WITH RECURSIVE {OD}, nb AS (SELECT CAST(ceil(count(*) / 4000) AS BIGINT) AS nb FROM od),
