@@ -9,8 +9,9 @@ by ordered buckets.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkfold.constants import BUCKET_ROWS, DOUBLE_EPS
@@ -18,6 +19,7 @@ from sparkfold.functions.scalar import as_class, clip_probability, col, finite
 from sparkfold.operators.checks import count_classes
 from sparkfold.operators.order import running_sums, value_buckets
 
+DENSE_CLASSES = 100  # labels whose zero cells a confusion matrix has without being asked for
 AVERAGES = ("binary", "macro", "micro", "weighted")
 
 
@@ -47,31 +49,43 @@ def confusion_matrix(
     labels: Sequence[int] | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """(by, y_true, y_pred, n) with the zero cells; a given label list must cover all values."""
+    """(by, y_true, y_pred, n), one row per cell.
+
+    A given label list must cover all values, and all of its cells are there. Without one the cells
+    that occur are there, and the zero cells of groups with up to DENSE_CLASSES labels.
+    """
     return _confusion_from_counts(pair_counts(df, y_true, y_pred, by), labels, by)
 
 
+def _few_labels(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, _labels): sorted labels of the groups that have up to DENSE_CLASSES of them.
+
+    One label more than that is looked at, however many there are.
+    """
+    every = counts.select(*by, F.explode(F.array("y_true", "y_pred")).alias("_label")).distinct()
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_label"))
+    first = every.withColumn("_place", place).filter(F.col("_place") <= DENSE_CLASSES + 1)
+    found = first.groupBy(*by).agg(F.array_sort(F.collect_list("_label")).alias("_labels"))
+    return found.filter(F.size("_labels") <= DENSE_CLASSES)
+
+
 def _confusion_from_counts(counts, labels, by) -> DataFrame:
-    observed = F.array_sort(
-        F.array_union(F.collect_set("y_true"), F.collect_set("y_pred"))
-    ).alias("_labels")
-    grid = counts.groupBy(*by).agg(observed)
-    if labels is not None:
+    if labels is None:
+        grid = _few_labels(counts, by)
+    else:
         given = F.array(*[F.lit(int(v)).cast("long") for v in labels])
-        missing = F.array_except("_labels", given)
-        message = F.lit("labels must cover every true and predicted value.")
-        grid = grid.withColumn(
-            "_labels",
-            F.when(F.size(missing) == 0, given).otherwise(
-                F.raise_error(message).cast("array<bigint>")
-            ),
-        )
+        covered = F.array_contains(given, F.col("y_true")) & F.array_contains(given, F.col("y_pred"))
+        error = F.raise_error(F.lit("labels must cover every true and predicted value."))
+        counts = counts.withColumn("n", F.when(covered, F.col("n")).otherwise(error.cast("long")))
+        grid = counts.groupBy(*by).agg(F.count("n").alias("_c")).select(*by, given.alias("_labels"))
     cells = grid.select(*by, F.explode("_labels").alias("y_true"), "_labels").select(
         *by, "y_true", F.explode("_labels").alias("y_pred")
     )
-    return cells.join(counts, [*by, "y_true", "y_pred"], "left").select(
-        *by, "y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("long").alias("n")
-    )
+    keys = [*by, "y_true", "y_pred"]
+    known = counts.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    zero = cells.join(known, same, "left_anti").withColumn("n", F.lit(0).cast("long"))
+    return counts.select(*keys, F.col("n").cast("long")).unionByName(zero)
 
 
 def confusion_display(df: DataFrame, y_true: str, y_pred: str, labels: Sequence[int]) -> DataFrame:
@@ -442,7 +456,8 @@ def classification_report(
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """One row: accuracy, macro precision/recall/F1, the confusion matrix, and with a score both
-    areas. ``extra`` adds aggregates over the rows (log loss, sizes).
+    areas. With more than DENSE_CLASSES labels the matrix and its labels are NULL: the cells that
+    occur are rows of ``confusion_matrix``. ``extra`` adds aggregates over the rows (log loss, sizes).
 
     The class part is derived from one count table and the areas from one ordered pass. The curves
     themselves have a point per row and stay tables: ``roc_curve`` and ``pr_curve``.
@@ -457,7 +472,7 @@ def classification_report(
         _stats_from_counts(counts, ()).agg(
             *[v.alias(f"{name}_macro") for name, v in averages.items()]
         ),
-        _matrix_row(_confusion_from_counts(counts, None, ())),
+        _matrix_row(counts),
     ]
     if score is not None:
         if id_col is None:
@@ -468,17 +483,20 @@ def classification_report(
     return side_by_side(parts)
 
 
-def _matrix_row(cells: DataFrame) -> DataFrame:
-    rows = cells.groupBy("y_true").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("y_pred", "n"))), lambda c: c["n"]
-        ).alias("_row")
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("y_true", "_row")))
-    return rows.agg(
-        F.transform(ordered, lambda r: r["_row"]).alias("confusion_matrix"),
-        F.transform(ordered, lambda r: r["y_true"]).alias("labels"),
-    )
+def _matrix_row(counts: DataFrame) -> DataFrame:
+    """The dense matrix and its labels in one row, of up to DENSE_CLASSES labels."""
+    few = _few_labels(counts, ())
+    # the cells of a small matrix only: those of a large one do not reach the row
+    cells = counts.join(F.broadcast(few.select(F.explode("_labels").alias("y_true"))), "y_true")
+    row = cells.agg(F.map_from_entries(F.collect_list(F.struct(F.struct("y_true", "y_pred"), "n"))).alias("_n"))
+    both = side_by_side([few, row])
+
+    def cell(t: Column, p: Column) -> Column:
+        key = F.struct(t.alias("y_true"), p.alias("y_pred"))
+        return F.coalesce(F.try_element_at("_n", key), F.lit(0)).cast("long")
+
+    matrix = F.transform("_labels", lambda t: F.transform("_labels", lambda p: cell(t, p)))
+    return both.select(matrix.alias("confusion_matrix"), F.col("_labels").alias("labels"))
 
 
 def side_by_side(parts: Sequence[DataFrame]) -> DataFrame:

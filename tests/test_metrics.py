@@ -187,3 +187,34 @@ def test_groups(spark):
     assert got == {True: 1.0, False: 0.5}
     cells = metrics.confusion_matrix(df, "y_true", "y_pred", by=["g"])
     assert cells.count() == 8
+
+
+def test_a_matrix_of_many_labels_is_sparse(spark):
+    n = 100_000
+    df = spark.range(n).select(
+        "id", F.col("id").alias("y_true"), F.when(F.col("id") % 4 == 0, 0).otherwise(F.col("id")).alias("y_pred")
+    )
+    cells = metrics.confusion_matrix(df, "y_true", "y_pred")
+    assert cells.count() == n and cells.agg(F.sum("n")).first()[0] == n
+    assert cells.filter("y_true = 8").collect() == [(8, 0, 1)]
+    report = metrics.classification_report(df, "y_true", "y_pred").first()
+    assert report["confusion_matrix"] is None and report["labels"] is None
+    assert report["accuracy"] == (n * 3 // 4 + 1) / n
+
+
+def test_zero_cells_by_group(spark, monkeypatch):
+    rows = [("a", 0, 0), ("a", 1, 0), ("b", 0, 5), ("b", 1, 2), (None, 3, 3), (None, 4, 3)]
+    df = spark.createDataFrame(rows, "g string, y_true int, y_pred int")
+    monkeypatch.setattr(metrics, "DENSE_CLASSES", 2)
+    cells = metrics.confusion_matrix(df, "y_true", "y_pred", by=["g"]).collect()
+    found = {}
+    for r in cells:
+        found.setdefault(r["g"], {})[(r["y_true"], r["y_pred"])] = r["n"]
+    # b has four labels, more than are filled up
+    assert found == {
+        "a": {(0, 0): 1, (1, 0): 1, (0, 1): 0, (1, 1): 0}, "b": {(0, 5): 1, (1, 2): 1},
+        None: {(3, 3): 1, (4, 3): 1, (3, 4): 0, (4, 4): 0},
+    }
+    given = metrics.confusion_matrix(df.filter("g = 'a'"), "y_true", "y_pred", labels=[0, 1, 2])
+    assert given.count() == 9
+    assert metrics.confusion_matrix(df.limit(0), "y_true", "y_pred", labels=[0, 1]).count() == 4
