@@ -99,16 +99,31 @@ def _checked(df: DataFrame, model: Model) -> DataFrame:
 INVALID = ("raise", "null")
 
 
-def _split_invalid(df: DataFrame, model: Model, scored) -> DataFrame:
-    """Score the valid rows; the others stay, with NULL in the columns that scoring adds."""
+def _masked(df: DataFrame, model: Model, out: str, proba: str | None) -> DataFrame:
+    """Score every row in one pass; a row that must not be scored gets NULL outputs.
+
+    Its features are replaced before they reach the model, in both forms of scoring, so the source
+    and the test of its rows are read once. The row itself travels as it is.
+    """
     checks.require_columns(df, model.features)
-    bad = invalid_rows(model)
-    good = scored(df.filter(~bad))
-    added = [f for f in good.schema.fields if f.name not in df.columns]
-    rest = df.filter(bad).select(
-        *df.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in added]
+    bad = F.coalesce(invalid_rows(model), F.lit(True))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    if isinstance(model.features, str):
+        zeros = F.array_repeat(F.lit(0.0), model.n_features)
+        safe = [F.when(F.col("_bad"), zeros).otherwise(
+            F.col(f"_row.`{model.features}`").cast("array<double>")).alias(model.features)]
+    else:
+        safe = [
+            F.when(F.col("_bad"), F.lit(0.0)).otherwise(F.col(f"_row.`{c}`").cast("double")).alias(c)
+            for c in model.features
+        ]
+    masked = df.select(row.alias("_row"), bad.alias("_bad")).select("_row", "_bad", *safe)
+    scored = predict(masked, model, "_said", "_chance" if proba else None)
+    added = {out: "_said"} | ({proba: "_chance"} if proba else {})
+    own = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c not in added]
+    return scored.select(
+        *own, *[F.when(~F.col("_bad"), F.col(name)).alias(alias) for alias, name in added.items()]
     )
-    return good.unionByName(rest)
 
 
 def predict_proba(df: DataFrame, model: Model, out: str = "probability") -> DataFrame:
@@ -189,7 +204,7 @@ def predict(
     if invalid not in INVALID:
         raise ValueError(f"invalid must be one of {INVALID}.")
     if invalid == "null" and model.kind not in ("mean", "majority"):
-        return _split_invalid(df, model, lambda rows: predict(rows, model, out, proba))
+        return _masked(df, model, out, proba)
     if model.kind == "majority":
         return df.withColumn(out, F.lit(int(model.params["label"][0])).cast("long"))
     if model.kind == "mean":

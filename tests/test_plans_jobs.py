@@ -4,12 +4,14 @@ from types import SimpleNamespace
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tests.helpers import rows_cls, rows_reg
+from tests.helpers import rows_cls, rows_reg, spark_error
 
 from sparkfold.operators import fit as fitting
 from sparkfold.operators import metrics, splits
 from sparkfold.operators.fit import fit
+from sparkfold.operators.models import Model
 from sparkfold.operators.score import (
+    monitor_columns,
     predict,
     predict_proba,
     score_batch,
@@ -322,6 +324,112 @@ def test_ingest_keeps_what_is_stored(spark):
         tables.ingest(bad, ["x1", "x2"], "label", "id", scratch_path(spark, "test-data"))
 
 
+def test_ingest_tells_requests_apart(spark):
+    path = scratch_path(spark, "test-data")
+    raw = blobs(spark)
+    tables.ingest(raw, ["x1", "x2"], "label", "id", path, source="v1")
+    for features, options in ((["x1"], {"source": "v1"}), (["x1", "x2"], {"source": "v2"}),
+                              (["x1", "x2"], {"source": "v1", "classify": False})):
+        with pytest.raises(ValueError, match="another request"):
+            tables.ingest(raw, features, "label", "id", path, **options)
+    assert tables.ingest(raw, ["x1", "x2"], "label", "id", path, source="v1").count() == 80
+    # rows that were added or lost since
+    spark.read.parquet(path).limit(5).write.mode("append").parquet(path)
+    with pytest.raises(ValueError, match="not the one"):
+        tables.ingest(raw, ["x1", "x2"], "label", "id", path, source="v1")
+    other = scratch_path(spark, "test-data")
+    raw.write.parquet(other)
+    with pytest.raises(ValueError, match="no ingest"):
+        tables.ingest(raw, ["x1", "x2"], "label", "id", other)
+    assert spark.read.parquet(other).count() == 80
+
+
+def test_an_interrupted_ingest_is_made_anew(spark):
+    path, seen = scratch_path(spark, "test-data"), spark.sparkContext.accumulator(0)
+
+    def counted(batches, fail):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+        if fail:
+            raise RuntimeError("the job dies here")
+
+    raw = blobs(spark)
+    with spark_error("dies here"):
+        tables.ingest(raw.mapInArrow(lambda b: counted(b, True), raw.schema), ["x1", "x2"], "label", "id", path)
+    with pytest.raises(ValueError, match="finite"):
+        tables.ingest(raw.withColumn("x1", F.lit(float("inf"))), ["x1", "x2"], "label", "id", path)
+    seen.value = 0
+    table = tables.ingest(
+        raw.mapInArrow(lambda b: counted(b, False), raw.schema), ["x1", "x2"], "label", "id", path
+    )
+    assert table.count() == 80 and seen.value == 80
+
+
+def test_invalid_rows_are_scored_in_one_scan(spark, tmp_path):
+    rows = [(i, float(i), None if i % 3 == 0 else 1.0, "kept") for i in range(30)]
+    spark.createDataFrame(rows, "id long, a double, prediction double, `_bad` string").write.parquet(
+        str(tmp_path / "in")
+    )
+    df = spark.read.parquet(str(tmp_path / "in"))
+    for size in (1, 600):
+        names = ["a", "prediction"]
+        params = {"weights": np.ones(2), "bias": np.zeros(1)} | ({"pad": np.ones(600)} if size > 1 else {})
+        model = Model("logistic", names, 2, params, [0, 1], {"threshold": 0.5})
+        scored = score_batch(df, model, "v", invalid="null")
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Union" not in plan
+        got = {r["id"]: (r["prediction"], r["_bad"]) for r in scored.collect()}
+        assert got == {i: (None if i % 3 == 0 else 1, "kept") for i in range(30)}
+
+
+def test_monitor_folders_are_merged(spark, tmp_path):
+    start = 1_700_000_000
+    schema = "id long, at timestamp, probability double"
+    files = [
+        # every trigger has rows of its hour, late ones of the hour before and one that is too late
+        [(t, start + 3600 * t, 0.1), (t, start + 3600 * t - 1800, 0.5 + t / 200), (t, start - 10**6 + t, 0.9)]
+        for t in range(50)
+    ]
+    source = str(tmp_path / "in")
+    for t, rows in enumerate(files):
+        df = spark.createDataFrame(rows, "id long, at long, probability double")
+        df = df.withColumn("at", F.timestamp_seconds("at")).coalesce(1)
+        df.write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    monitor = streaming.monitor_stream(stream, "at", 1, window="1 hour", delay="2 hours")
+    out, state = str(tmp_path / "monitor"), str(tmp_path / "state")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        streaming.write_monitor(monitor, out, state, fan=4).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    folders = sorted(p.name for p in (tmp_path / "monitor").glob("level=*/last=*"))
+    levels = sorted(p.name for p in (tmp_path / "monitor").glob("level=*"))
+    assert len(levels) > 2 and len(folders) < 4 * len(levels)
+
+    def rows(table):
+        return sorted(tuple(r) for r in table.selectExpr(
+            "window.start", "n_predictions", "probability_min", "round(probability_mean, 12)", "probability_max"
+        ).collect())
+
+    batch = spark.read.schema(schema).parquet(source).groupBy(F.window("at", "1 hour").alias("window")).agg(
+        *monitor_columns(1)
+    )
+    late = batch.filter(F.col("window.start") > F.timestamp_seconds(F.lit(start - 7200)))
+    assert [r for r in rows(streaming.read_monitor(spark, out)) if r in rows(late)] == rows(late)
+
+    # a trigger that is repeated after its merges changes nothing
+    before = rows(streaming.read_monitor(spark, out))
+    own = spark.read.parquet(f"{out}/level=2/last=47").filter("epoch = 47")
+    assert own.count() > 0
+    own.write.parquet(f"{out}/level=0/last=47")
+    streaming.merge_levels(spark, out, 47, 4)
+    assert rows(streaming.read_monitor(spark, out)) == before
+    assert sorted(p.name for p in (tmp_path / "monitor").glob("level=*/last=*")) == folders
+
+
 def test_scoring_service_rows(spark):
     df = eight(spark)
     model = fit(LogisticRegression(learning_rate=1.0, max_iter=20), df, "features", "label")

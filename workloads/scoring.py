@@ -265,6 +265,27 @@ def r07(spark, d):
     return round_columns(spark.read.parquet(path), ["probability"], 9)
 
 
+@query(
+    "r07_score_stream_invalid_rows",
+    f"""WITH {EV}, p AS (SELECT id, CASE WHEN id % 5 < 3 THEN NULL ELSE {EP} END AS p FROM ev)
+        SELECT id, CAST(CASE WHEN p IS NULL THEN NULL WHEN p >= 0.5 THEN 1 ELSE 0 END AS BIGINT)
+          AS prediction, round(p, 9) AS probability, 'live' AS model_version FROM p""",
+)
+def r07_invalid(spark, d):
+    # NULL, NaN and infinite features do not stop the stream
+    dirty = (
+        F.when(F.col("event_id") % 5 == 0, F.lit(None).cast("double"))
+        .when(F.col("event_id") % 5 == 1, F.lit(float("nan")))
+        .when(F.col("event_id") % 5 == 2, F.lit(float("-inf")))
+        .otherwise(F.col("value"))
+    )
+    stream = event_stream(spark, d).select(F.col("event_id").alias("id"), dirty.alias("value"), "user_id")
+    scored = score_stream(stream, event_model(), "live", invalid="null").drop("value", "user_id")
+    path = scratch_path(spark, "scored")
+    write_scores(scored, path, scratch_path(spark, "scored-checkpoint")).awaitTermination()
+    return round_columns(spark.read.parquet(path), ["probability"], 9)
+
+
 WINDOWED = f"""WITH {EV}, p AS (SELECT date_trunc('day', ts) AS day, {EP} AS p FROM ev)
 SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS n_predictions, 2 AS n_features,
        round(min(p), 9) AS probability_min, round(avg(p), 9) AS probability_mean,
