@@ -765,6 +765,73 @@ def j02_round_trip(spark, d):
     return report_rows(evaluate_job(rows, "y", "id", path, "orders-status", "2"))
 
 
+# Three classes: softmax from zero on the training part, the report on the test part.
+JOB_NAMES = [f"w{i}{k}" for i in range(2) for k in range(3)] + [f"b{k}" for k in range(3)]
+JOB_MOVE = ", ".join(
+    [f"w{i}{k} - 0.6 * (avg(r{k} * x{i + 1}) + 4.0 * w{i}{k} / count(*))"
+     for i in range(2) for k in range(3)]
+    + [f"b{k} - 0.6 * avg(r{k})" for k in range(3)]
+)
+JOB_SPLIT = stratified_sql(f"WITH {OD} SELECT id, y3 AS label FROM od", "ceil(count(*) * 0.3)", 8)
+JOB_CLASSES = f"""WITH RECURSIVE {OD}, split AS ({JOB_SPLIT}),
+parts AS (SELECT split.*, x1, x2 FROM split JOIN od USING (id)),
+gd(e, {', '.join(JOB_NAMES)}) AS (
+  SELECT 0, {', '.join(['0.0::DOUBLE'] * 9)}
+  UNION ALL
+  SELECT e + 1, {JOB_MOVE} FROM (SELECT *, {SOFT_ERRORS} FROM (
+    SELECT gd.*, label, x1, x2, {SOFT_EXPS} FROM gd, parts WHERE NOT is_test AND e < 6))
+  GROUP BY e, {', '.join(JOB_NAMES)}),
+scored AS (SELECT *, CASE WHEN e0 >= e1 AND e0 >= e2 THEN 0 WHEN e1 >= e2 THEN 1 ELSE 2 END AS guess
+  FROM (SELECT is_test, label, {SOFT_EXPS} FROM parts, gd WHERE e = 6)),
+k AS (SELECT unnest(range(3)) AS k),
+s AS (SELECT k, count(*) FILTER (label = k AND guess = k) AS tp, count(*) FILTER (label <> k AND guess = k)
+  AS fp, count(*) FILTER (label = k AND guess <> k) AS fn FROM scored, k WHERE is_test GROUP BY k),
+m AS (SELECT avg(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END) AS precision_macro,
+  avg(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END) AS recall_macro,
+  avg(CASE WHEN tp = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END) AS f1_macro
+  FROM s WHERE tp + fp + fn > 0)
+SELECT round(avg(CAST(label = guess AS DOUBLE)) FILTER (is_test), 9) AS accuracy,
+  round(max(precision_macro), 9) AS precision_macro, round(max(recall_macro), 9) AS recall_macro,
+  round(max(f1_macro), 9) AS f1_macro,
+  round(avg(-ln(CASE label WHEN 0 THEN e0 WHEN 1 THEN e1 ELSE e2 END / (e0 + e1 + e2)))
+    FILTER (is_test), 9) AS log_loss, count(*) FILTER (is_test) AS n_test_samples"""
+
+
+def _three_classes(spark, d, name):
+    rows, path = orders(spark, d), scratch_path(spark, "registry")
+    spec = LogisticRegression(
+        learning_rate=0.6, max_iter=6, tol=0.0, start="zeros", regularization_strength=4.0
+    )
+    outcome = train_job(
+        rows, ["x1", "x2"], "y3", "id", path, spec=spec, test_size=0.3, seed=8,
+        meta={"model_name": "orders-status", "version": name},
+    )
+    return rows, path, outcome.report
+
+
+CLASS_COLUMNS = ["accuracy", "precision_macro", "recall_macro", "f1_macro", "log_loss"]
+
+
+@query(
+    "j01_train_job_three_classes",
+    JOB_CLASSES + """, round(avg(CAST(label = guess AS DOUBLE)) FILTER (is_test), 9) AS test_accuracy,
+    round(avg(CAST(label = guess AS DOUBLE)) FILTER (NOT is_test), 9) AS train_accuracy,
+    count(*) FILTER (NOT is_test) AS n_train_samples FROM scored, m""",
+)
+def j01_classes(spark, d):
+    report = _three_classes(spark, d, "three")[2].drop("confusion_matrix", "labels")
+    return round_columns(report, [*CLASS_COLUMNS, "train_accuracy", "test_accuracy"], 9)
+
+
+@query(
+    "j02_evaluate_job_three_classes", JOB_CLASSES + ", 'three' AS model_version FROM scored, m"
+)
+def j02_classes(spark, d):
+    rows, path, _ = _three_classes(spark, d, "three")
+    report = evaluate_job(rows, "y3", "id", path, "orders-status", "three", test_size=0.3, seed=8)
+    return round_columns(report.drop("confusion_matrix", "labels"), CLASS_COLUMNS, 9)
+
+
 # --- models of every kind in the scoring jobs ---------------------------------------------------
 
 SOFT_CTE = f"""WITH {OD}, e AS (SELECT id, exp({LOGITS[0]}) AS e0, exp({LOGITS[1]}) AS e1,
