@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sparkfold.constants import MAX_CLASSES
 from sparkfold.functions.scalar import as_class, one_hot
 from sparkfold.operators.checks import count_classes
-from sparkfold.operators.order import add_rank
+from sparkfold.operators.order import add_rank, heavy_join
 
 
 def small_join(df: DataFrame, table: DataFrame, rows: int, on: Sequence[str] | str) -> DataFrame:
@@ -42,13 +42,36 @@ def class_index(label: Column | str, classes: Sequence[int]) -> Column:
     return (F.nullif(F.array_position(known, value.cast("long")), F.lit(0)) - 1).cast("int")
 
 
+def _labelled(df: DataFrame, label: str) -> DataFrame:
+    """(_row, _label): the row as it is, whatever its columns are called, and its class."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(row.alias("_row"), as_class(label).alias("_label"))
+
+
+def _with_value(df: DataFrame, joined: DataFrame, value: Column, out: str) -> DataFrame:
+    """The columns of df again, with one more."""
+    own = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c != out]
+    return joined.select(*own, value.alias(out))
+
+
 def add_label_index(df: DataFrame, label: str, out: str = "label_index") -> DataFrame:
-    """Every row with the index of its label; any number of labels, a missing one is an error."""
-    left = df.withColumn("_label", as_class(label))
-    table = label_table(left, "_label").select(
-        F.col("label").alias("_label"), F.col("index").alias(out)
-    )
-    return left.join(table, "_label").drop("_label")
+    """Every row with the index of its label; any number of labels, a missing one is an error.
+
+    The labels are counted first. Up to MAX_CLASSES of them are a broadcast table; beyond, only the
+    labels of a large part of the rows are, and no other is large enough to fill a task.
+    """
+    counts = df.groupBy(as_class(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    few = counts.select("_label").limit(MAX_CLASSES + 1).collect()
+    left = _labelled(df, label)
+    if len(few) <= MAX_CLASSES:
+        rows = [(value, i) for i, value in enumerate(sorted(r[0] for r in few))]
+        table = df.sparkSession.createDataFrame(rows, "_label long, _index int")
+        return _with_value(df, left.join(F.broadcast(table), "_label"), F.col("_index"), out)
+    total, n_labels = counts.agg(F.sum("_n"), F.count(F.lit(1))).first()
+    ranked = add_rank(counts, "_label", "_index", shuffle=False, n_rows=n_labels)
+    table = ranked.select("_label", "_n", F.col("_index").cast("int").alias("_index"))
+    joined = heavy_join(left, table, ["_label"], "_n", total, n_labels)
+    return _with_value(df, joined, F.col("_index"), out)
 
 
 def add_one_hot(
@@ -115,6 +138,9 @@ def add_effective_weight(
     table = class_weight_table(df, label, class_weight)
     if class_weight is None or table.where("class_weight <> 1.0").isEmpty():
         return df if weight is None else df.withColumn(out, own)
-    table = table.select(F.col("label").alias("_label"), F.col("class_weight").alias("_cw"))
-    joined = small_join(df.withColumn("_label", as_class(label)), table, table.count(), "_label")
-    return joined.withColumn(out, own * F.col("_cw")).drop("_label", "_cw")
+    n_classes, total = table.agg(F.count(F.lit(1)), F.sum("n")).first()
+    table = table.select(F.col("label").alias("_label"), "n", F.col("class_weight").alias("_cw"))
+    kept = _labelled(df.withColumn(out, own), label)
+    joined = heavy_join(kept, table, ["_label"], "n", total, n_classes)
+    columns = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c != out]
+    return joined.select(*columns, (F.col(f"_row.`{out}`") * F.col("_cw")).alias(out))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.helpers import rows_cls, rows_reg
 
-from sparkfold.operators import checks, encode
+from sparkfold.operators import checks, encode, order
 
 
 def wide(spark, *rows):
@@ -108,3 +108,27 @@ def test_too_many_labels_are_refused(spark, monkeypatch):
     monkeypatch.setattr(checks, "MAX_CLASSES", 3)
     with pytest.raises(ValueError, match="more than 3 labels"):
         checks.count_classes(rows_cls(spark, [[0]] * 5, range(5)), "label")
+
+
+def test_label_columns_of_any_name_and_number(spark, monkeypatch):
+    rows = [(i, [7, -3, 7, 10][i % 4], f"mine {i}", 0.5, 2.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, y int, _label string, _index double, _cw double")
+
+    def indexed():
+        found = encode.add_label_index(df, "y", "k")
+        assert found.columns == [*df.columns, "k"]
+        return sorted(tuple(r) for r in found.collect())
+
+    def weighted():
+        found = encode.add_effective_weight(df, "y", weight="_cw", class_weight="balanced", out="w")
+        assert found.columns == [*df.columns, "w"]
+        return sorted(tuple(r) for r in found.collect())
+
+    wanted = [(*r, {-3: 0, 7: 1, 10: 2}[r[1]]) for r in rows]
+    assert indexed() == wanted
+    weights = weighted()
+    assert weights[0][-1] == pytest.approx(2.0 * 40 / (3 * 20))
+    monkeypatch.setattr(encode, "MAX_CLASSES", 2)
+    monkeypatch.setattr(order, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(order, "HEAVY_PARTS", 3)
+    assert indexed() == wanted and weighted() == weights
