@@ -20,6 +20,7 @@ def _one_of(name: str, value, allowed) -> None:
         raise ValueError(f"{name} must be one of {allowed}.")
 
 
+# The names of the settings and their defaults, here and in the classes below.
 @dataclass(frozen=True)
 class Descent:
     """Settings shared by everything that is trained in epochs."""

@@ -41,7 +41,7 @@ def scheduled_rate(
     if kind == "cosine":
         share = min(epoch, max_iter) / max_iter
         return initial * (1.0 + math.cos(math.pi * share)) / 2.0
-    raise ValueError("the schedule must be 'constant', 'step', or 'cosine'.")
+    raise ValueError(f"no learning-rate schedule is called {kind!r}.")
 
 
 @dataclass
@@ -74,7 +74,7 @@ class Update:
             mean = self.first / (1.0 - self.beta1**self.steps)
             spread = self.second / (1.0 - self.beta2**self.steps)
             return theta - rate * mean / (np.sqrt(spread) + self.eps)
-        raise ValueError("the optimizer must be 'sgd', 'momentum', 'rmsprop', or 'adam'.")
+        raise ValueError(f"no update rule is called {self.kind!r}.")
 
 
 @dataclass
