@@ -485,6 +485,47 @@ def f08_unit(spark, d):
     return history(spark, model, "train_loss", digits=8)
 
 
+# Adam and weight decay on rows that are not kept aside, the loss of those that are.
+NET_ADAM = {
+    p: f"{p} - 0.05 * (m{p} / (1 - 0.9 ** e)) / (sqrt(s{p} / (1 - 0.999 ** e)) + 1e-8)" for p in "acvb"
+}
+NET_MEMORY = ", ".join(
+    [f"0.9 * m{p} + 0.1 * g{p} AS m{p}" for p in "acvb"]
+    + [f"0.999 * s{p} + 0.001 * g{p} * g{p} AS s{p}" for p in "acvb"]
+)
+NET_STATE = ", ".join([*"acvb", *(f"m{p}" for p in "acvb"), *(f"s{p}" for p in "acvb")])
+
+
+@query(
+    "f08_mlp_regressor_adam_holdout",
+    f"""WITH RECURSIVE {OD}, placed AS (
+      SELECT x1, x2, row_number() OVER (ORDER BY {shuffled('8:holdout')}) <= ceil(0.2 * count(*) OVER ())
+        AS held FROM od),
+    gd(e, {NET_STATE}) AS (
+      SELECT 0, {FIRST!r}::DOUBLE, 0.0::DOUBLE, {SECOND!r}::DOUBLE, {', '.join(['0.0::DOUBLE'] * 9)}
+      UNION ALL
+      SELECT e, {', '.join(NET_ADAM[p] for p in 'acvb')},
+             {', '.join([f'm{p}' for p in 'acvb'] + [f's{p}' for p in 'acvb'])}
+      FROM (SELECT e + 1 AS e, a, c, v, b, {NET_MEMORY} FROM (
+        SELECT e, {NET_STATE}, avg(g * v * (1 - h * h) * x1) + 40.0 * a / count(*) AS ga,
+               avg(g * v * (1 - h * h)) AS gc, avg(g * h) + 40.0 * v / count(*) AS gv, avg(g) AS gb
+        FROM (SELECT *, 2 * (v * h + b - x2) AS g
+              FROM (SELECT *, tanh(a * x1 + c) AS h FROM gd, placed WHERE NOT held AND e < 6))
+        GROUP BY e, {NET_STATE}))),
+    l AS (SELECT e, a, v, held, avg((v * h + b - x2) ^ 2) + 40.0 * (a * a + v * v) / (2 * count(*)) AS loss
+      FROM (SELECT *, tanh(a * x1 + c) AS h FROM gd, placed WHERE e > 0) GROUP BY e, a, v, held)
+    SELECT e AS epoch, round(max(loss) FILTER (NOT held), 8) AS train_loss,
+           round(max(loss) FILTER (held), 8) AS val_loss FROM l GROUP BY e""",
+)
+def f08_adam(spark, d):
+    spec = MLPRegressor(
+        hidden_layer_sizes=(1,), activation="tanh", optimizer="adam", learning_rate=0.05, max_iter=6,
+        alpha=40.0, early_stopping=True, validation_fraction=0.2, n_iter_no_change=20, seed=8,
+    )
+    model = fit(spec, orders(spark, d), ["x1"], "x2", id_col="id")
+    return history(spark, model, "train_loss", "val_loss", digits=8)
+
+
 def _network_start(seed: int, *shapes):
     rng = np.random.default_rng(seed)
     return [start_weights("he", shape, rng) for shape in shapes]
