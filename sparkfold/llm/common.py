@@ -52,10 +52,44 @@ def _paired(df: DataFrame, left: str, m: int, right: str, k: int, name: str) ->
     return df.withColumn(name, pairs)
 
 
+class Scratch:
+    """The scratch tables that are written while it is open, to be removed once nothing needs them.
+
+    A stage opens one. Its result reads the tables until it is written itself, so they are removed
+    by whoever knows that: the next stage, if what it is given does not read them.
+    """
+
+    open_: list[Scratch] = []
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        Scratch.open_.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scratch.open_.remove(self)
+
+    def remove_unless_read(self, docs: DataFrame) -> None:
+        """Remove the tables if docs names its files and none of them lies in a table."""
+        files = docs.inputFiles() if self.paths else []
+        read = any(f"/{path.rsplit('/', 1)[1]}/" in file for file in files for path in self.paths)
+        if not files or read:
+            return
+        spark = docs.sparkSession
+        for path in self.paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.paths = []
+
+
 def kept_table(df: DataFrame, name: str) -> DataFrame:
     """Write a table below the shared scratch folder and read it back: lineage ends there."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if Scratch.open_:
+        Scratch.open_[-1].paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
