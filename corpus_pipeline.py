@@ -2,15 +2,40 @@
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfold.llm import decontaminate, jaccard_join, line_dedup, pieces, toxicity
-from sparkfold.llm.common import join_few, kept_table, load
+from sparkfold.llm.common import FEW_ROWS, Scratch, join_few, kept_table, load
 
-#: Documents with at least this score are rejected as toxic.
+#: Documents with at least this score are rejected as toxic if no label tells a better bound.
 TOXIC = 0.3
+#: Share of the confirmed clean documents that the bound keeps.
+KEPT = 0.98
+
+#: Scratch tables of the stages made so far.
+_FINISHED: list[Scratch] = []
+
+
+def _stage(make):
+    """A stage that first removes the scratch tables of earlier ones, unless its documents read them.
+
+    Stages are written and read again, so nothing reads an earlier one's tables by then.
+    """
+
+    @functools.wraps(make)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for scratch in _FINISHED:
+            scratch.remove_unless_read(docs)
+        _FINISHED[:] = [s for s in _FINISHED if s.paths]
+        with Scratch() as own:
+            _FINISHED.append(own)
+            return make(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -33,19 +58,40 @@ def _without(keyed: DataFrame, keys: DataFrame) -> DataFrame:
     return left.select("row.*")
 
 
+def toxic_bound(docs: DataFrame, labels: DataFrame, model) -> float:
+    """The score that KEPT of the confirmed clean documents stay below, TOXIC at most.
+
+    All of them count. A few are looked up before they are scored; of more the scores are looked up,
+    so that no text is shuffled.
+    """
+    clean = kept_table(labels.where("toxic = 0").select("doc_id").distinct(), "clean")
+    if clean.count() <= FEW_ROWS:
+        scored = toxicity.score(docs.join(F.broadcast(clean), "doc_id", "left_semi"), model)
+    else:
+        scored = toxicity.score(docs, model).join(clean.hint("merge"), "doc_id", "left_semi")
+    # an aggregate of bounded size; it is exact for few scores
+    bound = scored.agg(F.percentile_approx("score", KEPT, 10_000)).first()[0]
+    return TOXIC if bound is None else min(TOXIC, bound)
+
+
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the positive-unlabelled model does not reject; all rows are scored.
 
-    It learns from the labelled documents outside the held-out quarter. NULL texts and texts of no
-    word get the score of none, which is near the prior, and stay.
+    It learns from the labelled documents outside the held-out quarter, and so does the bound
+    (see toxic_bound), which is TOXIC at most. NULL texts and texts of no word get the score of
+    none, which is near the prior; with a bound above it they stay. Rows of one id are judged by
+    their own texts, repeated rows alike. An empty table gives an empty result.
     """
     learnt = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 != 2, F.lit(False))
     labels = load(spark, sf_dir, "labels").where(learnt)
-    model = toxicity.fit(docs.where(learnt), labels)
-    scored = toxicity.with_score(docs, model).where(F.col("score") < TOXIC)
+    known = docs.where(learnt)
+    model = toxicity.fit(known, labels)
+    scored = toxicity.with_score(docs, model).where(F.col("score") <= toxic_bound(known, labels, model))
     return scored.select(*[f"`{c}`" for c in docs.columns])
 
 
+@_stage
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat earlier ones; every document stays.
 
@@ -58,6 +104,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return short
 
 
+@_stage
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates one row: that with the smallest id, NULL last.
 
@@ -68,15 +115,24 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(keyed, classes.where("doc_id <> class_id"))
 
 
+@_stage
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark, each row judged by its own text."""
+    """Documents without a passage of the benchmark, each row judged by its own text.
+
+    NULL and empty texts have no passage and stay.
+    """
     keyed = _keyed(docs)
     leaks = decontaminate.contamination(keyed.select("doc_id", "text"), load(spark, sf_dir, "benchmark"))
     return _without(keyed, leaks)
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, text): token ids of every document and the text they decode to."""
+    """(doc_id, n_tokens, ids, text): token ids of every document and the text they decode to.
+
+    One row per row; NULL and empty texts have the end id only and decode to an empty text, texts
+    of any length are encoded whole. An empty table gives an empty result.
+    """
     model = public_tokenizers.path("piece_bpe_32k.model")
     coded = pieces.decode_ids(pieces.encode_texts(docs, model), model)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
