@@ -28,6 +28,8 @@ _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 #: Records per archive file.
 VOLUME = 1000
+#: Bytes of an archive that are inflated at a time.
+WINDOW = 1 << 14
 #: Text of an id that is NULL.
 NO_ID = "none"
 
@@ -167,14 +169,18 @@ def _record_at(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
 
 def _member_at(data: bytes, at: int) -> tuple[bytes, int]:
     """Content and end of the gzip member that begins here; ValueError if it is damaged."""
-    inflate = zlib.decompressobj(31)
+    inflate, parts = zlib.decompressobj(31), []
+    rest = memoryview(data)
     try:
-        content = inflate.decompress(memoryview(data)[at:])
+        # by windows: what is not used of the last one is copied, so it must not be the whole rest
+        while at < len(data) and not inflate.eof:
+            parts.append(inflate.decompress(rest[at : at + WINDOW]))
+            at = min(at + WINDOW, len(data))
     except zlib.error as error:
         raise ValueError(f"damaged member: {error}") from None
     if not inflate.eof:
         raise ValueError("truncated member")
-    return content, len(data) - len(inflate.unused_data)
+    return b"".join(parts), at - len(inflate.unused_data)
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:

@@ -1,6 +1,8 @@
 import base64
 import gzip
 import hashlib
+import random
+import time
 
 from sparkfold.llm import warc
 from sparkfold.llm.queries import QUERIES
@@ -100,3 +102,27 @@ def test_query(spark, data):
         original = first[p.html or ""]
         assert row.refers_to == (None if original == p.page_id else original)
         assert row.record_type == ("response" if original == p.page_id else "revisit")
+
+
+def test_many_small_members_take_time_in_proportion():
+    def seconds(n):
+        data = b"".join(
+            gzip.compress(warc.record(str(i), "u", b"x" * 20, warc.digest(b"x" * 20), None) + b"\r\n", 1) for i in range(n)
+        )
+        begin = time.process_time()
+        assert sum(isinstance(x, warc.Record) for x in warc.salvage(data)) == n
+        return time.process_time() - begin
+
+    seconds(100)
+    # in proportion it is 4, with a copy of the rest per member 16
+    assert seconds(40_000) < 8 * seconds(10_000)
+
+
+def test_members_longer_than_a_window():
+    draw = random.Random(3)
+    payloads = [draw.randbytes(n) for n in (warc.WINDOW * 3, 10, warc.WINDOW - 200, warc.WINDOW * 5 + 1)]
+    members = [gzip.compress(warc.record(str(i), "u", p, warc.digest(p), None) + b"\r\n") for i, p in enumerate(payloads)]
+    cut = members[0][:-9]
+    out = list(warc.salvage(b"".join([*members, cut, *members, cut])))
+    assert [x.payload if isinstance(x, warc.Record) else None for x in out] == [*payloads, None, *payloads, None]
+    assert [x.length for x in out] == [*map(len, members), len(cut)] * 2
