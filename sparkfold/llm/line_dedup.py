@@ -3,7 +3,8 @@
 Every distinct line of length l is cut into `edits + 1` even segments: a line within `edits` edits
 must contain one of them unchanged, at nearly the same place. Each line therefore probes, for its
 own length and the `edits` lengths below it, only the substrings at places that the multi-match
-rule allows. Pairs that share a segment are verified with a banded bit-parallel edit distance.
+rule allows. Lines that share a segment are compared with the earliest of them first, those still not
+near one with ever more, by a banded bit-parallel edit distance.
 Longer lines may also differ in whole words, in more of them the longer they are: the same join is
 made on words, with segments for the threshold of the shorter line, so that a line probes into the
 band below its own. Everything is DataFrame and SQL expressions.
@@ -11,7 +12,7 @@ band below its own. Everything is DataFrame and SQL expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkfold.llm.common import join_few, kept_table, words as words_of
@@ -188,9 +189,9 @@ def _keys() -> list[Column]:
 
 
 def _text_of(docs: DataFrame, wanted: DataFrame, few: bool) -> DataFrame:
-    """(k, k2, line) of wanted distinct lines (k, k2, at), taken from the document named by at."""
+    """(no, line) of wanted distinct lines (no, k, k2, at), taken from the document named by at."""
     places = wanted.groupBy(F.col("at.doc_id").alias("id")).agg(
-        F.collect_list(F.struct("at.line_no", "k", "k2")).alias("places")
+        F.collect_list(F.struct("at.line_no", "k", "k2", "no")).alias("places")
     )
     same = F.col("doc_id").eqNullSafe(F.col("id"))
     if few:
@@ -200,10 +201,90 @@ def _text_of(docs: DataFrame, wanted: DataFrame, few: bool) -> DataFrame:
     split = found.select(F.split("text", "\n").alias("lines"), "places")
     got = F.transform(
         "places",
-        lambda x: F.struct(x["k"].alias("k"), x["k2"].alias("k2"), F.get("lines", x["line_no"]).alias("line")),
+        lambda x: F.struct(
+            x["k"].alias("k"), x["k2"].alias("k2"), x["no"].alias("no"), F.get("lines", x["line_no"]).alias("line")
+        ),
     )
     # ids may repeat: a line that is not the wanted one is left out
-    return split.select(F.inline(got)).where("xxhash64(line) = k AND xxhash64(line, 1) = k2")
+    found = split.select(F.inline(got)).where("xxhash64(line) = k AND xxhash64(line, 1) = k2")
+    return found.select("no", "line")
+
+
+def _groups(lines: DataFrame, edits: int, least: int, words: tuple[int, ...]) -> DataFrame:
+    """(sig, no, own, place) of lines (no, line) that meet others at a signature.
+
+    A line's own segments are among the substrings that it probes, so that one row tells both: own
+    marks the segments. Rows of a signature that no line owns, or that just one line has, are left
+    out; place counts the others from 1 in the order of no. There is one row per line and signature,
+    however many lines a signature has.
+    """
+    cut = with_cuts(lines, edits)
+    own, tried = segments(edits), probes(edits, least)
+    if words:
+        cut = cut.withColumn("w", _word_hashes("line")).withColumn("m", F.size("w"))
+        own = F.concat(own, word_signatures(words, probe=False))
+        tried = F.concat(tried, word_signatures(words, probe=True))
+    cut = cut.select("no", own.alias("own"), tried.alias("tried"))
+    cut = cut.select("no", F.size("own").alias("n"), F.concat("own", F.array_except("tried", "own")).alias("sigs"))
+    # the number and the mark in one value: this is the largest table that is shuffled
+    rows = cut.select("no", "n", F.posexplode("sigs").alias("i", "sig")).select(
+        "sig", F.expr("shiftleft(no, 1) | CAST(i < n AS BIGINT)").alias("code")
+    )
+    ordered = Window.partitionBy("sig").orderBy("code")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.select(
+        "sig", "code", F.row_number().over(ordered).alias("place"), F.max(F.expr("code & 1")).over(whole).alias("owned"),
+        F.min("code").over(whole).alias("first"), F.max("code").over(whole).alias("last"),
+    )
+    rows = rows.where("owned = 1 AND shiftright(first, 1) < shiftright(last, 1)")
+    return rows.selectExpr("sig", "shiftright(code, 1) AS no", "code & 1 = 1 AS own", "place")
+
+
+def _sketches(texts: DataFrame, words: tuple[int, ...]) -> DataFrame:
+    """(no, c, v, t): parities of a line's characters and words by 64 hash buckets, words it may differ in.
+
+    An edit changes two parities at most, so that near lines differ in few of them.
+    """
+    parity = "aggregate({}, 0L, (s, x) -> s ^ shiftleft(1L, CAST(pmod({}, 64) AS INT)))"
+    found = texts.withColumn("w", _word_hashes("line"))
+    return found.select(
+        "no", F.expr(parity.format("split(line, '')", "xxhash64(x)")).alias("c"),
+        F.expr(parity.format("w", "x")).alias("v"), F.expr(_allowed("size(w)", words) if words else "0").alias("t"),
+    )
+
+
+def _later_of_near(groups: DataFrame, texts: DataFrame, edits: int, words: tuple[int, ...]) -> DataFrame:
+    """(no) of the lines that are near an earlier one of a common signature.
+
+    Every group compares its lines with its two earliest ones, those not found near yet with the
+    next six, and so on, four times as many each time: in a group of variants of one line most are
+    settled by the first ones. Pairs whose sketches differ too much are left out where they meet.
+    """
+    members = kept_table(join_few(groups, kept_table(_sketches(texts, words), "sketches"), "no"), "members")
+    most = members.agg(F.max("place")).first()[0] or 0
+    found = kept_table(members.select("no").limit(0), "near")
+    low, high = 0, 2
+    while low < most:
+        hubs = members.where(F.col("place").between(low + 1, high)).selectExpr(
+            "sig", "no AS earlier", "own AS own_a", "c AS c_a", "v AS v_a", "t AS t_a"
+        )
+        rest = join_few(members, found, "no", "left_anti").selectExpr(
+            "sig", "no AS later", "own AS own_b", "c AS c_b", "v AS v_b", "t AS t_b"
+        )
+        may_be_near = F.expr(
+            f"earlier < later AND (own_a OR own_b) AND (bit_count(c_a ^ c_b) <= {2 * edits} "
+            "OR bit_count(v_a ^ v_b) <= 2 * least(t_a, t_b))"
+        )
+        met = hubs.join(rest, (hubs["sig"] == rest["sig"]) & may_be_near)
+        pairs = met.select("earlier", "later").distinct()
+        both = pairs.join(texts.selectExpr("no AS earlier", "line AS line_a"), "earlier").join(
+            texts.selectExpr("no AS later", "line AS line_b"), "later"
+        )
+        # written before it is filtered: a filter would be pushed into the distance and repeat it
+        told = kept_table(near_lines(both, edits, words).select("later", "alike"), "told")
+        found = kept_table(found.union(told.where("alike").selectExpr("later AS no").distinct()), "near")
+        low, high = high, 4 * high
+    return found
 
 
 def near_lines(pairs: DataFrame, edits: int, words: tuple[int, ...]) -> DataFrame:
@@ -248,47 +329,22 @@ def duplicate_lines(
     places = _lines(docs, 1 if short else least).select(
         *_keys(), "doc_id", "line_no", (F.length("line") >= least).alias("long")
     )
-    firsts = kept_table(
-        places.groupBy("k", "k2").agg(
-            F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("copies"),
-            F.max("long").alias("long"),
-        ),
-        "lines",
+    firsts = places.groupBy("k", "k2").agg(
+        F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("copies"),
+        F.max("long").alias("long"),
     )
-    places = places.drop("long")
-    distinct = _text_of(docs, firsts.where("long").select("k", "k2", "at"), few=False).select("k", "line")
-    cut = with_cuts(distinct, edits)
-    parts, tried = segments(edits), probes(edits, least)
-    if words:
-        cut = cut.withColumn("w", _word_hashes("line")).withColumn("m", F.size("w"))
-        parts = F.concat(parts, word_signatures(words, probe=False))
-        tried = F.concat(tried, F.array_distinct(word_signatures(words, probe=True)))
-    index = cut.select("k", F.explode(parts).alias("sig"))
-    probe = cut.select(F.col("k").alias("other"), F.explode(tried).alias("sig"))
-    met = index.join(probe.hint("merge"), "sig").where("k <> other")
-    pairs = kept_table(
-        met.select(F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b")).distinct(), "pairs"
-    )
-    names = kept_table(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct(), "names")
-    wanted = join_few(firsts.select("k", "k2", "at"), names, "k")
-    texts = kept_table(
-        _text_of(docs, wanted, few=True).join(wanted.select("k", "k2", "at"), ["k", "k2"]), "texts"
+    # numbers in the order of the lines; they are drawn once, for the table is written
+    firsts = kept_table(
+        firsts.orderBy("at", "k", "k2").withColumn("no", F.monotonically_increasing_id()), "lines"
     )
-    one = texts.select(F.col("k").alias("a"), F.col("line").alias("line_a"), F.col("at").alias("at_a"),
-                       F.col("k2").alias("a2"))
-    two = texts.select(F.col("k").alias("b"), F.col("line").alias("line_b"), F.col("at").alias("at_b"),
-                       F.col("k2").alias("b2"))
-    both = pairs.join(one, "a").join(two, "b")
-    # written before it is filtered: a filter would be pushed into the distance and repeat it
-    near = kept_table(
-        near_lines(both, edits, words).select(
-            F.expr("if(at_a < at_b, b, a)").alias("k"),
-            F.expr("if(at_a < at_b, b2, a2)").alias("k2"),
-            "alike",
-        ),
-        "near",
-    ).where("alike").select("k", "k2").distinct()
-    special = firsts.join(near.withColumn("near", F.lit(True)), ["k", "k2"], "left").where(
+    places = places.drop("long")
+    distinct = _text_of(docs, firsts.where("long"), few=False)
+    groups = kept_table(_groups(distinct, edits, least, words), "groups")
+    names = kept_table(groups.select("no").distinct(), "names")
+    wanted = join_few(firsts.select("no", "k", "k2", "at"), names, "no")
+    texts = kept_table(_text_of(docs, wanted, few=True).dropDuplicates(["no"]), "texts")
+    near = _later_of_near(groups, texts, edits, words)
+    special = join_few(firsts.drop("long"), near.withColumn("near", F.lit(True)), "no", "left").where(
         "copies > 1 OR near"
     )
     found = places.join(special, ["k", "k2"])
