@@ -226,8 +226,9 @@ def _groups(lines: DataFrame, edits: int, least: int, words: tuple[int, ...]) ->
         tried = F.concat(tried, word_signatures(words, probe=True))
     cut = cut.select("no", own.alias("own"), tried.alias("tried"))
     cut = cut.select("no", F.size("own").alias("n"), F.concat("own", F.array_except("tried", "own")).alias("sigs"))
-    # the number and the mark in one value: this is the largest table that is shuffled
-    rows = cut.select("no", "n", F.posexplode("sigs").alias("i", "sig")).select(
+    # the number and the mark in one value: this is the largest table that is shuffled. No line is without
+    # segments; outer, because a filter of empty arrays would be pushed down and make all of them again
+    rows = cut.select("no", "n", F.posexplode_outer("sigs").alias("i", "sig")).select(
         "sig", F.expr("shiftleft(no, 1) | CAST(i < n AS BIGINT)").alias("code")
     )
     ordered = Window.partitionBy("sig").orderBy("code")
