@@ -261,6 +261,7 @@ def _later_of_near(groups: DataFrame, texts: DataFrame, edits: int, words: tuple
     next six, and so on, four times as many each time: in a group of variants of one line most are
     settled by the first ones. Pairs whose sketches differ too much are left out where they meet.
     """
+    spark = groups.sparkSession
     members = kept_table(join_few(groups, kept_table(_sketches(texts, words), "sketches"), "no"), "members")
     most = members.agg(F.max("place")).first()[0] or 0
     found = kept_table(members.select("no").limit(0), "near")
@@ -281,6 +282,8 @@ def _later_of_near(groups: DataFrame, texts: DataFrame, edits: int, words: tuple
         both = pairs.join(texts.selectExpr("no AS earlier", "line AS line_a"), "earlier").join(
             texts.selectExpr("no AS later", "line AS line_b"), "later"
         )
+        # few bytes but much work a pair: dealt over as many tasks as the session shuffles to
+        both = both.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "earlier", "later")
         # written before it is filtered: a filter would be pushed into the distance and repeat it
         told = kept_table(near_lines(both, edits, words).select("later", "alike"), "told")
         found = kept_table(found.union(told.where("alike").selectExpr("later AS no").distinct()), "near")
