@@ -142,3 +142,21 @@ def test_report_of_a_changed_word_and_short_lines(spark):
     report = {r.doc_id: (r.n_exact, r.n_near, r.removed) for r in ld.line_report(df).collect()}
     assert report == {1: (0, 0, []), 2: (0, 0, []), 3: (1, 1, [0, 1])}
     assert {r.doc_id: r.text for r in ld.remove_lines(df, most=1.0).collect()}[3] == "end"
+
+
+def test_groups_with_a_common_head_make_no_squares(spark, monkeypatch):
+    draw = random.Random(8)
+    head, near = "one head that all lines of the group share ", "the tail that most of them vary a little"
+    lines = [head + "".join(draw.choices("abcdefghijklmnop", k=40)) for _ in range(45)]
+    lines += [edited(draw, head + near, draw.choice([1, 2, 3, 4])) for _ in range(75)]
+    draw.shuffle(lines)
+    docs, seen, verify = list(enumerate(lines)), [], ld.near_lines
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(ld, "near_lines", counted)
+    got = ld.duplicate_lines(spark.createDataFrame(docs, "doc_id long, text string"), edits=2, least=20)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(docs, 2, 20)
+    assert len(seen) > 2 and sum(seen) < 1500  # of 7,140 pairs
