@@ -6,7 +6,8 @@ again on tokens drawn from the sets' min-hash tokens, until they are small. A pa
 lambda shares one drawn token of the first level in expectation, so a run finds it with a known
 probability, and runs are repeated until the target recall. Below the first level a node has the
 same one or two bins drawn for all of its sets: with that a run's chance to hold a pair down to the
-deepest level stays above the one for which the runs were counted. What passes the sketches only forms candidate
+deepest level stays above the one for which the runs were counted. A node whose sets are all in one
+cluster already is not split further. What passes the sketches only forms candidate
 clusters: inside a cluster all sets are compared exactly, block against block, so every link
 between its members is counted, and no pair is ever a row.
 """
@@ -47,7 +48,7 @@ SLACK = 4.5
 def runs_for(recall: float) -> int:
     """Runs that reach a recall for pairs at the threshold, if one in e is lost below the first level.
 
-    The draws of candidate_links lose less than that at every depth (see SECOND).
+    The draws of candidate_clusters lose less than that at every depth (see SECOND).
     """
     first = math.exp(-1)
     second = math.exp(-(1 - first))
@@ -228,44 +229,72 @@ def _drawn_bins() -> Column:
     return F.transform(F.slice(order, F.lit(1), second + 1), lambda x: x["bin"])
 
 
-def candidate_links(records: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between records whose clusters hold every pair that the paths brought together.
+def _merged(clusters: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, component) of the linked records after more links (a, b): the least record of each cluster.
+
+    Only links between different clusters so far are followed, as links between their names.
+    """
+    if clusters is None:
+        return components(links)
+    ends = links
+    for side in ("a", "b"):
+        names = clusters.select(F.col("id").alias(side), F.col("component").alias(f"{side}_of"))
+        ends = join_few(ends, names, side, "left").withColumn(side, F.coalesce(f"{side}_of", side)).drop(f"{side}_of")
+    joined = components(ends.where("a <> b").distinct())
+    moved = joined.select(F.col("id").alias("component"), F.col("component").alias("now"))
+    old = join_few(clusters, moved, "component", "left").select("id", F.coalesce("now", "component").alias("component"))
+    new = join_few(joined, clusters, "id", "left_anti")
+    return kept_table(old.union(new.select("id", "component")), "clusters")
+
+
+def candidate_clusters(records: DataFrame, threshold: float) -> DataFrame:
+    """(id, component): clusters that hold every pair of records that the paths brought together.
 
     records: distinct (record, sketch, nodes). Nodes are counted before their rows are brought
-    together, so only small ones ever meet in a task.
+    together, so only small ones ever meet in a task. A large node all of whose records are in one
+    cluster already has no pair left to find and is not split; this keeps a large group of near
+    copies from being drawn again on every level.
     """
     level = records.select(F.explode("nodes").alias("node"), "record")
     sketches = records.select("record", "sketch")
-    links = None
+    clusters = None
     for depth in range(DEPTH):
         count = level.groupBy("node").agg(F.count("*").alias("size"), F.min("record").alias("first"))
         shared = kept_table(level.join(count.where("size > 1"), "node"), "nodes")
         small = shared.where(F.col("size") <= SMALL).join(sketches, "record")
-        found = _compare_small(small, threshold)
-        links = found if links is None else links.union(found)
-        if shared.where(F.col("size") > SMALL).isEmpty():
+        links = _compare_small(small, threshold)
+        large = shared.where(F.col("size") > SMALL)
+        # what is near the first record of its node is linked to it
+        firsts = kept_table(
+            large.groupBy("node").agg(F.min("first").alias("record")).join(sketches, "record")
+            .select("node", F.col("record").alias("first"), F.col("sketch").alias("first_sketch")), "firsts",
+        )
+        more = not firsts.isEmpty()
+        if more:
+            large = join_few(large.select("node", "record").join(sketches, "record"), firsts, "node")
+            large = kept_table(
+                large.select("node", "record", "first", "sketch", _near_columns(threshold).alias("near")), "large"
+            )
+            star = large if depth == DEPTH - 1 else large.where("near")
+            links = links.union(
+                star.where("record <> first").select(F.col("record").alias("a"), F.col("first").alias("b"))
+            )
+        clusters = _merged(clusters, kept_table(links.distinct(), "links"))
+        if not more or depth == DEPTH - 1:
             break
-        # what is near the first record of its node is linked to it; a node in which all are is done
-        first = sketches.select(F.col("record").alias("first"), F.col("sketch").alias("first_sketch"))
-        large = shared.where(F.col("size") > SMALL).join(sketches, "record").join(first, "first")
-        large = kept_table(
-            large.select(
-                "node", "record", "first", "sketch", _near_columns(threshold).alias("near")
-            ),
-            "large",
-        )
-        star = large if depth == DEPTH - 1 else large.where("near")
-        links = links.union(
-            star.where("record <> first").select(F.col("record").alias("a"), F.col("first").alias("b"))
-        )
-        mixed = large.groupBy("node").agg(F.bool_and("near").alias("done")).where("NOT done")
-        large = large.join(mixed.select("node"), "node", "left_semi")
+        named = clusters.select(F.col("id").alias("record"), "component")
+        where = F.coalesce("component", "record")
+        mixed = join_few(large.select("node", "record"), named, "record", "left").groupBy("node").agg(
+            F.min(where).alias("least"), F.max(where).alias("most")
+        )
+        mixed = kept_table(mixed.where("least <> most").select("node"), "mixed")
+        large = join_few(large, mixed, "node", "left_semi")
         level = kept_table(
             large.select("node", "record", "sketch", F.explode(_drawn_bins()).alias("bin"))
             .select(F.xxhash64("node", "bin", F.substring("sketch", F.col("bin"), F.lit(1))).alias("node"), "record"),
             "level",
         )
-    return links.distinct()
+    return clusters
 
 
 def _exact(group: pa.Table, threshold: float) -> list[tuple]:
@@ -356,7 +385,7 @@ def jaccard_join(docs: DataFrame, *, threshold: float = 0.8, recall: float = 0.9
     )
     distinct = kept_table(distinct, "sets")
     sets = distinct.select("record", "copies", "least")
-    clusters = components(candidate_links(distinct, threshold)).withColumnRenamed("id", "record")
+    clusters = candidate_clusters(distinct, threshold).withColumnRenamed("id", "record")
     # one text per record of a cluster: that of a row with its least id
     named = kept_table(
         clusters.join(sets, "record").select("component", "record", "copies", "least"), "clusters"

@@ -97,16 +97,36 @@ def test_recall_below_the_second_level(spark, monkeypatch):
         ]
     df = spark.createDataFrame(rows, "record binary, n long, sketch binary, nodes array<long>")
     label = {r[0]: r[0] for r in rows}
-
-    def root(x):
-        while label[x] != x:
-            x = label[x]
-        return x
-
-    for r in jj.candidate_links(df, 0.8).collect():
-        label[root(bytes(r.a))] = root(bytes(r.b))
-    assert len({root(x) for x in label}) > 300
-    assert not [a for a, b in pairs if root(a) != root(b)]
+    label |= {bytes(r.id): bytes(r.component) for r in jj.candidate_clusters(df, 0.8).collect()}
+    assert len(set(label.values())) > 300
+    assert not [a for a, b in pairs if label[a] != label[b]]
+
+
+def test_a_group_of_near_copies_is_not_drawn_again(spark, monkeypatch):
+    # some are too far from others for one star; their nodes must not grow from level to level
+    draw = random.Random(5)
+    texts = variants(draw, 500, 120, 8)
+    sets = {jj.name_of(s): s for s in map(jj.shingle_set, texts)}
+    assert len(sets) > jj.SMALL
+    rows = [
+        (n, jj.sketch(s), jj.drawn(s, jj.runs_for(0.9999), 0.8).view(np.int64).tolist()) for n, s in sets.items()
+    ]
+    sizes = {}
+    kept = jj.kept_table
+
+    def counted(df, name):
+        table = kept(df, name)
+        if name == "level":
+            sizes[len(sizes)] = table.count()
+        return table
+
+    monkeypatch.setattr(jj, "kept_table", counted)
+    df = spark.createDataFrame(rows, "record binary, sketch binary, nodes array<long>")
+    label = {n: n for n in sets} | {bytes(r.id): bytes(r.component) for r in jj.candidate_clusters(df, 0.8).collect()}
+    sets = [(n, set(s.tolist())) for n, s in sets.items()]
+    near = [(a, b) for i, (a, s) in enumerate(sets) for b, t in sets[:i] if len(s & t) >= 0.8 * len(s | t)]
+    assert len(near) > 1000 and not [a for a, b in near if label[a] != label[b]]
+    assert sum(sizes.values()) <= 2 * sum(len(r[2]) for r in rows)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
