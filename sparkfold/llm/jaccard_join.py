@@ -6,8 +6,8 @@ again on tokens drawn from the sets' min-hash tokens, until they are small. A pa
 lambda shares one drawn token of the first level in expectation, so a run finds it with a known
 probability, and runs are repeated until the target recall. Below the first level a node has the
 same one or two bins drawn for all of its sets: with that a run's chance to hold a pair down to the
-deepest level stays above the one for which the runs were counted. A node whose sets are all in one
-cluster already is not split further. What passes the sketches only forms candidate
+deepest level stays above the one for which the runs were counted. A node of which few
+sets are outside one cluster is not split further: these are compared with all of it. What passes the sketches only forms candidate
 clusters: inside a cluster all sets are compared exactly, block against block, so every link
 between its members is counted, and no pair is ever a row.
 """
@@ -173,7 +173,10 @@ def _pairs_within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compare_small(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) that join what is near inside each small node (node, record, sketch)."""
+    """Links (a, b) that join what is near inside each small node (node, record, sketch, outside).
+
+    Only pairs of which one is marked `outside` are compared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[pa.Table] = []
@@ -195,8 +198,10 @@ def _compare_small(nodes: DataFrame, threshold: float) -> DataFrame:
         data = b"".join(rows.column("sketch").to_pylist())
         sketches = np.frombuffer(data, dtype=np.uint8).reshape(-1, BINS)
         names = rows.column("record").combine_chunks()
-        found = [np.zeros(0, dtype=np.int64)] * 2
+        outside = rows.column("outside").combine_chunks().to_numpy(zero_copy_only=False)
         i, j = _pairs_within(sizes)
+        asked = outside[i] | outside[j]
+        i, j = i[asked], j[asked]
         near = [
             _near(sketches, i[k : k + CHUNK], j[k : k + CHUNK], threshold)
             for k in range(0, len(i), CHUNK)
@@ -210,7 +215,22 @@ def _compare_small(nodes: DataFrame, threshold: float) -> DataFrame:
         )
 
     sorted_rows = nodes.repartition("node").sortWithinPartitions("node")
-    return sorted_rows.select("node", "record", "sketch").mapInArrow(run, "a binary, b binary")
+    return sorted_rows.select("node", "record", "sketch", "outside").mapInArrow(run, "a binary, b binary")
+
+
+def _chunks(large: DataFrame) -> DataFrame:
+    """(node, record, sketch, outside): nodes of which few records are outside the main cluster, cut up.
+
+    large: (node, record, sketch, component, main, chunks). Every chunk has at most about SMALL
+    records of the main cluster and all others of its node, so all pairs but those inside the main
+    cluster meet, in time and rows proportional to the node.
+    """
+    outside = F.col("component") != F.col("main")
+    own = F.array(F.pmod(F.xxhash64("record"), F.col("chunks")))
+    at = F.when(outside, F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(own)
+    return large.select("node", "record", "sketch", outside.alias("outside"), F.explode(at).alias("at")).select(
+        F.xxhash64("node", F.lit("chunk"), "at").alias("node"), "record", "sketch", "outside"
+    )
 
 
 def _drawn_bins() -> Column:
@@ -252,17 +272,19 @@ def candidate_clusters(records: DataFrame, threshold: float) -> DataFrame:
 
     records: distinct (record, sketch, nodes). Nodes are counted before their rows are brought
     together, so only small ones ever meet in a task. A large node all of whose records are in one
-    cluster already has no pair left to find and is not split; this keeps a large group of near
-    copies from being drawn again on every level.
+    cluster already has no pair left to find; one with at most SMALL records outside its main cluster
+    is settled by comparing these with all of it. The others are split: a large group of near copies
+    is not drawn again on every level because of the few that are unlike the rest.
     """
     level = records.select(F.explode("nodes").alias("node"), "record")
     sketches = records.select("record", "sketch")
-    clusters = None
+    clusters, rest = None, None
     for depth in range(DEPTH):
         count = level.groupBy("node").agg(F.count("*").alias("size"), F.min("record").alias("first"))
         shared = kept_table(level.join(count.where("size > 1"), "node"), "nodes")
         small = shared.where(F.col("size") <= SMALL).join(sketches, "record")
-        links = _compare_small(small, threshold)
+        small = small.select("node", "record", "sketch", F.lit(True).alias("outside"))
+        links = _compare_small(small if rest is None else small.union(rest), threshold)
         large = shared.where(F.col("size") > SMALL)
         # what is near the first record of its node is linked to it
         firsts = kept_table(
@@ -279,16 +301,23 @@ def candidate_clusters(records: DataFrame, threshold: float) -> DataFrame:
             links = links.union(
                 star.where("record <> first").select(F.col("record").alias("a"), F.col("first").alias("b"))
             )
-        clusters = _merged(clusters, kept_table(links.distinct(), "links"))
+        links = kept_table(links.distinct(), "links")
+        if clusters is None or not links.isEmpty():
+            clusters = _merged(clusters, links)
         if not more or depth == DEPTH - 1:
             break
         named = clusters.select(F.col("id").alias("record"), "component")
-        where = F.coalesce("component", "record")
-        mixed = join_few(large.select("node", "record"), named, "record", "left").groupBy("node").agg(
-            F.min(where).alias("least"), F.max(where).alias("most")
+        placed = join_few(large.select("node", "record", "sketch"), named, "record", "left").select(
+            "node", "record", "sketch", F.coalesce("component", "record").alias("component")
+        )
+        parts = placed.groupBy("node", "component").agg(F.count("*").alias("n")).groupBy("node").agg(
+            F.max_by("component", F.struct("n", "component")).alias("main"),
+            (F.sum("n") - F.max("n")).alias("others"), F.ceil(F.sum("n") / SMALL).alias("chunks"),
         )
-        mixed = kept_table(mixed.where("least <> most").select("node"), "mixed")
-        large = join_few(large, mixed, "node", "left_semi")
+        mixed = kept_table(parts.where("others > 0"), "mixed")
+        large = join_few(placed, mixed, "node")
+        rest = _chunks(large.where(F.col("others") <= SMALL))
+        large = large.where(F.col("others") > SMALL)
         level = kept_table(
             large.select("node", "record", "sketch", F.explode(_drawn_bins()).alias("bin"))
             .select(F.xxhash64("node", "bin", F.substring("sketch", F.col("bin"), F.lit(1))).alias("node"), "record"),
