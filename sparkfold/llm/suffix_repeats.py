@@ -114,7 +114,7 @@ def _batches_of(rows: Iterator[dict]) -> Iterator[list[dict]]:
 
 
 def _joined(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all rows, where each ends, and their ids."""
+    """Bytes of all rows, where each ends, and the ids of their texts."""
     data = np.frombuffer(b"".join(r["data"] for r in rows), dtype=np.uint8)
     ends = np.cumsum([len(r["data"]) for r in rows])
     return data, ends, np.array([r["id"] for r in rows], dtype=np.int64)
@@ -257,25 +257,26 @@ def _send_contexts(parts: int):
             h, first, last = h[take], first[take], last[take]
             doc = np.searchsorted(ends, first, side="right")
             start, owner = first - begin[doc], ids[doc]
+            order = np.array([r["order_"] for r in rows], dtype=np.int64)[doc]
             raw = data.tobytes()
-            # equal contexts of this task: the least id asks, the others are repeats of it
-            seen: dict[bytes, tuple[int, list[int], int]] = {}
+            # equal contexts of this task: the least document asks, the others are repeats of it
+            seen: dict[bytes, tuple[int, list[tuple[int, int]], int]] = {}
             done_id, done_from, done_to = [], [], []
-            for key, a, b, o, s in zip(h.tolist(), first.tolist(), last.tolist(), owner.tolist(), start.tolist()):
+            spans = zip(first.tolist(), last.tolist(), start.tolist())
+            for key, (a, b, s), o, u in zip(h.tolist(), spans, order.tolist(), owner.tolist()):
                 context = raw[a : b + LEAST]
                 known = seen.get(context)
                 if known is None:
-                    seen[context] = (o, [s], key)
+                    seen[context] = (o, [(u, s)], key)
                 elif o == known[0]:
-                    known[1].append(s)
+                    known[1].append((u, s))
                 else:
+                    again = [(u, s)]
                     if o < known[0]:
-                        seen[context] = (o, [s], key)
-                        o, again = known[0], known[1]
-                    else:
-                        again = [s]
-                    for x in again:
-                        done_id.append(o)
+                        seen[context] = (o, again, key)
+                        again = known[1]
+                    for text, x in again:
+                        done_id.append(text)
                         done_from.append(x)
                         done_to.append(x + len(context))
             out = [
@@ -286,15 +287,16 @@ def _send_contexts(parts: int):
             ]
             by_part: dict[int, list] = {}
             for context, (o, starts, key) in seen.items():
-                for s in starts:
-                    by_part.setdefault(key % parts, []).append((key, o, s, context))
+                for u, s in starts:
+                    by_part.setdefault(key % parts, []).append((key, o, u ^ o, s, context))
             for k, entries in by_part.items():
                 blob = _pack(
                     np.array([e[0] for e in entries], dtype=np.uint64),
                     np.array([e[1] for e in entries], dtype=np.int64),
-                    np.array([e[2] for e in entries], dtype=np.uint32),
-                    np.array([len(e[3]) for e in entries], dtype=np.uint32),
-                    np.frombuffer(b"".join(e[3] for e in entries), dtype=np.uint8),
+                    np.array([e[2] for e in entries], dtype=np.int64),
+                    np.array([e[3] for e in entries], dtype=np.uint32),
+                    np.array([len(e[4]) for e in entries], dtype=np.uint32),
+                    np.frombuffer(b"".join(e[4] for e in entries), dtype=np.uint8),
                 )
                 out.append({"part": k, "kind": 0, "id": len(entries), "blob": blob})
             if out:
@@ -307,7 +309,7 @@ def _inflated(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Documents that hold shared anchors, with their places."""
     for row, places in _beside(batches, 1):
         if places:
-            yield {"id": row["id"], "data": _unpack(row["blob"]), "places": places}
+            yield {"id": row["id"], "order_": row["order_"], "data": _unpack(row["blob"]), "places": places}
 
 
 def maximal_repeats(
@@ -385,12 +387,14 @@ def _repeated_ranges(buckets: int):
                     high.append(flat[len(flat) // 2 :])
                     ids.append(np.full(len(low[-1]), n, dtype=np.int64))
                     continue
-                lengths = np.frombuffer(raw, np.uint32, n, n * 20)
-                ends = n * 24 + np.cumsum(lengths, dtype=np.int64)
+                lengths = np.frombuffer(raw, np.uint32, n, n * 28)
+                ends = n * 32 + np.cumsum(lengths, dtype=np.int64)
+                order = np.frombuffer(raw, np.int64, n, n * 8)
                 parts += zip(
                     np.frombuffer(raw, np.uint64, n).tolist(),
-                    np.frombuffer(raw, np.int64, n, n * 8).tolist(),
-                    np.frombuffer(raw, np.uint32, n, n * 16).tolist(),
+                    order.tolist(),
+                    (np.frombuffer(raw, np.int64, n, n * 16) ^ order).tolist(),
+                    np.frombuffer(raw, np.uint32, n, n * 24).tolist(),
                     (raw[e - s : e] for s, e in zip(lengths.tolist(), ends.tolist())),
                 )
             parts.sort(key=lambda e: e[0])
@@ -399,7 +403,7 @@ def _repeated_ranges(buckets: int):
                 # whole anchors, up to SLICE bytes
                 j, size = i, 0
                 while j < len(parts) and (size < SLICE or parts[j][0] == parts[j - 1][0]):
-                    size += len(parts[j][3])
+                    size += len(parts[j][4])
                     j += 1
                 found = list(_resolve(parts[i:j]))
                 ids.append(np.array([x[0] for x in found], dtype=np.int64))
@@ -413,15 +417,15 @@ def _repeated_ranges(buckets: int):
 
 
 def _resolve(entries: list[tuple]) -> Iterator[tuple[int, int, int]]:
-    """(id, from, to) to remove, of contexts (anchor, id, start, bytes) with whole anchors."""
-    distinct: dict[bytes, list[tuple[int, int]]] = {}
-    for _, o, s, context in entries:
-        distinct.setdefault(context, []).append((o, s))
-    contexts, owners = list(distinct), [min(o for o, _ in x) for x in distinct.values()]
+    """(id, from, to) to remove, of contexts (anchor, order, id, start, bytes) with whole anchors."""
+    distinct: dict[bytes, list[tuple[int, int, int]]] = {}
+    for _, o, u, s, context in entries:
+        distinct.setdefault(context, []).append((o, u, s))
+    contexts, owners = list(distinct), [min(o for o, _, _ in x) for x in distinct.values()]
     for context, least in zip(contexts, owners):
-        for o, s in distinct[context]:
+        for o, u, s in distinct[context]:
             if o > least:
-                yield o, s, s + len(context)
+                yield u, s, s + len(context)
     if len(contexts) < 2:
         return
     lengths = np.array([len(c) for c in contexts], dtype=np.int64)
@@ -434,9 +438,9 @@ def _resolve(entries: list[tuple]) -> Iterator[tuple[int, int, int]]:
         for w, p in zip(which.tolist(), places.tolist()):
             if owner[w] > least:
                 inside = p - int(starts[w])
-                for o, s in distinct[contexts[w]]:
+                for o, u, s in distinct[contexts[w]]:
                     if o == owners[w]:
-                        yield o, s + inside, s + inside + length
+                        yield u, s + inside, s + inside + length
 
 
 def _packed(rows: DataFrame, buckets: int) -> DataFrame:
@@ -470,17 +474,18 @@ def _gathered(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def repeated_bytes(docs: DataFrame, total: int) -> tuple[DataFrame, int]:
-    """Bundles of the ranges to remove from distinct texts (id, data), and the number of buckets.
+    """Bundles of the ranges to remove from texts (id, order_, data), and the number of buckets.
 
-    A byte is in a range if some 50 bytes that cover it also start in a text with a smaller id.
+    A byte is in a range if some 50 bytes that cover it also start in a text of a smaller order_;
+    the id names the text.
     ``total`` is the size of all texts in bytes; it sets the number of parts.
     """
     few = -(-total // ANCHOR_PART) or 1
     many = -(-total // CONTEXT_PART) or 1
-    docs = docs.select("id", "data")
+    docs = docs.select("id", "order_", "data")
     sent = docs.mapInArrow(_send_anchors(few), PARTED)
     shared = _gathered(sent, "part").mapInArrow(_shared_anchors(few), BUCKETED)
-    beside = _gathered(shared.unionByName(_packed(docs, few)), "bucket", "kind")
+    beside = _gathered(shared.unionByName(_packed(docs, few), allowMissingColumns=True), "bucket", "kind")
     contexts = beside.mapInArrow(_send_contexts(many), PARTED)
     return _gathered(contexts, "part").mapInArrow(_repeated_ranges(few), BUCKETED), few
 
@@ -497,6 +502,25 @@ def _spans(ranges: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int]]
     return runs
 
 
+def _names(rows: DataFrame) -> DataFrame:
+    """(order_, digest, name) of the texts that share an order_ with other texts: a number of their own.
+
+    Names are hashes; they are drawn again until none is taken by another text.
+    """
+    ids = rows.groupBy("order_").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    shared = kept_table(ids.where("low <> high").select("order_"), "shared")
+    if shared.isEmpty():
+        return shared.selectExpr("order_", "CAST(NULL AS STRING) AS digest", "CAST(NULL AS BIGINT) AS name")
+    texts = kept_table(join_few(rows.select("order_", "digest"), shared, "order_").distinct(), "clash")
+    for seed in range(64):
+        names = kept_table(texts.withColumn("name", F.xxhash64("order_", "digest", F.lit(seed))), "names")
+        twice = names.groupBy("name").count().where("count > 1")
+        taken = join_few(rows.select(F.col("order_").alias("name")), names.select("name"), "name", "left_semi")
+        if twice.isEmpty() and taken.isEmpty():
+            return names
+    raise RuntimeError("no free names for texts that share a doc_id.")
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, data, spans) per row of docs (doc_id, text): what is left, and the runs removed.
 
@@ -505,9 +529,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     cut may split a character; spans are pairs [from, to).
 
     NULL texts are empty, a NULL doc_id counts as smaller than all others, repeated rows do not
-    remove each other's bytes, an empty table gives an empty result, other columns are ignored. Of
-    different texts under one doc_id only that of the least SHA-256 takes part; the others are
-    removed if they are whole copies of a row with a smaller id, and stay as they are if not.
+    remove each other's bytes, an empty table gives an empty result, other columns are ignored.
+    Different texts under one doc_id all take part and do not remove each other's bytes.
     """
     rows = docs.select(
         "doc_id",
@@ -517,18 +540,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("digest", F.sha2("data", 256))
     texts = rows.groupBy("digest").agg(F.min("order_").alias("least"), F.count("*").alias("n"))
     copies = kept_table(texts.where("n > 1").select("digest", "least"), "copies")
-    ids = rows.groupBy("order_").agg(F.min("digest").alias("chosen"), F.max("digest").alias("last"))
-    clash = kept_table(ids.where("chosen <> last").select("order_", "chosen"), "clash")
-    marked = join_few(join_few(rows, copies, "digest", "left"), clash, "order_", "left")
+    marked = join_few(rows, copies, "digest", "left")
+    marked = join_few(marked, _names(rows), ["order_", "digest"], "left")
+    marked = marked.withColumn("id", F.coalesce("name", "order_"))
     original = (F.col("least").isNull()) | (F.col("least") == F.col("order_"))
-    chosen = F.col("chosen").isNull() | (F.col("chosen") == F.col("digest"))
-    first = marked.where(original & chosen & (F.octet_length("data") >= LEAST))
+    first = marked.where(original & (F.octet_length("data") >= LEAST))
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    ranges, buckets = repeated_bytes(first.select(F.col("order_").alias("id"), "data"), total)
-    named = F.when(chosen, F.col("order_"))
-    packed = _packed(
-        marked.select(named.alias("id"), "doc_id", (~original).alias("copy"), "data"), buckets
-    )
+    ranges, buckets = repeated_bytes(first.select("id", "order_", "data"), total)
+    packed = _packed(marked.select("id", "doc_id", (~original).alias("copy"), "data"), buckets)
     beside = _gathered(ranges.unionByName(packed, allowMissingColumns=True), "bucket", "kind")
     schema = pa.schema([("data", pa.binary()), ("spans", pa.list_(pa.list_(pa.int64())))])
 

@@ -54,6 +54,9 @@ def test_against_brute_force(spark, monkeypatch, small):
     docs += [(200, docs[3][1]), (201, docs[3][1]), (-5, docs[7][1]), (202, None), (203, ""), (204, "x" * 49)]
     docs += [(205, "x" * 49), (206, "x" * 3000), (207, "x" * 70), (208, "\x00" * 60), (209, "a" + "\x00" * 60)]
     docs += [(None, docs[10][1]), (210, docs[12][1][:80]), (210, docs[12][1][:80])]
+    # different texts under one id, and without one
+    docs += [(5, docs[30][1]), (5, "y" + docs[31][1]), (40, docs[32][1] + docs[33][1]), (40, "z" * 70 + docs[34][1])]
+    docs += [(None, docs[35][1] + "!"), (None, "?" + docs[36][1]), (300, docs[30][1]), (-9, docs[37][1]), (-9, "z" * 60)]
     df = spark.createDataFrame([(*r, b"x") for r in docs], "doc_id long, text string, data binary")
     assert found(sr.without_repeats(df)) == brute(docs)
     assert sr.without_repeats(df.limit(0)).count() == 0
