@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -389,6 +390,27 @@ def _cut(df: DataFrame, source: str, out: str, splits: list[float]) -> DataFrame
     return Bucketizer(splits=edges, inputCol=source, outputCol=out).transform(df)
 
 
+def _part_of(cuts: dict[float, np.ndarray]):
+    """The part of a bucket that a value falls in, 0 in a bucket without cuts.
+
+    There are at most as many cuts as buckets, and a row takes a binary search among those of its own.
+    """
+
+    @F.pandas_udf("double")
+    def part(bucket: pd.Series, value: pd.Series) -> pd.Series:
+        buckets, values = bucket.to_numpy(), value.to_numpy()
+        found = np.zeros(len(buckets))
+        order = np.argsort(buckets, kind="stable")
+        bounds = np.flatnonzero(np.diff(buckets[order])) + 1
+        for rows in np.split(order, bounds):
+            own = cuts.get(buckets[rows[0]]) if rows.size else None
+            if own is not None:
+                found[rows] = np.searchsorted(own, values[rows], side="right")
+        return pd.Series(found)
+
+    return part
+
+
 def value_buckets(
     df: DataFrame,
     leading: Column | None,
@@ -424,19 +446,14 @@ def value_buckets(
         return cut.withColumn("_b2", F.lit(0.0)), buckets + 1
     places = np.searchsorted(splits, sample["_s0"].to_numpy(dtype=float), side="right")
     ids = sample["_s1"].to_numpy(dtype=float)
-    rows, more = [], 0
+    cuts, more = {}, 0
     for b in alone:
         inside = ids[places == b]
         parts = -(-buckets * inside.size // ids.size) + 1
-        cuts, _ = _bounds(inside, int(parts))
-        more += len(cuts)
-        rows.append((float(b), cuts))
-    # one row per heavy value, at most as many as buckets; its cuts are counted for every row of it
-    table = df.sparkSession.createDataFrame(rows, "_b1 double, _cuts array<double>")
-    joined = cut.withColumn("_v", id_value).join(F.broadcast(table), "_b1", "left")
-    part = F.size(F.filter("_cuts", lambda c: c <= F.col("_v"))).cast("double")
-    second = F.when(F.col("_cuts").isNull(), F.lit(0.0)).otherwise(part)
-    cut = joined.withColumn("_b2", second).select(*df.columns, "_b1", "_b2")
+        cuts[float(b)] = np.array(_bounds(inside, int(parts))[0])
+        more += len(cuts[float(b)])
+    part = _part_of(cuts)
+    cut = cut.withColumn("_b2", part(F.col("_b1"), id_value)).select(*df.columns, "_b1", "_b2")
     return cut, len(splits) + 1 + more
 
 

@@ -71,6 +71,21 @@ def test_value_buckets_split_a_hot_value(spark):
     assert all(a["last"] < b["first"] for a, b in zip(ends, ends[1:]))
 
 
+def test_cuts_of_a_hot_value_are_not_counted_row_by_row(spark):
+    # two scores of 4,000 rows each, other rows alone: a row must not carry or walk the cuts of its score
+    df = spark.range(0, 9000).withColumn(
+        "s", F.when(F.col("id") < 8000, (F.col("id") % 2).cast("double")).otherwise(F.col("id") / 7000)
+    )
+    cut, bound = order.value_buckets(df, F.col("s"), "id", 9000, bucket_rows=50)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "array<double>" not in plan and "Join" not in plan
+    got = [tuple(r) for r in cut.orderBy("_b1", "_b2", "id").select("_b1", "_b2", "s", "id").collect()]
+    assert [g[2:] for g in got] == sorted(g[2:] for g in got)
+    parts = {b: {g[1] for g in got if g[0] == b} for b in {g[0] for g in got}}
+    assert sum(len(p) for p in parts.values()) <= bound
+    assert sorted(len(p) for p in parts.values())[-2] > 40
+
+
 @pytest.mark.parametrize("partitions", [1, 4, 17])
 def test_splits_do_not_depend_on_partitioning(spark, partitions):
     df = spark.range(0, 300).withColumn("label", F.col("id") % 3).repartition(partitions)
