@@ -33,6 +33,8 @@ from sparkfold.operators.updates import History, StopRule, Update, scheduled_rat
 
 
 BARRIER_ROWS = 2048  # rows of a batch per task of a barrier stage at least
+SEGMENT_ROWS = 2_000_000  # rows of consecutive batches per task of a barrier stage at most, ...
+SEGMENT_PARTS = 4  # ... kept in this many partitions per task
 SHARDS = 8  # shards of row-by-row training at least, unless the estimator names a number, ...
 SHARD_ROWS = 1_000_000  # ... and rows of one at most
 WINDOW = 4096  # rows of a shard that are shuffled among themselves in an epoch
@@ -144,11 +146,11 @@ def usable_rows(table: TrainingTable, net: Net) -> DataFrame:
 
 
 def train_mini_batches(run: Run, table: TrainingTable, id_col: str) -> None:
-    """Mini-batch descent with one job per epoch (and one for the epoch's losses).
+    """Mini-batch descent with one job per segment of an epoch (and one for the epoch's losses).
 
     Batches are cut from the shuffled order of the training rows. The rows of every batch are dealt
-    over the tasks of one barrier stage, sorted by batch; the tasks exchange their parts of the
-    gradient and all make the same step. A lost task restarts the epoch from its parameters.
+    over the tasks of a barrier stage, sorted by batch; the tasks exchange their parts of the
+    gradient and all make the same step. A lost task restarts the segment from its parameters.
     """
     usable = usable_rows(table, run.net)
     n_rows = usable.count()
@@ -175,15 +177,43 @@ def barrier_tasks(spark, batch_rows: int) -> int:
     return max(1, min(spark.sparkContext.defaultParallelism, batch_rows // BARRIER_ROWS))
 
 
+def segment_batches(batch_rows: int, tasks: int) -> int:
+    """Consecutive batches of a barrier stage: as many as leave SEGMENT_ROWS rows per task."""
+    return max(1, SEGMENT_ROWS * tasks // batch_rows)
+
+
 def _epoch_by_barrier(run, table, batches, id_col, epoch, rate, batch_rows) -> float:
-    spark = table.df.sparkSession
+    """An epoch in segments of consecutive batches, one barrier stage each, whose rows per task do
+    not grow with the table. The parameters go from one to the next by the driver."""
+    tasks = barrier_tasks(table.df.sparkSession, batch_rows)
     keep = [c for c in (*BLOCK_COLUMNS, "_batch") if c in batches.df.columns]
-    dealt = (
-        batches.df.select(*table.x_columns, *keep, id_col)
-        .repartition(barrier_tasks(spark, batch_rows), id_col)
-        .sortWithinPartitions("_batch", id_col).drop(id_col)
+    rows = batches.df.select(*table.x_columns, *keep, id_col)
+    size = segment_batches(batch_rows, tasks)
+    segments = -(-batches.count // size)
+    if segments == 1:
+        return _walk_batches(run, table, rows, id_col, epoch, rate, tasks, range(batches.count))
+    # a segment's rows are in partitions of their own, so that the others are passed over
+    parts = tasks * SEGMENT_PARTS
+    place = F.col("_segment") * parts + F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int")
+    kept = (
+        rows.withColumn("_segment", F.expr(f"_batch div {size}").cast("int"))
+        .repartitionById(segments * parts, place)
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    work = barrier_task(run, table.x_columns, table.width, batches.count, rate, epoch)
+    try:
+        for segment in range(segments):
+            own = kept.filter(F.col("_segment") == segment).drop("_segment")
+            numbers = range(segment * size, min((segment + 1) * size, batches.count))
+            norm = _walk_batches(run, table, own, id_col, epoch, rate, tasks, numbers)
+    finally:
+        kept.unpersist()
+    return norm
+
+
+def _walk_batches(run, table, rows, id_col, epoch, rate, tasks: int, numbers: range) -> float:
+    """The steps of the numbered batches in one barrier stage; the norm of the last gradient."""
+    dealt = rows.repartition(tasks, id_col).sortWithinPartitions("_batch", id_col).drop(id_col)
+    work = barrier_task(run, table.x_columns, table.width, numbers, rate, epoch)
     size = len(run.theta)
     state = np.zeros(3 * size + 2)
     for pos, value in dealt.mapInArrow(work, "pos int, value double", barrier=True).collect():
@@ -193,10 +223,11 @@ def _epoch_by_barrier(run, table, batches, id_col, epoch, rate, batch_rows) -> f
     return float(state[-1])
 
 
-def batch_blocks(batches, names, width: int, count: int):
-    """Rows of batch 0, 1, ... of Arrow batches sorted by batch; None for one without rows here."""
+def batch_blocks(batches, names, width: int, count: int, first: int = 0):
+    """Rows of batch first, first + 1, ... below count of Arrow batches sorted by batch; None for one
+    without rows here."""
     held: list[dict] = []
-    at = 0
+    at = first
 
     def joined():
         if not held:
@@ -219,16 +250,16 @@ def batch_blocks(batches, names, width: int, count: int):
         held, at = [], at + 1
 
 
-def barrier_task(run: Run, names, width: int, count: int, rate: float, epoch: int):
-    """All steps of an epoch; the first task answers with parameters, the rule's memory and the
-    norm of the last gradient."""
+def barrier_task(run: Run, names, width: int, numbers: range, rate: float, epoch: int):
+    """The steps of the numbered batches; the first task answers with parameters, the rule's memory
+    and the norm of the last gradient."""
     net, length = run.net, 4 + run.net.size
 
     def work(batches):
         context = BarrierTaskContext.get()
         alone = len(context.getTaskInfos()) == 1
         norm = 0.0
-        for block in batch_blocks(batches, names, width, count):
+        for block in batch_blocks(batches, names, width, numbers.stop, numbers.start):
             part = np.zeros(length)
             if block is not None:
                 part = batch_sums([net], [run.theta], block, epoch)

@@ -409,6 +409,32 @@ def test_batches_in_one_barrier_stage(spark, monkeypatch, optimizer):
         assert np.allclose(np.array(model.history_rows, float), np.array(found[0].history_rows, float), atol=1e-9)
 
 
+@pytest.mark.parametrize("tasks_rows, optimizer", [(10**9, "adam"), (7, "sgd")])
+def test_an_epoch_in_segments_is_the_same_walk(spark, monkeypatch, tasks_rows, optimizer):
+    rng = np.random.default_rng(12)
+    df = rows_cls(spark, rng.normal(size=(150, 2)).tolist(), rng.integers(0, 3, 150).tolist())
+    spec = LogisticRegression(
+        learning_rate=0.1, max_iter=2, batch_strategy="mini_batch", batch_size=16, optimizer=optimizer, seed=3,
+    )
+    monkeypatch.setattr(training, "BARRIER_ROWS", tasks_rows)
+    whole = fit(spec, df, FEATURES, "label", id_col="id")
+    walk, sizes = training._walk_batches, []
+
+    def counted(run, table, rows, id_col, epoch, rate, tasks, numbers):
+        seen = {r["_batch"] for r in rows.select("_batch").distinct().collect()}
+        assert seen == set(numbers)
+        sizes.append(rows.count() / tasks)
+        return walk(run, table, rows, id_col, epoch, rate, tasks, numbers)
+
+    monkeypatch.setattr(training, "_walk_batches", counted)
+    monkeypatch.setattr(training, "SEGMENT_ROWS", 32)
+    model = fit(spec, df, FEATURES, "label", id_col="id")
+    # no task takes more than its segment, however many rows the epoch has
+    assert max(sizes) <= 32 and sum(sizes) == 2 * 150 / (1 if tasks_rows > 16 else 2)
+    assert np.array_equal(model.params["weights"], whole.params["weights"])
+    assert model.history_rows == whole.history_rows
+
+
 def test_batches_that_a_task_has_no_rows_of():
     import pyarrow as pa
 
