@@ -131,10 +131,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, text): token ids of every document and the text they decode to.
 
     One row per row; NULL and empty texts have the end id only and decode to an empty text, texts
-    of any length are encoded whole. An empty table gives an empty result.
+    of any length are encoded whole. An empty table gives an empty result. The ids are kept before
+    they are decoded: a task then has one Python worker and its Arrow buffers at a time, not two.
     """
     model = public_tokenizers.path("piece_bpe_32k.model")
-    coded = pieces.decode_ids(pieces.encode_texts(docs, model), model)
+    coded = pieces.decode_ids(kept_table(pieces.encode_texts(docs, model), "ids"), model)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 

@@ -131,3 +131,14 @@ def test_lazy_stages_keep_what_they_read(spark, data):
     lines = corpus_pipeline.drop_lines(spark, docs, data)
     copies = corpus_pipeline.drop_copies(spark, lines, data)
     assert copies.count() == 3
+
+
+def test_encoding_and_decoding_take_one_worker_at_a_time(spark):
+    # two Arrow operators in one stage are two Python workers and two sets of buffers per task
+    texts = ["One short text.", None, "", "ünïcode \n line"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    coded = corpus_pipeline.encode(spark, docs, "")
+    assert coded._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    got = {r.doc_id: (r.n_tokens, r.text) for r in coded.collect()}
+    assert {i: t for i, (_, t) in got.items()} == {i: t or "" for i, t in enumerate(texts)}
+    assert got[1][0] == got[2][0] == 1
