@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from sparkfold.llm.shingles import stars
 from sparkfold.runtime import scratch_path
 
 #: What separates words: ASCII white space.
@@ -104,17 +110,33 @@ def join_few(df: DataFrame, few: DataFrame, on, how: str = "inner") -> DataFrame
     return df.join(few.hint("merge"), on, how)
 
 
+def _few_components(links: DataFrame) -> DataFrame:
+    """The components of links that are few enough for a broadcast: they meet in one group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches, schema)
+        ids = pc.unique(pa.chunked_array(rows.column("a").chunks + rows.column("b").chunks, schema.field("a").type))
+        ids = ids.take(pc.sort_indices(ids))
+        label = stars(len(ids), *(pc.index_in(rows.column(c), ids).to_numpy() for c in ("a", "b")))
+        yield pa.RecordBatch.from_arrays([ids, ids.take(pa.array(label))], ["id", "component"])
+
+    schema = to_arrow_schema(links.schema)
+    kind = links.schema["a"].dataType.simpleString()
+    return links.coalesce(1).mapInArrow(run, f"id {kind}, component {kind}")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of the links (a, b): one row (id, component) per linked id.
 
-    The component is its smallest id. Every round sends each id the smallest label among its
-    neighbours and then follows labels one step (pointer jumping), so that long chains need a
-    number of rounds near the logarithm of their length. Labels are written every round.
+    The component is its smallest id. Up to FEW_ROWS links are settled in one job. Of more, every
+    round sends each id the smallest label among its neighbours and then follows labels one step
+    (pointer jumping), so that long chains need a number of rounds near the logarithm of their
+    length. Labels are written every round.
     """
-    both = kept_table(
-        edges.select("a", "b").where("a <> b").union(edges.selectExpr("b", "a").where("a <> b"))
-        .distinct(), "links",
-    )
+    links = kept_table(edges.select("a", "b").where("a <> b"), "links")
+    if links.count() <= FEW_ROWS:
+        return kept_table(_few_components(links), "labels")
+    both = kept_table(links.union(links.selectExpr("b", "a")).distinct(), "links")
     labels = both.groupBy(F.col("a").alias("id")).agg(
         F.least(F.col("id"), F.min("b")).alias("component")
     )

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.llm.common import components, join_few, kept_table
-from sparkfold.llm.shingles import mix, runs_of, shingle_set
+from sparkfold.llm.shingles import mix, runs_of, shingle_set, stars as _stars
 
 #: Bins of a sketch; each holds the low byte of its least hash, or zero if it is empty.
 BINS = 128
@@ -149,20 +149,6 @@ def _near_columns(threshold: float) -> Column:
     return counts
 
 
-def _stars(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Least index of the component of each of n items linked by the pairs (i, j)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _pairs_within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs i < j inside consecutive runs of the given sizes."""
     starts = np.cumsum(sizes) - sizes
@@ -219,18 +205,20 @@ def _compare_small(nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def _chunks(large: DataFrame) -> DataFrame:
-    """(node, record, sketch, outside): nodes of which few records are outside the main cluster, cut up.
+    """(node, record, sketch, outside): nodes cut up so that all pairs but those inside the main cluster meet.
 
-    large: (node, record, sketch, component, main, chunks). Every chunk has at most about SMALL
-    records of the main cluster and all others of its node, so all pairs but those inside the main
-    cluster meet, in time and rows proportional to the node.
+    large: (node, record, sketch, component, main, others, size). A node's main cluster and its others
+    are cut into blocks of about SMALL by hash; every block of the others meets every other block.
     """
     outside = F.col("component") != F.col("main")
-    own = F.array(F.pmod(F.xxhash64("record"), F.col("chunks")))
-    at = F.when(outside, F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(own)
-    return large.select("node", "record", "sketch", outside.alias("outside"), F.explode(at).alias("at")).select(
-        F.xxhash64("node", F.lit("chunk"), "at").alias("node"), "record", "sketch", "outside"
-    )
+    kept, cut = F.ceil((F.col("size") - F.col("others")) / SMALL), F.ceil(F.col("others") / SMALL)
+    own = F.when(outside, kept + F.pmod(F.xxhash64("record"), cut)).otherwise(F.pmod(F.xxhash64("record"), kept))
+    met = F.sequence(F.when(outside, F.lit(0).cast("long")).otherwise(kept), kept + cut - 1)
+    rows = large.select("node", "record", "sketch", outside.alias("outside"), own.alias("own"), F.explode(met).alias("at"))
+    return rows.where("own <> at").select(
+        F.xxhash64("node", F.lit("chunk"), F.least("own", "at"), F.greatest("own", "at")).alias("node"),
+        "record", "sketch", "outside",
+    )
 
 
 def _drawn_bins() -> Column:
@@ -274,11 +262,14 @@ def candidate_clusters(records: DataFrame, threshold: float) -> DataFrame:
     together, so only small ones ever meet in a task. A large node all of whose records are in one
     cluster already has no pair left to find; one with at most SMALL records outside its main cluster
     is settled by comparing these with all of it. The others are split: a large group of near copies
-    is not drawn again on every level because of the few that are unlike the rest.
+    is not drawn again on every level because of the few that are unlike the rest. As soon as the
+    nodes left hold no more pairs outside their main clusters than SMALL for each record, all of
+    these are compared, so that the time of that stays in proportion to the records.
     """
     level = records.select(F.explode("nodes").alias("node"), "record")
     sketches = records.select("record", "sketch")
     clusters, rest = None, None
+    bound = SMALL * records.count()
     for depth in range(DEPTH):
         count = level.groupBy("node").agg(F.count("*").alias("size"), F.min("record").alias("first"))
         shared = kept_table(level.join(count.where("size > 1"), "node"), "nodes")
@@ -312,10 +303,14 @@ def candidate_clusters(records: DataFrame, threshold: float) -> DataFrame:
         )
         parts = placed.groupBy("node", "component").agg(F.count("*").alias("n")).groupBy("node").agg(
             F.max_by("component", F.struct("n", "component")).alias("main"),
-            (F.sum("n") - F.max("n")).alias("others"), F.ceil(F.sum("n") / SMALL).alias("chunks"),
+            (F.sum("n") - F.max("n")).alias("others"), F.sum("n").alias("size"),
         )
         mixed = kept_table(parts.where("others > 0"), "mixed")
+        pairs = mixed.agg(F.sum(F.col("others").cast("double") * F.col("size"))).first()[0] or 0
         large = join_few(placed, mixed, "node")
+        if pairs <= bound:
+            links = kept_table(_compare_small(_chunks(large), threshold).distinct(), "links")
+            return clusters if links.isEmpty() else _merged(clusters, links)
         rest = _chunks(large.where(F.col("others") <= SMALL))
         large = large.where(F.col("others") > SMALL)
         level = kept_table(

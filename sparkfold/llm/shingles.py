@@ -47,6 +47,20 @@ def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     return np.unique(mix(hashes + np.uint64(min(width, len(codes)))))
 
 
+def stars(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Least index of the component of each of n items linked by the pairs (i, j)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Consecutive rows of equal keys, from batches sorted by them; a run must fit in memory."""
     held: list[pa.RecordBatch] = []

@@ -139,3 +139,43 @@ def test_stars(seed):
 
 def test_oracle_names():
     assert set(ORACLE) <= set(QUERIES)
+
+
+def test_nodes_with_few_pairs_left_are_settled_at_once(spark, monkeypatch):
+    # a passage that 60 unlike texts and pairs of near ones share: more than SMALL outside any cluster
+    monkeypatch.setattr(jj, "SMALL", 16)
+    draw = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(12))
+    tail = lambda n: " ".join(f"q{draw.randrange(10**6)}" for _ in range(n))
+    texts = [f"{passage} {tail(30)}" for _ in range(20)]
+    texts += [x + end for x in (f"{passage} {tail(60)}" for _ in range(20)) for end in ("", " more")]
+    texts += [tail(12) for _ in range(1500)]
+    names, kept = [], jj.kept_table
+
+    def counted(df, name):
+        names.append(name)
+        return kept(df, name)
+
+    monkeypatch.setattr(jj, "kept_table", counted)
+    rows = list(enumerate(texts))
+    assert found(jj.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert "mixed" in names and "level" not in names
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components_of_few_and_of_many_links(spark, monkeypatch, few):
+    from sparkfold.llm import common
+
+    tables, kept = [], common.kept_table
+    monkeypatch.setattr(common, "FEW_ROWS", few)
+    monkeypatch.setattr(common, "kept_table", lambda df, name: tables.append(name) or kept(df, name))
+    draw = random.Random(4)
+    links = [(i, i + 1) for i in range(40)] + [(draw.randrange(100, 200), draw.randrange(100, 200)) for _ in range(60)]
+    label = {x: x for pair in links for x in pair if pair[0] != pair[1]}
+    for a, b in links:
+        if a != b:
+            old, new = max(label[a], label[b]), min(label[a], label[b])
+            label = {x: new if k == old else k for x, k in label.items()}
+    df = spark.createDataFrame(links + [(None, 3), (7, 7)], "a long, b long")
+    assert {r.id: r.component for r in common.components(df).collect()} == label
+    assert (len(tables) == 2) == (few > 0)
