@@ -52,7 +52,8 @@ def segments(edits: int) -> Column:
 def probes(edits: int, least: int) -> Column:
     """Signatures of the substrings of a line that may be a segment of one not longer than it.
 
-    A place outside the line gives a shorter substring, which is no segment of that length: it
+    Its own segments are left out; NULL where the other line would be too short. There is no lambda
+    here, as all inside one is interpreted for every line. A place outside the line gives a shorter substring, which is no segment of that length: it
     finds nothing that the verification would keep.
     """
     found = []
@@ -61,9 +62,10 @@ def probes(edits: int, least: int) -> Column:
             low = max(-i, shorter - (edits - i))
             high = min(i, shorter + (edits - i))
             for move in range(low, high + 1):
-                fits = F.col("n") - shorter >= least
-                found.append(F.when(fits, _signature(shorter, i, move)))
-    return F.array_distinct(F.array_compact(F.array(*found)))
+                if shorter or move:
+                    fits = F.col("n") - shorter >= least
+                    found.append(F.when(fits, _signature(shorter, i, move)))
+    return F.array(*found)
 
 
 def _allowed(n: str, words: tuple[int, ...]) -> str:
@@ -71,24 +73,35 @@ def _allowed(n: str, words: tuple[int, ...]) -> str:
     return " + ".join(f"CAST({n} >= {least} AS INT)" for least in words)
 
 
-def word_signatures(words: tuple[int, ...], probe: bool) -> Column:
-    """Signatures of a line's words w, whose number is m: of its segments, or of what it probes.
+def _word_plan(m: int, words: tuple[int, ...]) -> list[tuple[int, int, int, int]]:
+    """What a line of m words has signatures of: (t, s, i, d), its own segments first.
 
     t is the threshold of a line with s words less, i the segment and d its move.
     """
-    plan = []
-    for t in range(1, len(words) + 1):
-        for s in range(t + 1 if probe else 1):
-            for i in range(t + 1):
-                low, high = max(-i, s - (t - i)), min(i, s + (t - i))
-                moves = range(low, high + 1) if probe else [0]
-                plan += [f"named_struct('t', {t}, 's', {s}, 'i', {i}, 'd', {d})" for d in moves]
-    base, plain = "((m - p.s) div (p.t + 1))", "(p.t + 1 - (m - p.s) % (p.t + 1))"
-    start = f"CAST({base} * p.i + greatest(0, p.i - {plain}) + 1 + p.d AS INT)"
-    size = f"CAST({base} + CAST(p.i >= {plain} AS INT) AS INT)"
+    own, tried = [], []
+    for s in range(len(words) + 1):
+        t = sum(m - s >= least for least in words)
+        for i in range(t + 1 if s <= t and t else 0):
+            for d in range(max(-i, s - (t - i)), min(i, s + (t - i)) + 1):
+                (tried if s or d else own).append((t, s, i, d))
+    return own + tried
+
+
+def word_signatures(words: tuple[int, ...]) -> Column:
+    """Signatures of a line's words w, whose number is m: of its t + 1 segments, then of what it probes.
+
+    The plan is a constant between two numbers of words at which it changes, so that nothing but
+    what a line has is computed for it. Segment i of n words ends before word n * (i + 1) div (t + 1).
+    """
+    empty = "CAST(array() AS array<struct<t:int,s:int,i:int,d:int>>)"
+    cases = ""
+    for m in sorted({least + s for least in words for s in range(len(words) + 1)}, reverse=True):
+        plan = [f"named_struct('t', {t}, 's', {s}, 'i', {i}, 'd', {d})" for t, s, i, d in _word_plan(m, words)]
+        cases += f"WHEN m >= {m} THEN array({', '.join(plan)}) "
+    start, end = (f"CAST((m - p.s) * {i} div (p.t + 1) AS INT)" for i in ("p.i", "(p.i + 1)"))
     return F.expr(
-        f"transform(filter(array({', '.join(plan)}), p -> p.t = {_allowed('(m - p.s)', words)}), "
-        f"p -> xxhash64('words', m - p.s, p.i, slice(w, {start}, {size})))"
+        f"transform(CASE {cases} ELSE {empty} END, "
+        f"p -> xxhash64('words', m - p.s, p.i, slice(w, {start} + 1 + p.d, {end} - {start})))"
     )
 
 
@@ -137,9 +150,10 @@ def _banded(edits: int, first: int | None = None) -> str:
     )
 
 
-def edit_distance(pairs: DataFrame, left: str, right: str, edits: int) -> DataFrame:
+def edit_distance(pairs: DataFrame, left: str, right: str, edits: int, maybe: str = "true") -> DataFrame:
     """Add `distance`: the edit distance of two columns if it is at most `edits`, else `edits + 1`.
 
+    Where the SQL condition `maybe` is false it is known to be more, and not computed.
     What the strings share at their ends is cut off; strings that differ too much within the first
     steps of the band are given up there.
     """
@@ -165,7 +179,7 @@ def edit_distance(pairs: DataFrame, left: str, right: str, edits: int) -> DataFr
     # very short rests get the same ending, which changes no distance
     ending = ", ".join(["'\\u0000'"] * (edits + 1))
     cut = cut.withColumns({c: F.expr(f"concat({c}, array({ending}))") for c in ("x", "y")})
-    cut = cut.withColumn("early", F.expr(_banded(edits, 32)))
+    cut = cut.withColumn("early", F.expr(f"if({maybe}, {_banded(edits, 32)}, {2 * edits + 1})"))
     return cut.select(
         *keep,
         F.expr(
@@ -222,13 +236,17 @@ def _groups(lines: DataFrame, edits: int, least: int, words: tuple[int, ...]) ->
     own, tried = segments(edits), probes(edits, least)
     if words:
         cut = cut.withColumn("w", _word_hashes("line")).withColumn("m", F.size("w"))
-        own = F.concat(own, word_signatures(words, probe=False))
-        tried = F.concat(tried, word_signatures(words, probe=True))
+        allowed = _allowed("m", words)
+        cut = cut.withColumn("ws", word_signatures(words)).withColumn(
+            "ws_own", F.expr(f"if({allowed} > 0, {allowed} + 1, 0)")
+        )
+        own = F.concat(own, F.expr("slice(ws, 1, ws_own)"))
+        tried = F.concat(tried, F.expr("slice(ws, ws_own + 1, size(ws))"))
     cut = cut.select("no", own.alias("own"), tried.alias("tried"))
     cut = cut.select("no", F.size("own").alias("n"), F.concat("own", F.array_except("tried", "own")).alias("sigs"))
     # the number and the mark in one value: this is the largest table that is shuffled. No line is without
     # segments; outer, because a filter of empty arrays would be pushed down and make all of them again
-    rows = cut.select("no", "n", F.posexplode_outer("sigs").alias("i", "sig")).select(
+    rows = cut.select("no", "n", F.posexplode_outer("sigs").alias("i", "sig")).where("sig IS NOT NULL").select(
         "sig", F.expr("shiftleft(no, 1) | CAST(i < n AS BIGINT)").alias("code")
     )
     ordered = Window.partitionBy("sig").orderBy("code")
@@ -273,12 +291,12 @@ def _later_of_near(groups: DataFrame, texts: DataFrame, edits: int, words: tuple
         rest = join_few(members, found, "no", "left_anti").selectExpr(
             "sig", "no AS later", "own AS own_b", "c AS c_b", "v AS v_b", "t AS t_b"
         )
-        may_be_near = F.expr(
-            f"earlier < later AND (own_a OR own_b) AND (bit_count(c_a ^ c_b) <= {2 * edits} "
-            "OR bit_count(v_a ^ v_b) <= 2 * least(t_a, t_b))"
-        )
+        by_chars, by_words = f"bit_count(c_a ^ c_b) <= {2 * edits}", "bit_count(v_a ^ v_b) <= 2 * least(t_a, t_b)"
+        may_be_near = F.expr(f"earlier < later AND (own_a OR own_b) AND ({by_chars} OR {by_words})")
         met = hubs.join(rest, (hubs["sig"] == rest["sig"]) & may_be_near)
-        pairs = met.select("earlier", "later").distinct()
+        pairs = met.select(
+            "earlier", "later", F.expr(by_chars).alias("by_chars"), F.expr(by_words).alias("by_words")
+        ).distinct()
         both = pairs.join(texts.selectExpr("no AS earlier", "line AS line_a"), "earlier").join(
             texts.selectExpr("no AS later", "line AS line_b"), "later"
         )
@@ -292,9 +310,12 @@ def _later_of_near(groups: DataFrame, texts: DataFrame, edits: int, words: tuple
 
 
 def near_lines(pairs: DataFrame, edits: int, words: tuple[int, ...]) -> DataFrame:
-    """Add `alike` to pairs (line_a, line_b, ...): within `edits` edits, or in words as allowed."""
+    """Add `alike` to pairs (line_a, line_b, by_chars, by_words, ...): within `edits` edits, or in words as allowed.
+
+    by_chars and by_words tell which of the two is possible; the other is not computed.
+    """
     keep = [c for c in pairs.columns if c not in ("line_a", "line_b")]
-    told = edit_distance(pairs, "line_a", "line_b", edits)
+    told = edit_distance(pairs, "line_a", "line_b", edits, "by_chars")
     if not words:
         return told.select(*keep, (F.col("distance") <= edits).alias("alike"))
     most = len(words)
@@ -307,7 +328,7 @@ def near_lines(pairs: DataFrame, edits: int, words: tuple[int, ...]) -> DataFram
         *keep,
         F.expr(
             f"CASE WHEN distance <= {edits} THEN true "
-            f"WHEN size(y) < {words[0]} OR size(x) - size(y) > {most} THEN false "
+            f"WHEN NOT by_words OR size(y) < {words[0]} OR size(x) - size(y) > {most} THEN false "
             f"WHEN {_banded(most, 32)} > {2 * most} THEN false "
             f"ELSE {_banded(most)} <= {_allowed('size(y)', words)} END"
         ).alias("alike"),

@@ -160,3 +160,27 @@ def test_groups_with_a_common_head_make_no_squares(spark, monkeypatch):
     got = ld.duplicate_lines(spark.createDataFrame(docs, "doc_id long, text string"), edits=2, least=20)
     assert sorted(map(tuple, got.collect()), key=str) == brute(docs, 2, 20)
     assert len(seen) > 2 and sum(seen) < 1500  # of 7,140 pairs
+
+
+def test_word_plan_is_whole_and_only_what_a_line_has(spark):
+    words = (4, 9, 15)
+    for m in range(40):
+        want = set()
+        for s in range(4):
+            t = sum(m - s >= least for least in words)
+            want |= {
+                (t, s, i, d) for i in range(t + 1) for d in range(-i, i + 1)
+                if t and s <= t and s - (t - i) <= d <= s + (t - i)
+            }
+        plan = ld._word_plan(m, words)
+        t = sum(m >= least for least in words)
+        assert len(plan) == len(set(plan)) and set(plan) == want
+        assert plan[: t + 1 if t else 0] == [(t, 0, i, 0) for i in range(t + 1 if t else 0)]
+    df = spark.createDataFrame([(list(range(m)),) for m in range(40)], "w array<long>").selectExpr("w", "size(w) AS m")
+    for r in df.select("m", ld.word_signatures(words).alias("s")).collect():
+        assert len(r.s) == len(ld._word_plan(r.m, words))
+
+
+def test_a_distance_known_to_be_more_is_not_computed(spark):
+    df = spark.createDataFrame([("abcd", "abce", True), ("abcd", "abce", False)], "a string, b string, may boolean")
+    assert [r.distance for r in ld.edit_distance(df, "a", "b", 2, "may").orderBy("may").collect()] == [3, 1]
