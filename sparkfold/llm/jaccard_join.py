@@ -30,6 +30,8 @@ from sparkfold.llm.shingles import mix, runs_of, shingle_set, stars as _stars
 BINS = 128
 #: Nodes up to this size are compared by brute force.
 SMALL = 256
+#: A node is not split if at most WIDE * SMALL of its records are outside its main cluster.
+WIDE = 4
 #: Levels after which what is still together is taken for one candidate cluster.
 DEPTH = 10
 #: Records per block of the exact comparison.
@@ -208,10 +210,11 @@ def _chunks(large: DataFrame) -> DataFrame:
     """(node, record, sketch, outside): nodes cut up so that all pairs but those inside the main cluster meet.
 
     large: (node, record, sketch, component, main, others, size). A node's main cluster and its others
-    are cut into blocks of about SMALL by hash; every block of the others meets every other block.
+    are cut into blocks of about WIDE * SMALL by hash; every block of the others meets every other one.
     """
+    block = WIDE * SMALL
     outside = F.col("component") != F.col("main")
-    kept, cut = F.ceil((F.col("size") - F.col("others")) / SMALL), F.ceil(F.col("others") / SMALL)
+    kept, cut = F.ceil((F.col("size") - F.col("others")) / block), F.ceil(F.col("others") / block)
     own = F.when(outside, kept + F.pmod(F.xxhash64("record"), cut)).otherwise(F.pmod(F.xxhash64("record"), kept))
     met = F.sequence(F.when(outside, F.lit(0).cast("long")).otherwise(kept), kept + cut - 1)
     rows = large.select("node", "record", "sketch", outside.alias("outside"), own.alias("own"), F.explode(met).alias("at"))
@@ -260,7 +263,7 @@ def candidate_clusters(records: DataFrame, threshold: float) -> DataFrame:
 
     records: distinct (record, sketch, nodes). Nodes are counted before their rows are brought
     together, so only small ones ever meet in a task. A large node all of whose records are in one
-    cluster already has no pair left to find; one with at most SMALL records outside its main cluster
+    cluster already has no pair left to find; one with at most WIDE * SMALL records outside its main cluster
     is settled by comparing these with all of it. The others are split: a large group of near copies
     is not drawn again on every level because of the few that are unlike the rest. As soon as the
     nodes left hold no more pairs outside their main clusters than SMALL for each record, all of
@@ -311,8 +314,8 @@ def candidate_clusters(records: DataFrame, threshold: float) -> DataFrame:
         if pairs <= bound:
             links = kept_table(_compare_small(_chunks(large), threshold).distinct(), "links")
             return clusters if links.isEmpty() else _merged(clusters, links)
-        rest = _chunks(large.where(F.col("others") <= SMALL))
-        large = large.where(F.col("others") > SMALL)
+        rest = _chunks(large.where(F.col("others") <= WIDE * SMALL))
+        large = large.where(F.col("others") > WIDE * SMALL)
         level = kept_table(
             large.select("node", "record", "sketch", F.explode(_drawn_bins()).alias("bin"))
             .select(F.xxhash64("node", "bin", F.substring("sketch", F.col("bin"), F.lit(1))).alias("node"), "record"),
