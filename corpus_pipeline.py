@@ -16,6 +16,10 @@ TOXIC = 0.3
 #: Share of the confirmed clean documents that the bound keeps.
 KEPT = 0.98
 
+#: Rows of an Arrow batch at most: whole texts pass through Python, and a task holds a few batches on either side.
+BATCH_ROWS = 1024
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Scratch tables of the stages made so far.
 _FINISHED: list[Scratch] = []
 
@@ -23,7 +27,8 @@ _FINISHED: list[Scratch] = []
 def _stage(make):
     """A stage that first removes the scratch tables of earlier ones, unless its documents read them.
 
-    Stages are written and read again, so nothing reads an earlier one's tables by then.
+    Stages are written and read again, so nothing reads an earlier one's tables by then. The session's
+    Arrow batches are made small and stay so, because what a stage returns is computed when it is written.
     """
 
     @functools.wraps(make)
@@ -31,6 +36,8 @@ def _stage(make):
         for scratch in _FINISHED:
             scratch.remove_unless_read(docs)
         _FINISHED[:] = [s for s in _FINISHED if s.paths]
+        rows = int(spark.conf.get(BATCH_CONF))
+        spark.conf.set(BATCH_CONF, min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)
         with Scratch() as own:
             _FINISHED.append(own)
             return make(spark, docs, sf_dir)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.llm.common import components, join_few, kept_table
-from sparkfold.llm.shingles import mix, runs_of, shingle_set, stars as _stars
+from sparkfold.llm.shingles import forgetting, mix, runs_of, shingle_set, stars as _stars
 
 #: Bins of a sketch; each holds the low byte of its least hash, or zero if it is empty.
 BINS = 128
@@ -90,6 +90,7 @@ def drawn(hashes: np.ndarray, runs: int, threshold: float) -> np.ndarray:
 def _records(docs: DataFrame, runs: int, threshold: float) -> DataFrame:
     """(doc_id, record, n, sketch, nodes): record names the shingle set, NULL without words."""
 
+    @forgetting
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -372,6 +373,7 @@ def exact_links(clustered: DataFrame, threshold: float) -> DataFrame:
     )
     keys = ["component", "low", "high"]
 
+    @forgetting
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs_of(batches, keys):
             if group.num_rows > 1:
@@ -442,6 +444,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     for ids may repeat. Rows that repeat both id and text stay repeated.
     """
 
+    @forgetting
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):

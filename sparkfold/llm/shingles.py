@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,27 @@ _WORDS = _Words()
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def forget() -> None:
+    """Drop the table of word hashes. A function of the module, so that it is the worker's own table."""
+    _WORDS.clear()
+
+
+def forgetting(run):
+    """An Arrow function after whose task the worker remembers no words.
+
+    Workers are used again, also by what hashes no words: they would hold the table for good.
+    """
+
+    @functools.wraps(run)
+    def then_forget(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+
+    return then_forget
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads their bits (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

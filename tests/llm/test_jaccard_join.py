@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+import pyarrow as pa
 
 from sparkfold.llm import jaccard_join as jj
 from sparkfold.llm.queries import ORACLE, QUERIES
@@ -179,3 +180,18 @@ def test_components_of_few_and_of_many_links(spark, monkeypatch, few):
     df = spark.createDataFrame(links + [(None, 3), (7, 7)], "a long, b long")
     assert {r.id: r.component for r in common.components(df).collect()} == label
     assert (len(tables) == 2) == (few > 0)
+
+
+def test_workers_remember_no_words_after_a_task(spark):
+    from sparkfold.llm import shingles
+
+    def remembered(batches):
+        yield from (pa.RecordBatch.from_pydict({"n": [len(shingles._WORDS)] * b.num_rows}) for b in batches)
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(50))) for i in range(64)], "doc_id long, text string")
+    # the operator's own functions end with a forgotten table, in whatever worker they ran
+    jj.jaccard_join(docs.repartition(8)).collect()
+    left = spark.range(0, 64, 1, 16).mapInArrow(jj.forgetting(remembered), "n long").collect()
+    assert len(left) == 64
+    jj._records(docs.repartition(16), 2, 0.8).collect()
+    assert {r.n for r in spark.range(0, 64, 1, 16).mapInArrow(remembered, "n long").collect()} == {0}

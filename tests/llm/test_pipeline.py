@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 
 from sparkfold.llm import line_dedup, toxicity
@@ -142,3 +143,19 @@ def test_encoding_and_decoding_take_one_worker_at_a_time(spark):
     got = {r.doc_id: (r.n_tokens, r.text) for r in coded.collect()}
     assert {i: t for i, (_, t) in got.items()} == {i: t or "" for i, t in enumerate(texts)}
     assert got[1][0] == got[2][0] == 1
+
+
+def test_arrow_batches_of_a_stage_are_bounded(spark, data):
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+
+    before = spark.conf.get(corpus_pipeline.BATCH_CONF)
+    try:
+        for now, want in (("10000", 1024), ("0", 1024), ("100", 100)):
+            spark.conf.set(corpus_pipeline.BATCH_CONF, now)
+            docs = spark.createDataFrame([(i, f"text {i}") for i in range(3)], "doc_id long, text string")
+            assert corpus_pipeline.drop_copies(spark, docs, data).count() == 3
+            met = spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long").collect()
+            assert max(r.n for r in met) == want and sum(r.n for r in met) == 5000
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_CONF, before)
