@@ -1,10 +1,10 @@
 """Line dedup by a segment-partition edit join.
 
-Every distinct line of length l is cut into `edits + 1` even segments: a line within `edits` edits
-must contain one of them unchanged, at nearly the same place. Each line therefore probes, for its
-own length and the `edits` lengths below it, only the substrings at places that the multi-match
-rule allows. Lines that share a segment are compared with the earliest of them first, those still not
-near one with ever more, by a banded bit-parallel edit distance.
+Lengths are dealt into narrow bands, and every distinct line has `edits + 1` segments whose places are those of its
+band: a line within `edits` edits must contain one of them unchanged, at nearly the same place from its start or end.
+Each line therefore probes, for its own band and the one below if a line short enough may be there, only the substrings
+at places that the multi-match rule allows. Lines that share a segment are compared with the earliest of them first,
+those still not near one with ever more, by a banded bit-parallel edit distance.
 Longer lines may also differ in whole words, in more of them the longer they are: the same join is
 made on words, with segments for the threshold of the shorter line, so that a line probes into the
 band below its own. Everything is DataFrame and SQL expressions.
@@ -15,57 +15,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkfold.llm.common import join_few, kept_table, words as words_of
+from sparkfold.llm.common import GAP, join_few, kept_table, words as words_of
 
 #: Words from which a line may differ in 1, 2 and 3 of them from a near one.
 WORDS = (8, 40, 80)
 
 
-def with_cuts(lines: DataFrame, edits: int) -> DataFrame:
-    """Add the numbers that the cuts of a line need, so that its length is taken once.
+def with_cuts(lines: DataFrame, edits: int, least: int) -> DataFrame:
+    """Add what the signatures of a line need, so that its length is taken once.
 
-    n is the length; for a line shorter by s, base_s is the size of its plain segments and plain_s
-    how many it has: the others have one character more.
+    n is the length, low_0 the least length of its band, low_1 that of the band below if a line of at
+    least `least` characters that is up to `edits` shorter may be in it, else NULL; size_0 and size_1 are
+    the sizes of the segments in these bands. Bands are 4 characters wide, those from 64 on 8 (or as many
+    times more as more edits need), so that lines within the edits are in one band or in two next to each other.
     """
-    parts = edits + 1
+    wide = 4 * max(1, -(-edits // 4))
+    band = f"{{0}} - {{0}} % if({{0}} < {16 * wide}, {wide}, {2 * wide})"
     lines = lines.withColumn("n", F.length("line"))
-    found = {}
-    for s in range(parts):
-        found[f"base_{s}"] = F.expr(f"CAST((n - {s}) div {parts} AS INT)")
-        found[f"plain_{s}"] = F.expr(f"CAST({parts} - (n - {s}) % {parts} AS INT)")
-    return lines.withColumns(found)
+    lines = lines.withColumns(
+        {"low_0": F.expr(band.format("n")), "below": F.expr(band.format(f"greatest(n - {edits}, least(n, {least}))"))}
+    )
+    lines = lines.withColumn("low_1", F.expr("if(below < low_0, below, NULL)")).drop("below")
+    return lines.withColumns({f"size_{b}": F.expr(f"low_{b} div {edits + 1}").cast("int") for b in (0, 1)})
+
 
+def _places(edits: int) -> list[tuple[int, int]]:
+    """(i, move) of all places at which a line may have segment i of one that is not longer, within the edits.
 
-def _signature(shorter: int, i: int, move: int) -> Column:
-    """Hash of the length n - shorter, the segment number i and its text, `move` places further."""
-    base, plain = F.col(f"base_{shorter}"), F.col(f"plain_{shorter}")
-    start = base * i + F.greatest(F.lit(0), F.lit(i) - plain) + (1 + move)
-    size = base + (F.lit(i) >= plain).cast("int")
-    return F.xxhash64(F.col("n") - shorter, F.lit(i), F.substring("line", start, size))
+    Segments of the first half have their places from the start, the others from the end. Of the segments
+    that the edits leave unchanged one has no more edits before it than segments, and as many after it.
+    """
+    return [(i, d) for i in range(edits + 1) for d in range(-min(i, edits - i), min(i, edits - i) + 1)]
 
 
-def segments(edits: int) -> Column:
-    """Signatures of the segments of a line (see with_cuts)."""
-    return F.array(*[_signature(0, i, 0) for i in range(edits + 1)])
+def _char_plan(edits: int) -> str:
+    """SQL: what a line has signatures of, its own segments first; the band below has no own ones."""
+    own, tried = [(0, i, d) for i, d in _places(edits) if not d], [(0, i, d) for i, d in _places(edits) if d]
+    here = _structs(("t", "s", "i", "d"), [(-1, *x) for x in own + tried])
+    both = _structs(("t", "s", "i", "d"), [(-1, *x) for x in own + tried + [(1, i, d) for i, d in _places(edits)]])
+    return f"if(low_1 IS NULL, {here}, {both})"
 
 
-def probes(edits: int, least: int) -> Column:
-    """Signatures of the substrings of a line that may be a segment of one not longer than it.
+def _char_signature(edits: int) -> str:
+    """SQL: hash of the band, the segment number i and its text, d places further; s is 1 for the band below.
 
-    Its own segments are left out; NULL where the other line would be too short. There is no lambda
-    here, as all inside one is interpreted for every line. A place outside the line gives a shorter substring, which is no segment of that length: it
-    finds nothing that the verification would keep.
+    A place outside the line gives another text than a segment's: it finds nothing that the
+    verification would keep.
     """
-    found = []
-    for shorter in range(edits + 1):
-        for i in range(edits + 1):
-            low = max(-i, shorter - (edits - i))
-            high = min(i, shorter + (edits - i))
-            for move in range(low, high + 1):
-                if shorter or move:
-                    fits = F.col("n") - shorter >= least
-                    found.append(F.when(fits, _signature(shorter, i, move)))
-    return F.array(*found)
+    low, size = "if(s = 0, low_0, low_1)", "if(s = 0, size_0, size_1)"
+    start = f"if(2 * i <= {edits}, {size} * i, n - {size} * ({edits + 1} - i))"
+    return f"xxhash64({low}, i, substring(line, {start} + 1 + d, {size}))"
+
+
+def _structs(names: tuple[str, ...], rows: list[tuple[int, ...]]) -> str:
+    fields = [", ".join(f"'{k}', {v}" for k, v in zip(names, row)) for row in rows]
+    return f"array({', '.join(f'named_struct({x})' for x in fields)})"
 
 
 def _allowed(n: str, words: tuple[int, ...]) -> str:
@@ -87,22 +91,37 @@ def _word_plan(m: int, words: tuple[int, ...]) -> list[tuple[int, int, int, int]
     return own + tried
 
 
-def word_signatures(words: tuple[int, ...]) -> Column:
-    """Signatures of a line's words w, whose number is m: of its t + 1 segments, then of what it probes.
+def _word_plans(words: tuple[int, ...]) -> str:
+    """SQL: the plan of a line of m words.
 
-    The plan is a constant between two numbers of words at which it changes, so that nothing but
-    what a line has is computed for it. Segment i of n words ends before word n * (i + 1) div (t + 1).
+    It is a constant between two numbers of words at which it changes, so that nothing but what a
+    line has is computed for it.
     """
-    empty = "CAST(array() AS array<struct<t:int,s:int,i:int,d:int>>)"
     cases = ""
     for m in sorted({least + s for least in words for s in range(len(words) + 1)}, reverse=True):
-        plan = [f"named_struct('t', {t}, 's', {s}, 'i', {i}, 'd', {d})" for t, s, i, d in _word_plan(m, words)]
-        cases += f"WHEN m >= {m} THEN array({', '.join(plan)}) "
-    start, end = (f"CAST((m - p.s) * {i} div (p.t + 1) AS INT)" for i in ("p.i", "(p.i + 1)"))
-    return F.expr(
-        f"transform(CASE {cases} ELSE {empty} END, "
-        f"p -> xxhash64('words', m - p.s, p.i, slice(w, {start} + 1 + p.d, {end} - {start})))"
-    )
+        cases += f"WHEN m >= {m} THEN {_structs(('t', 's', 'i', 'd'), _word_plan(m, words))} "
+    return f"CASE {cases} ELSE CAST(array() AS array<struct<t:int,s:int,i:int,d:int>>) END"
+
+
+def _word_signature(p: str = "") -> str:
+    """SQL: hash of the number of words, the segment number and its words, d places further.
+
+    Segment i of n words ends before word n * (i + 1) div (t + 1).
+    """
+    start, end = (f"CAST((m - {p}s) * {i} div ({p}t + 1) AS INT)" for i in (f"{p}i", f"({p}i + 1)"))
+    return f"xxhash64('words', m - {p}s, {p}i, slice(w, {start} + 1 + {p}d, {end} - {start}))"
+
+
+def word_signatures(words: tuple[int, ...]) -> Column:
+    """Signatures of a line's words w, whose number is m: of its t + 1 segments, then of what it probes."""
+    return F.expr(f"transform({_word_plans(words)}, p -> {_word_signature('p.')})")
+
+
+def _with_words(lines: DataFrame) -> DataFrame:
+    """Add the words w of a line and their number m. There is no lambda, and few lines need GAP."""
+    line = F.col("line")
+    cut = F.when(line.rlike(r"[\x09-\x0D]"), F.split(line, GAP)).otherwise(F.split(line, " "))
+    return lines.withColumn("w", F.array_remove(cut, "")).withColumn("m", F.size("w"))
 
 
 def _word_hashes(line: str) -> Column:
@@ -232,31 +251,22 @@ def _groups(lines: DataFrame, edits: int, least: int, words: tuple[int, ...]) ->
     out; place counts the others from 1 in the order of no. There is one row per line and signature,
     however many lines a signature has.
     """
-    cut = with_cuts(lines, edits)
-    own, tried = segments(edits), probes(edits, least)
+    cut, plan, sig = with_cuts(lines, edits, least), _char_plan(edits), _char_signature(edits)
     if words:
-        cut = cut.withColumn("w", _word_hashes("line")).withColumn("m", F.size("w"))
-        allowed = _allowed("m", words)
-        cut = cut.withColumn("ws", word_signatures(words)).withColumn(
-            "ws_own", F.expr(f"if({allowed} > 0, {allowed} + 1, 0)")
-        )
-        own = F.concat(own, F.expr("slice(ws, 1, ws_own)"))
-        tried = F.concat(tried, F.expr("slice(ws, ws_own + 1, size(ws))"))
-    cut = cut.select("no", own.alias("own"), tried.alias("tried"))
-    cut = cut.select("no", F.size("own").alias("n"), F.concat("own", F.array_except("tried", "own")).alias("sigs"))
-    # the number and the mark in one value: this is the largest table that is shuffled. No line is without
-    # segments; outer, because a filter of empty arrays would be pushed down and make all of them again
-    rows = cut.select("no", "n", F.posexplode_outer("sigs").alias("i", "sig")).where("sig IS NOT NULL").select(
-        "sig", F.expr("shiftleft(no, 1) | CAST(i < n AS BIGINT)").alias("code")
-    )
-    ordered = Window.partitionBy("sig").orderBy("code")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = rows.select(
-        "sig", "code", F.row_number().over(ordered).alias("place"), F.max(F.expr("code & 1")).over(whole).alias("owned"),
-        F.min("code").over(whole).alias("first"), F.max("code").over(whole).alias("last"),
-    )
-    rows = rows.where("owned = 1 AND shiftright(first, 1) < shiftright(last, 1)")
-    return rows.selectExpr("sig", "shiftright(code, 1) AS no", "code & 1 = 1 AS own", "place")
+        cut = _with_words(cut)
+        plan, sig = f"concat({plan}, {_word_plans(words)})", f"if(t < 0, {sig}, {_word_signature()})"
+    # one row for each signature before it is made: one expression, with no lambda, makes all of them
+    made = cut.select("*", F.expr(f"inline_outer({plan})"))
+    rows = made.select(F.expr(sig).alias("sig"), F.expr("shiftleft(no, 1) | CAST(s = 0 AND d = 0 AS BIGINT)").alias("code"))
+    # dealt by signature once: both sides of the join read the same shuffle, and few signatures are left
+    rows = rows.repartition("sig")
+    shared = rows.groupBy("sig").agg(
+        F.max(F.expr("code & 1")).alias("owned"), F.min("code").alias("first"), F.max("code").alias("last")
+    ).where("owned = 1 AND shiftright(first, 1) < shiftright(last, 1)")
+    # no semi join: it would be pushed below the repartition, and all signatures be made and dealt twice
+    rows = rows.join(shared.select("sig").hint("shuffle_hash"), "sig")
+    place = F.row_number().over(Window.partitionBy("sig").orderBy("code"))
+    return rows.select("sig", F.expr("shiftright(code, 1) AS no"), F.expr("code & 1 = 1 AS own"), place.alias("place"))
 
 
 def _sketches(texts: DataFrame, words: tuple[int, ...]) -> DataFrame:

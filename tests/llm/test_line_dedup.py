@@ -184,3 +184,19 @@ def test_word_plan_is_whole_and_only_what_a_line_has(spark):
 def test_a_distance_known_to_be_more_is_not_computed(spark):
     df = spark.createDataFrame([("abcd", "abce", True), ("abcd", "abce", False)], "a string, b string, may boolean")
     assert [r.distance for r in ld.edit_distance(df, "a", "b", 2, "may").orderBy("may").collect()] == [3, 1]
+
+
+def test_bands_of_lengths_lose_no_pair_and_need_few_signatures(spark):
+    draw, lines = random.Random(9), []
+    for n in [*range(20, 30), *range(58, 76)]:
+        base = "".join(draw.choices("abcdé ", k=n))
+        lines += [base, *(edited(draw, base, k) for k in (1, 2, 3, 3, 4))]
+    docs = list(enumerate(lines))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for edits in (2, 3):
+        assert sorted(map(tuple, ld.duplicate_lines(df, edits=edits).collect()), key=str) == brute(docs, edits, 20)
+    cut = ld.with_cuts(spark.createDataFrame([("x" * n,) for n in range(20, 200)], "line string"), 2, 20)
+    made = {r.n: r.k for r in cut.selectExpr("n", f"size({ld._char_plan(2)}) AS k").collect()}
+    # 12 before, for each line; now twice as many as 5 where a shorter line may be in the band below
+    assert set(made.values()) == {5, 10} and made[20] == made[21] == 5 and made[24] == made[25] == 10 and made[26] == 5
+    assert sum(made.values()) < 7 * len(made)
