@@ -1,9 +1,10 @@
 """SentencePiece BPE encoding by a prefix table, and decoding.
 
-For every prefix of a chunk the table stores the one token that ends the prefix's encoding. The
-candidates that end at a position come from an automaton over all pieces; a candidate is right if
-the last token of the prefix before it and the candidate are what the two together encode to.
-The ids are recovered backwards from the end of the table. Merges never cross from a visible
+For a prefix of a chunk the table stores the one token that ends the prefix's encoding. It is filled
+for the prefixes that a search comes to, which tries the longest piece first at the end of one: a
+candidate is right if the last token of the prefix before it and the candidate are what the two
+together encode to. A prefix that leads no further is left for good, for its encoding is the only
+one. The ids are recovered backwards from the end of the table. Merges never cross from a visible
 character to a following space mark (checked against the vocabulary), so that a text is cut there
 and equal chunks are encoded once per worker.
 """
@@ -11,9 +12,9 @@ and equal chunks are encoded once per worker.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -22,24 +23,29 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
 #: Fixed value: the mark that stands for a space.
 SPACE = "▁"
-#: Entries of a worker's tables before they are emptied; longer chunks are not remembered.
-MEMO, PAIR_MEMO = 400_000, 800_000
+#: Entries of a worker's tables, twice at most (see _Memo); longer chunks are not remembered.
+MEMO, PAIR_MEMO = 250_000, 400_000
 MEMO_CHARS = 48
 #: Tokens of characters that are no piece are WIDE + code point; two tokens make one key.
 WIDE, SHIFT = 1 << 20, 22
+#: Characters that tell how long a piece may be that begins with them.
+HEAD = 4
 
 
 class _Memo(dict):
-    """A bounded table filled on demand."""
+    """A bounded table filled on demand. A full one starts anew and falls back on what it held."""
 
     def __init__(self, make, limit):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if isinstance(key, int) or len(key) <= MEMO_CHARS:
             if len(self) >= self.limit:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -66,12 +72,14 @@ class Pieces:
         self.end = processor.eos_id()
         self.score, self.ids, self.bytes_of = {}, {}, [0] * 256
         parts: list[bytes] = []
-        automaton = ahocorasick.Automaton()
+        # the longest piece that begins with the same HEAD characters
+        self.reach: dict[str, int] = {}
         for i, p in enumerate(spec.pieces):
             if p.type == 1:
                 self.ids[p.piece] = i
                 self.score[p.piece] = p.score
-                automaton.add_word(p.piece, (i, len(p.piece)))
+                head = p.piece[:HEAD]
+                self.reach[head] = max(self.reach.get(head, 0), len(p.piece))
                 parts.append(p.piece.replace(SPACE, " ").encode())
             elif p.type == 6:
                 value = int(p.piece[1:-1], 16)
@@ -79,8 +87,6 @@ class Pieces:
                 parts.append(bytes([value]))
             else:
                 parts.append(b"" if p.type == 3 else spec.trainer_spec.unk_surface.encode())
-        automaton.make_automaton()
-        self.automaton = automaton
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.lengths = np.array([len(p) for p in parts], dtype=np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
@@ -113,27 +119,35 @@ class Pieces:
     def tokens(self, chunk: str) -> list[int]:
         """Tokens of a chunk, those of unknown characters as WIDE + code point.
 
-        Fills the prefix table from left to right, then walks it backwards.
+        Fills the prefix table where the search comes to, then walks it backwards. Every prefix is
+        come to once at most, and no more pieces are tried at its end than a piece has characters.
         """
         n = len(chunk)
-        last, size = [0] * (n + 1), [0] * (n + 1)
-        found = self.automaton.iter(chunk)
-        if not self.alphabet.issuperset(chunk):
-            alone = ((i, (WIDE + ord(c), 1)) for i, c in enumerate(chunk) if c not in self.alphabet)
-            found = sorted([*found, *alone], key=lambda x: x[0])
-        singles, pairs = self.singles, self.pairs
-        for at, (token, length) in found:
-            end = at + 1
-            if last[end]:
-                continue
-            start = end - length
-            if singles[token] if start == 0 else pairs[last[start] << SHIFT | token]:
-                last[end], size[end] = token, length
+        last, size, left = [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+        ids, reach, singles, pairs = self.ids, self.reach, self.singles, self.pairs
+        at, length = 0, min(reach.get(chunk[:HEAD], HEAD - 1), n)
+        while at < n:
+            while length:
+                end = at + length
+                # a prefix that was come to before leads no further
+                if not size[end]:
+                    token = ids.get(chunk[at:end])
+                    if token is None and length == 1:
+                        token = WIDE + ord(chunk[at])
+                    if token is not None and (pairs[last[at] << SHIFT | token] if at else singles[token]):
+                        break
+                length -= 1
+            if length:
+                last[end], size[end], left[at] = token, length, length - 1
+                at, length = end, min(reach.get(chunk[end : end + HEAD], HEAD - 1), n - end)
+            elif at:
+                at -= size[at]
+                length = left[at]
+            else:
+                raise ValueError("A prefix has no last token.")
         out = []
         while n > 0:
             out.append(last[n])
-            if not size[n]:
-                raise ValueError("A prefix has no last token.")
             n -= size[n]
         out.reverse()
         return out
@@ -146,13 +160,16 @@ class Pieces:
         return self.merged(a + b) == [a, b]
 
     def _chunk_bytes(self, chunk: str) -> bytes:
+        tokens = self.tokens(chunk)
+        if max(tokens, default=0) < WIDE:
+            return array("i", tokens).tobytes()
         ids: list[int] = []
-        for token in self.tokens(chunk):
+        for token in tokens:
             if token >= WIDE:
                 ids.extend(self.bytes_of[b] for b in chr(token - WIDE).encode())
             else:
                 ids.append(token)
-        return np.array(ids, dtype=np.int32).tobytes()
+        return array("i", ids).tobytes()
 
     def _word_bytes(self, word: str) -> bytes:
         """A word that follows a space, cut at line ends where no piece has one."""
