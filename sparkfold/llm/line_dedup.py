@@ -7,7 +7,8 @@ at places that the multi-match rule allows. Lines that share a segment are compa
 those still not near one with ever more, by a banded bit-parallel edit distance.
 Longer lines may also differ in whole words, in more of them the longer they are: the same join is
 made on words, with segments for the threshold of the shorter line, so that a line probes into the
-band below its own. Everything is DataFrame and SQL expressions.
+band below its own; from where 2 words may differ, numbers of words are dealt into bands too.
+Everything is DataFrame and SQL expressions.
 """
 
 from __future__ import annotations
@@ -26,11 +27,13 @@ def with_cuts(lines: DataFrame, edits: int, least: int) -> DataFrame:
 
     n is the length, low_0 the least length of its band, low_1 that of the band below if a line of at
     least `least` characters that is up to `edits` shorter may be in it, else NULL; size_0 and size_1 are
-    the sizes of the segments in these bands. Bands are 4 characters wide, those from 64 on 8 (or as many
-    times more as more edits need), so that lines within the edits are in one band or in two next to each other.
+    the sizes of the segments in these bands. Bands are 4 characters wide, those from 64, 128 and 256 on 8, 16
+    and 32 (or as many times more as more edits need), so that lines within the edits are in one band or in
+    two next to each other.
     """
     wide = 4 * max(1, -(-edits // 4))
-    band = f"{{0}} - {{0}} % if({{0}} < {16 * wide}, {wide}, {2 * wide})"
+    widths = " ".join(f"WHEN {{0}} < {16 * wide * k} THEN {wide * k}" for k in (1, 2, 4))
+    band = f"{{0}} - {{0}} % CASE {widths} ELSE {8 * wide} END"
     lines = lines.withColumn("n", F.length("line"))
     lines = lines.withColumns(
         {"low_0": F.expr(band.format("n")), "below": F.expr(band.format(f"greatest(n - {edits}, least(n, {least}))"))}
@@ -117,11 +120,69 @@ def word_signatures(words: tuple[int, ...]) -> Column:
     return F.expr(f"transform({_word_plans(words)}, p -> {_word_signature('p.')})")
 
 
-def _with_words(lines: DataFrame) -> DataFrame:
-    """Add the words w of a line and their number m. There is no lambda, and few lines need GAP."""
+def _banded_from(words: tuple[int, ...]) -> int:
+    """The threshold from which numbers of words have bands: 2, or none where a threshold holds for too few."""
+    wide = all(b - a >= len(words) for a, b in zip(words[1:], words[2:]))
+    return 2 if wide and all(least > t for t, least in enumerate(words, 1)) else len(words) + 1
+
+
+def _word_low(m: str, words: tuple[int, ...]) -> str:
+    """SQL: the least number of words of the band of lines with m words; one threshold holds in a band.
+
+    Bands are 8 words wide where lines may differ in 2 words, 16 where in 3. What is left before the
+    next threshold belongs to the last band, so that none is narrower than its threshold.
+    """
+    cases = ""
+    for t in range(len(words), _banded_from(words) - 1, -1):
+        base, wide = words[t - 1], 2 << t
+        at = f"({m} - {base}) div {wide}"
+        if t < len(words):
+            at = f"least({at}, {max(1, (words[t] - base) // wide) - 1})"
+        cases += f"WHEN {m} >= {base} THEN CAST({base} + {wide} * ({at}) AS INT) "
+    return f"CASE {cases} END" if cases else "CAST(NULL AS INT)"
+
+
+def _with_words(lines: DataFrame, words: tuple[int, ...]) -> DataFrame:
+    """Add the words w of a line, their number m, the least one v_0 of its band and that of the band below.
+
+    The latter, v_1, is NULL where no line of that band is near enough. There is no lambda, and few
+    lines need GAP.
+    """
     line = F.col("line")
     cut = F.when(line.rlike(r"[\x09-\x0D]"), F.split(line, GAP)).otherwise(F.split(line, " "))
-    return lines.withColumn("w", F.array_remove(cut, "")).withColumn("m", F.size("w"))
+    cut = lines.withColumn("w", F.array_remove(cut, "")).withColumn("m", F.size("w"))
+    cut = cut.withColumn("v_0", F.expr(_word_low("m", words)))
+    reach = f"m - ({_allowed('(v_0 - 1)', words)}) < v_0"
+    return cut.withColumn("v_1", F.expr(f"if({reach}, {_word_low('(v_0 - 1)', words)}, NULL)"))
+
+
+def _word_band_plans(words: tuple[int, ...]) -> str:
+    """SQL: the plan of a line, by bands where its number of words has them: s is 1 for the band below."""
+    names, first = ("t", "s", "i", "d"), _banded_from(words)
+    cases = ""
+    for t in range(len(words), first - 1, -1):
+        base = words[t - 1]
+        own = [(t, 0, i, d) for i, d in _places(t) if not d] + [(t, 0, i, d) for i, d in _places(t) if d]
+        below, lower = ([(x, 1, i, d) for i, d in _places(x)] for x in (t, t - 1))
+        if t == first:
+            # what has no bands is below: few numbers of words still reach there
+            for m in range(base + t - 1, base - 1, -1):
+                lower = [x for x in _word_plan(m, words) if x[0] < first]
+                cases += f"WHEN m = {m} THEN {_structs(names, own + lower)} "
+        else:
+            cases += f"WHEN v_0 = {base} AND v_1 IS NOT NULL THEN {_structs(names, own + lower)} "
+        cases += f"WHEN m >= {base} AND v_1 IS NOT NULL THEN {_structs(names, own + below)} "
+        cases += f"WHEN m >= {base} THEN {_structs(names, own)} "
+    return f"CASE {cases} ELSE {_word_plans(words)} END" if cases else _word_plans(words)
+
+
+def _word_band_signature(words: tuple[int, ...]) -> str:
+    """SQL: hash of the band, the segment number and its words, d places further, as for characters."""
+    low = "if(s = 0, v_0, v_1)"
+    size = f"({low} div (t + 1))"
+    start = f"if(2 * i <= t, {size} * i, m - {size} * (t + 1 - i))"
+    by_band = f"xxhash64('bands', {low}, i, slice(w, CAST({start} AS INT) + 1 + d, CAST({size} AS INT)))"
+    return f"if(t < {_banded_from(words)}, {_word_signature()}, {by_band})"
 
 
 def _word_hashes(line: str) -> Column:
@@ -179,7 +240,13 @@ def edit_distance(pairs: DataFrame, left: str, right: str, edits: int, maybe: st
     a, b = F.col(left), F.col(right)
     longer = F.length(a) >= F.length(b)
     keep = pairs.columns
-    cut = pairs.withColumns({"x": F.when(longer, a).otherwise(b), "y": F.when(longer, b).otherwise(a)})
+    # nothing is cut or compared where the distance is known to be more
+    cut = pairs.withColumn("within", F.expr(f"({maybe}) AND abs(length({left}) - length({right})) <= {edits}"))
+    cut = cut.withColumns(
+        {"x": F.when(F.col("within"), F.when(longer, a).otherwise(b)).otherwise(""),
+         "y": F.when(F.col("within"), F.when(longer, b).otherwise(a)).otherwise("")}
+    )
+    keep = [*keep, "within"]
     cut = cut.withColumn("p", F.expr(_shared("x", "y")))
     cut = cut.select(
         *keep, F.expr("substring(x, p + 1)").alias("x"), F.expr("substring(y, p + 1)").alias("y")
@@ -198,9 +265,10 @@ def edit_distance(pairs: DataFrame, left: str, right: str, edits: int, maybe: st
     # very short rests get the same ending, which changes no distance
     ending = ", ".join(["'\\u0000'"] * (edits + 1))
     cut = cut.withColumns({c: F.expr(f"concat({c}, array({ending}))") for c in ("x", "y")})
-    cut = cut.withColumn("early", F.expr(f"if({maybe}, {_banded(edits, 32)}, {2 * edits + 1})"))
+    # a first part that is all there is would be compared twice
+    cut = cut.withColumn("early", F.expr(f"if(NOT within, {2 * edits + 1}, if(size(y) > 32, {_banded(edits, 32)}, 0))"))
     return cut.select(
-        *keep,
+        *pairs.columns,
         F.expr(
             f"if(early > {2 * edits} OR size(x) - size(y) > {edits}, {edits + 1}, "
             f"least({_banded(edits)}, {edits + 1}))"
@@ -253,8 +321,8 @@ def _groups(lines: DataFrame, edits: int, least: int, words: tuple[int, ...]) ->
     """
     cut, plan, sig = with_cuts(lines, edits, least), _char_plan(edits), _char_signature(edits)
     if words:
-        cut = _with_words(cut)
-        plan, sig = f"concat({plan}, {_word_plans(words)})", f"if(t < 0, {sig}, {_word_signature()})"
+        cut = _with_words(cut, words)
+        plan, sig = f"concat({plan}, {_word_band_plans(words)})", f"if(t < 0, {sig}, {_word_band_signature(words)})"
     # one row for each signature before it is made: one expression, with no lambda, makes all of them
     made = cut.select("*", F.expr(f"inline_outer({plan})"))
     rows = made.select(F.expr(sig).alias("sig"), F.expr("shiftleft(no, 1) | CAST(s = 0 AND d = 0 AS BIGINT)").alias("code"))
@@ -339,7 +407,7 @@ def near_lines(pairs: DataFrame, edits: int, words: tuple[int, ...]) -> DataFram
         F.expr(
             f"CASE WHEN distance <= {edits} THEN true "
             f"WHEN NOT by_words OR size(y) < {words[0]} OR size(x) - size(y) > {most} THEN false "
-            f"WHEN {_banded(most, 32)} > {2 * most} THEN false "
+            f"WHEN size(y) > 32 AND {_banded(most, 32)} > {2 * most} THEN false "
             f"ELSE {_banded(most)} <= {_allowed('size(y)', words)} END"
         ).alias("alike"),
     )
@@ -430,6 +498,24 @@ def _origins(docs: DataFrame) -> DataFrame:
     )
 
 
+def _gone_by_id(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, lists) of found (id, gone): per doc_id the lists (t, t2, gone) of line numbers that its rows lose.
+
+    Rows whose text is that of an earlier doc_id have the earlier one's list, marked with the hashes
+    of the text; t is NULL in the list of the others.
+    """
+    ids = docs.select(
+        F.xxhash64("text").alias("t"), F.xxhash64("text", F.lit(1)).alias("t2"), F.struct("doc_id").alias("copy")
+    ).where("text IS NOT NULL").distinct()
+    copies = join_few(ids, kept_table(_origins(docs), "origins"), ["t", "t2"]).where("copy <> origin")
+    copied = copies.join(found, F.col("origin.doc_id").eqNullSafe(F.col("id")), "left").select(
+        F.col("copy.doc_id").alias("id"), "t", "t2", "gone"
+    )
+    unknown = F.lit(None).cast("long")
+    every = copied.union(found.select("id", unknown.alias("t"), unknown.alias("t2"), "gone"))
+    return every.groupBy("id").agg(F.collect_list(F.struct("t", "t2", "gone")).alias("lists"))
+
+
 def remove_lines(
     docs: DataFrame, *, edits: int = 2, least: int = 20, words: tuple[int, ...] = WORDS, most: float = 0.5
 ) -> DataFrame:
@@ -444,16 +530,17 @@ def remove_lines(
     found = found.groupBy(F.col("doc_id").alias("id")).agg(
         F.collect_set("line_no").alias("gone")
     )
-    found = kept_table(found, "gone")
-    origins = kept_table(_origins(docs), "origins")
+    found = kept_table(_gone_by_id(docs, kept_table(found, "gone")), "by-id")
     whole = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.xxhash64("text").alias("t"), F.xxhash64("text", F.lit(1)).alias("t2"),
     )
-    whole = join_few(whole, origins, ["t", "t2"], "left").select(
-        "row", F.coalesce("origin", F.struct("row.doc_id")).alias("origin")
-    )
-    joined = join_few(whole, found, F.col("origin.doc_id").eqNullSafe(F.col("id")), "left")
+    # texts are dealt once, by id, whatever their number: the lists would not fit a broadcast for long
+    joined = whole.join(found.hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("id")), "left")
+    copied = F.filter("lists", lambda x: (x["t"] == F.col("t")) & (x["t2"] == F.col("t2")))
+    own = F.filter("lists", lambda x: x["t"].isNull())
+    gone = F.get(F.when(F.size(copied) > 0, copied).otherwise(own), F.lit(0))["gone"]
+    joined = joined.select("row", gone.alias("gone"))
     lines = F.split(F.col("row.text"), "\n")
     marked = joined.select("row", "gone", lines.alias("lines"))
     left = F.filter("lines", lambda x, i: ~F.array_contains("gone", i))

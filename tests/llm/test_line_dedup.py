@@ -1,7 +1,7 @@
 import random
 from collections import Counter
 
-from sparkfold.llm import line_dedup as ld
+from sparkfold.llm import common, line_dedup as ld
 
 
 def distance(a, b):
@@ -200,3 +200,45 @@ def test_bands_of_lengths_lose_no_pair_and_need_few_signatures(spark):
     # 12 before, for each line; now twice as many as 5 where a shorter line may be in the band below
     assert set(made.values()) == {5, 10} and made[20] == made[21] == 5 and made[24] == made[25] == 10 and made[26] == 5
     assert sum(made.values()) < 7 * len(made)
+
+
+def test_bands_of_word_numbers_lose_no_pair_and_need_few_signatures(spark):
+    draw, words, lines = random.Random(11), (3, 8, 19), []
+    for n in range(7, 40):
+        base = [f"w{draw.randrange(60)}" for _ in range(n)]
+        lines.append(" ".join(base))
+        for k in (1, 2, 3, 4):
+            line = list(base)
+            for _ in range(k):
+                at, kind = draw.randrange(len(line)), draw.randrange(3)
+                line[at : at + (kind != 0)] = [f"another{draw.randrange(10**6)}"][: kind != 1]
+            lines.append(" ".join(line))
+    draw.shuffle(lines)
+    docs = list(enumerate(lines))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = ld.duplicate_lines(df, words=words).collect()
+    want = brute(docs, 2, 20, words)
+    assert sorted(map(tuple, got), key=str) == want and len(want) > 60
+    cut = ld._with_words(spark.createDataFrame([("x " * m,) for m in range(200)], "line string"), ld.WORDS)
+    made = {r.m: r.k for r in cut.selectExpr("m", f"size({ld._word_band_plans(ld.WORDS)}) AS k").collect()}
+    assert all(made[m] == len(ld._word_plan(m, ld.WORDS)) for m in range(40))
+    # 12 and 26 before, for each line
+    assert {made[m] for m in range(42, 80)} == {5, 10} and {made[m] for m in range(83, 200)} == {8, 16}
+    assert made[40] == 7 and made[41] == 5 and made[80] == 13 and made[82] == 8
+
+
+def test_removal_deals_the_texts_once(spark, monkeypatch):
+    line, other = "a line that many documents have", "something else that stands alone here"
+    docs = [(1, f"{line}\n{other}"), (None, line), (2, f"{line}\n{other}"), (3, f"{other}\nno line like this one here"), (3, line)]
+    docs += [(4, None), (5, None), (6, f"{line}\n{other}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = ld.remove_lines(df, most=1.0).collect()
+    # as with many documents: no table is small enough for a broadcast
+    monkeypatch.setattr(common, "FEW_ROWS", -1)
+    out = ld.remove_lines(df, most=1.0)
+    # before, the texts were dealt a second time, by what they are copies of
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 2
+    rows = sorted(map(tuple, out.collect()), key=str)
+    assert rows == sorted(map(tuple, want), key=str)
+    # copies of 1 lose what 1 loses, a copy of the first document nothing
+    assert rows == sorted([(1, other), (2, other), (6, other), (None, line), (4, None), (5, None), (3, "no line like this one here"), (3, line)], key=str)
