@@ -19,6 +19,8 @@ KEPT = 0.98
 #: Rows of an Arrow batch at most: whole texts pass through Python, and a task holds a few batches on either side.
 BATCH_ROWS = 1024
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Removes the shuffle files of an execution when it ends; nothing is executed twice, for steps are written.
+CLEAN_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Scratch tables of the stages made so far.
 _FINISHED: list[Scratch] = []
@@ -28,7 +30,8 @@ def _stage(make):
     """A stage that first removes the scratch tables of earlier ones, unless its documents read them.
 
     Stages are written and read again, so nothing reads an earlier one's tables by then. The session's
-    Arrow batches are made small and stay so, because what a stage returns is computed when it is written.
+    Arrow batches are made small and its shuffle files are removed early, and both stay so, because
+    what a stage returns is computed when it is written.
     """
 
     @functools.wraps(make)
@@ -38,6 +41,7 @@ def _stage(make):
         _FINISHED[:] = [s for s in _FINISHED if s.paths]
         rows = int(spark.conf.get(BATCH_CONF))
         spark.conf.set(BATCH_CONF, min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)
+        spark.conf.set(CLEAN_CONF, "true")
         with Scratch() as own:
             _FINISHED.append(own)
             return make(spark, docs, sf_dir)
